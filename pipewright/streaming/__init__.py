@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reports this library rebuilds are batch reports: they read a dated
+snapshot of the CRM and a change log, and nothing in them watches a stream,
+keeps state across triggers or handles late data. So no streaming operator is
+implemented. The snapshot table (``sources.snapshots``) is append-only and
+partitioned by ``snapshot_date``; appending one day is a plain batch write.
+"""
