@@ -1,8 +1,10 @@
 """Money: currency normalisation and currency text.
 
-Amounts are divided by the currency's rate (units per USD) in double, then cast
-to ``decimal(18,4)`` *before* summing so that totals are exact and independent
-of partitioning and summation order. Totals leave a plan as double.
+Amounts are divided by the currency's rate (units per USD) in double. Before
+any sum they become whole *money units* of 1/10000 USD (``money``), so totals
+are exact integers, independent of partitioning and summation order, and
+identical in any engine: the rounding happens at the integer, where a half is
+exactly representable. Totals leave a plan as double USD (``usd``).
 """
 
 from __future__ import annotations
@@ -10,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,4)"
+SCALE = 10000
+UNITS = "decimal(22,0)"
 
 
 def to_usd(amount: Column, rate: Column) -> Column:
@@ -19,13 +22,18 @@ def to_usd(amount: Column, rate: Column) -> Column:
 
 
 def money(x: Column) -> Column:
-    """Fixed-point money value for exact aggregation."""
-    return x.cast(MONEY)
+    """USD double -> whole money units (1/10000 USD) for exact aggregation."""
+    return F.round(x * SCALE).cast(UNITS)
+
+
+def usd(units: Column) -> Column:
+    """Money units (e.g. a sum of ``money``) -> USD double."""
+    return units.cast("double") / F.lit(float(SCALE))
 
 
 def total(x: Column) -> Column:
-    """Exact total of a money column, returned as double."""
-    return F.sum(money(x)).cast("double")
+    """Exact total of a USD column, returned as USD double."""
+    return usd(F.sum(money(x)))
 
 
 def scrub_usd(text: Column, allow_negative: bool = False) -> Column:
