@@ -66,5 +66,21 @@ def fill_bads(x: Column) -> Column:
 
 
 def round_half_even(x: Column, digits: int = 0) -> Column:
-    """Client-side rounding of the reports (banker's rounding)."""
-    return F.bround(x, digits)
+    """Client-side rounding of the reports (banker's rounding).
+
+    Scaled to an integer first (x * 10^digits is one IEEE product), then
+    rounded at the integer, where a half is exactly representable, so the
+    result does not depend on how an engine turns a double into decimal text.
+    """
+    if digits == 0:
+        return F.bround(x, 0)
+    f = float(10 ** digits)
+    return F.bround(x * f, 0) / f
+
+
+def round_half_up(x: Column, digits: int = 0) -> Column:
+    """Warehouse rounding (half away from zero), computed like ``round_half_even``."""
+    if digits == 0:
+        return F.round(x, 0)
+    f = float(10 ** digits)
+    return F.round(x * f, 0) / f

@@ -114,7 +114,7 @@ renewal AS (
          {_usd("avail")} AS Renew_avail_usd,
          {_usd("won_qb")} AS Renew_Won_QB_usd,
          {_ratio("won_qb", "won_rbpy")} AS gross_pim,
-         round_even({_ratio("Renew_Won", "Renew_Won + Renew_Lost")}, 2) AS retention,
+         round_even({_ratio("Renew_Won", "Renew_Won + Renew_Lost")} * 100, 0) / CAST(100 AS DOUBLE) AS retention,
          {_ratio("fc", "avail")} AS forecast_net_pim,
          still_open,
          {_usd("open_usd")} AS open_usd,

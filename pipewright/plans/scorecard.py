@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from pipewright.functions import dims
 from pipewright.functions.money import money, to_usd, usd
-from pipewright.functions.nulls import cond_count, cond_sum, in_set, not_in_or_null, not_in_set, safe_ratio
+from pipewright.functions.nulls import (cond_count, cond_sum, in_set, not_in_or_null, not_in_set, round_half_even,
+                                        safe_ratio)
 from pipewright.functions.periods import ReportParams, col_quarter_key, in_window, quarter_key
 from pipewright.functions.text import link_formula, record_link
 from pipewright.operators import joins
@@ -111,7 +112,7 @@ def renewal_scorecard(spark: SparkSession, sf_dir: str, p: ReportParams, base: D
         usd(F.col("avail")).alias("Renew_avail_usd"),
         usd(F.col("won_qb")).alias("Renew_Won_QB_usd"),
         safe_ratio(F.col("won_qb"), F.col("won_rbpy")).alias("gross_pim"),
-        F.bround(safe_ratio(F.col("Renew_Won"), F.col("Renew_Won") + F.col("Renew_Lost")), 2).alias("retention"),
+        round_half_even(safe_ratio(F.col("Renew_Won"), F.col("Renew_Won") + F.col("Renew_Lost")), 2).alias("retention"),
         safe_ratio(F.col("fc"), F.col("avail")).alias("forecast_net_pim"),
         "still_open",
         usd(F.col("open_usd")).alias("open_usd"),

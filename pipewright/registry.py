@@ -13,8 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pipewright.functions.periods import ReportParams
-from pipewright.oracle import scorecard_sql
-from pipewright.plans import scorecard
+from pipewright.oracle import movement_sql, scorecard_sql
+from pipewright.plans import movement, scorecard
 
 PARAMS = ReportParams(rpt_date=dt.date(1998, 8, 15), anchor=dt.date(1998, 7, 10), compare="Y",
                       stale_origin=dt.date(1995, 1, 1), velocity_since=dt.date(1995, 1, 1),
@@ -45,6 +45,27 @@ register("top_deals", _p(scorecard.top_deals), scorecard_sql.top_deals(PARAMS))
 register("rep_win_rates", _p(scorecard.rep_win_rates), scorecard_sql.rep_win_rates(PARAMS))
 
 
+def _mv(attr: str, preset: str = "v3", public: bool = True):
+    def job(spark, sf_dir):
+        m = movement.movement(spark, sf_dir, PARAMS, preset)
+        df = getattr(m, attr)
+        df = df() if callable(df) else df
+        return movement.public_set(df) if public else df
+    return job
+
+
+for _name, _set in [("starting_pipeline", "starting"), ("pulled_in", "pulled_in"), ("new_pipe", "new_pipe"),
+                    ("pushed", "pushed"), ("total_opps", "total"), ("ghost_found", "ghost")]:
+    _sql_name = {"pulled_in": "pulled", "total": "total", "ghost": "ghost"}.get(_set, _set)
+    register(_name, _mv(_set), movement_sql.set_query(PARAMS, "v3", _sql_name))
+register("movement_seed", _mv("seed", public=False), movement_sql.seed(PARAMS, "v3"))
+register("pipeline_outcome", _mv("outcome", public=False), movement_sql.outcome(PARAMS, "v3"))
+register("pipeline_outcome_v4", _mv("outcome", "v4", public=False), movement_sql.outcome(PARAMS, "v4"))
+register("won_by_category", _mv("won_by_category", public=False), movement_sql.won_by_category(PARAMS, "v3"))
+register("id_multiplicity", _mv("id_multiplicity", public=False), movement_sql.id_multiplicity(PARAMS, "v3"))
+register("field_delta", _mv("field_delta", "v4", public=False), movement_sql.field_delta(PARAMS, "v4"))
+
+
 def queries() -> dict[str, Job]:
     return {k: v[0] for k, v in _REG.items()}
 
