@@ -22,14 +22,13 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pipewright.functions import dims
 from pipewright.functions.money import money, usd
 from pipewright.functions.nulls import cond_sum, na_subtract, round_half_up, safe_ratio
 from pipewright.functions.periods import ReportParams
-from pipewright.operators import joins
 from pipewright.sources import crm
 
 STARTING, PULLED, CLEAN_UP, NEW, PUSHED, TOTAL = (
@@ -96,20 +95,26 @@ SET_COLUMNS = ["Id", "Category", "Type", "Region", "Segment", "Product", "QB_USD
 
 
 class Movement:
-    """All sets of one report run. Attributes are lazy DataFrames."""
+    """All sets of one report run, computed from one wide row per deal.
+
+    ``wide`` = current deals LEFT JOIN the anchor snapshot (aggregated per id)
+    LEFT JOIN the latest qualifying close-date move (aggregated per id). Both
+    right sides are grouped by ``Id``, so the plan shuffles each input once by
+    ``Id`` and everything after the join is narrow: set membership is a set of
+    boolean columns (with the reports' precedence: starting, then pulled in,
+    then new), and the seed is an ``explode`` of the rows each deal
+    contributes. Nothing is recomputed per set and no id list is collected.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str, p: ReportParams, preset: Preset = V3,
-                 snapshots: DataFrame | None = None, changes: DataFrame | None = None):
+                 snapshots: DataFrame | None = None, changes: DataFrame | None = None,
+                 current: DataFrame | None = None):
         self.spark, self.sf_dir, self.p, self.pre = spark, sf_dir, p, preset
         self._snapshots = snapshots
         self._changes = changes
-        self.current = self._current()
-        self.starting = self._starting()
-        self.pulled_in = self._pulled_in()
-        self.new_pipe = self._new_pipe()
-        self.pushed = self._pushed()
-        self.total = self._total()
-        self.ghost = self._ghost()
+        self.current = current if current is not None else self._current()
+        self.wide = self._wide()
+        self._seed = self._explode_seed()
 
     # ------------------------------------------------------------ inputs
     def _current(self) -> DataFrame:
@@ -140,17 +145,14 @@ class Movement:
     def changes(self) -> DataFrame:
         return self._changes if self._changes is not None else crm.field_history(self.spark, self.sf_dir)
 
-    # -------------------------------------------------------------- sets
+    # -------------------------------------------------------------- wide
     def _in_quarter(self, c: Column, inclusive_end: bool = False) -> Column:
         p = self.p
         end = (c <= F.lit(p.q_end)) if inclusive_end else (c < F.lit(p.q_end))
         return (c >= F.lit(p.q_start)) & end
 
-    def _label(self, df: DataFrame, label: str | Column, src: str, extra: tuple = ()) -> DataFrame:
-        lab = F.lit(label) if isinstance(label, str) else label
-        return df.withColumn("Mike_Type", lab).withColumn("src", F.lit(src)).select(*SET_COLUMNS, "src", *extra)
-
-    def _starting(self) -> DataFrame:
+    def _snap_rows(self) -> DataFrame:
+        """Qualifying anchor-snapshot rows per id: (Id, h_rows array<struct>)."""
         pre, p = self.pre, self.p
         h = self.snapshot_at_anchor()
         h = h.where(~F.col("StageName").isin(list(pre.start_stage_excl))
@@ -158,96 +160,140 @@ class Movement:
                     & self._in_quarter(F.col("CloseDate")))
         if pre.start_accept == "sao_le_anchor":
             h = h.where(F.col("SAO_Date") <= F.lit(p.anchor))
-        h = h.select(F.col("Id").alias("h_Id"), F.col("Category").alias("h_Category"), F.col("Type").alias("h_Type"),
-                     round_half_up(F.coalesce("Software_USD", "Expansion_USD", "qb_usd"), 2).alias("h_amount"),
-                     F.col("qb_usd").alias("QB_USD_Snapshot"))
-        cur = self.current
-        if pre.start_accept == "created_le_anchor":
-            cur = cur.where(F.col("CreatedDate") <= F.lit(p.anchor))
-        df = h.join(cur, h.h_Id == cur.Id, "inner")
         if pre.start_from_snapshot:
-            # labels and amount as frozen at the anchor
-            df = df.withColumns({"Category": F.col("h_Category"), "Type": F.col("h_Type"), "QB_USD": F.col("h_amount")})
-            return self._label(df, STARTING, "starting", ("QB_USD_Snapshot",)).distinct()
-        return self._label(df, STARTING, "starting", ("QB_USD_Snapshot",))
+            # labels and amount frozen at the anchor; identical rows count once
+            row = F.struct(F.col("Category").alias("Category"), F.col("Type").alias("Type"),
+                           round_half_up(F.coalesce("Software_USD", "Expansion_USD", "qb_usd"), 2).alias("QB_USD"),
+                           F.lit(None).cast("double").alias("QB_USD_Snapshot"))
+            agg = F.array_sort(F.collect_set(row))
+        else:
+            row = F.struct(F.lit(None).cast("string").alias("Category"), F.lit(None).cast("string").alias("Type"),
+                           F.lit(None).cast("double").alias("QB_USD"), F.col("qb_usd").alias("QB_USD_Snapshot"))
+            agg = F.collect_list(row)
+        return h.groupBy(F.col("Id").alias("h_Id")).agg(agg.alias("h_rows"))
 
-    def _pulled_in(self) -> DataFrame:
-        pre, p = self.pre, self.p
+    def _moves(self) -> DataFrame:
+        """Latest move of the close date from beyond the quarter into it, per id."""
+        p = self.p
         ch = self.changes()
         old, new = F.col("OldValue").try_cast("date"), F.col("NewValue").try_cast("date")
-        moves = (ch.where((F.col("field") == "CloseDate") & (old >= F.lit(p.q_end)) & (new < F.lit(p.q_end))
-                          & (new >= F.lit(p.q_start)))
-                   .groupBy("OpportunityId").agg(F.max("CreatedDate").alias("moved_at")))
-        o = self.current.where(~F.col("StageName").isin(list(pre.other_stage_excl))
-                               & F.col("Type").isin(list(pre.types))
-                               & (F.col("CreatedDate") < F.lit(p.q_end))
-                               & self._in_quarter(F.col("CloseDate"), pre.pulled_end_inclusive))
+        return (ch.where((F.col("field") == "CloseDate") & (old >= F.lit(p.q_end)) & (new < F.lit(p.q_end))
+                         & (new >= F.lit(p.q_start)))
+                  .groupBy(F.col("OpportunityId").alias("m_Id")).agg(F.max("CreatedDate").alias("moved_at")))
+
+    def _wide(self) -> DataFrame:
+        pre, p = self.pre, self.p
+        snap, moves = self._snap_rows(), self._moves()
+        df = (self.current.join(snap, F.col("Id") == F.col("h_Id"), "left")
+                          .join(moves, F.col("Id") == F.col("m_Id"), "left"))
+
+        def ok(c: Column) -> Column:  # a filter predicate: NULL is not true
+            return F.coalesce(c, F.lit(False))
+
+        stage, typ = F.col("StageName"), F.col("Type")
+        type_ok = typ.isin(list(pre.types))
+        accept = F.col("CreatedDate") if pre.new_by_created else F.col("SAO_Date")
+        in_start = F.col("h_rows").isNotNull()
+        if pre.start_accept == "created_le_anchor":
+            in_start = in_start & ok(F.col("CreatedDate") <= F.lit(p.anchor))
+        pulled = (F.col("moved_at").isNotNull() & ~stage.isin(list(pre.other_stage_excl)) & type_ok
+                  & (F.col("CreatedDate") < F.lit(p.q_end))
+                  & self._in_quarter(F.col("CloseDate"), pre.pulled_end_inclusive))
         if pre.pulled_sao_before_q:
-            o = o.where(F.col("SAO_Date") < F.lit(p.q_start))
-        o = joins.anti(o, self.starting, "Id")
-        df = o.join(moves, o.Id == moves.OpportunityId, "inner")
+            pulled = pulled & (F.col("SAO_Date") < F.lit(p.q_start))
+        new = (~stage.isin(list(pre.new_stage_excl)) & type_ok & self._in_quarter(F.col("CloseDate"))
+               & self._in_quarter(accept))
+        pushed = (~stage.isin(list(pre.new_stage_excl)) & type_ok & (accept <= F.lit(p.anchor))
+                  & (F.col("CloseDate") > F.lit(p.q_end)))
+        total = (((stage == dims.STAGE_CLOSED_WON) | F.col("SAO_Date").isNotNull())
+                 & ~stage.isin(list(pre.other_stage_excl)) & type_ok & self._in_quarter(F.col("CloseDate")))
+        df = df.withColumn("in_start", ok(in_start))
+        df = df.withColumn("in_pulled", ok(pulled) & ~F.col("in_start"))
+        df = df.withColumn("in_new", ok(new) & ~F.col("in_start") & ~F.col("in_pulled"))
+        df = df.withColumns({
+            "in_pushed": ok(pushed) & F.col("in_start"),
+            "in_total": ok(total)})
+        df = df.withColumn("in_ghost", F.col("in_total") & ~F.col("in_start") & ~F.col("in_pulled") & ~F.col("in_new"))
         if pre.clean_up_label:
             moved = F.col("moved_at")
-            label = (F.when((moved.cast("date") >= F.col("CloseDate")) & (F.col("StageName") == dims.STAGE_CLOSED_LOST),
-                            F.lit(CLEAN_UP))
-                      .when(moved < F.lit(p.anchor).cast("timestamp_ntz"), F.lit(CLEAN_UP))
-                      .otherwise(F.lit(PULLED)))
+            pulled_label = (F.when((moved.cast("date") >= F.col("CloseDate")) & (stage == dims.STAGE_CLOSED_LOST),
+                                   F.lit(CLEAN_UP))
+                             .when(moved < F.lit(p.anchor).cast("timestamp_ntz"), F.lit(CLEAN_UP))
+                             .otherwise(F.lit(PULLED)))
         else:
-            label = F.lit(PULLED)
-        return self._label(df, label, "pulled")
-
-    def _new_pipe(self) -> DataFrame:
-        pre = self.pre
-        o = self.current.where(~F.col("StageName").isin(list(pre.new_stage_excl))
-                               & F.col("Type").isin(list(pre.types))
-                               & self._in_quarter(F.col("CloseDate")))
-        accept = F.col("CreatedDate") if pre.new_by_created else F.col("SAO_Date")
-        o = o.where(self._in_quarter(accept))
-        o = joins.anti(joins.anti(o, self.starting, "Id"), self.pulled_in, "Id")
-        return self._label(o, NEW, "new")
+            pulled_label = F.lit(PULLED)
+        return df.withColumn("pulled_label", pulled_label)
+
+    def _explode_seed(self) -> DataFrame:
+        cur = F.struct(F.col("Category"), F.col("Type"), F.col("QB_USD"))
+
+        def row(label: Column | str, src: str, base: Column = cur, snap_amt: Column | None = None) -> Column:
+            lab = F.lit(label) if isinstance(label, str) else label
+            return F.struct(base["Category"].alias("Category"), base["Type"].alias("Type"),
+                            base["QB_USD"].alias("QB_USD"), lab.alias("Mike_Type"), F.lit(src).alias("src"),
+                            (snap_amt if snap_amt is not None else F.lit(None).cast("double")).alias("QB_USD_Snapshot"))
+
+        starts = F.transform(F.col("h_rows"), lambda h: row(
+            STARTING, "starting",
+            base=F.struct(F.coalesce(h["Category"], F.col("Category")).alias("Category"),
+                          F.coalesce(h["Type"], F.col("Type")).alias("Type"),
+                          (F.coalesce(h["QB_USD"], F.col("QB_USD")) if self.pre.start_from_snapshot
+                           else F.col("QB_USD")).alias("QB_USD")),
+            snap_amt=h["QB_USD_Snapshot"]))
+        others = F.array(
+            F.when(F.col("in_new"), row(NEW, "new")),
+            F.when(F.col("in_pulled"), row(F.col("pulled_label"), "pulled")),
+            F.when(F.col("in_pushed"), row(PUSHED, "pushed")),
+            F.when(F.col("in_ghost"), row(self.pre.ghost_label, "ghost")),
+            F.when(F.col("in_total"), row(TOTAL, "total")))
+        rows = F.when(F.col("in_start"), F.concat(starts, others)).otherwise(others)
+        w = self.wide.withColumn("_r", F.explode(F.filter(rows, lambda x: x.isNotNull())))
+        return w.select(
+            "Id", F.col("_r.Category").alias("Category"), F.col("_r.Type").alias("Type"), "Region", "Segment",
+            "Product", F.col("_r.QB_USD").alias("QB_USD"), "StageName", "CloseDate", "LeadSource",
+            F.col("_r.Mike_Type").alias("Mike_Type"), "SAO_Date", "User_Role", "CAM_or_SAM", "Expansion_Category",
+            F.col("_r.src").alias("src"), F.col("_r.QB_USD_Snapshot").alias("QB_USD_Snapshot"),
+            (F.col("in_start") | F.col("in_ghost")).alias("is_starting"),
+            F.col("in_pulled").alias("is_pulled"), F.col("in_new").alias("is_new"))
 
-    def _pushed(self) -> DataFrame:
-        pre, p = self.pre, self.p
-        accept = F.col("CreatedDate") if pre.new_by_created else F.col("SAO_Date")
-        o = self.current.where(~F.col("StageName").isin(list(pre.new_stage_excl))
-                               & F.col("Type").isin(list(pre.types))
-                               & (accept <= F.lit(p.anchor))
-                               & (F.col("CloseDate") > F.lit(p.q_end)))
-        return self._label(joins.semi(o, self.starting, "Id"), PUSHED, "pushed")
-
-    def _total(self) -> DataFrame:
-        pre = self.pre
-        o = self.current.where(((F.col("StageName") == dims.STAGE_CLOSED_WON) | F.col("SAO_Date").isNotNull())
-                               & ~F.col("StageName").isin(list(pre.other_stage_excl))
-                               & F.col("Type").isin(list(pre.types))
-                               & self._in_quarter(F.col("CloseDate")))
-        return self._label(o, TOTAL, "total").distinct()
-
-    def _ghost(self) -> DataFrame:
-        known = (self.pulled_in.select("Id").unionByName(self.new_pipe.select("Id"))
-                 .unionByName(self.starting.select("Id")))
-        g = joins.anti(self.total, known, "Id")
-        return g.withColumn("Mike_Type", F.lit(self.pre.ghost_label)).withColumn("src", F.lit("ghost"))
+    # -------------------------------------------------------------- sets
+    def _set(self, src: str, keep_snapshot: bool = False) -> DataFrame:
+        df = self._seed.where(F.col("src") == src).select(*SET_COLUMNS, "src", "QB_USD_Snapshot")
+        return df if keep_snapshot else df.drop("QB_USD_Snapshot")
+
+    @property
+    def starting(self) -> DataFrame:
+        return self._set("starting", keep_snapshot=not self.pre.start_from_snapshot)
+
+    @property
+    def pulled_in(self) -> DataFrame:
+        return self._set("pulled")
+
+    @property
+    def new_pipe(self) -> DataFrame:
+        return self._set("new")
+
+    @property
+    def pushed(self) -> DataFrame:
+        return self._set("pushed")
+
+    @property
+    def total(self) -> DataFrame:
+        return self._set("total")
+
+    @property
+    def ghost(self) -> DataFrame:
+        return self._set("ghost")
 
     # ------------------------------------------------------------ output
     def seed(self, with_flags: bool = False) -> DataFrame:
         """Long table of all sets (ghosts appended to the starting set)."""
-        parts = [self.new_pipe, self.pulled_in, self.pushed, self.starting.drop("QB_USD_Snapshot"), self.ghost,
-                 self.total]
-        df = parts[0]
-        for x in parts[1:]:
-            df = df.unionByName(x)
-        df = df.withColumns({"Geo": dims.geo(F.col("Region")),
-                             "Type_Smooth": F.when(F.col("Type") == dims.TYPE_EXPANSION, F.lit(dims.TYPE_EXISTING))
-                                             .otherwise(F.col("Type"))})
-        if with_flags:
-            w = Window.partitionBy("Id")
-            df = df.withColumns({
-                "is_starting": F.max(F.col("src").isin("starting", "ghost")).over(w),
-                "is_pulled": F.max(F.col("src") == "pulled").over(w),
-                "is_new": F.max(F.col("src") == "new").over(w)})
-        else:
-            df = df.drop("src")
+        df = self._seed.withColumns({
+            "Geo": dims.geo(F.col("Region")),
+            "Type_Smooth": F.when(F.col("Type") == dims.TYPE_EXPANSION, F.lit(dims.TYPE_EXISTING))
+                            .otherwise(F.col("Type"))})
+        if not with_flags:
+            df = df.drop("src", "QB_USD_Snapshot", "is_starting", "is_pulled", "is_new")
         return df
 
     def outcome(self) -> DataFrame:
@@ -288,13 +334,17 @@ class Movement:
                                          F.count(F.lit(1)).alias("num"))
 
     def id_multiplicity(self) -> DataFrame:
-        """How often each deal id appears in the seed; single won deals flagged."""
-        s = self.seed()
-        agg = s.groupBy("Id").agg(F.count(F.lit(1)).alias("n_rows"),
-                                  F.max(F.col("StageName") == dims.STAGE_CLOSED_WON).alias("any_won"))
-        return agg.select("Id", "n_rows",
-                          F.when(F.col("n_rows") > 1, F.lit("more than once")).otherwise(F.lit("once")).alias("multiplicity"),
-                          ((F.col("n_rows") == 1) & F.coalesce(F.col("any_won"), F.lit(False))).alias("single_won"))
+        """How often each deal id appears in the seed; single won deals flagged.
+
+        Read from the wide row (one per deal), so no shuffle is needed.
+        """
+        n = (F.when(F.col("in_start"), F.size("h_rows")).otherwise(F.lit(0))
+             + sum(F.col(c).cast("int") for c in ["in_new", "in_pulled", "in_pushed", "in_ghost", "in_total"]))
+        df = self.wide.select("Id", n.alias("n_rows"), "StageName").where(F.col("n_rows") > 0)
+        return df.select("Id", F.col("n_rows").cast("long").alias("n_rows"),
+                         F.when(F.col("n_rows") > 1, F.lit("more than once")).otherwise(F.lit("once")).alias("multiplicity"),
+                         ((F.col("n_rows") == 1) & F.coalesce(F.col("StageName") == dims.STAGE_CLOSED_WON, F.lit(False)))
+                         .alias("single_won"))
 
     def field_delta(self) -> DataFrame:
         """Starting deals: current minus snapshot USD, a missing side read as zero."""

@@ -17,7 +17,11 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+# session-start settings: no web UI (no port opened), no console progress bars
+STATIC_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -31,7 +35,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    for k, v in BASE_CONF.items():
+    for k, v in {**STATIC_CONF, **BASE_CONF}.items():
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -39,8 +43,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         b = b.config(k, v)
     spark = b.getOrCreate()
     for k, v in BASE_CONF.items():
-        if k != "spark.ui.enabled":
-            spark.conf.set(k, v)
+        spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark

@@ -75,6 +75,10 @@ def _div(c: Column, n: int) -> Column:
     return F.floor(c / n).cast("long")
 
 
+def _opp_id(k: Column) -> Column:
+    return F.concat(F.lit("006"), F.lpad(k.cast("string"), 12, "0"))
+
+
 def _null_if(k: Column, m: int, value: Column) -> Column:
     return F.when(k % m == 0, F.lit(None)).otherwise(value)
 
@@ -134,7 +138,7 @@ def opportunity_core(spark: SparkSession, sf_dir: str, with_product: bool = Fals
     acv = _null_if(k, 13, F.col("o_totalprice"))
     sao = F.col("SAO_Date")
     cols = [
-        F.concat(F.lit("006"), F.lpad(k.cast("string"), 12, "0")).alias("Id"),
+        _opp_id(k).alias("Id"),
         F.col("o_custkey").alias("AccountId"),
         (k % N_USERS).alias("OwnerId"),
         F.concat(F.lit("Deal-"), k.cast("string")).alias("Name"),
@@ -258,7 +262,9 @@ def field_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     One pass over the orders; each qualifying deal yields one or two rows.
     """
-    core = opportunity_core(spark, sf_dir).select("Id", "CloseDate", "_k")
+    o = read(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"])
+    core = o.select(_opp_id(F.col("o_orderkey")).alias("Id"), F.col("o_orderdate").cast("date").alias("CloseDate"),
+                    F.col("o_orderkey").alias("_k"))
     k, close = F.col("_k"), F.col("CloseDate")
     first = F.struct(
         F.when(k % 6 == 0, F.date_add(close, 95)).otherwise(F.date_sub(close, 95)).alias("old"),
