@@ -13,8 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pipewright.functions.periods import ReportParams
-from pipewright.oracle import movement_sql, scorecard_sql
-from pipewright.plans import movement, scorecard
+from pipewright.oracle import coverage_sql, movement_sql, scorecard_sql
+from pipewright.plans import coverage, movement, scorecard
 
 PARAMS = ReportParams(rpt_date=dt.date(1998, 8, 15), anchor=dt.date(1998, 7, 10), compare="Y",
                       stale_origin=dt.date(1995, 1, 1), velocity_since=dt.date(1995, 1, 1),
@@ -65,6 +65,9 @@ register("won_by_category", _mv("won_by_category", public=False), movement_sql.w
 register("id_multiplicity", _mv("id_multiplicity", public=False), movement_sql.id_multiplicity(PARAMS, "v3"))
 register("field_delta", _mv("field_delta", "v4", public=False), movement_sql.field_delta(PARAMS, "v4"))
 
+register("forecasted_opps", _p(coverage.forecasted_opps), coverage_sql.forecasted_opps(PARAMS))
+register("coverage_by_region", _p(coverage.coverage_by_region), coverage_sql.coverage_by_region(PARAMS))
+
 
 def queries() -> dict[str, Job]:
     return {k: v[0] for k, v in _REG.items()}
