@@ -13,8 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pipewright.functions.periods import ReportParams
-from pipewright.oracle import coverage_sql, movement_sql, scorecard_sql
-from pipewright.plans import coverage, movement, scorecard
+from pipewright.oracle import coverage_sql, movement_sql, scorecard_sql, velocity_sql
+from pipewright.plans import activity, coverage, movement, scorecard, velocity
 
 PARAMS = ReportParams(rpt_date=dt.date(1998, 8, 15), anchor=dt.date(1998, 7, 10), compare="Y",
                       stale_origin=dt.date(1995, 1, 1), velocity_since=dt.date(1995, 1, 1),
@@ -68,6 +68,12 @@ register("field_delta", _mv("field_delta", "v4", public=False), movement_sql.fie
 register("forecasted_opps", _p(coverage.forecasted_opps), coverage_sql.forecasted_opps(PARAMS))
 register("coverage_by_region", _p(coverage.coverage_by_region), coverage_sql.coverage_by_region(PARAMS))
 
+register("time_in_stage", _p(velocity.time_in_stage), velocity_sql.time_in_stage(PARAMS))
+register("team_velocity", _p(velocity.team_velocity), velocity_sql.team_velocity(PARAMS))
+register("rep_velocity", _p(velocity.rep_velocity), velocity_sql.rep_velocity(PARAMS))
+register("velocity_compare", _p(velocity.velocity_compare), velocity_sql.velocity_compare(PARAMS))
+register("activities_wide", _p(activity.activities_wide, ACTIVITY_PARAMS), velocity_sql.activities_wide(ACTIVITY_PARAMS))
+
 
 def queries() -> dict[str, Job]:
     return {k: v[0] for k, v in _REG.items()}
