@@ -46,10 +46,13 @@ def _cte_opp(with_product: bool) -> str:
         prod_join = """
   LEFT JOIN (
     SELECT l.l_orderkey,
-           max(CASE WHEN l.l_linenumber = 1 THEN p.p_type END) AS t1,
-           max(CASE WHEN l.l_linenumber = 2 THEN p.p_type END) AS t2
-    FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey
-    WHERE l.l_linenumber <= 2
+           max(CASE WHEN l.rn = 1 THEN p.p_type END) AS t1,
+           max(CASE WHEN l.rn = 2 THEN p.p_type END) AS t2
+    FROM (SELECT l_orderkey, l_partkey,
+                 row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS rn
+          FROM lineitem) l
+    LEFT JOIN part p ON l.l_partkey = p.p_partkey
+    WHERE l.rn <= 2
     GROUP BY l.l_orderkey) lp ON lp.l_orderkey = o.o_orderkey"""
         prod_cols = """,
     CASE WHEN k % 4 = 0 AND t2 IS NOT NULL THEN t1 || ';' || t2 ELSE t1 END AS Product,

@@ -13,8 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pipewright.functions.periods import ReportParams
-from pipewright.oracle import coverage_sql, movement_sql, scorecard_sql, velocity_sql
-from pipewright.plans import activity, coverage, movement, scorecard, velocity
+from pipewright.oracle import coverage_sql, enrich_sql, movement_sql, scorecard_sql, velocity_sql
+from pipewright.plans import accounts, activity, coverage, enrich, movement, scorecard, velocity
 
 PARAMS = ReportParams(rpt_date=dt.date(1998, 8, 15), anchor=dt.date(1998, 7, 10), compare="Y",
                       stale_origin=dt.date(1995, 1, 1), velocity_since=dt.date(1995, 1, 1),
@@ -74,6 +74,16 @@ register("rep_velocity", _p(velocity.rep_velocity), velocity_sql.rep_velocity(PA
 register("velocity_compare", _p(velocity.velocity_compare), velocity_sql.velocity_compare(PARAMS))
 register("activities_wide", _p(activity.activities_wide, ACTIVITY_PARAMS), velocity_sql.activities_wide(ACTIVITY_PARAMS))
 
+register("ingest_converted", _p(enrich.ingest_converted), enrich_sql.ingest_converted(PARAMS))
+register("opp_classified", _p(enrich.opp_classified), enrich_sql.opp_classified(PARAMS))
+register("currency_scrub", _p(enrich.currency_scrub), enrich_sql.currency_scrub(PARAMS))
+register("record_links", _p(enrich.record_links), enrich_sql.record_links(PARAMS))
+register("flatten_nested", _p(enrich.flatten_embeddings), None)
+register("audited_merge", _p(accounts.audited_merge, mode="upsert"), enrich_sql.audited_merge("upsert"))
+register("audited_update", _p(accounts.audited_merge, mode="update"), enrich_sql.audited_merge("update"))
+register("merged_accounts", _p(accounts.merged_accounts, mode="upsert"), enrich_sql.merged_accounts("upsert"))
+register("accounts_before_image", _p(accounts.accounts_before_image), enrich_sql.accounts_before_image())
+
 
 def queries() -> dict[str, Job]:
     return {k: v[0] for k, v in _REG.items()}

@@ -28,7 +28,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pipewright.sources.tables import read
@@ -107,13 +107,20 @@ def _nation_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _product_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(l_orderkey, t1, t2): part type of line 1 and line 2 of each order."""
-    li = read(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber"]).where(F.col("l_linenumber") <= 2)
+    """(l_orderkey, t1, t2): part type of the first and second line of each order.
+
+    Lines are ordered by (line number, part key). ``row_number() <= 2`` is
+    planned with a map-side group limit, so at most two rows per order leave
+    each task; the pivot that follows reuses the same partitioning.
+    """
+    li = read(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber"])
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey")
+    first2 = li.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= 2)
     p = read(spark, sf_dir, "part", ["p_partkey", "p_type"])
-    lp = li.join(p, li.l_partkey == p.p_partkey, "left")
+    lp = first2.join(p, first2.l_partkey == p.p_partkey, "left")
     return lp.groupBy("l_orderkey").agg(
-        F.max(F.when(F.col("l_linenumber") == 1, F.col("p_type"))).alias("t1"),
-        F.max(F.when(F.col("l_linenumber") == 2, F.col("p_type"))).alias("t2"))
+        F.max(F.when(F.col("_rn") == 1, F.col("p_type"))).alias("t1"),
+        F.max(F.when(F.col("_rn") == 2, F.col("p_type"))).alias("t2"))
 
 
 def opportunity_core(spark: SparkSession, sf_dir: str, with_product: bool = False) -> DataFrame:

@@ -1,0 +1,15 @@
+"""Sinks: every report tab and every loaded table is a full overwrite."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
+    """Create or replace the table at ``path`` (truncate-and-load semantics)."""
+    w = df.write.mode("overwrite").format(fmt)
+    if fmt == "csv":
+        w = w.option("header", "true")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(path)
