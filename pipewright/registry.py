@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pipewright.functions.periods import ReportParams
 from pipewright.oracle import coverage_sql, enrich_sql, movement_sql, scorecard_sql, velocity_sql
-from pipewright.plans import accounts, activity, coverage, enrich, movement, scorecard, velocity
+from pipewright.plans import accounts, activity, coverage, enrich, movement, report, scorecard, velocity
 
 PARAMS = ReportParams(rpt_date=dt.date(1998, 8, 15), anchor=dt.date(1998, 7, 10), compare="Y",
                       stale_origin=dt.date(1995, 1, 1), velocity_since=dt.date(1995, 1, 1),
@@ -84,6 +84,8 @@ register("audited_update", _p(accounts.audited_merge, mode="update"), enrich_sql
 register("merged_accounts", _p(accounts.merged_accounts, mode="upsert"), enrich_sql.merged_accounts("upsert"))
 register("accounts_before_image", _p(accounts.accounts_before_image), enrich_sql.accounts_before_image())
 
+register("report_export", _p(report.report_manifest), coverage_sql.report_manifest(PARAMS))
+
 
 def queries() -> dict[str, Job]:
     return {k: v[0] for k, v in _REG.items()}
