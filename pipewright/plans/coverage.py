@@ -112,9 +112,11 @@ def coverage_wide(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFram
     fq = (forecasted_opps(spark, sf_dir, p).where(F.col("quarter") == F.lit(p.q_key))
           .select(F.col("Id").alias("f_Id")).distinct())
 
-    w = (h.join(o, h.s_Id == o.Id, "full_outer")
-          .join(moves, F.coalesce(F.col("Id"), F.col("s_Id")) == F.col("m_Id"), "left")
-          .join(fq, F.coalesce(F.col("Id"), F.col("s_Id")) == F.col("f_Id"), "left"))
+    # moves and the forecast flag only matter for deals with a current row, so
+    # they join the current side first; all three joins share the Id partitioning
+    o = (o.join(moves, o.Id == moves.m_Id, "left")
+          .join(fq, o.Id == fq.f_Id, "left"))
+    w = h.join(o, h.s_Id == o.Id, "full_outer")
 
     def ok(c: Column) -> Column:
         return F.coalesce(c, F.lit(False))

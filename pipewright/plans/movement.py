@@ -116,6 +116,15 @@ class Movement:
         self.wide = self._wide()
         self._seed = self._explode_seed()
 
+    def checkpoint(self) -> "Movement":
+        """Materialise the wide table in the shared checkpoint folder
+        (``spark.checkpoint.dir``) so that several outputs written from this run
+        read it once, and a lost executor recomputes from the checkpoint, not
+        from the sources."""
+        self.wide = self.wide.checkpoint(eager=True)
+        self._seed = self._explode_seed()
+        return self
+
     # ------------------------------------------------------------ inputs
     def _current(self) -> DataFrame:
         """Current deals with USD amount, owner role class; test accounts dropped."""

@@ -12,12 +12,28 @@ from pipewright.plans import coverage, movement
 from pipewright.sources import sinks
 
 
-def movement_report(spark: SparkSession, sf_dir: str, p: ReportParams, preset: str = "v3") -> dict[str, DataFrame]:
-    """Tabs of the quarter pipeline report."""
+def movement_report(spark: SparkSession, sf_dir: str, p: ReportParams, preset: str = "v3",
+                    materialize: bool = False) -> dict[str, DataFrame]:
+    """Tabs of the quarter pipeline report.
+
+    With ``materialize`` the per-deal wide table is checkpointed first, so
+    writing both tabs reads the sources once.
+    """
     m = movement.movement(spark, sf_dir, p, preset)
+    if materialize:
+        m.checkpoint()
     return {"pivot_data": m.outcome(), "raw_data": m.seed()}
 
 
+def run_quarter_report(spark: SparkSession, sf_dir: str, p: ReportParams, out_dir: str,
+                       preset: str = "v3", fmt: str = "parquet") -> list[str]:
+    """Job: compute the quarter report once and write every tab and the header."""
+    tabs = movement_report(spark, sf_dir, p, preset, materialize=True)
+    cov = coverage.coverage_by_region(spark, sf_dir, p).checkpoint(eager=True)
+    tabs.update(coverage.coverage_tables(cov))
+    return export_report(tabs, report_meta(spark, p), out_dir, fmt)
+
+
 def coverage_report(spark: SparkSession, sf_dir: str, p: ReportParams) -> dict[str, DataFrame]:
     return coverage.coverage_tables(coverage.coverage_by_region(spark, sf_dir, p))
 

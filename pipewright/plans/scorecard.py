@@ -30,8 +30,14 @@ SCORECARD_COLUMNS = ["Owner_Name", "Renew_avail_Num", "Renew_avail_usd", "Renew_
                      "standard_dollar_retention", "Projected_price_increase_capture"]
 
 
-def opps_enriched(spark: SparkSession, sf_dir: str, p: ReportParams, base_url: str = BASE_URL) -> DataFrame:
-    """Deals with account, owner, role and USD money, scorecard filters applied."""
+def opps_enriched(spark: SparkSession, sf_dir: str, p: ReportParams, base_url: str = BASE_URL,
+                  with_account: bool = True) -> DataFrame:
+    """Deals with account, owner, role and USD money, scorecard filters applied.
+
+    The account table is as large as the customer base; jobs that do not
+    output account names pass ``with_account=False`` so that join (and its
+    shuffle) is not in their plan.
+    """
     o = crm.opportunity(spark, sf_dir)
     a = crm.account(spark, sf_dir).select(F.col("Id").alias("a_Id"), F.col("Name").alias("Account_Name"))
     u = crm.user(spark, sf_dir).select(F.col("Id").alias("u_Id"), F.col("Name").alias("Owner_Name"),
@@ -43,8 +49,11 @@ def opps_enriched(spark: SparkSession, sf_dir: str, p: ReportParams, base_url: s
                 & (F.col("Test_Account") == F.lit(False))
                 & not_in_or_null(F.col("Renewal_Type"), dims.INSTALLMENT_RENEWAL_TYPES)
                 & ~F.col("StageName").isin(dims.HOUSEKEEPING_STAGES))
-    df = (o.join(a, o.AccountId == a.a_Id, "left")
-           .join(u, o.OwnerId == u.u_Id, "left")
+    if with_account:
+        o = o.join(a, o.AccountId == a.a_Id, "left")
+    else:
+        o = o.withColumn("Account_Name", F.lit(None).cast("string"))
+    df = (o.join(u, o.OwnerId == u.u_Id, "left")
            .join(F.broadcast(ur), F.col("UserRoleId") == F.col("ur_Id"), "left")
            .join(F.broadcast(ct), o.CurrencyIsoCode == ct.IsoCode, "left"))
     # owners excluded by name; a deal without an owner name stays
@@ -68,13 +77,18 @@ def opps_enriched(spark: SparkSession, sf_dir: str, p: ReportParams, base_url: s
         to_usd(F.col("Billing_Period_1"), rate).alias("Billing_Period_1"))
     won = F.col("Stage") == dims.STAGE_CLOSED_WON
     lost = F.col("Stage") == dims.STAGE_CLOSED_LOST
-    df = df.withColumns({
+    cols = {
         "rpt_qtr": col_quarter_key(F.col("Cohort_Close_Date")),
         "Account_Name_link": link_formula(record_link(F.col("AccountId"), "Account", base_url), F.col("Account_Name")),
         "Opp_Name_link": link_formula(record_link(F.col("OppId"), "Opportunity", base_url), F.col("Opp_Name")),
         "won": F.coalesce(won, F.lit(False)),
         "lost": F.coalesce(lost, F.lit(False)),
-    })
+    }
+    if not with_account:
+        del cols["Account_Name_link"]
+    df = df.withColumns(cols)
+    if not with_account:
+        df = df.drop("Account_Name")
     df = df.withColumn("open", ~F.col("won") & ~F.col("lost"))
     df = df.withColumn("forecast", F.when(F.col("won"), F.col("QB"))
                                     .when(F.col("open"), F.col("Managers_Forecast"))
@@ -91,7 +105,7 @@ def _tag_periods(df: DataFrame, date_col: str, p: ReportParams) -> DataFrame:
 
 def renewal_scorecard(spark: SparkSession, sf_dir: str, p: ReportParams, base: DataFrame | None = None) -> DataFrame:
     """Renewal measures per owner and grading window."""
-    base = base if base is not None else opps_enriched(spark, sf_dir, p)
+    base = base if base is not None else opps_enriched(spark, sf_dir, p, with_account=False)
     df = _tag_periods(base.where(in_set(F.col("Category"), dims.RENEWAL_CATEGORIES)), "Cohort_Close_Date", p)
     won, lost, opn = F.col("won"), F.col("lost"), F.col("open")
     rbpy, qb = money(F.col("Recurring_Booking_PY")), money(F.col("QB"))
@@ -125,7 +139,7 @@ def renewal_scorecard(spark: SparkSession, sf_dir: str, p: ReportParams, base: D
 
 def sao_scorecard(spark: SparkSession, sf_dir: str, p: ReportParams, base: DataFrame | None = None) -> DataFrame:
     """Accepted deals and pipe created per owner, renewals left out."""
-    base = base if base is not None else opps_enriched(spark, sf_dir, p)
+    base = base if base is not None else opps_enriched(spark, sf_dir, p, with_account=False)
     df = base.where(F.col("SAO_Date").isNotNull() & not_in_set(F.col("Category"), dims.RENEWAL_CATEGORIES))
     df = _tag_periods(df, "SAO_Date", p)
     return df.groupBy("period", "Owner_Name").agg(
@@ -135,7 +149,7 @@ def sao_scorecard(spark: SparkSession, sf_dir: str, p: ReportParams, base: DataF
 
 def owner_scorecard(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
     """Renewal scorecard with the SAO measures beside it, fixed column order."""
-    base = opps_enriched(spark, sf_dir, p)
+    base = opps_enriched(spark, sf_dir, p, with_account=False)
     ren = renewal_scorecard(spark, sf_dir, p, base)
     sao = sao_scorecard(spark, sf_dir, p, base).withColumnsRenamed({"period": "s_period", "Owner_Name": "s_owner"})
     df = ren.join(sao, (ren.period == sao.s_period) & ren.Owner_Name.eqNullSafe(sao.s_owner), "left")
@@ -157,7 +171,7 @@ def stage_mix(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
 
     Days-in-stage is the list of each deal's days stale, ordered by deal id.
     """
-    base = _this_quarter_pipeline(opps_enriched(spark, sf_dir, p), p)
+    base = _this_quarter_pipeline(opps_enriched(spark, sf_dir, p, with_account=False), p)
     base = base.where(not_in_set(F.col("Stage"), dims.STAGE_MIX_EXCLUDED))
     sd = dims.stage_dim(spark).withColumnRenamed("stage", "Stage_Name")
     df = base.join(F.broadcast(sd), base.Stage == sd.Stage_Name, "left")
@@ -181,7 +195,7 @@ def top_deals(spark: SparkSession, sf_dir: str, p: ReportParams, n: int = dims.T
     Ties on amount go to the larger deal id (the reports keep the last rows of
     an ascending sort; the id makes that order total).
     """
-    base = _this_quarter_pipeline(opps_enriched(spark, sf_dir, p), p)
+    base = _this_quarter_pipeline(opps_enriched(spark, sf_dir, p, with_account=False), p)
     base = base.where(not_in_set(F.col("Stage"), dims.CLOSED_STAGES + dims.TOP_DEALS_EXCLUDED))
     ranked = top_n(base, ["Owner_Name"], [F.desc("QB"), F.desc("OppId")], n, "rank")
     return (ranked.select(
@@ -201,7 +215,7 @@ def top_deals(spark: SparkSession, sf_dir: str, p: ReportParams, n: int = dims.T
 def rep_win_rates(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
     """Wins, losses, win rate and won USD per role and owner in the grading window."""
     s, e = p.unit
-    base = opps_enriched(spark, sf_dir, p).where(in_window(F.col("Cohort_Close_Date"), s, e)
+    base = opps_enriched(spark, sf_dir, p, with_account=False).where(in_window(F.col("Cohort_Close_Date"), s, e)
                                                  & F.col("SAO_Date").isNotNull())
     agg = base.groupBy("User_Role", "Owner_Name").agg(
         cond_count(F.col("Stage") == dims.STAGE_CLOSED_WON).alias("Wins"),

@@ -39,9 +39,15 @@ def _share(mean: Column, median: Column) -> Column:
     return F.concat(txt(mean), F.lit(", "), txt(median))
 
 
-def time_in_stage(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
-    """Closed-won new/expansion deals, days per stage in long form (NULL days kept)."""
-    o = crm.opportunity(spark, sf_dir, with_product=True)
+def time_in_stage(spark: SparkSession, sf_dir: str, p: ReportParams, with_product: bool = True) -> DataFrame:
+    """Closed-won new/expansion deals, days per stage in long form (NULL days kept).
+
+    The product comes from the order lines (the largest table); summaries
+    that do not output it pass ``with_product=False``.
+    """
+    o = crm.opportunity(spark, sf_dir, with_product=with_product)
+    if not with_product:
+        o = o.withColumn("ARR_Product", F.lit(None).cast("string"))
     u = crm.user(spark, sf_dir).select(F.col("Id").alias("u_Id"), F.col("Name").alias("Opp_Owner"),
                                        F.col("Manager").alias("Opp_Owner_Manager"))
     ct = crm.currency(spark, sf_dir)
@@ -69,7 +75,7 @@ def _stage_rank(stage: Column) -> Column:
 
 def team_velocity(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
     """Mean and median days per manager and stage over closed-won deals."""
-    t = time_in_stage(spark, sf_dir, p).where((F.col("StageName") == dims.STAGE_CLOSED_WON) & F.col("Days").isNotNull())
+    t = time_in_stage(spark, sf_dir, p, with_product=False).where((F.col("StageName") == dims.STAGE_CLOSED_WON) & F.col("Days").isNotNull())
     stats = t.groupBy("Opp_Owner_Manager", "Stage").agg(F.avg("Days").alias("mean"), F.median("Days").alias("median"))
     full = complete_levels(stats, t, ["Opp_Owner_Manager"], "Stage", dims.VELOCITY_STAGE_ORDER)
     mean, median = _nonneg_rounded(F.col("mean")), _nonneg_rounded(F.col("median"))

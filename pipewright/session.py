@@ -18,6 +18,20 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+# Suggested settings for a large cluster (applied with ``get_spark(profile="cluster")``;
+# the submitter's own values win). Partitions start fine-grained and AQE merges
+# them to ~256 MB; files are split at 256 MB; broadcast stays automatic (AQE
+# measures each join side at runtime) and capped at 64 MB.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+}
+
 # session-start settings: no web UI (no port opened), no console progress bars
 STATIC_CONF = {
     "spark.ui.enabled": "false",
@@ -26,7 +40,7 @@ STATIC_CONF = {
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app: str = "pipewright", extra: dict | None = None) -> SparkSession:
+              app: str = "pipewright", extra: dict | None = None, profile: str = "local") -> SparkSession:
     """Build (or reuse) a session with ``BASE_CONF`` applied.
 
     ``master``/``shuffle_partitions`` are only for local runs; on a cluster the
@@ -37,6 +51,11 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         b = b.master(master)
     for k, v in {**STATIC_CONF, **BASE_CONF}.items():
         b = b.config(k, v)
+    if profile == "cluster":
+        active = SparkSession.getActiveSession()
+        for k, v in CLUSTER_CONF.items():
+            if active is None or active.conf.get(k, None) is None:
+                b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():

@@ -62,3 +62,12 @@ def test_report_export_writes_tabs(spark):
     meta = spark.read.parquet(os.path.join(d, "report_meta")).collect()[0]
     assert meta.quarter_label == "Q3-1998" and meta.anchor == dt.date(1998, 7, 10)
     assert spark.read.parquet(os.path.join(d, "raw_data")).count() == tabs["raw_data"].count()
+
+
+def test_quarter_report_job_uses_checkpoint(spark):
+    d = tempfile.mkdtemp(prefix="pw-job-")
+    written = report.run_quarter_report(spark, SF001, PARAMS, d)
+    names = sorted(os.path.basename(w) for w in written)
+    assert names == ["existing_business", "new_business", "pivot_data", "raw_data", "report_meta"]
+    ck = spark.conf.get("spark.checkpoint.dir")
+    assert ck and os.path.isdir(ck) and os.listdir(ck)
