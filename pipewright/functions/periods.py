@@ -162,3 +162,13 @@ def col_quarter_label(c: Column) -> Column:
 def in_window(c: Column, start: dt.date, end: dt.date) -> Column:
     """Half-open ``start <= c < end``."""
     return (c >= F.lit(start)) & (c < F.lit(end))
+
+
+def col_shard_suffix(c: Column) -> Column:
+    """'YYYYMMDD' text of a date (the day suffix of a per-day table name)."""
+    return F.date_format(c, "yyyyMMdd")
+
+
+def col_in_zone(ts_utc: Column, tz: str) -> Column:
+    """A UTC timestamp shown as wall-clock time in zone ``tz``."""
+    return F.from_utc_timestamp(ts_utc, tz)

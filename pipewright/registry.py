@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pipewright.functions.periods import ReportParams
+from pipewright.session import pin_result_settings
 from pipewright.oracle import coverage_sql, enrich_sql, movement_sql, scorecard_sql, velocity_sql
 from pipewright.plans import accounts, activity, coverage, enrich, movement, report, scorecard, velocity
 
@@ -33,7 +34,10 @@ def register(name: str, job: Job, oracle: str | None) -> None:
 
 
 def _p(fn, params=PARAMS, **kw):
-    return lambda spark, sf_dir: fn(spark, sf_dir, params, **kw)
+    def job(spark, sf_dir):
+        pin_result_settings(spark)
+        return fn(spark, sf_dir, params, **kw)
+    return job
 
 
 register("opps_enriched", _p(scorecard.opps_enriched), scorecard_sql.opps_enriched(PARAMS))
@@ -47,6 +51,7 @@ register("rep_win_rates", _p(scorecard.rep_win_rates), scorecard_sql.rep_win_rat
 
 def _mv(attr: str, preset: str = "v3", public: bool = True):
     def job(spark, sf_dir):
+        pin_result_settings(spark)
         m = movement.movement(spark, sf_dir, PARAMS, preset)
         df = getattr(m, attr)
         df = df() if callable(df) else df
@@ -56,9 +61,14 @@ def _mv(attr: str, preset: str = "v3", public: bool = True):
 
 for _name, _set in [("starting_pipeline", "starting"), ("pulled_in", "pulled_in"), ("new_pipe", "new_pipe"),
                     ("pushed", "pushed"), ("total_opps", "total"), ("ghost_found", "ghost")]:
-    _sql_name = {"pulled_in": "pulled", "total": "total", "ghost": "ghost"}.get(_set, _set)
+    _sql_name = {"pulled_in": "pulled"}.get(_set, _set)
     register(_name, _mv(_set), movement_sql.set_query(PARAMS, "v3", _sql_name))
 register("movement_seed", _mv("seed", public=False), movement_sql.seed(PARAMS, "v3"))
+for _name, _set in [("v4_starting_pipeline", "starting"), ("v4_pulled_in", "pulled_in"), ("v4_new_pipe", "new_pipe"),
+                    ("v4_pushed", "pushed"), ("v4_total_opps", "total"), ("v4_ghost_found", "ghost")]:
+    _sql_name = {"pulled_in": "pulled"}.get(_set, _set)
+    register(_name, _mv(_set, "v4"), movement_sql.set_query(PARAMS, "v4", _sql_name))
+register("v4_movement_seed", _mv("seed", "v4", public=False), movement_sql.seed(PARAMS, "v4"))
 register("pipeline_outcome", _mv("outcome", public=False), movement_sql.outcome(PARAMS, "v3"))
 register("pipeline_outcome_v4", _mv("outcome", "v4", public=False), movement_sql.outcome(PARAMS, "v4"))
 register("won_by_category", _mv("won_by_category", public=False), movement_sql.won_by_category(PARAMS, "v3"))

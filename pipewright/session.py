@@ -80,3 +80,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+# settings a query's *result* depends on; set on whatever session runs it
+RESULT_CONF = {"spark.sql.session.timeZone": "UTC"}
+
+
+def pin_result_settings(spark: SparkSession) -> None:
+    for k, v in RESULT_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)

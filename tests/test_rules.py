@@ -110,3 +110,22 @@ def test_clean_names_and_notes():
     assert truncate_notes("x" * 49_999, 50_000) == "x" * 49_999
     assert len(truncate_notes("x" * 50_000, 50_000)) == 49_999
     assert truncate_notes(None, 50_000) is None
+
+
+def test_shard_suffix_and_zone(spark):
+    import datetime as dt2
+    r = one(spark.range(1).select(periods.col_shard_suffix(F.lit(dt.date(1998, 7, 10))).alias("s"),
+                                  periods.col_in_zone(F.lit(dt2.datetime(2024, 1, 1, 12, 0)).cast("timestamp"),
+                                                      "America/New_York").alias("z")))
+    assert r.s == "19980710" and r.z.hour == 7
+
+
+def test_reshape_helpers(spark):
+    from pipewright.operators.reshape import check_columns, keep_common_columns, union_all_by_name
+    a = spark.createDataFrame([(1, "x", 2.0)], "id int, Name string, v double")
+    b = spark.createDataFrame([(2, "y")], "id int, name string")
+    assert keep_common_columns(a, b).columns == ["id"]           # names are case-sensitive
+    u = union_all_by_name([a, b.withColumnRenamed("name", "Name")])
+    assert u.count() == 2 and u.where("v IS NULL").count() == 1
+    with pytest.raises(ValueError):
+        check_columns(a, ["id", "Name"])
