@@ -143,7 +143,9 @@ history AS (
          CAST(s.d AS TIMESTAMP) + INTERVAL 6 HOUR AS Snapshot_Time,
          CASE WHEN o._k % 29 = 0 THEN 'Closed Lost' ELSE 'Proposal' END AS StageName,
          o.Type,
-         CASE WHEN o._k % 6 = 0 THEN o.CloseDate + 95 WHEN o._k % 6 = 1 THEN o.CloseDate - 95
+         CASE WHEN o._k % 6 IN (0, 1) AND s.i >= 1 AND s.d >= o.CloseDate - CAST(o._k % 120 AS INTEGER)
+              THEN o.CloseDate
+              WHEN o._k % 6 = 0 THEN o.CloseDate + 95 WHEN o._k % 6 = 1 THEN o.CloseDate - 95
               ELSE o.CloseDate END AS CloseDate,
          o.SAO_Date, o.Category,
          o.Software_QB / ct.ConversionRate AS Software_USD,

@@ -201,3 +201,11 @@ SELECT User_Role, Owner_Name,
 FROM base
 WHERE Cohort_Close_Date >= {D(s)} AND Cohort_Close_Date < {D(e)} AND SAO_Date IS NOT NULL
 GROUP BY User_Role, Owner_Name"""
+
+
+def renewal_rows(p: ReportParams) -> str:
+    s, e = p.periods()["Y"]
+    return enriched_ctes(p) + f"""
+SELECT * FROM base
+WHERE Cohort_Close_Date >= {D(s)} AND Cohort_Close_Date < {D(e)}
+  AND coalesce(Category IN {_in(dims.RENEWAL_CATEGORIES)}, FALSE)"""

@@ -83,7 +83,10 @@ def coverage_wide(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFram
     if p.exclude_ids:
         h = h.where(~F.col("Id").isin(list(p.exclude_ids)))
     h = (h.join(F.broadcast(ct), F.col("CurrencyIsoCode") == F.col("IsoCode"), "left")
-          .select(F.col("Id").alias("s_Id"), F.col("Type").alias("s_Type"), F.col("ConversionRate").alias("s_rate")))
+          .select(F.col("Id").alias("s_Id"), F.col("Type").alias("s_Type"), F.col("ConversionRate").alias("s_rate"),
+                  F.col("Name").alias("s_Name"), F.col("SAO_Date").alias("s_SAO_Date"),
+                  F.col("AccountId").alias("s_AccountId"), F.col("StageName").alias("previous_StageName"),
+                  F.col("CloseDate").alias("previous_CloseDate")))
 
     # current deals (all of them: the snapshot rows read today's region and bookings)
     o = crm.opportunity(spark, sf_dir)
@@ -98,7 +101,7 @@ def coverage_wide(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFram
                   & owner_ok)
     if p.exclude_ids:
         today_base = today_base & ~F.col("Id").isin(list(p.exclude_ids))
-    o = o.select("Id", "Type", "StageName", "CloseDate", "SAO_Date", "Cohort_Close_Date", "sales_territory",
+    o = o.select("Id", "Name", "Type", "StageName", "CloseDate", "SAO_Date", "Cohort_Close_Date", "sales_territory",
                  "ACV_Bookings", (F.col("ACV_Bookings") / F.col("ConversionRate")).alias("Current_QB_USD"),
                  dims.region_bucket(F.col("Region")).alias("bucket"),
                  F.coalesce(today_base, F.lit(False)).alias("today_base"))
@@ -149,7 +152,11 @@ def coverage_wide(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFram
         cur("Current_QB_USD").alias("Current_QB_USD"),
         cur("CloseDate").alias("Current_Closedate"),
         cur("bucket").alias("cur_bucket"),
-        (F.col("ACV_Bookings") / F.col("s_rate")).alias("snap_QB_USD"))
+        (F.col("ACV_Bookings") / F.col("s_rate")).alias("snap_QB_USD"),
+        "s_Name", "s_SAO_Date", "s_AccountId", "previous_StageName", "previous_CloseDate",
+        cur("Name").alias("cur_Name"), cur("SAO_Date").alias("cur_SAO_Date"),
+        cur("Cohort_Close_Date").alias("cur_Cohort_Close_Date"),
+        cur("sales_territory").alias("region_bucket_opp_owner"))
 
 
 def coverage_by_region(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
@@ -221,3 +228,54 @@ def coverage_tables(coverage: DataFrame) -> dict[str, DataFrame]:
         out[name] = (coverage.where(F.col("Type") == t).drop("Type")
                              .orderBy(F.desc_nulls_last("Merged_Account_Region_bucket")))
     return out
+
+
+# ------------------------------------------------------------ report tabs
+def _link(id_col: str, name_col: str):
+    from pipewright.functions.text import link_formula, record_link
+    from pipewright.plans.scorecard import BASE_URL
+    return link_formula(record_link(F.col(id_col), "Opportunity", BASE_URL), F.col(name_col))
+
+
+def v2_tabs(spark: SparkSession, sf_dir: str, p: ReportParams) -> dict[str, DataFrame]:
+    """The v2 report's deal tabs, all read from one wide table.
+
+    starting_pipeline  anchor-snapshot deals with today's values, then the
+                       found deals (previous stage 'Found'); a found row keeps
+                       only the columns the starting tab has (its current-stage
+                       column differs in case, so it is left empty)
+    pulled_in          pulled-in deals that were forecast in the quarter
+    new_pipe           new pipe created in the quarter
+    total_won          won deals of the quarter's totals
+    """
+    w = coverage_wide(spark, sf_dir, p)
+    snap_bucket = F.coalesce(F.col("snap_bucket_raw"), F.lit(dims.BUCKET_REST))
+    start = w.where(F.col("in_snap")).select(
+        F.col("Id").alias("id"), _link("Id", "s_Name").alias("Name"), F.col("snap_Type").alias("Type"),
+        F.col("s_SAO_Date").alias("SAO_Date"), F.col("s_AccountId").alias("AccountId"), "previous_StageName",
+        "previous_CloseDate", F.col("snap_QB_USD").alias("QB_USD"), snap_bucket.alias("Region_Bucket_Account"),
+        F.col("Current_StageName").alias("current_StageName"), "Current_QB_USD", "Current_Closedate",
+        "region_bucket_opp_owner", snap_bucket.alias("Merged_Account_Region_bucket"))
+    found = w.where(F.col("in_found")).select(
+        F.col("Id").alias("id"), _link("Id", "cur_Name").alias("Name"), "Current_Closedate",
+        F.col("cur_SAO_Date").alias("SAO_Date"), F.col("cur_Type").alias("Type"), "Current_QB_USD",
+        F.col("cur_bucket").alias("Merged_Account_Region_bucket"), F.lit("Found").alias("previous_StageName"))
+    starting = start.unionByName(found, allowMissingColumns=True)
+
+    def today_cols(df: DataFrame) -> DataFrame:
+        return df.select(
+            "Id", _link("Id", "cur_Name").alias("Name"), F.col("cur_Type").alias("Type"), "Current_StageName",
+            "Current_QB_USD", "Current_Closedate", "region_bucket_opp_owner", F.col("cur_SAO_Date").alias("SAO_Date"),
+            F.col("cur_Cohort_Close_Date").alias("Cohort_Close_Date"),
+            F.col("cur_bucket").alias("Merged_Account_Region_bucket"))
+
+    new = w.where(F.col("in_new")).select(
+        "Id", _link("Id", "cur_Name").alias("Name"), "Current_Closedate", F.col("cur_SAO_Date").alias("SAO_Date"),
+        F.col("cur_bucket").alias("Merged_Account_Region_bucket"), F.col("cur_Type").alias("Type"),
+        "Current_QB_USD", F.col("Current_StageName").alias("current_StageName"))
+    total_won = w.where(F.col("in_total") & (F.col("Current_StageName") == dims.STAGE_CLOSED_WON)).select(
+        "Id", _link("Id", "cur_Name").alias("Name"), "Current_Closedate", F.col("cur_SAO_Date").alias("SAO_Date"),
+        F.col("cur_Type").alias("Type"), F.col("cur_bucket").alias("Merged_Account_Region_bucket"),
+        "Current_QB_USD", "Current_StageName")
+    return {"starting_pipeline": starting, "pulled_in": today_cols(w.where(F.col("in_pulled"))),
+            "new_pipe": new, "total_won": total_won}

@@ -137,6 +137,13 @@ def renewal_scorecard(spark: SparkSession, sf_dir: str, p: ReportParams, base: D
         safe_ratio(F.col("fc"), F.col("avail")).alias("Projected_price_increase_capture"))
 
 
+def renewal_rows(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
+    """The deals behind the prior-year renewal scorecard (its raw-data tab)."""
+    s, e = p.periods()["Y"]
+    base = opps_enriched(spark, sf_dir, p)
+    return base.where(in_window(F.col("Cohort_Close_Date"), s, e) & in_set(F.col("Category"), dims.RENEWAL_CATEGORIES))
+
+
 def sao_scorecard(spark: SparkSession, sf_dir: str, p: ReportParams, base: DataFrame | None = None) -> DataFrame:
     """Accepted deals and pipe created per owner, renewals left out."""
     base = base if base is not None else opps_enriched(spark, sf_dir, p, with_account=False)

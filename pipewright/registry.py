@@ -42,6 +42,7 @@ def _p(fn, params=PARAMS, **kw):
 
 register("opps_enriched", _p(scorecard.opps_enriched), scorecard_sql.opps_enriched(PARAMS))
 register("renewal_scorecard", _p(scorecard.renewal_scorecard), scorecard_sql.renewal_scorecard(PARAMS))
+register("renewal_rows", _p(scorecard.renewal_rows), scorecard_sql.renewal_rows(PARAMS))
 register("sao_scorecard", _p(scorecard.sao_scorecard), scorecard_sql.sao_scorecard(PARAMS))
 register("owner_scorecard", _p(scorecard.owner_scorecard), scorecard_sql.owner_scorecard(PARAMS))
 register("stage_mix", _p(scorecard.stage_mix), scorecard_sql.stage_mix(PARAMS))
@@ -78,6 +79,17 @@ register("field_delta", _mv("field_delta", "v4", public=False), movement_sql.fie
 register("forecasted_opps", _p(coverage.forecasted_opps), coverage_sql.forecasted_opps(PARAMS))
 register("coverage_by_region", _p(coverage.coverage_by_region), coverage_sql.coverage_by_region(PARAMS))
 
+
+def _v2(tab: str):
+    def job(spark, sf_dir):
+        pin_result_settings(spark)
+        return coverage.v2_tabs(spark, sf_dir, PARAMS)[tab]
+    return job
+
+
+for _tab in ["starting_pipeline", "pulled_in", "new_pipe", "total_won"]:
+    register(f"v2_{_tab}", _v2(_tab), coverage_sql.v2_tab(PARAMS, _tab))
+
 register("time_in_stage", _p(velocity.time_in_stage), velocity_sql.time_in_stage(PARAMS))
 register("team_velocity", _p(velocity.team_velocity), velocity_sql.team_velocity(PARAMS))
 register("rep_velocity", _p(velocity.rep_velocity), velocity_sql.rep_velocity(PARAMS))

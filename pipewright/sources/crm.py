@@ -10,7 +10,8 @@ CRM objects from them with fixed arithmetic rules (k = order key):
                 order date, money in the customer's local currency
   currency      one code and rate per region
   account       customer;  user: suppliers 0-9;  user_role: four roles
-  history       one row per opportunity and snapshot date (created by then)
+  history       one row per opportunity and snapshot date (created by then); close
+                date shifted for k % 6 in (0, 1) until the change log moves it
   field_history close-date changes for k % 6 in (0, 1), a second one for k % 12 = 0
   activity      events as rep activity metrics
 
@@ -252,7 +253,11 @@ def history(spark: SparkSession, sf_dir: str, dates: Sequence[dt.date]) -> DataF
         (F.col("_s.d").cast("timestamp_ntz") + F.expr("INTERVAL 6 HOURS")).alias("Snapshot_Time"),
         F.when(k % 29 == 0, F.lit("Closed Lost")).otherwise(F.lit("Proposal")).alias("StageName"),
         "Type",
-        F.when(k % 6 == 0, F.date_add(close, 95)).when(k % 6 == 1, F.date_sub(close, 95))
+        # frozen close date: shifted for k % 6 in (0, 1); snapshots after the anchor
+        # that are taken on or after the first close-date change show the new date
+        F.when(((k % 6 == 0) | (k % 6 == 1)) & (F.col("_s.i") >= 1)
+               & (F.col("_s.d") >= F.date_sub(close, (k % 120).cast("int"))), close)
+         .when(k % 6 == 0, F.date_add(close, 95)).when(k % 6 == 1, F.date_sub(close, 95))
          .otherwise(close).alias("CloseDate"),
         "SAO_Date", "Category",
         (F.col("Software_QB") / rate).alias("Software_USD"),
