@@ -24,3 +24,13 @@ def check_columns(df: DataFrame, expected: list[str]) -> DataFrame:
     if extra:
         raise ValueError(f"unexpected columns: {extra}")
     return df.select(*expected)
+
+
+def prefix_columns(df: DataFrame, prefix: str, keep: tuple = ()) -> DataFrame:
+    """Prefix every column name except those in ``keep``."""
+    return df.withColumnsRenamed({c: f"{prefix}{c}" for c in df.columns if c not in keep})
+
+
+def rename_substring(df: DataFrame, old: str, new: str) -> DataFrame:
+    """Replace ``old`` by ``new`` inside every column name that contains it."""
+    return df.withColumnsRenamed({c: c.replace(old, new) for c in df.columns if old in c})

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pipewright.functions import dims
 from pipewright.functions.periods import ReportParams
 from pipewright.operators.complete import complete_levels
+from pipewright.operators.reshape import prefix_columns
 from pipewright.sources import crm
 
 # stage label -> (end date, start date) of the span counted for it
@@ -107,10 +108,9 @@ def rep_velocity(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame
 def velocity_compare(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
     """Each rep's stage velocity beside the team's; text with a missing part -> '.'."""
     rep = rep_velocity(spark, sf_dir, p)
-    team = team_velocity(spark, sf_dir, p).select(
-        F.col("Opp_Owner_Manager").alias("t_mgr"), F.col("Stage").alias("t_stage"),
-        F.col("mean_median").alias("Team_mean_median"))
-    df = rep.join(team, rep.Opp_Owner_Manager.eqNullSafe(team.t_mgr) & (rep.Stage == team.t_stage), "inner")
+    team = prefix_columns(team_velocity(spark, sf_dir, p).select("Opp_Owner_Manager", "Stage", "mean_median"), "Team_")
+    df = rep.join(team, rep.Opp_Owner_Manager.eqNullSafe(team.Team_Opp_Owner_Manager)
+                  & (rep.Stage == team.Team_Stage), "inner")
     dot = lambda c: F.when(F.col(c).contains("NA"), F.lit(".")).otherwise(F.col(c))
     return (df.select("Opp_Owner_Manager", "Opp_Owner", "Stage", "stage_rank",
                       dot("mean_median").alias("mean_median"), dot("Team_mean_median").alias("Team_mean_median"))

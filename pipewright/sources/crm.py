@@ -300,3 +300,21 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("event_type").alias("Metric"),
                     F.col("value").alias("Amount"),
                     F.col("ts").cast("date").alias("ActivityDate"))
+
+
+def register_crm_views(spark: SparkSession, sf_dir: str, snapshot_dates: Sequence[dt.date] = ()) -> list[str]:
+    """Register the CRM objects as temp views so reports can also be written in
+    SQL (``spark.sql``), the way the original scripts embedded their queries.
+
+    Views: opportunity, account, users, user_role, currency, field_history,
+    activity, rep_group, excluded_owner and, when dates are given, history.
+    """
+    views = {"opportunity": opportunity(spark, sf_dir, with_product=True), "account": account(spark, sf_dir),
+             "users": user(spark, sf_dir), "user_role": user_role(spark), "currency": currency(spark, sf_dir),
+             "field_history": field_history(spark, sf_dir), "activity": activity(spark, sf_dir),
+             "rep_group": rep_group(spark), "excluded_owner": excluded_owner(spark)}
+    if snapshot_dates:
+        views["history"] = history(spark, sf_dir, snapshot_dates)
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)

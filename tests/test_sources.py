@@ -71,3 +71,14 @@ def test_quarter_report_job_uses_checkpoint(spark):
     assert names == ["existing_business", "new_business", "pivot_data", "raw_data", "report_meta"]
     ck = spark.conf.get("spark.checkpoint.dir")
     assert ck and os.path.isdir(ck) and os.listdir(ck)
+
+
+def test_sql_over_crm_views(spark):
+    crm.register_crm_views(spark, SF001, [PARAMS.anchor])
+    df = spark.sql("""
+        SELECT Name, Metric, sum(Amount) AS Amount FROM activity
+        WHERE ActivityDate >= DATE '2024-01-01' AND ActivityDate < DATE '2025-01-01'
+        GROUP BY Name, Metric ORDER BY Name, Metric""")
+    assert df.count() > 0 and df.columns == ["Name", "Metric", "Amount"]
+    n = spark.sql("SELECT count(*) FROM history WHERE snapshot_date = DATE '1998-07-10'").collect()[0][0]
+    assert n == 938
