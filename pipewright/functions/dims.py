@@ -123,7 +123,7 @@ def region_bucket(region):
 
 def role_class(role_name):
     lo = F.lower(role_name)
-    expr = F.lit(ROLE_CLASS_DEFAULT)
-    for pattern, cls in reversed(ROLE_CLASSES):
-        expr = F.when(lo.like(pattern), F.lit(cls)).otherwise(expr)
-    return expr
+    expr = None
+    for pattern, cls in ROLE_CLASSES:
+        expr = F.when(lo.like(pattern), F.lit(cls)) if expr is None else expr.when(lo.like(pattern), F.lit(cls))
+    return expr.otherwise(F.lit(ROLE_CLASS_DEFAULT))

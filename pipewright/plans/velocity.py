@@ -68,10 +68,10 @@ def time_in_stage(spark: SparkSession, sf_dir: str, p: ReportParams, with_produc
 
 
 def _stage_rank(stage: Column) -> Column:
-    expr = F.lit(None).cast("int")
-    for i, s in reversed(list(enumerate(dims.VELOCITY_STAGE_ORDER))):
-        expr = F.when(stage == s, F.lit(i + 1)).otherwise(expr)
-    return expr
+    expr = None
+    for i, s in enumerate(dims.VELOCITY_STAGE_ORDER):
+        expr = F.when(stage == s, F.lit(i + 1)) if expr is None else expr.when(stage == s, F.lit(i + 1))
+    return expr.otherwise(F.lit(None))
 
 
 def team_velocity(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:

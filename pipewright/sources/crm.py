@@ -65,11 +65,13 @@ EXCLUDED_OWNERS = ["Rep-6"]
 
 
 def _pick(idx: Column, values: Sequence) -> Column:
-    """values[idx] as a CASE expression (NULL for a None entry)."""
-    expr = F.lit(None).cast("string")
-    for i, v in reversed(list(enumerate(values))):
-        expr = F.when(idx == i, F.lit(v).cast("string")).otherwise(expr)
-    return expr
+    """values[idx] as one flat CASE expression (NULL for a None entry or any other idx)."""
+    expr = None
+    for i, v in enumerate(values):
+        if v is None:
+            continue
+        expr = F.when(idx == i, F.lit(v)) if expr is None else expr.when(idx == i, F.lit(v))
+    return expr.otherwise(F.lit(None))
 
 
 def _div(c: Column, n: int) -> Column:
@@ -88,9 +90,7 @@ def region_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = read(spark, sf_dir, "region", ["r_regionkey"])
     key = F.col("r_regionkey")
     code = _pick(key, [c for _, c, _, _ in REGION_RULES])
-    rate = F.lit(None).cast("double")
-    for k, _, v, _ in reversed(REGION_RULES):
-        rate = F.when(key == k, F.lit(v)).otherwise(rate)
+    rate = _pick(key, [v for _, _, v, _ in REGION_RULES])
     name = _pick(key, [n for _, _, _, n in REGION_RULES])
     return r.select("r_regionkey", code.alias("IsoCode"), rate.alias("ConversionRate"), name.alias("RegionName"))
 
