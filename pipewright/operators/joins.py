@@ -6,7 +6,7 @@ and a "NOT IN (subquery)" keeps SQL's null-aware meaning when asked to.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -32,12 +32,16 @@ def sql_not_in(df: DataFrame, ids: DataFrame, left_key: str, right_key: str | No
     """SQL ``key NOT IN (SELECT ...)``.
 
     A NULL left key is dropped when the subquery has rows; a NULL in the
-    subquery drops every row. Catalyst plans this as a null-aware anti join.
+    subquery drops every row. Planned as an equi anti join (hash or sort-merge,
+    so it scales with both sides) plus two scalar EXISTS subqueries, instead of
+    an OR condition that would need a nested-loop join.
     """
     right_key = right_key or left_key
     r = ids.select(F.col(right_key).alias("__nin_key"))
-    cond: Column = (df[left_key] == r["__nin_key"]) | (df[left_key].isNull() | r["__nin_key"].isNull())
-    return df.join(r, cond, "left_anti")
+    kept = df.join(r, df[left_key] == r["__nin_key"], "left_anti")
+    has_rows = r.exists()
+    has_null = r.where(F.col("__nin_key").isNull()).exists()
+    return kept.where((F.col(left_key).isNotNull() | ~has_rows) & ~has_null)
 
 
 def flag(df: DataFrame, ids: DataFrame, key: str, name: str) -> DataFrame:

@@ -39,3 +39,10 @@ def test_entry_contract(spark):
     assert df.count() > 0
     assert "Coverage_of_Closed_Won" in df.columns
     assert set(mod.oracle_sql()) <= set(mod.queries())
+
+
+def test_no_nested_loop_cartesian_or_python_in_any_plan(spark):
+    for name, job in registry.queries().items():
+        p = plan_of(job(spark, SF001))
+        for bad in ["BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"]:
+            assert bad not in p, (name, bad)

@@ -101,6 +101,10 @@ def test_null_aware_not_in_vs_anti(spark):
     assert sorted((r.k is None, r.k) for r in joins.anti(df, ids, "k").collect()) == [(False, 3), (True, None)]
     assert joins.anti(df, empty, "k").count() == 3           # empty list excludes nothing
     assert joins.sql_not_in(df, empty, "k").count() == 3
+    with_null = spark.createDataFrame([(1,), (None,)], "k int")
+    assert joins.sql_not_in(df, with_null, "k").count() == 0   # NULL in the list: nothing qualifies
+    p = joins.sql_not_in(df, ids, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in p
 
 
 def test_clean_names_and_notes():
