@@ -42,10 +42,3 @@ def sql_not_in(df: DataFrame, ids: DataFrame, left_key: str, right_key: str | No
     has_rows = r.exists()
     has_null = r.where(F.col("__nin_key").isNull()).exists()
     return kept.where((F.col(left_key).isNotNull() | ~has_rows) & ~has_null)
-
-
-def flag(df: DataFrame, ids: DataFrame, key: str, name: str) -> DataFrame:
-    """Add boolean ``name``: is the row's key in ``ids``. One left join on distinct ids."""
-    r = ids.select(F.col(key).alias("__flag_key")).distinct().withColumn(name, F.lit(True))
-    return (df.join(r, df[key] == r["__flag_key"], "left").drop("__flag_key")
-              .withColumn(name, F.coalesce(F.col(name), F.lit(False))))

@@ -71,7 +71,7 @@ SELECT Id, amount_text,
 FROM stripped"""
 
 
-def record_links(p: ReportParams) -> str:
+def record_links(p: ReportParams | None = None) -> str:
     def url(host: str, kind: str, idx: str) -> str:
         return f"'{host}/lightning/r/{kind}/' || CAST({idx} AS VARCHAR) || '/view'"
     opp_b = url(enrich.HOST_B, "Opportunity", "Id")
@@ -82,7 +82,7 @@ SELECT Id, Name, AccountId,
        {url(enrich.HOST_A, "Account", "AccountId")} AS account_link_a,
        {url(enrich.HOST_C, "Account", "AccountId")} AS account_link_c,
        '=HYPERLINK("' || {opp_b} || '","' || coalesce(Name, 'NA') || '")' AS name_link
-FROM opportunity WHERE CloseDate >= {D(p.q_start)} AND CloseDate < {D(p.q_end)}"""
+FROM opportunity"""
 
 
 ACCOUNT_CTES = f"""WITH acct AS (

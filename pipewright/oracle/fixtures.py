@@ -127,7 +127,7 @@ def _cte_user() -> str:
               ELSE 'Manager-' || CAST(s_suppkey % 3 AS VARCHAR) END AS Manager,
          s_suppkey % 4 AS UserRoleId,
          CASE WHEN s_suppkey % 2 = 0 THEN 'NA' ELSE 'EU + ROW' END AS sales_territory
-  FROM supplier WHERE s_suppkey < {crm.N_USERS})"""
+  FROM supplier)"""
 
 
 def _cte_values(name: str, cols: str, rows: Sequence[tuple]) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pipewright.functions import dims
 from pipewright.functions.money import currency_codes_pattern, scrub_currency, scrub_usd
 from pipewright.functions.nulls import in_set
-from pipewright.functions.periods import ReportParams, in_window
+from pipewright.functions.periods import ReportParams
 from pipewright.functions.text import clean_names, link_formula, record_link
 from pipewright.sources import crm, sinks
 from pipewright.sources.tables import currency_fields
@@ -115,9 +115,9 @@ def currency_scrub(spark: SparkSession, sf_dir: str, p: ReportParams | None = No
 
 
 # ------------------------------------------------------------------- W31
-def record_links(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
-    """Record links and a link formula for the deals closing in the report quarter."""
-    o = crm.opportunity(spark, sf_dir).where(in_window(F.col("CloseDate"), p.q_start, p.q_end))
+def record_links(spark: SparkSession, sf_dir: str, p: ReportParams | None = None) -> DataFrame:
+    """Record links (three hosts, two record kinds) and a link formula for every deal."""
+    o = crm.opportunity(spark, sf_dir)
     opp_b = record_link(F.col("Id"), "Opportunity", HOST_B)
     return o.select(
         "Id", "Name", "AccountId",

@@ -19,7 +19,6 @@ anti joins (never collected); membership of a deal in the starting / pulled-in
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -369,7 +368,3 @@ def public_set(df: DataFrame) -> DataFrame:
 
 def movement(spark: SparkSession, sf_dir: str, p: ReportParams, preset: str = "v3") -> Movement:
     return Movement(spark, sf_dir, p, PRESETS[preset])
-
-
-def report_header(p: ReportParams) -> dict:
-    return {"quarter": p.q_label, "anchor": p.anchor.isoformat(), "refreshed_at": p.refreshed_at}

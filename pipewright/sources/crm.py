@@ -9,7 +9,7 @@ CRM objects from them with fixed arithmetic rules (k = order key):
                 renewal type/nulls from k modulo small primes, dates from the
                 order date, money in the customer's local currency
   currency      one code and rate per region
-  account       customer;  user: suppliers 0-9;  user_role: four roles
+  account       customer;  user: supplier (owners are users 0-9);  user_role: four roles
   history       one row per opportunity and snapshot date (created by then); close
                 date shifted for k % 6 in (0, 1) until the change log moves it
   field_history close-date changes for k % 6 in (0, 1), a second one for k % 12 = 0
@@ -199,8 +199,12 @@ def account(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users 0..9 (the opportunity owners); at most N_USERS rows."""
-    s = read(spark, sf_dir, "supplier", ["s_suppkey"]).where(F.col("s_suppkey") < N_USERS)
+    """One user per supplier; deals are owned by users 0..N_USERS-1 (k % N_USERS).
+
+    The table grows with the data, so joins to it carry no broadcast hint (AQE
+    broadcasts it at runtime only when it is measured small).
+    """
+    s = read(spark, sf_dir, "supplier", ["s_suppkey"])
     i = F.col("s_suppkey")
     return s.select(
         i.alias("Id"),
