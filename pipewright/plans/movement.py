@@ -107,12 +107,22 @@ class Movement:
 
     def __init__(self, spark: SparkSession, sf_dir: str, p: ReportParams, preset: Preset = V3,
                  snapshots: DataFrame | None = None, changes: DataFrame | None = None,
-                 current: DataFrame | None = None):
+                 current: DataFrame | None = None, opportunity: DataFrame | None = None):
+        """``opportunity`` / ``snapshots`` / ``changes`` replace the views derived
+        from the test tables (e.g. landed tables bucketed by id); ``current``
+        replaces the whole current-deal frame (micro tests)."""
         self.spark, self.sf_dir, self.p, self.pre = spark, sf_dir, p, preset
         self._snapshots = snapshots
         self._changes = changes
-        self.current = current if current is not None else self._current()
-        self.wide = self._wide()
+        self._opportunity = opportunity
+        if current is not None:
+            self.current = current
+            self.wide = self._wide(current)
+        else:
+            base = self._base()
+            self.current = self._enrich(base)
+            # id joins first (co-located when the inputs are bucketed by id), owner/currency lookups after
+            self.wide = self._wide(base, enrich=True)
         self._seed = self._explode_seed()
 
     def checkpoint(self) -> "Movement":
@@ -125,25 +135,31 @@ class Movement:
         return self
 
     # ------------------------------------------------------------ inputs
-    def _current(self) -> DataFrame:
-        """Current deals with USD amount, owner role class; test accounts dropped."""
+    def _base(self) -> DataFrame:
+        """Current deals, test accounts dropped."""
+        o = self._opportunity if self._opportunity is not None else \
+            crm.opportunity(self.spark, self.sf_dir, with_product=True)
+        return o.where(F.col("Test_Account") == F.lit(False))
+
+    def _enrich(self, df: DataFrame) -> DataFrame:
+        """USD amount and owner role class; columns the wide table adds pass through."""
         s, sf = self.spark, self.sf_dir
-        o = crm.opportunity(s, sf, with_product=True).where(F.col("Test_Account") == F.lit(False))
         ct = crm.currency(s, sf)
         u = crm.user(s, sf).select(F.col("Id").alias("u_Id"), "UserRoleId")
         ur = crm.user_role(s).select(F.col("Id").alias("ur_Id"), F.col("Name").alias("User_Role"))
-        df = (o.join(F.broadcast(ct), o.CurrencyIsoCode == ct.IsoCode, "left")
-               .join(u, o.OwnerId == u.u_Id, "left")
-               .join(F.broadcast(ur), F.col("UserRoleId") == F.col("ur_Id"), "left"))
+        df = (df.join(F.broadcast(ct), df.CurrencyIsoCode == ct.IsoCode, "left")
+                .join(u, df.OwnerId == u.u_Id, "left")
+                .join(F.broadcast(ur), F.col("UserRoleId") == F.col("ur_Id"), "left"))
         rate = F.col("ConversionRate")
         if self.pre.amount == "software_or_expansion":
             qb = F.coalesce(F.col("Software_QB"), F.col("RW_Expansion_Amount")) / rate
         else:
             qb = F.col("ACV_Bookings") / rate
+        extra = [c for c in ("h_rows", "moved_at") if c in df.columns]
         return df.select(
             "Id", "Category", "Type", "Region", "Segment", "Product", qb.alias("QB_USD"), "StageName",
             "CloseDate", "CreatedDate", "LeadSource", "SAO_Date", "User_Role",
-            dims.role_class(F.col("User_Role")).alias("CAM_or_SAM"), "Expansion_Category")
+            dims.role_class(F.col("User_Role")).alias("CAM_or_SAM"), "Expansion_Category", *extra)
 
     def snapshot_at_anchor(self) -> DataFrame:
         """Point-in-time read of the snapshot table (partition filter on snapshot_date)."""
@@ -189,11 +205,13 @@ class Movement:
                          & (new >= F.lit(p.q_start)))
                   .groupBy(F.col("OpportunityId").alias("m_Id")).agg(F.max("CreatedDate").alias("moved_at")))
 
-    def _wide(self) -> DataFrame:
+    def _wide(self, deals: DataFrame, enrich: bool = False) -> DataFrame:
         pre, p = self.pre, self.p
         snap, moves = self._snap_rows(), self._moves()
-        df = (self.current.join(snap, F.col("Id") == F.col("h_Id"), "left")
-                          .join(moves, F.col("Id") == F.col("m_Id"), "left"))
+        df = (deals.join(snap, F.col("Id") == F.col("h_Id"), "left")
+                   .join(moves, F.col("Id") == F.col("m_Id"), "left"))
+        if enrich:
+            df = self._enrich(df)
 
         def ok(c: Column) -> Column:  # a filter predicate: NULL is not true
             return F.coalesce(c, F.lit(False))

@@ -11,8 +11,11 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from pipewright import get_spark
-    s = get_spark("local[4]", 4, app="pipewright-tests")
+    wh = tempfile.mkdtemp(prefix="pw-warehouse-")
+    s = get_spark("local[4]", 4, app="pipewright-tests", extra={"spark.sql.warehouse.dir": wh})
     yield s
 
 
