@@ -66,13 +66,21 @@ def _excluded_owner_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return u.join(F.broadcast(ex), u.Name == ex.Name, "left_semi").select("Id")
 
 
-def coverage_wide(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
-    """One row per deal with today's values, the anchor snapshot values and set flags."""
+def coverage_wide(spark: SparkSession, sf_dir: str, p: ReportParams, opportunity: DataFrame | None = None,
+                  snapshots: DataFrame | None = None, changes: DataFrame | None = None) -> DataFrame:
+    """One row per deal with today's values, the anchor snapshot values and set flags.
+
+    The joins on the deal id come first (change log, forecast flag, then the
+    full outer join with the anchor snapshot), so inputs bucketed by id join
+    without a shuffle; owner and currency lookups follow. The excluded-owner
+    ids are bounded by the literal exclusion list and are broadcast.
+    """
     ct = crm.currency(spark, sf_dir)
-    ex_ids = _excluded_owner_ids(spark, sf_dir)
+    ex_ids = F.broadcast(_excluded_owner_ids(spark, sf_dir))
+    snaps = snapshots if snapshots is not None else crm.history(spark, sf_dir, [p.anchor])
 
     # anchor snapshot, v2 filters
-    h = crm.history(spark, sf_dir, [p.anchor]).where(F.col("snapshot_date") == F.lit(p.anchor))
+    h = snaps.where(F.col("snapshot_date") == F.lit(p.anchor))
     h = h.where(F.col("Type").isin(list(TYPES)) & ~F.col("StageName").isin(list(START_STAGE_EXCL))
                 & (F.col("Test_Account") == F.lit(False))
                 & not_in_or_null(F.col("Renewal_Type"), dims.INSTALLMENT_RENEWAL_TYPES)
@@ -89,37 +97,38 @@ def coverage_wide(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFram
                   F.col("CloseDate").alias("previous_CloseDate")))
 
     # current deals (all of them: the snapshot rows read today's region and bookings)
-    o = crm.opportunity(spark, sf_dir)
+    o = (opportunity if opportunity is not None else crm.opportunity(spark, sf_dir)).select(
+        "Id", "Name", "Type", "StageName", "CloseDate", "SAO_Date", "Cohort_Close_Date", "OwnerId",
+        "CurrencyIsoCode", "Test_Account", "Region", "ACV_Bookings")
+    ch = changes if changes is not None else crm.field_history(spark, sf_dir)
+    moves = (ch.where((F.col("field") == "CloseDate")
+                      & (F.col("OldValue").try_cast("date") >= F.lit(p.q_end))
+                      & (F.col("NewValue").try_cast("date") < F.lit(p.q_end))
+                      & (F.col("NewValue").try_cast("date") >= F.lit(p.q_start)))
+               .select(F.col("OpportunityId").alias("m_Id")).distinct())
+    fq = (forecasted_opps(spark, sf_dir, p, snapshots=snapshots).where(F.col("quarter") == F.lit(p.q_key))
+          .select(F.col("Id").alias("f_Id")).distinct())
+
+    # id joins: moves and the forecast flag matter only for deals with a current row
+    o = o.join(moves, o.Id == moves.m_Id, "left").join(fq, o.Id == fq.f_Id, "left")
+    w = h.join(o, h.s_Id == o.Id, "full_outer")
+
+    # lookups by owner and currency
     u = crm.user(spark, sf_dir).select(F.col("Id").alias("u_Id"), "sales_territory")
-    o = (o.join(F.broadcast(ct), o.CurrencyIsoCode == ct.IsoCode, "left")
-          .join(u, o.OwnerId == u.u_Id, "left")
-          .join(ex_ids.withColumnRenamed("Id", "ex_Id").withColumn("excluded_owner", F.lit(True)),
-                F.col("OwnerId") == F.col("ex_Id"), "left"))
+    cur_ct = ct.select(F.col("IsoCode").alias("c_IsoCode"), F.col("ConversionRate").alias("c_rate"))
+    w = (w.join(F.broadcast(cur_ct), w.CurrencyIsoCode == cur_ct.c_IsoCode, "left")
+          .join(u, w.OwnerId == u.u_Id, "left")
+          .join(ex_ids.select(F.col("Id").alias("ex_Id"), F.lit(True).alias("excluded_owner")),
+                w.OwnerId == F.col("ex_Id"), "left"))
     # same SQL NOT IN on the owner, kept as a flag because every current row is needed below
     owner_ok = F.col("excluded_owner").isNull() & (F.col("OwnerId").isNotNull() | ~ex_ids.exists())
     today_base = ((F.col("Test_Account") == F.lit(False)) & ~F.col("StageName").isin(list(TODAY_STAGE_EXCL))
                   & owner_ok)
     if p.exclude_ids:
         today_base = today_base & ~F.col("Id").isin(list(p.exclude_ids))
-    o = o.select("Id", "Name", "Type", "StageName", "CloseDate", "SAO_Date", "Cohort_Close_Date", "sales_territory",
-                 "ACV_Bookings", (F.col("ACV_Bookings") / F.col("ConversionRate")).alias("Current_QB_USD"),
-                 dims.region_bucket(F.col("Region")).alias("bucket"),
-                 F.coalesce(today_base, F.lit(False)).alias("today_base"))
-
-    moves = (crm.field_history(spark, sf_dir)
-             .where((F.col("field") == "CloseDate")
-                    & (F.col("OldValue").try_cast("date") >= F.lit(p.q_end))
-                    & (F.col("NewValue").try_cast("date") < F.lit(p.q_end))
-                    & (F.col("NewValue").try_cast("date") >= F.lit(p.q_start)))
-             .select(F.col("OpportunityId").alias("m_Id")).distinct())
-    fq = (forecasted_opps(spark, sf_dir, p).where(F.col("quarter") == F.lit(p.q_key))
-          .select(F.col("Id").alias("f_Id")).distinct())
-
-    # moves and the forecast flag only matter for deals with a current row, so
-    # they join the current side first; all three joins share the Id partitioning
-    o = (o.join(moves, o.Id == moves.m_Id, "left")
-          .join(fq, o.Id == fq.f_Id, "left"))
-    w = h.join(o, h.s_Id == o.Id, "full_outer")
+    w = w.withColumns({"Current_QB_USD": F.col("ACV_Bookings") / F.col("c_rate"),
+                       "bucket": F.when(F.col("Id").isNotNull(), dims.region_bucket(F.col("Region"))),
+                       "today_base": F.coalesce(today_base, F.lit(False))})
 
     def ok(c: Column) -> Column:
         return F.coalesce(c, F.lit(False))

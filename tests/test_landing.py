@@ -32,3 +32,27 @@ def test_bucketed_movement_has_no_shuffle_before_outcome(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_bucketed_coverage_same_result_no_id_shuffle(spark):
+    from pipewright.plans import coverage
+    from pipewright.sources import crm
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    days = crm.weekly_snapshot_dates(PARAMS.anchor, PARAMS.q_end)
+    t = landing.land_crm(spark, SF001, n, days, database="crm_cov")
+    kw = dict(opportunity=spark.table(t["opportunity"]), snapshots=spark.table(t["history"]),
+              changes=spark.table(t["field_history"]))
+    landed = coverage.coverage_wide(spark, SF001, PARAMS, **kw)
+    derived = coverage.coverage_wide(spark, SF001, PARAMS)
+    key = lambda r: repr(tuple(r))
+    assert sorted(map(tuple, landed.collect()), key=key) == sorted(map(tuple, derived.collect()), key=key)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = coverage.coverage_wide(spark, SF001, PARAMS, **kw)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        assert not [x for x in plan.splitlines() if "Exchange hashpartitioning(Id" in x
+                    or "Exchange hashpartitioning(OpportunityId" in x], plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
