@@ -168,9 +168,11 @@ def coverage_wide(spark: SparkSession, sf_dir: str, p: ReportParams, opportunity
         cur("sales_territory").alias("region_bucket_opp_owner"))
 
 
-def coverage_by_region(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
-    """Pipe, new, pulled in, pushed, won and lost per (Type, region bucket)."""
-    w = coverage_wide(spark, sf_dir, p)
+def coverage_by_region(spark: SparkSession, sf_dir: str, p: ReportParams, **inputs) -> DataFrame:
+    """Pipe, new, pulled in, pushed, won and lost per (Type, region bucket).
+
+    ``inputs``: optional landed ``opportunity`` / ``snapshots`` / ``changes``."""
+    w = coverage_wide(spark, sf_dir, p, **inputs)
     qe = F.lit(p.q_end)
     won = F.col("Current_StageName") == dims.STAGE_CLOSED_WON
     lost = F.col("Current_StageName") == dims.STAGE_CLOSED_LOST
