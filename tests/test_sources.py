@@ -82,3 +82,11 @@ def test_sql_over_crm_views(spark):
     assert df.count() > 0 and df.columns == ["Name", "Metric", "Amount"]
     n = spark.sql("SELECT count(*) FROM history WHERE snapshot_date = DATE '1998-07-10'").collect()[0][0]
     assert n == 938
+
+
+def test_cli_report(spark):
+    from pipewright.__main__ import main
+    d = tempfile.mkdtemp(prefix="pw-cli-")
+    main(["report", "--input", SF001, "--out", d, "--rpt-date", "1998-08-15", "--anchor", "1998-07-10",
+          "--profile", "local", "--format", "csv"])
+    assert sorted(os.listdir(d)) == ["existing_business", "new_business", "pivot_data", "raw_data", "report_meta"]
