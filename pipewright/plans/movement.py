@@ -90,7 +90,7 @@ V4 = Preset(
 PRESETS = {"v3": V3, "v4": V4}
 
 SET_COLUMNS = ["Id", "Category", "Type", "Region", "Segment", "Product", "QB_USD", "StageName", "CloseDate",
-               "LeadSource", "Mike_Type", "SAO_Date", "User_Role", "CAM_or_SAM", "Expansion_Category"]
+               "LeadSource", "Movement_Type", "SAO_Date", "User_Role", "CAM_or_SAM", "Expansion_Category"]
 
 
 class Movement:
@@ -256,7 +256,7 @@ class Movement:
         def row(label: Column | str, src: str, base: Column = cur, snap_amt: Column | None = None) -> Column:
             lab = F.lit(label) if isinstance(label, str) else label
             return F.struct(base["Category"].alias("Category"), base["Type"].alias("Type"),
-                            base["QB_USD"].alias("QB_USD"), lab.alias("Mike_Type"), F.lit(src).alias("src"),
+                            base["QB_USD"].alias("QB_USD"), lab.alias("Movement_Type"), F.lit(src).alias("src"),
                             (snap_amt if snap_amt is not None else F.lit(None).cast("double")).alias("QB_USD_Snapshot"))
 
         starts = F.transform(F.col("h_rows"), lambda h: row(
@@ -277,7 +277,7 @@ class Movement:
         return w.select(
             "Id", F.col("_r.Category").alias("Category"), F.col("_r.Type").alias("Type"), "Region", "Segment",
             "Product", F.col("_r.QB_USD").alias("QB_USD"), "StageName", "CloseDate", "LeadSource",
-            F.col("_r.Mike_Type").alias("Mike_Type"), "SAO_Date", "User_Role", "CAM_or_SAM", "Expansion_Category",
+            F.col("_r.Movement_Type").alias("Movement_Type"), "SAO_Date", "User_Role", "CAM_or_SAM", "Expansion_Category",
             F.col("_r.src").alias("src"), F.col("_r.QB_USD_Snapshot").alias("QB_USD_Snapshot"),
             (F.col("in_start") | F.col("in_ghost")).alias("is_starting"),
             F.col("in_pulled").alias("is_pulled"), F.col("in_new").alias("is_new"))
@@ -326,7 +326,7 @@ class Movement:
         """Quarter outcome: 10 measures per key combination of the preset."""
         p = self.p
         s = self.seed(with_flags=True)
-        mt, st = F.col("Mike_Type"), F.col("StageName")
+        mt, st = F.col("Movement_Type"), F.col("StageName")
         qb = money(F.col("QB_USD"))
         won, lost, tot = st == dims.STAGE_CLOSED_WON, st == dims.STAGE_CLOSED_LOST, mt == TOTAL
         by_q_end = F.col("CloseDate") <= F.lit(p.q_end)

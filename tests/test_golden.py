@@ -29,8 +29,8 @@ GOLDEN = {
 def test_golden_sets(spark, sf):
     m = Movement(spark, sf, PARAMS, V3)
     cur = m.current.select(F.col("Id").alias("cid"), F.col("QB_USD").alias("cur_qb"))
-    sets = {"Starting Pipe": m.starting, "Pulled In": m.pulled_in.where(F.col("Mike_Type") == "Pulled In"),
-            "Clean Up Pulled In": m.pulled_in.where(F.col("Mike_Type") == "Clean Up Pulled In"),
+    sets = {"Starting Pipe": m.starting, "Pulled In": m.pulled_in.where(F.col("Movement_Type") == "Pulled In"),
+            "Clean Up Pulled In": m.pulled_in.where(F.col("Movement_Type") == "Clean Up Pulled In"),
             "New Pipe": m.new_pipe, "Pushed": m.pushed, "Ghost": m.ghost, "Total": m.total}
     for name, df in sets.items():
         r = (df.join(cur, df.Id == cur.cid)

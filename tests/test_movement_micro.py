@@ -72,10 +72,10 @@ def test_v3_sets(spark, tables):
     assert s["pushed"] == ["E"]          # close exactly on q_end is not pushed (strict >)
     assert s["total"] == ["A", "B", "C", "F", "G", "H"]      # D, E close on/after q_end; T housekeeping
     assert s["ghost"] == ["G", "H"]
-    ghost_label = m.ghost.select("Mike_Type").distinct().collect()
-    assert [r.Mike_Type for r in ghost_label] == ["New Pipe"]
+    ghost_label = m.ghost.select("Movement_Type").distinct().collect()
+    assert [r.Movement_Type for r in ghost_label] == ["New Pipe"]
     # pulled in twice -> one row; moved after the anchor and not a closed-lost clean-up -> 'Pulled In'
-    assert [r.Mike_Type for r in m.pulled_in.collect()] == ["Pulled In"]
+    assert [r.Movement_Type for r in m.pulled_in.collect()] == ["Pulled In"]
 
 
 def test_v3_outcome_measures(spark, tables):
@@ -95,7 +95,7 @@ def test_v3_outcome_measures(spark, tables):
 def test_v4_ghost_label_and_created_rule(spark, tables):
     current, snaps, changes = tables
     m = Movement(spark, "", P, V4, snapshots=snaps, changes=changes, current=current)
-    labels = {r.Mike_Type for r in m.ghost.collect()}
+    labels = {r.Movement_Type for r in m.ghost.collect()}
     assert labels <= {"Starting Pipe"}
     # v4 starting needs created <= anchor (all created 05-01) and ignores the SAO date
     assert "C" in {r.Id for r in m.starting.collect()}
