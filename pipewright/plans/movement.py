@@ -259,13 +259,15 @@ class Movement:
                             base["QB_USD"].alias("QB_USD"), lab.alias("Movement_Type"), F.lit(src).alias("src"),
                             (snap_amt if snap_amt is not None else F.lit(None).cast("double")).alias("QB_USD_Snapshot"))
 
-        starts = F.transform(F.col("h_rows"), lambda h: row(
-            STARTING, "starting",
-            base=F.struct(F.coalesce(h["Category"], F.col("Category")).alias("Category"),
-                          F.coalesce(h["Type"], F.col("Type")).alias("Type"),
-                          (F.coalesce(h["QB_USD"], F.col("QB_USD")) if self.pre.start_from_snapshot
-                           else F.col("QB_USD")).alias("QB_USD")),
-            snap_amt=h["QB_USD_Snapshot"]))
+        if self.pre.start_from_snapshot:
+            # category, type and amount as frozen at the anchor (a missing value stays missing)
+            def start_base(h):
+                return F.struct(h["Category"].alias("Category"), h["Type"].alias("Type"), h["QB_USD"].alias("QB_USD"))
+        else:
+            def start_base(h):
+                return cur
+        starts = F.transform(F.col("h_rows"), lambda h: row(STARTING, "starting", base=start_base(h),
+                                                             snap_amt=h["QB_USD_Snapshot"]))
         others = F.array(
             F.when(F.col("in_new"), row(NEW, "new")),
             F.when(F.col("in_pulled"), row(F.col("pulled_label"), "pulled")),

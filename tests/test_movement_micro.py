@@ -106,3 +106,16 @@ def test_null_category_is_its_own_group(spark, tables):
     m = Movement(spark, "", P, V3, snapshots=snaps, changes=changes, current=current)
     cats = {r.Category for r in m.outcome().select("Category").collect()}
     assert None in cats
+
+
+def test_v3_starting_keeps_missing_snapshot_values(spark):
+    """A starting row takes category and amount from the snapshot, even when they are missing there."""
+    current = spark.createDataFrame([cur("S", "Proposal", D(1998, 8, 1), cat="New", qb=70.0)], CUR)
+    snaps = spark.createDataFrame([("S", P.anchor, "Proposal", "New Business", D(1998, 8, 1), D(1998, 6, 1),
+                                    None, None, None, None)], SNAP)
+    changes = spark.createDataFrame([], CHG)
+    m = Movement(spark, "", P, V3, snapshots=snaps, changes=changes, current=current)
+    r = m.starting.collect()
+    assert len(r) == 1 and r[0].Category is None and r[0].QB_USD is None
+    v4 = Movement(spark, "", P, V4, snapshots=snaps, changes=changes, current=current).starting.collect()
+    assert v4[0].Category == "New" and v4[0].QB_USD == 70.0       # v4 reads today's values
