@@ -147,14 +147,16 @@ history AS (
               THEN o.CloseDate
               WHEN o._k % 6 = 0 THEN o.CloseDate + 95 WHEN o._k % 6 = 1 THEN o.CloseDate - 95
               ELSE o.CloseDate END AS CloseDate,
-         o.SAO_Date, o.Category,
-         o.Software_QB / ct.ConversionRate AS Software_USD,
-         o.RW_Expansion_Amount / ct.ConversionRate AS Expansion_USD,
-         o.ACV_Bookings / ct.ConversionRate AS qb_usd,
-         o.Name, o.AccountId, o.OwnerId, o.Renewal_Type, o.ACV_Bookings,
-         CASE WHEN (o._k + s.i) % 7 = 0 THEN NULL ELSE o.ACV_Bookings * CAST(0.9 AS DOUBLE) END AS Managers_Forecast,
+         o.SAO_Date,
+         CASE WHEN o._k % 7 = 3 THEN {_case("((o._k // 10) + 1) % 8", crm.CATEGORIES)} ELSE o.Category END AS Category,
+         CASE WHEN o._k % 10 <> 8 THEN o.acv_s / ct.ConversionRate END AS Software_USD,
+         CASE WHEN o._k % 10 = 8 THEN o.acv_s / ct.ConversionRate END AS Expansion_USD,
+         o.acv_s / ct.ConversionRate AS qb_usd,
+         o.Name, o.AccountId, o.OwnerId, o.Renewal_Type, o.acv_s AS ACV_Bookings,
+         CASE WHEN (o._k + s.i) % 7 = 0 THEN NULL ELSE o.acv_s * CAST(0.9 AS DOUBLE) END AS Managers_Forecast,
          o.Test_Account, o.CurrencyIsoCode
-  FROM opportunity_k o
+  FROM (SELECT *, CASE WHEN _k % 5 = 2 THEN ACV_Bookings * CAST(0.97 AS DOUBLE) ELSE ACV_Bookings END AS acv_s
+        FROM opportunity_k) o
   JOIN snap_dates s ON o.CreatedDate <= s.d
   LEFT JOIN currency ct ON o.CurrencyIsoCode = ct.IsoCode)"""
 

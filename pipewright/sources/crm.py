@@ -11,7 +11,8 @@ CRM objects from them with fixed arithmetic rules (k = order key):
   currency      one code and rate per region
   account       customer;  user: supplier (owners are users 0-9);  user_role: four roles
   history       one row per opportunity and snapshot date (created by then); close
-                date shifted for k % 6 in (0, 1) until the change log moves it
+                date shifted for k % 6 in (0, 1) until the change log moves it; another
+                category for k % 7 = 3 and 3% less money for k % 5 = 2
   field_history close-date changes for k % 6 in (0, 1), a second one for k % 12 = 0
   activity      events as rep activity metrics
 
@@ -251,6 +252,10 @@ def history(spark: SparkSession, sf_dir: str, dates: Sequence[dt.date]) -> DataF
     k = F.col("_k")
     rate = F.col("ConversionRate")
     close = F.col("CloseDate")
+    # the snapshot differs from today for some deals: another category (k % 7 = 3)
+    # and 3% less money (k % 5 = 2)
+    acv = F.when(k % 5 == 2, F.col("ACV_Bookings") * F.lit(0.97)).otherwise(F.col("ACV_Bookings"))
+    category = F.when(k % 7 == 3, _pick((_div(k, 10) + 1) % 8, CATEGORIES)).otherwise(F.col("Category"))
     return df.select(
         "Id",
         F.col("_s.d").alias("snapshot_date"),
@@ -263,13 +268,13 @@ def history(spark: SparkSession, sf_dir: str, dates: Sequence[dt.date]) -> DataF
                & (F.col("_s.d") >= F.date_sub(close, (k % 120).cast("int"))), close)
          .when(k % 6 == 0, F.date_add(close, 95)).when(k % 6 == 1, F.date_sub(close, 95))
          .otherwise(close).alias("CloseDate"),
-        "SAO_Date", "Category",
-        (F.col("Software_QB") / rate).alias("Software_USD"),
-        (F.col("RW_Expansion_Amount") / rate).alias("Expansion_USD"),
-        (F.col("ACV_Bookings") / rate).alias("qb_usd"),
-        "Name", "AccountId", "OwnerId", "Renewal_Type", "ACV_Bookings",
+        "SAO_Date", category.alias("Category"),
+        F.when(k % 10 != 8, acv / rate).alias("Software_USD"),
+        F.when(k % 10 == 8, acv / rate).alias("Expansion_USD"),
+        (acv / rate).alias("qb_usd"),
+        "Name", "AccountId", "OwnerId", "Renewal_Type", acv.alias("ACV_Bookings"),
         F.when((k + F.col("_s.i")) % 7 == 0, F.lit(None))
-         .otherwise(F.col("ACV_Bookings") * F.lit(0.9)).alias("Managers_Forecast"),
+         .otherwise(acv * F.lit(0.9)).alias("Managers_Forecast"),
         "Test_Account", "CurrencyIsoCode")
 
 
