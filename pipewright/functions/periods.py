@@ -68,6 +68,12 @@ class ReportParams:
     refreshed_at: str = ""
     exclude_ids: tuple = field(default_factory=tuple)
 
+    def __post_init__(self):
+        if self.compare not in ("Y", "Q"):
+            raise ValueError(f"compare must be 'Y' (prior year) or 'Q' (prior quarter), not {self.compare!r}")
+        if not isinstance(self.rpt_date, dt.date) or not isinstance(self.anchor, dt.date):
+            raise TypeError("rpt_date and anchor must be dates")
+
     # quarter of the report (movement reports)
     @property
     def q_start(self) -> dt.date:

@@ -387,4 +387,6 @@ def public_set(df: DataFrame) -> DataFrame:
 
 
 def movement(spark: SparkSession, sf_dir: str, p: ReportParams, preset: str = "v3") -> Movement:
+    if preset not in PRESETS:
+        raise ValueError(f"unknown rule set {preset!r}; choose one of {sorted(PRESETS)} (v2 is plans.coverage)")
     return Movement(spark, sf_dir, p, PRESETS[preset])

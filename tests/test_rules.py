@@ -133,3 +133,15 @@ def test_reshape_helpers(spark):
     assert u.count() == 2 and u.where("v IS NULL").count() == 1
     with pytest.raises(ValueError):
         check_columns(a, ["id", "Name"])
+
+
+def test_parameter_validation(spark):
+    with pytest.raises(ValueError):
+        periods.ReportParams(rpt_date=dt.date(1998, 8, 15), anchor=dt.date(1998, 7, 10), compare="Month")
+    with pytest.raises(TypeError):
+        periods.ReportParams(rpt_date="1998-08-15", anchor=dt.date(1998, 7, 10))
+    q = periods.ReportParams(rpt_date=dt.date(1998, 8, 15), anchor=dt.date(1998, 7, 10), compare="Q")
+    assert q.unit == (dt.date(1998, 4, 1), dt.date(1998, 7, 1))
+    from pipewright.plans.movement import movement
+    with pytest.raises(ValueError):
+        movement(spark, "", q, "v9")
