@@ -1,8 +1,11 @@
-"""Command line: ``spark-submit -m pipewright report --input DIR --out DIR --rpt-date D --anchor D``.
+"""Command line jobs (``spark-submit -m pipewright <job> ...`` or ``python -m pipewright``).
 
-Runs the quarter report job (movement outcome and seed, coverage tabs, header)
-and overwrites one table per tab under ``--out``. Session settings come from
-the submitter; ``spark.checkpoint.dir`` must name a shared folder on a cluster.
+report      quarter pipeline report: movement outcome and seed, coverage tabs, header
+scorecards  account-manager review: scorecards, stage mix, top deals, activities, win rates, velocity
+merge       audited keyed update / upsert of any table: before image, results, merged table, notes
+
+Each job overwrites one table per tab under ``--out``. Session settings come
+from the submitter; ``spark.checkpoint.dir`` must name a shared folder on a cluster.
 """
 
 from __future__ import annotations
@@ -28,11 +31,43 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     r.add_argument("--refreshed-at", default="")
     r.add_argument("--profile", default="cluster", choices=["local", "cluster"])
+    sc = sub.add_parser("scorecards", help="write the account-manager review tabs")
+    sc.add_argument("--input", required=True)
+    sc.add_argument("--out", required=True)
+    sc.add_argument("--rpt-date", required=True, type=dt.date.fromisoformat)
+    sc.add_argument("--compare", default="Y", choices=["Y", "Q"])
+    sc.add_argument("--stale-origin", default="2022-02-05", type=dt.date.fromisoformat)
+    sc.add_argument("--velocity-since", default="2022-07-01", type=dt.date.fromisoformat)
+    sc.add_argument("--activity-rpt-date", type=dt.date.fromisoformat, default=None,
+                    help="report date whose grading window selects the activity metrics (default: --rpt-date)")
+    sc.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    sc.add_argument("--profile", default="cluster", choices=["local", "cluster"])
+    m = sub.add_parser("merge", help="audited keyed update / upsert of a table")
+    m.add_argument("--target", required=True, help="parquet folder of the table to change")
+    m.add_argument("--changes", required=True, help="parquet folder of the change set")
+    m.add_argument("--key", required=True)
+    m.add_argument("--seq", required=True, help="column ordering repeated keys; the last one wins")
+    m.add_argument("--mode", default="upsert", choices=["update", "upsert"])
+    m.add_argument("--notes", default=None)
+    m.add_argument("--out", required=True)
+    m.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    m.add_argument("--profile", default="cluster", choices=["local", "cluster"])
     a = ap.parse_args(argv)
     spark = get_spark(profile=a.profile)
-    p = ReportParams(rpt_date=a.rpt_date, anchor=a.anchor, refreshed_at=a.refreshed_at)
-    written = report.run_quarter_report(spark, a.input, p, a.out, preset=a.preset, fmt=a.format)
-    print(json.dumps({"written": written}))
+    if a.cmd == "report":
+        p = ReportParams(rpt_date=a.rpt_date, anchor=a.anchor, refreshed_at=a.refreshed_at)
+        written = report.run_quarter_report(spark, a.input, p, a.out, preset=a.preset, fmt=a.format)
+    elif a.cmd == "scorecards":
+        p = ReportParams(rpt_date=a.rpt_date, anchor=a.rpt_date, compare=a.compare, stale_origin=a.stale_origin,
+                         velocity_since=a.velocity_since)
+        ap_ = ReportParams(rpt_date=a.activity_rpt_date, anchor=a.activity_rpt_date, compare=a.compare) \
+            if a.activity_rpt_date else None
+        written = report.run_scorecard_report(spark, a.input, p, a.out, ap_, fmt=a.format)
+    else:
+        from pipewright.operators.merge import run_audited_merge
+        written = run_audited_merge(spark, spark.read.parquet(a.target), spark.read.parquet(a.changes), a.key,
+                                    a.seq, a.out, a.mode, a.notes, a.format)
+    print(json.dumps({"written": written}, default=str))
 
 
 if __name__ == "__main__":

@@ -75,3 +75,30 @@ def notes_table(spark, notes: str | None, limit: int = NOTES_LIMIT) -> DataFrame
     """One-row table holding the run's notes, cut below the cell limit."""
     text = truncate_notes(notes, limit)
     return None if text is None else spark.createDataFrame([(text,)], "notes string")
+
+
+def run_audited_merge(spark, target: DataFrame, changes: DataFrame, key: str, seq: str, out_dir: str,
+                      mode: str = "upsert", notes: str | None = None, fmt: str = "parquet") -> dict[str, str]:
+    """Job: write the before image, the change set, the per-row outcome, the
+    merged table and the notes under ``out_dir`` (one table each).
+
+    The before image is written first, from the target as it was; the merged
+    table goes to its own folder, so the target is never read and overwritten
+    by the same job.
+    """
+    import os
+
+    from pipewright.sources.sinks import write_table
+    out = {}
+    parts = [("before_upload", before_image(target, changes, key)),
+             ("upload_file", changes),
+             ("upload_results", merge_outcomes(target, changes, key, seq, mode)),
+             ("merged", merged_table(target, changes, key, seq, mode))]
+    nt = notes_table(spark, notes)
+    if nt is not None:
+        parts.append(("notes", nt))
+    for name, df in parts:
+        path = os.path.join(out_dir, name)
+        write_table(df, path, fmt)
+        out[name] = path
+    return out

@@ -76,3 +76,29 @@ def report_manifest(spark: SparkSession, sf_dir: str, p: ReportParams, preset: s
                .select("tab", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("rows")))
     return mv.unionByName(cv).select("tab", "rows", F.lit(p.q_label).alias("quarter_label"),
                                      F.lit(p.anchor).alias("anchor"), F.lit(p.refreshed_at).alias("refreshed_at"))
+
+
+def scorecard_report(spark: SparkSession, sf_dir: str, p: ReportParams,
+                     activity_params: ReportParams | None = None) -> dict[str, DataFrame]:
+    """Tabs of the account-manager review: scorecards for both grading windows,
+    the prior-year renewal rows, stage mix, top deals, the enriched raw data,
+    rep activities, win rates and deal velocity."""
+    from pipewright.plans import activity, scorecard, velocity
+    owner = scorecard.owner_scorecard(spark, sf_dir, p)
+    return {
+        "scorecard_Y": owner.where(F.col("period") == "Y").drop("period"),
+        "scorecard_Q": owner.where(F.col("period") == "Q").drop("period"),
+        "renewal_rows": scorecard.renewal_rows(spark, sf_dir, p),
+        "top_deals": scorecard.top_deals(spark, sf_dir, p),
+        "stage_mix": scorecard.stage_mix(spark, sf_dir, p),
+        "raw_data": scorecard.opps_enriched(spark, sf_dir, p),
+        "rep_activities": activity.activities_wide(spark, sf_dir, activity_params or p),
+        "win_rates": scorecard.rep_win_rates(spark, sf_dir, p),
+        "deal_velocity": velocity.velocity_compare(spark, sf_dir, p),
+    }
+
+
+def run_scorecard_report(spark: SparkSession, sf_dir: str, p: ReportParams, out_dir: str,
+                         activity_params: ReportParams | None = None, fmt: str = "parquet") -> list[str]:
+    """Job: write every tab of the account-manager review plus a header table."""
+    return export_report(scorecard_report(spark, sf_dir, p, activity_params), report_meta(spark, p), out_dir, fmt)

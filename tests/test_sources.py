@@ -90,3 +90,26 @@ def test_cli_report(spark):
     main(["report", "--input", SF001, "--out", d, "--rpt-date", "1998-08-15", "--anchor", "1998-07-10",
           "--profile", "local", "--format", "csv"])
     assert sorted(os.listdir(d)) == ["existing_business", "new_business", "pivot_data", "raw_data", "report_meta"]
+
+
+def test_cli_scorecards_and_merge(spark):
+    from pipewright.__main__ import main
+    d = tempfile.mkdtemp(prefix="pw-cli2-")
+    main(["scorecards", "--input", SF001, "--out", os.path.join(d, "qbr"), "--rpt-date", "1998-08-15",
+          "--stale-origin", "1995-01-01", "--velocity-since", "1995-01-01", "--activity-rpt-date", "2025-02-15",
+          "--profile", "local"])
+    tabs = sorted(os.listdir(os.path.join(d, "qbr")))
+    assert tabs == sorted(["scorecard_Y", "scorecard_Q", "renewal_rows", "top_deals", "stage_mix", "raw_data",
+                           "rep_activities", "win_rates", "deal_velocity", "report_meta"])
+    assert spark.read.parquet(os.path.join(d, "qbr", "rep_activities")).count() > 0
+    from pipewright.plans import accounts
+    accounts.account_table(spark, SF001).write.parquet(os.path.join(d, "target"))
+    accounts.account_changes(spark, SF001).write.parquet(os.path.join(d, "changes"))
+    main(["merge", "--target", os.path.join(d, "target"), "--changes", os.path.join(d, "changes"), "--key", "Id",
+          "--seq", "seq", "--mode", "upsert", "--notes", "n" * 60_000, "--out", os.path.join(d, "m"),
+          "--profile", "local"])
+    out = os.path.join(d, "m")
+    assert sorted(os.listdir(out)) == ["before_upload", "merged", "notes", "upload_file", "upload_results"]
+    assert len(spark.read.parquet(os.path.join(out, "notes")).collect()[0].notes) == 49_999
+    merged = spark.read.parquet(os.path.join(out, "merged")).count()
+    assert merged == accounts.merged_accounts(spark, SF001).count()
