@@ -28,6 +28,8 @@ def movement_report(spark: SparkSession, sf_dir: str, p: ReportParams, preset: s
 def run_quarter_report(spark: SparkSession, sf_dir: str, p: ReportParams, out_dir: str,
                        preset: str = "v3", fmt: str = "parquet") -> list[str]:
     """Job: compute the quarter report once and write every tab and the header."""
+    from pipewright.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
     tabs = movement_report(spark, sf_dir, p, preset, materialize=True)
     cov = coverage.coverage_by_region(spark, sf_dir, p).checkpoint(eager=True)
     tabs.update(coverage.coverage_tables(cov))

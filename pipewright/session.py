@@ -64,18 +64,27 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     for k, v in BASE_CONF.items():
         spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if _is_local(spark) or spark.conf.get("spark.checkpoint.dir", None):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
+def _is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the submitter names a shared folder; it is read, never
-    replaced. Only when it is unset (local tests) is a private one created.
+    replaced, and a missing setting is an error (a machine-local folder would
+    not survive the loss of that machine). Only in local mode (tests) is a
+    private folder created when the setting is unset.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not _is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
         d = tempfile.mkdtemp(prefix="pipewright-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
