@@ -26,9 +26,23 @@ HOST_C = "https://crm-c.example.com"
 # =================== END FIXED VALUES (test-data rules) ===================
 
 
-def _lookup(mapping: dict, key: Column) -> Column:
-    """Value of ``key`` in a small literal mapping; NULL for a missing or NULL key."""
-    m = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in mapping.items()))
+def as_map(mapping: dict | DataFrame) -> Column:
+    """A small key -> value mapping as a map column.
+
+    A dict becomes a literal map; a two-column dimension table (key, value)
+    becomes a map through a scalar subquery (``map_from_entries`` of its rows),
+    so the table is never collected to the driver and lookups stay narrow
+    expressions (no join, no shuffle).
+    """
+    if isinstance(mapping, DataFrame):
+        k, v = mapping.columns[:2]
+        return mapping.select(F.map_from_entries(F.collect_list(F.struct(F.col(k), F.col(v))))).scalar()
+    return F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in mapping.items()))
+
+
+def _lookup(mapping: dict | DataFrame | Column, key: Column) -> Column:
+    """Value of ``key`` in a small mapping; NULL for a missing or NULL key."""
+    m = mapping if isinstance(mapping, Column) else as_map(mapping)
     return F.when(key.isNull(), F.lit(None).cast("string")).otherwise(F.try_element_at(m, key))
 
 
@@ -57,16 +71,20 @@ def extract_and_load(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 
 # ------------------------------------------------------------------- W22
-def classify(df: DataFrame, product_families: dict = PRODUCT_FAMILIES) -> DataFrame:
-    """Group labels from the fixed dimensions; all narrow (literal map lookups).
+def classify(df: DataFrame, product_families: dict | DataFrame = PRODUCT_FAMILIES) -> DataFrame:
+    """Group labels from the dimensions; all narrow (map lookups).
 
+    ``product_families`` is a dict or a (product, family) dimension table.
     product_family: family of the whole multi-select value when listed,
     otherwise the distinct families of its ';'-separated parts, sorted and
     joined with ';' (NULL when none is listed).
     """
-    whole = _lookup(product_families, F.col("Product"))
+    # the map is attached as a column so the lambda below can read it (a subquery cannot sit inside one)
+    df = df.withColumn("__families", as_map(product_families))
+    fam = F.col("__families")
+    whole = _lookup(fam, F.col("Product"))
     parts = F.array_sort(F.array_distinct(F.filter(
-        F.transform(F.split(F.col("Product"), ";"), lambda x: _lookup(product_families, x)),
+        F.transform(F.split(F.col("Product"), ";"), lambda x: _lookup(fam, x)),
         lambda x: x.isNotNull())))
     by_parts = F.when(F.size(parts) > 0, F.array_join(parts, ";"))
     type_group = {t: g for t, g, _ in dims.TYPE_GROUPS}

@@ -71,3 +71,13 @@ def test_flatten_nested_moves_lead_columns(spark):
     assert out.columns == ["name", "label", "id", "_arr", "_m"]
     r = out.collect()[0]
     assert r._arr == "[1,2]" and r._m == '{"a":1}'
+
+
+def test_classify_with_dimension_table(spark):
+    df = spark.createDataFrame([("1", "A;B", "New Logo", "UK", "Closed Won"), ("2", "C", None, None, None)],
+                               "Id string, Product string, Type string, Region string, StageName string")
+    dim = spark.createDataFrame([("A", "fx"), ("B", "fy"), ("C", "fx")], "product string, family string")
+    r = {x.Id: x.product_family for x in classify(df, dim).collect()}
+    assert r == {"1": "fx;fy", "2": "fx"}
+    p = classify(df, dim)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in p
