@@ -1,10 +1,11 @@
 """Landing CRM objects as catalog tables bucketed by deal id.
 
 The movement report joins the current deals, the anchor snapshot and the
-change log on the deal id. Landed with the same number of buckets on that key
-(the snapshot table also partitioned by day), the join and the per-id
-aggregations read co-located buckets and need no shuffle; only the final
-outcome aggregation exchanges data.
+change log on the deal id. With the deals and the snapshot table landed in the
+same number of buckets on that key (the snapshot table also partitioned by
+day), their join and per-id aggregation read co-located buckets and need no
+shuffle; only the change log's small per-id aggregate and the final outcome
+aggregation exchange data.
 """
 
 from __future__ import annotations
@@ -26,15 +27,26 @@ def land(df: DataFrame, table: str, bucket_by: str, buckets: int, partition_by:
     return table
 
 
+def land_plain(df: DataFrame, table: str) -> str:
+    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+    return table
+
+
 def land_crm(spark: SparkSession, sf_dir: str, buckets: int, snapshot_dates: Sequence[dt.date],
              database: str = "crm") -> dict[str, str]:
-    """Land opportunity, history (per day) and field_history, all bucketed by id."""
+    """Land opportunity and history (per day), bucketed by id, and the change log.
+
+    Ids are unique in the opportunity table and once per day in the snapshot
+    table, so their buckets are even. The change log is landed unbucketed:
+    one deal may hold a large share of its rows, and a bucket cannot be split
+    across tasks, whereas its per-id maximum is combined map-side before a
+    small shuffle.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     return {
         "opportunity": land(crm.opportunity(spark, sf_dir, with_product=True), f"{database}.opportunity",
                             "Id", buckets),
         "history": land(crm.history(spark, sf_dir, snapshot_dates), f"{database}.history", "Id", buckets,
                         partition_by="snapshot_date"),
-        "field_history": land(crm.field_history(spark, sf_dir), f"{database}.field_history", "OpportunityId",
-                              buckets),
+        "field_history": land_plain(crm.field_history(spark, sf_dir), f"{database}.field_history"),
     }
