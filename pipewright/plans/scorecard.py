@@ -173,19 +173,33 @@ def _this_quarter_pipeline(base: DataFrame, p: ReportParams) -> DataFrame:
                       & not_in_set(F.col("Category"), dims.NON_PIPELINE_CATEGORIES))
 
 
-def stage_mix(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
+# deal ids sharing this many leading characters form one piece of the days list
+DAYS_LIST_PREFIX = 12
+
+
+def stage_mix(spark: SparkSession, sf_dir: str, p: ReportParams, prefix_len: int = DAYS_LIST_PREFIX) -> DataFrame:
     """Open pipeline of this quarter per owner and stage.
 
     Days-in-stage is the list of each deal's days stale, ordered by deal id.
+    It is built in two levels so that no task sorts a whole (owner, stage)
+    group: first ordered pieces per id range (ids sharing their first
+    ``prefix_len`` characters; a fixed-length prefix keeps the id order), then
+    the pieces joined in range order. Values and counts add up across pieces.
     """
     base = _this_quarter_pipeline(opps_enriched(spark, sf_dir, p, with_account=False), p)
     base = base.where(not_in_set(F.col("Stage"), dims.STAGE_MIX_EXCLUDED))
     sd = dims.stage_dim(spark).withColumnRenamed("stage", "Stage_Name")
     df = base.join(F.broadcast(sd), base.Stage == sd.Stage_Name, "left")
-    agg = df.groupBy("Owner_Name", "Stage_Name", "stage_rank").agg(
-        F.sum(money(F.col("QB"))).alias("value_dec"),
-        F.count(F.lit(1)).alias("Count"),
-        F.expr("listagg(cast(Days_Stale as string), ', ') WITHIN GROUP (ORDER BY OppId)").alias("Days_In_Stage"))
+    keys = ["Owner_Name", "Stage_Name", "stage_rank"]
+    pieces = (df.withColumn("id_range", F.substring("OppId", 1, prefix_len))
+                .groupBy(*keys, "id_range").agg(
+                    F.sum(money(F.col("QB"))).alias("v"),
+                    F.count(F.lit(1)).alias("n"),
+                    F.expr("listagg(cast(Days_Stale as string), ', ') WITHIN GROUP (ORDER BY OppId)").alias("days")))
+    agg = pieces.groupBy(*keys).agg(
+        F.sum("v").alias("value_dec"),
+        F.sum("n").alias("Count"),
+        F.expr("listagg(days, ', ') WITHIN GROUP (ORDER BY id_range)").alias("Days_In_Stage"))
     owner_total = F.sum("value_dec").over(Window.partitionBy("Owner_Name"))
     return (agg.select(
                 "Owner_Name", "Stage_Name", "stage_rank",
