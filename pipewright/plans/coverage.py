@@ -77,6 +77,8 @@ def coverage_wide(spark: SparkSession, sf_dir: str, p: ReportParams, opportunity
     """
     ct = crm.currency(spark, sf_dir)
     ex_ids = F.broadcast(_excluded_owner_ids(spark, sf_dir))
+    # a landed snapshot table serves both the anchor read and the forecast window (partition pruning);
+    # the derived fixture builds just the anchor day here
     snaps = snapshots if snapshots is not None else crm.history(spark, sf_dir, [p.anchor])
 
     # anchor snapshot, v2 filters
@@ -261,17 +263,28 @@ def v2_tabs(spark: SparkSession, sf_dir: str, p: ReportParams) -> dict[str, Data
     """
     w = coverage_wide(spark, sf_dir, p)
     snap_bucket = F.coalesce(F.col("snap_bucket_raw"), F.lit(dims.BUCKET_REST))
-    start = w.where(F.col("in_snap")).select(
-        F.col("Id").alias("id"), _link("Id", "s_Name").alias("Name"), F.col("snap_Type").alias("Type"),
-        F.col("s_SAO_Date").alias("SAO_Date"), F.col("s_AccountId").alias("AccountId"), "previous_StageName",
-        "previous_CloseDate", F.col("snap_QB_USD").alias("QB_USD"), snap_bucket.alias("Region_Bucket_Account"),
-        F.col("Current_StageName").alias("current_StageName"), "Current_QB_USD", "Current_Closedate",
-        "region_bucket_opp_owner", snap_bucket.alias("Merged_Account_Region_bucket"))
-    found = w.where(F.col("in_found")).select(
-        F.col("Id").alias("id"), _link("Id", "cur_Name").alias("Name"), "Current_Closedate",
-        F.col("cur_SAO_Date").alias("SAO_Date"), F.col("cur_Type").alias("Type"), "Current_QB_USD",
-        F.col("cur_bucket").alias("Merged_Account_Region_bucket"), F.lit("Found").alias("previous_StageName"))
-    starting = start.unionByName(found, allowMissingColumns=True)
+    null_s, null_d, null_f = F.lit(None).cast("string"), F.lit(None).cast("date"), F.lit(None).cast("double")
+    # one pass: a deal gives its anchor-snapshot row and/or its found row (a found row keeps only
+    # the columns the starting tab has; its current-stage column differs in case, so it stays empty)
+    start_row = F.struct(
+        _link("Id", "s_Name").alias("Name"), F.col("snap_Type").alias("Type"), F.col("s_SAO_Date").alias("SAO_Date"),
+        F.col("s_AccountId").alias("AccountId"), F.col("previous_StageName").alias("previous_StageName"),
+        F.col("previous_CloseDate").alias("previous_CloseDate"), F.col("snap_QB_USD").alias("QB_USD"),
+        snap_bucket.alias("Region_Bucket_Account"), F.col("Current_StageName").alias("current_StageName"),
+        F.col("Current_QB_USD").alias("Current_QB_USD"), F.col("Current_Closedate").alias("Current_Closedate"),
+        F.col("region_bucket_opp_owner").alias("region_bucket_opp_owner"),
+        snap_bucket.alias("Merged_Account_Region_bucket"))
+    found_row = F.struct(
+        _link("Id", "cur_Name").alias("Name"), F.col("cur_Type").alias("Type"), F.col("cur_SAO_Date").alias("SAO_Date"),
+        F.lit(None).cast("long").alias("AccountId"), F.lit("Found").alias("previous_StageName"),
+        null_d.alias("previous_CloseDate"), null_f.alias("QB_USD"), null_s.alias("Region_Bucket_Account"),
+        null_s.alias("current_StageName"), F.col("Current_QB_USD").alias("Current_QB_USD"),
+        F.col("Current_Closedate").alias("Current_Closedate"), null_s.alias("region_bucket_opp_owner"),
+        F.col("cur_bucket").alias("Merged_Account_Region_bucket"))
+    rows = F.filter(F.array(F.when(F.col("in_snap"), start_row), F.when(F.col("in_found"), found_row)),
+                    lambda x: x.isNotNull())
+    starting = (w.where(F.col("in_snap") | F.col("in_found"))
+                 .select(F.col("Id").alias("id"), F.explode(rows).alias("r")).select("id", "r.*"))
 
     def today_cols(df: DataFrame) -> DataFrame:
         return df.select(
