@@ -5,7 +5,7 @@ from __future__ import annotations
 from pipewright.functions import dims
 from pipewright.functions.periods import ReportParams
 from pipewright.oracle.fixtures import _lit, views
-from pipewright.oracle.scorecard_sql import D, _in
+from pipewright.oracle.scorecard_sql import _in
 from pipewright.plans import accounts, enrich
 
 CURRENCY_FIELDS = ["ACV_Bookings", "Amount", "ExpectedRevenue", "Software_QB", "RW_Expansion_Amount",
