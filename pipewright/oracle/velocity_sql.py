@@ -26,7 +26,8 @@ def _share(m: str, md: str) -> str:
 
 def tis_ctes(p: ReportParams) -> str:
     cols = "Opp_Owner_Manager, Opp_Id, Opp_Name, Product, QB_USD, Opp_Owner, StageName, Category, Type"
-    spans = ",\n         ".join(f"date_diff('day', {start}, {end}) AS d{i}" for i, (_, end, start) in enumerate(STAGE_SPANS))
+    spans = ",\n         ".join(f"CAST(date_diff('day', {start}, {end}) AS INTEGER) AS d{i}"
+                                  for i, (_, end, start) in enumerate(STAGE_SPANS))
     union = "\nUNION ALL\n".join(f"SELECT {cols}, '{label}' AS Stage, d{i} AS Days FROM opps"
                                  for i, (label, _, _) in enumerate(STAGE_SPANS))
     return views("opportunity", "users", "currency", "rep_group", with_product=True) + f""",
