@@ -86,16 +86,20 @@ def scorecard_report(spark: SparkSession, sf_dir: str, p: ReportParams,
     the prior-year renewal rows, stage mix, top deals, the enriched raw data,
     rep activities, win rates and deal velocity."""
     from pipewright.plans import activity, scorecard, velocity
-    owner = scorecard.owner_scorecard(spark, sf_dir, p)
+    # every deal tab reads the same enriched deals: computed once, checkpointed to the shared folder
+    from pipewright.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    base = scorecard.opps_enriched(spark, sf_dir, p).checkpoint(eager=True)
+    owner = scorecard.owner_scorecard(spark, sf_dir, p, base=base)
     return {
         "scorecard_Y": owner.where(F.col("period") == "Y").drop("period"),
         "scorecard_Q": owner.where(F.col("period") == "Q").drop("period"),
-        "renewal_rows": scorecard.renewal_rows(spark, sf_dir, p),
-        "top_deals": scorecard.top_deals(spark, sf_dir, p),
-        "stage_mix": scorecard.stage_mix(spark, sf_dir, p),
-        "raw_data": scorecard.opps_enriched(spark, sf_dir, p),
+        "renewal_rows": scorecard.renewal_rows(spark, sf_dir, p, base=base),
+        "top_deals": scorecard.top_deals(spark, sf_dir, p, base=base),
+        "stage_mix": scorecard.stage_mix(spark, sf_dir, p, base=base),
+        "raw_data": base,
         "rep_activities": activity.activities_wide(spark, sf_dir, activity_params or p),
-        "win_rates": scorecard.rep_win_rates(spark, sf_dir, p),
+        "win_rates": scorecard.rep_win_rates(spark, sf_dir, p, base=base),
         "deal_velocity": velocity.velocity_compare(spark, sf_dir, p),
     }
 

@@ -137,10 +137,10 @@ def renewal_scorecard(spark: SparkSession, sf_dir: str, p: ReportParams, base: D
         safe_ratio(F.col("fc"), F.col("avail")).alias("Projected_price_increase_capture"))
 
 
-def renewal_rows(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
+def renewal_rows(spark: SparkSession, sf_dir: str, p: ReportParams, base: DataFrame | None = None) -> DataFrame:
     """The deals behind the prior-year renewal scorecard (its raw-data tab)."""
     s, e = p.periods()["Y"]
-    base = opps_enriched(spark, sf_dir, p)
+    base = base if base is not None else opps_enriched(spark, sf_dir, p)
     return base.where(in_window(F.col("Cohort_Close_Date"), s, e) & in_set(F.col("Category"), dims.RENEWAL_CATEGORIES))
 
 
@@ -154,9 +154,9 @@ def sao_scorecard(spark: SparkSession, sf_dir: str, p: ReportParams, base: DataF
         usd(cond_sum(F.lit(True), money(F.col("QB")))).alias("pipe_created"))
 
 
-def owner_scorecard(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
+def owner_scorecard(spark: SparkSession, sf_dir: str, p: ReportParams, base: DataFrame | None = None) -> DataFrame:
     """Renewal scorecard with the SAO measures beside it, fixed column order."""
-    base = opps_enriched(spark, sf_dir, p, with_account=False)
+    base = base if base is not None else opps_enriched(spark, sf_dir, p, with_account=False)
     ren = renewal_scorecard(spark, sf_dir, p, base)
     sao = sao_scorecard(spark, sf_dir, p, base).withColumnsRenamed({"period": "s_period", "Owner_Name": "s_owner"})
     df = ren.join(sao, (ren.period == sao.s_period) & ren.Owner_Name.eqNullSafe(sao.s_owner), "left")
@@ -177,7 +177,8 @@ def _this_quarter_pipeline(base: DataFrame, p: ReportParams) -> DataFrame:
 DAYS_LIST_PREFIX = 12
 
 
-def stage_mix(spark: SparkSession, sf_dir: str, p: ReportParams, prefix_len: int = DAYS_LIST_PREFIX) -> DataFrame:
+def stage_mix(spark: SparkSession, sf_dir: str, p: ReportParams, prefix_len: int = DAYS_LIST_PREFIX,
+              base: DataFrame | None = None) -> DataFrame:
     """Open pipeline of this quarter per owner and stage.
 
     Days-in-stage is the list of each deal's days stale, ordered by deal id.
@@ -186,8 +187,8 @@ def stage_mix(spark: SparkSession, sf_dir: str, p: ReportParams, prefix_len: int
     ``prefix_len`` characters; a fixed-length prefix keeps the id order), then
     the pieces joined in range order. Values and counts add up across pieces.
     """
-    base = _this_quarter_pipeline(opps_enriched(spark, sf_dir, p, with_account=False), p)
-    base = base.where(not_in_set(F.col("Stage"), dims.STAGE_MIX_EXCLUDED))
+    base = base if base is not None else opps_enriched(spark, sf_dir, p, with_account=False)
+    base = _this_quarter_pipeline(base, p).where(not_in_set(F.col("Stage"), dims.STAGE_MIX_EXCLUDED))
     sd = dims.stage_dim(spark).withColumnRenamed("stage", "Stage_Name")
     df = base.join(F.broadcast(sd), base.Stage == sd.Stage_Name, "left")
     keys = ["Owner_Name", "Stage_Name", "stage_rank"]
@@ -210,14 +211,16 @@ def stage_mix(spark: SparkSession, sf_dir: str, p: ReportParams, prefix_len: int
             .orderBy(F.asc_nulls_last("Owner_Name"), F.desc_nulls_last("stage_rank")))
 
 
-def top_deals(spark: SparkSession, sf_dir: str, p: ReportParams, n: int = dims.TOP_DEALS_PER_OWNER) -> DataFrame:
+def top_deals(spark: SparkSession, sf_dir: str, p: ReportParams, n: int = dims.TOP_DEALS_PER_OWNER,
+              base: DataFrame | None = None) -> DataFrame:
     """The ``n`` largest open deals of this quarter per owner.
 
     Ties on amount go to the larger deal id (the reports keep the last rows of
     an ascending sort; the id makes that order total).
     """
-    base = _this_quarter_pipeline(opps_enriched(spark, sf_dir, p, with_account=False), p)
-    base = base.where(not_in_set(F.col("Stage"), dims.CLOSED_STAGES + dims.TOP_DEALS_EXCLUDED))
+    base = base if base is not None else opps_enriched(spark, sf_dir, p, with_account=False)
+    base = _this_quarter_pipeline(base, p).where(
+        not_in_set(F.col("Stage"), dims.CLOSED_STAGES + dims.TOP_DEALS_EXCLUDED))
     ranked = top_n(base, ["Owner_Name"], [F.desc("QB"), F.desc("OppId")], n, "rank")
     return (ranked.select(
                 F.col("Owner_Name").alias("Opportunity_Owner"),
@@ -233,10 +236,11 @@ def top_deals(spark: SparkSession, sf_dir: str, p: ReportParams, n: int = dims.T
             .orderBy(F.asc_nulls_last("Opportunity_Owner"), "rank"))
 
 
-def rep_win_rates(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
+def rep_win_rates(spark: SparkSession, sf_dir: str, p: ReportParams, base: DataFrame | None = None) -> DataFrame:
     """Wins, losses, win rate and won USD per role and owner in the grading window."""
     s, e = p.unit
-    base = opps_enriched(spark, sf_dir, p, with_account=False).where(in_window(F.col("Cohort_Close_Date"), s, e)
+    base = base if base is not None else opps_enriched(spark, sf_dir, p, with_account=False)
+    base = base.where(in_window(F.col("Cohort_Close_Date"), s, e)
                                                  & F.col("SAO_Date").isNotNull())
     agg = base.groupBy("User_Role", "Owner_Name").agg(
         cond_count(F.col("Stage") == dims.STAGE_CLOSED_WON).alias("Wins"),
