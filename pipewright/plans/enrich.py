@@ -47,22 +47,41 @@ def _lookup(mapping: dict | DataFrame | Column, key: Column) -> Column:
 
 
 # ------------------------------------------------------------------- W01
+def with_converted_currency(df: DataFrame, currency: DataFrame, iso_col: str = "CurrencyIsoCode") -> DataFrame:
+    """Add ``<field>_Converted`` (USD) for every field whose metadata marks it as
+    currency, using the row's currency code. Works on any object table; the
+    currency table (one row per code) is broadcast."""
+    fields = currency_fields(df)
+    if not fields:
+        return df
+    ct = currency.select(F.col("IsoCode").alias("__iso"), F.col("ConversionRate").alias("__rate"))
+    joined = df.join(F.broadcast(ct), df[iso_col] == ct["__iso"], "left")
+    conv = [(F.col(f"`{f}`") / F.col("__rate")).alias(f"{f}_Converted") for f in fields]
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], *conv)
+
+
+def with_clean_names(df: DataFrame) -> DataFrame:
+    """Rename every column to a warehouse-safe name (see ``text.clean_name``)."""
+    return df.toDF(*clean_names(df.columns))
+
+
+def extract_object(obj: DataFrame, currency: DataFrame, clean: bool = True) -> DataFrame:
+    """All fields of one CRM object, plus converted currency fields, names cleaned."""
+    out = with_converted_currency(obj, currency)
+    return with_clean_names(out) if clean else out
+
+
 def ingest_converted(spark: SparkSession, sf_dir: str, p: ReportParams | None = None) -> DataFrame:
     """The opportunity object with related names, a ``<field>_Converted``
     USD column for every field whose metadata marks it as currency, and names
     cleaned for a warehouse table."""
     o = crm.opportunity(spark, sf_dir)
-    fields = currency_fields(o)
     a = crm.account(spark, sf_dir).select(F.col("Id").alias("__a_id"), F.col("Name").alias("Account.Name"))
     u = crm.user(spark, sf_dir).select(F.col("Id").alias("__u_id"), F.col("Name").alias("Owner Name"))
-    ct = crm.currency(spark, sf_dir)
-    df = (o.join(a, o.AccountId == a["__a_id"], "left")
-           .join(u, o.OwnerId == u["__u_id"], "left")
-           .join(F.broadcast(ct), o.CurrencyIsoCode == ct.IsoCode, "left"))
-    cols = [F.col(f"`{c}`") for c in o.columns] + [F.col("`Account.Name`"), F.col("`Owner Name`")]
-    conv = [(F.col(f) / F.col("ConversionRate")).alias(f"{f}_Converted") for f in fields]
-    out = df.select(*cols, *conv)
-    return out.toDF(*clean_names(out.columns))
+    obj = (o.join(a, o.AccountId == a["__a_id"], "left")
+            .join(u, o.OwnerId == u["__u_id"], "left")
+            .select(*[F.col(f"`{c}`") for c in o.columns], F.col("`Account.Name`"), F.col("`Owner Name`")))
+    return extract_object(obj, crm.currency(spark, sf_dir))
 
 
 def extract_and_load(spark: SparkSession, sf_dir: str, path: str) -> None:

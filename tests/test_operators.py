@@ -81,3 +81,15 @@ def test_classify_with_dimension_table(spark):
     assert r == {"1": "fx;fy", "2": "fx"}
     p = classify(df, dim)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in p
+
+
+def test_extract_object_generic(spark):
+    from pipewright.plans.enrich import extract_object
+    obj = spark.createDataFrame([("x", 10.0, "EUR", 3), ("y", None, "USD", 4)],
+                                "`Line Name` string, Price double, CurrencyIsoCode string, Qty int")
+    obj = obj.select(F.col("`Line Name`"), F.col("Price").alias("Price", metadata={"type": "currency"}),
+                     "CurrencyIsoCode", "Qty")
+    cur = spark.createDataFrame([("EUR", 0.8), ("USD", 1.0)], "IsoCode string, ConversionRate double")
+    out = extract_object(obj, cur)
+    assert out.columns == ["Line_Name", "Price", "CurrencyIsoCode", "Qty", "Price_Converted"]
+    assert {r.Line_Name: r.Price_Converted for r in out.collect()} == {"x": 12.5, "y": None}
