@@ -16,10 +16,21 @@ def test_every_query_has_an_oracle_or_is_listed():
     assert rows_only == {"flatten_nested"}
 
 
+SPARK_TO_DUCK = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
+                 "StringType()": "VARCHAR", "DateType()": "DATE", "BooleanType()": "BOOLEAN",
+                 "TimestampNTZType()": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_parity_sf0001(spark, duck001, name):
-    r = compare(QUERIES[name](spark, SF001), duck001, ORACLES[name])
+    df = QUERIES[name](spark, SF001)
+    r = compare(df, duck001, ORACLES[name])
     assert r["ok"], r
+    # same column types too (the external check compares schemas)
+    st = {f.name: SPARK_TO_DUCK.get(repr(f.dataType), repr(f.dataType)) for f in df.schema.fields}
+    rel = duck001.sql(ORACLES[name])
+    dt = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert st == dt, {c: (st.get(c), dt.get(c)) for c in set(st) | set(dt) if st.get(c) != dt.get(c)}
 
 
 @pytest.mark.parametrize("name", ["pipeline_outcome", "coverage_by_region", "renewal_scorecard", "team_velocity"])
@@ -33,17 +44,3 @@ def test_flatten_rows(spark):
     assert df.columns[0] == "label" and "_embedding" in df.columns
     assert df.count() == spark.read.parquet(f"{SF001}/embeddings.parquet").count()
 
-
-SPARK_TO_DUCK = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
-                 "StringType()": "VARCHAR", "DateType()": "DATE", "BooleanType()": "BOOLEAN",
-                 "TimestampNTZType()": "TIMESTAMP"}
-
-
-def test_column_types_match_oracle(spark, duck001):
-    """Same column types on both sides (the external check compares schemas too)."""
-    for name, sql in ORACLES.items():
-        st = {f.name: SPARK_TO_DUCK.get(repr(f.dataType), repr(f.dataType))
-              for f in QUERIES[name](spark, SF001).schema.fields}
-        rel = duck001.sql(sql)
-        dt = {c: str(t) for c, t in zip(rel.columns, rel.types)}
-        assert st == dt, (name, {c: (st.get(c), dt.get(c)) for c in set(st) | set(dt) if st.get(c) != dt.get(c)})
