@@ -155,7 +155,7 @@ def coverage_wide(spark: SparkSession, sf_dir: str, p: ReportParams, opportunity
     cur = lambda c: F.when(F.col("today"), F.col(c))
     return w.select(
         F.coalesce("s_Id", "Id").alias("Id"),
-        "in_snap", "in_new", "in_pulled", "in_total", "in_found",
+        "in_snap", "in_new", "in_pulled", "in_total", "in_found", "pulled_any",
         F.col("s_Type").alias("snap_Type"),
         F.col("bucket").alias("snap_bucket_raw"),
         F.col("Type").alias("cur_Type"),
@@ -303,3 +303,12 @@ def v2_tabs(spark: SparkSession, sf_dir: str, p: ReportParams) -> dict[str, Data
         "Current_QB_USD", "Current_StageName")
     return {"starting_pipeline": starting, "pulled_in": today_cols(w.where(F.col("in_pulled"))),
             "new_pipe": new, "total_won": total_won}
+
+
+def pulled_not_forecast(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
+    """Deals pulled into the quarter but never forecast in it: v2 leaves them out of
+    Pulled In while still counting them as known, so their wins show only in Total Won."""
+    w = coverage_wide(spark, sf_dir, p)
+    return w.where(F.col("pulled_any") & ~F.col("in_pulled")).select(
+        "Id", F.col("cur_Type").alias("Type"), F.col("cur_bucket").alias("Merged_Account_Region_bucket"),
+        "Current_StageName", "Current_QB_USD", "Current_Closedate")

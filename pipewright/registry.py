@@ -89,6 +89,7 @@ def _v2(tab: str):
 
 for _tab in ["starting_pipeline", "pulled_in", "new_pipe", "total_won"]:
     register(f"v2_{_tab}", _v2(_tab), coverage_sql.v2_tab(PARAMS, _tab))
+register("v2_pulled_not_forecast", _p(coverage.pulled_not_forecast), coverage_sql.pulled_not_forecast(PARAMS))
 
 register("time_in_stage", _p(velocity.time_in_stage), velocity_sql.time_in_stage(PARAMS))
 register("team_velocity", _p(velocity.team_velocity), velocity_sql.team_velocity(PARAMS))
