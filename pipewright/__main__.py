@@ -1,4 +1,4 @@
-"""Command line jobs (``spark-submit -m pipewright <job> ...`` or ``python -m pipewright``).
+"""Command line jobs (``python -m pipewright <job> ...`` or ``spark-submit pipewright/__main__.py <job> ...``).
 
 report      quarter pipeline report: movement outcome and seed, coverage tabs, header
 scorecards  account-manager review: scorecards, stage mix, top deals, activities, win rates, velocity
