@@ -1,6 +1,7 @@
 """Command line jobs (``python -m pipewright <job> ...`` or ``spark-submit pipewright/__main__.py <job> ...``).
 
-report      quarter pipeline report: movement outcome and seed, coverage tabs, header
+land        land deals and snapshots bucketed by deal id (and the change log) as catalog tables
+report      quarter pipeline report: movement outcome and seed, coverage tabs, header (--tables: landed)
 scorecards  account-manager review: scorecards, stage mix, top deals, activities, win rates, velocity
 merge       audited keyed update / upsert of any table: before image, results, merged table, notes
 
@@ -31,6 +32,15 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     r.add_argument("--refreshed-at", default="")
     r.add_argument("--profile", default="cluster", choices=["local", "cluster"])
+    r.add_argument("--tables", default=None, help="database of landed tables (see the land job) to read instead")
+    ld = sub.add_parser("land", help="land deals and snapshots bucketed by deal id, and the change log")
+    ld.add_argument("--input", required=True)
+    ld.add_argument("--database", default="crm")
+    ld.add_argument("--buckets", type=int, required=True)
+    ld.add_argument("--anchor", required=True, type=dt.date.fromisoformat)
+    ld.add_argument("--rpt-date", required=True, type=dt.date.fromisoformat,
+                    help="snapshots are landed from the anchor to the end of this date's quarter")
+    ld.add_argument("--profile", default="cluster", choices=["local", "cluster"])
     sc = sub.add_parser("scorecards", help="write the account-manager review tabs")
     sc.add_argument("--input", required=True)
     sc.add_argument("--out", required=True)
@@ -56,7 +66,13 @@ def main(argv: list[str] | None = None) -> None:
     spark = get_spark(profile=a.profile)
     if a.cmd == "report":
         p = ReportParams(rpt_date=a.rpt_date, anchor=a.anchor, refreshed_at=a.refreshed_at)
-        written = report.run_quarter_report(spark, a.input, p, a.out, preset=a.preset, fmt=a.format)
+        inputs = report.landed_inputs(spark, a.tables) if a.tables else None
+        written = report.run_quarter_report(spark, a.input, p, a.out, preset=a.preset, fmt=a.format, inputs=inputs)
+    elif a.cmd == "land":
+        from pipewright.sources import crm, landing
+        p = ReportParams(rpt_date=a.rpt_date, anchor=a.anchor)
+        written = landing.land_crm(spark, a.input, a.buckets, crm.weekly_snapshot_dates(p.anchor, p.q_end),
+                                   database=a.database)
     elif a.cmd == "scorecards":
         p = ReportParams(rpt_date=a.rpt_date, anchor=a.rpt_date, compare=a.compare, stale_origin=a.stale_origin,
                          velocity_since=a.velocity_since)

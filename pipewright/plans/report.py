@@ -12,26 +12,36 @@ from pipewright.plans import coverage, movement
 from pipewright.sources import sinks
 
 
+def landed_inputs(spark: SparkSession, database: str) -> dict[str, DataFrame]:
+    """The landed CRM tables of ``sources.landing.land_crm`` as plan inputs."""
+    return {"opportunity": spark.table(f"{database}.opportunity"), "snapshots": spark.table(f"{database}.history"),
+            "changes": spark.table(f"{database}.field_history")}
+
+
 def movement_report(spark: SparkSession, sf_dir: str, p: ReportParams, preset: str = "v3",
-                    materialize: bool = False) -> dict[str, DataFrame]:
+                    materialize: bool = False, inputs: dict | None = None) -> dict[str, DataFrame]:
     """Tabs of the quarter pipeline report.
 
     With ``materialize`` the per-deal wide table is checkpointed first, so
-    writing both tabs reads the sources once.
+    writing both tabs reads the sources once. ``inputs``: landed tables.
     """
-    m = movement.movement(spark, sf_dir, p, preset)
+    if preset not in movement.PRESETS:
+        raise ValueError(f"unknown rule set {preset!r}")
+    m = movement.Movement(spark, sf_dir, p, movement.PRESETS[preset], **(inputs or {}))
     if materialize:
         m.checkpoint()
     return {"pivot_data": m.outcome(), "raw_data": m.seed()}
 
 
 def run_quarter_report(spark: SparkSession, sf_dir: str, p: ReportParams, out_dir: str,
-                       preset: str = "v3", fmt: str = "parquet") -> list[str]:
-    """Job: compute the quarter report once and write every tab and the header."""
+                       preset: str = "v3", fmt: str = "parquet", inputs: dict | None = None) -> list[str]:
+    """Job: compute the quarter report once and write every tab and the header.
+
+    ``inputs``: landed tables (``landed_inputs``) instead of the derived views."""
     from pipewright.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
-    tabs = movement_report(spark, sf_dir, p, preset, materialize=True)
-    cov = coverage.coverage_by_region(spark, sf_dir, p).checkpoint(eager=True)
+    tabs = movement_report(spark, sf_dir, p, preset, materialize=True, inputs=inputs)
+    cov = coverage.coverage_by_region(spark, sf_dir, p, **(inputs or {})).checkpoint(eager=True)
     tabs.update(coverage.coverage_tables(cov))
     return export_report(tabs, report_meta(spark, p), out_dir, fmt)
 
