@@ -10,8 +10,9 @@ number), produce:
   for the same key exists; the last one wins).
 
 The change set is reduced to one row per key (and per-key counts) by an
-aggregation first, so a key repeated many times is combined map-side and
-every later join is between tables unique on the key.
+aggregation first, so a key repeated many times is combined map-side; the
+per-row outcome joins the rows of such hot keys map-side (broadcast of a
+provably small table) and the rest through a shuffle.
 """
 
 from __future__ import annotations
@@ -23,19 +24,40 @@ from pipewright.functions.dims import NOTES_LIMIT
 from pipewright.functions.text import truncate_notes
 
 
+# a key with more change rows than this is joined map-side (see merge_outcomes)
+HOT_KEY_ROWS = 1_000_000
+
+
 def _latest(changes: DataFrame, key: str, seq: str, value_cols: list[str]) -> DataFrame:
     return changes.groupBy(key).agg(
         F.max_by(F.struct(*[F.col(c) for c in value_cols]), F.col(seq)).alias("__last"),
-        F.max(seq).alias("__max_seq"))
+        F.max(seq).alias("__max_seq"),
+        F.count(F.lit(1)).alias("__n"))
 
 
-def merge_outcomes(target: DataFrame, changes: DataFrame, key: str, seq: str, mode: str = "upsert") -> DataFrame:
-    """Per change row: key, seq, outcome."""
+def merge_outcomes(target: DataFrame, changes: DataFrame, key: str, seq: str, mode: str = "upsert",
+                   hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Per change row: key, seq, outcome.
+
+    Each change row needs its key's latest sequence number and target row
+    (one row per key, ``info``). Keys with more than ``hot_key_rows`` change
+    rows are split off: there are at most (change rows / hot_key_rows) of
+    them, so their info is broadcast and their rows join map-side, spread
+    over every task that holds them. All other keys join through a shuffle in
+    which no key holds more than ``hot_key_rows`` rows.
+    """
     value_cols = [c for c in changes.columns if c not in (key, seq)]
-    last = _latest(changes, key, seq, value_cols).select(F.col(key).alias("__k"), "__max_seq")
+    last = _latest(changes, key, seq, value_cols)
     t = target.select(F.col(key).alias("__t"), *[F.col(c).alias(f"__t_{c}") for c in value_cols])
-    df = (changes.join(last, changes[key] == last["__k"], "left")
-                 .join(t, changes[key] == t["__t"], "left"))
+    info = (last.select(F.col(key).alias("__k"), "__max_seq", "__n")
+                .join(t, F.col("__k") == F.col("__t"), "left"))
+    hot = F.broadcast(info.where(F.col("__n") > hot_key_rows))
+    hot_keys = hot.select(F.col("__k").alias("__hk"))
+    rows_hot = changes.join(hot_keys, changes[key] == F.col("__hk"), "left_semi")
+    rows_cold = changes.join(hot_keys, changes[key] == F.col("__hk"), "left_anti")
+    cold = info.where(F.col("__n") <= hot_key_rows)
+    df = (rows_hot.join(hot, rows_hot[key] == hot["__k"], "left")
+          .unionByName(rows_cold.join(cold, rows_cold[key] == cold["__k"], "left")))
     same = F.lit(True)
     for c in value_cols:
         same = same & F.col(c).eqNullSafe(F.col(f"__t_{c}"))
@@ -66,8 +88,9 @@ def merged_table(target: DataFrame, changes: DataFrame, key: str, seq: str, mode
 
 
 def before_image(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """Target rows a change set touches (to revert from)."""
-    ks = changes.select(F.col(key).alias("__k"))
+    """Target rows a change set touches (to revert from); the change keys are
+    made distinct first (combined map-side), so a repeated key is one row."""
+    ks = changes.select(F.col(key).alias("__k")).distinct()
     return target.join(ks, target[key] == ks["__k"], "left_semi")
 
 
