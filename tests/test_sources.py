@@ -113,3 +113,13 @@ def test_cli_scorecards_and_merge(spark):
     assert len(spark.read.parquet(os.path.join(out, "notes")).collect()[0].notes) == 49_999
     merged = spark.read.parquet(os.path.join(out, "merged")).count()
     assert merged == accounts.merged_accounts(spark, SF001).count()
+
+
+def test_movement_checkpoint_keeps_results(spark):
+    from pipewright.plans.movement import V3, Movement
+    lazy = Movement(spark, SF001, PARAMS, V3)
+    ck = Movement(spark, SF001, PARAMS, V3).checkpoint()
+    key = lambda r: repr(tuple(r))
+    assert sorted(map(tuple, ck.outcome().collect()), key=key) == sorted(map(tuple, lazy.outcome().collect()), key=key)
+    plan = ck.outcome()._jdf.queryExecution().executedPlan().toString()
+    assert "orders.parquet" not in plan          # reads the checkpoint, not the sources
