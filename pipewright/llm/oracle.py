@@ -25,8 +25,8 @@ def quality_rules() -> str:
                        f"and 100 * f.{num} > b.cutoff * f.{den})" for r, (num, den, _) in RULES.items())
     return rf"""
 with words as (select doc_id, coalesce(lang, 'und') as stratum, coalesce(text, '') as text,
-    list_filter(regexp_split_to_array(coalesce(text, ''), '{_WS}+'), x -> x <> '') as w,
-    list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+    list_filter(regexp_split_to_array(coalesce(text, ''), '{_WS}+'), lambda x: x <> '') as w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
     from documents),
 windows as (select doc_id, unnest(range(1, len(w) - 1)) as i, w from words where len(w) > 2),
 grams as (select doc_id, i, w[i] || ' ' || w[i+1] || ' ' || w[i+2] as g from windows),
