@@ -52,4 +52,23 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
-SQL: dict[str, str] = {"op4_line_dedup": LINE_DEDUP, "op6_quality_rules": quality_rules()}
+NEAR_DEDUP = rf"""
+with recursive w as (select doc_id, list_filter(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '{_WS}+'),
+    lambda x: x <> '') as w from documents),
+grams as (select distinct doc_id, g from (select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 3 then
+    [array_to_string(w, ' ')] else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2]) end) as g
+    from w)),
+sizes as (select doc_id, count(*) as n from grams group by doc_id),
+common as (select x.doc_id as a, y.doc_id as b, count(*) as k from grams x join grams y on x.g = y.g and x.doc_id < y.doc_id
+           group by all),
+links as (select a, b from common join sizes s on s.doc_id = a join sizes t on t.doc_id = b
+          where 100 * k >= 85 * (s.n + t.n - k)),
+edges as (select a, b from links union select b, a from links),
+reach(node, root) as (select doc_id, doc_id from documents union select r.node, e.b from reach r join edges e on e.a = r.root),
+comp as (select node, min(root) as c from reach group by node)
+select d.doc_id, coalesce(s.n, 0)::bigint as n_shingles, c.c as component_id, d.doc_id = c.c as kept
+from documents d left join sizes s using (doc_id) join comp c on c.node = d.doc_id
+"""
+
+SQL: dict[str, str] = {"op4_line_dedup": LINE_DEDUP, "op6_quality_rules": quality_rules(),
+                      "op10_minhash_near_dedup": NEAR_DEDUP}

@@ -28,9 +28,16 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pipewright.llm.minhash_join import near_duplicates
+    d = near_duplicates(documents(spark, sf_dir), width=3, percent=85)
+    return d.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
 
