@@ -70,5 +70,22 @@ select d.doc_id, coalesce(s.n, 0)::bigint as n_shingles, c.c as component_id, d.
 from documents d left join sizes s using (doc_id) join comp c on c.node = d.doc_id
 """
 
+DECONTAMINATION = rf"""
+with d as (select doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') as w from documents),
+b as (select item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') as w from benchmark),
+bm as (select *, least(10, len(w)) as m from b where len(w) > 0),
+win as (select distinct item_id, m, array_to_string(w[i:i+m-1], ' ') as g from (select *, unnest(range(1, len(w) - m + 2)) as i from bm)),
+lens as (select distinct m from win),
+dw as (select doc_id, m, i, array_to_string(w[i:i+m-1], ' ') as g
+       from (select doc_id, w, m, unnest(range(1, len(w) - m + 2)) as i from d, lens)),
+found as (select doc_id, i, m, item_id from dw join win using (m, g)),
+hits as (select doc_id, count(distinct p) as n from (select doc_id, unnest(range(i, i + m)) as p from found) group by doc_id),
+items as (select doc_id, count(*) as n, string_agg(item, ',' order by item) as ids
+          from (select distinct doc_id, item_id::varchar as item from found) group by doc_id)
+select d.doc_id, len(d.w)::bigint as n_words, coalesce(hits.n, 0)::bigint as n_hit, coalesce(items.n, 0)::bigint as n_items,
+       sha256(coalesce(items.ids, '')) as items_sha256, coalesce(hits.n, 0) > 0 as contaminated
+from d left join hits using (doc_id) left join items using (doc_id)
+"""
+
 SQL: dict[str, str] = {"op4_line_dedup": LINE_DEDUP, "op6_quality_rules": quality_rules(),
-                      "op10_minhash_near_dedup": NEAR_DEDUP}
+                      "op7_decontamination": DECONTAMINATION, "op10_minhash_near_dedup": NEAR_DEDUP}

@@ -28,6 +28,14 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pipewright.llm.decontaminate import contamination
+    c = contamination(documents(spark, sf_dir).select("doc_id", "text"), _read(spark, sf_dir, "benchmark"))
+    ids = F.concat_ws(",", F.sort_array("items"))
+    return c.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                    F.sha2(ids.cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pipewright.llm.minhash_join import near_duplicates
     d = near_duplicates(documents(spark, sf_dir), width=3, percent=85)
@@ -37,6 +45,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op7_decontamination": op7_decontamination,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
