@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame) -> DataFrame:
+    """Like ``cut`` as a Parquet table in the same folder: compressed and column-pruned, for results with whole texts."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def fold(col: Column, mod: int) -> Column:
     """crc32 of the id's text, modulo ``mod`` (null ids: as the empty text)."""
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % F.lit(mod)

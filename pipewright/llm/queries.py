@@ -36,6 +36,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(ids.cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pipewright.llm.packing import pack
+    return pack(documents(spark, sf_dir))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pipewright.llm.minhash_join import near_duplicates
     d = near_duplicates(documents(spark, sf_dir), width=3, percent=85)
@@ -46,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_decontamination": op7_decontamination,
+    "op9_packing": op9_packing,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
