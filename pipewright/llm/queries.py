@@ -15,6 +15,14 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op3_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pipewright.llm.quality_cnn import FOLDS, score, train
+    docs = documents(spark, sf_dir)
+    net = train(docs, _read(spark, sf_dir, "labels"))
+    return score(docs, net).select("doc_id", (fold(F.col("doc_id"), FOLDS) == 0).alias("held_out"), "score",
+                                   (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pipewright.llm.line_dedup import line_dedup
     d = line_dedup(documents(spark, sf_dir).select("doc_id", "text"))
@@ -36,6 +44,13 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(ids.cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pipewright.llm.language_id import FOLDS, HELD, predict, train
+    docs = documents(spark, sf_dir)
+    return predict(docs, train(docs)).select("doc_id", (fold(F.col("doc_id"), FOLDS) == HELD).alias("held_out"),
+                                             "lang_pred", "score")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pipewright.llm.packing import pack
     return pack(documents(spark, sf_dir))
@@ -48,9 +63,11 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality_cnn": op3_quality_cnn,
     "op4_line_dedup": op4_line_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_decontamination": op7_decontamination,
+    "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
