@@ -15,6 +15,19 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pipewright.llm.substring_dedup import substring_dedup
+    d = substring_dedup(documents(spark, sf_dir).select("doc_id", "text"))
+    return d.select(F.col("row.doc_id").alias("doc_id"), "n_sentences", "n_removed", "text")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pipewright.llm.toxicity import FOLDS, score, train
+    docs = documents(spark, sf_dir)
+    s = score(docs, train(docs, _read(spark, sf_dir, "labels")))
+    return s.select("*", (fold(F.col("doc_id"), FOLDS) == 0).alias("held_out"), (F.col("p_toxic") >= 0.5).alias("toxic"))
+
+
 def op3_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pipewright.llm.quality_cnn import FOLDS, score, train
     docs = documents(spark, sf_dir)
@@ -63,6 +76,8 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op2_toxicity": op2_toxicity,
     "op3_quality_cnn": op3_quality_cnn,
     "op4_line_dedup": op4_line_dedup,
     "op6_quality_rules": op6_quality_rules,
