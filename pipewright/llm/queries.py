@@ -43,6 +43,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pipewright.llm.lm_trie import lm_scores
+    return lm_scores(documents(spark, sf_dir))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pipewright.llm.quality_rules import rules
     r = rules(documents(spark, sf_dir), _read(spark, sf_dir, "labels"))
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_quality_cnn": op3_quality_cnn,
     "op4_line_dedup": op4_line_dedup,
+    "op5_lm_scores": op5_lm_scores,
     "op6_quality_rules": op6_quality_rules,
     "op7_decontamination": op7_decontamination,
     "op8_language_id": op8_language_id,
