@@ -203,7 +203,7 @@ def _score(shared):
                 if own:
                     w[i] = chain.weights[own].sum(axis=0)
             some = np.flatnonzero(w.any(axis=1)[word]) if len(word) else np.zeros(0, np.int64)
-            sums = np.stack([np.bincount(row[some], w[word[some], c], part.num_rows) for c in range(len(zero))], axis=1)
+            sums = np.stack([np.bincount(row[some], w[word[some], c], part.num_rows) for c in range(len(zero))], axis=1).astype(float)
             p = chain.probabilities(sums)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(p[:, c]) for c in range(len(zero)))],
                                              names=["doc_id", *(f"p_{c}" for c in chain.categories)])
