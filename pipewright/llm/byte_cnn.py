@@ -25,6 +25,7 @@ from pipewright.llm.common import slices
 
 TRAIN_WINDOWS = 6
 BATCH = 64
+MIN_STEPS = 400
 
 
 def window_starts(size: int, length: int, step: int) -> np.ndarray:
@@ -90,6 +91,7 @@ class ByteCnn:
         y = np.array(labels)
         rng = np.random.default_rng(seed)
         m = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.p.items()}
+        epochs = max(epochs, -(-MIN_STEPS // -(-len(x) // BATCH)))  # small samples are gone over more often
         t, total = 0, epochs * -(-len(x) // BATCH)
         for _ in range(epochs):
             order = rng.permutation(len(x))
