@@ -15,7 +15,7 @@ source set has no row for a key stays NULL, as in a merge of separate tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pipewright.functions import dims
@@ -96,7 +96,10 @@ def coverage_wide(spark: SparkSession, sf_dir: str, p: ReportParams, opportunity
           .select(F.col("Id").alias("s_Id"), F.col("Type").alias("s_Type"), F.col("ConversionRate").alias("s_rate"),
                   F.col("Name").alias("s_Name"), F.col("SAO_Date").alias("s_SAO_Date"),
                   F.col("AccountId").alias("s_AccountId"), F.col("StageName").alias("previous_StageName"),
-                  F.col("CloseDate").alias("previous_CloseDate")))
+                  F.col("CloseDate").alias("previous_CloseDate"))
+          # a deal may have several rows on the anchor day: each is a starting row, today's values count once
+          .withColumn("s_rn", F.row_number().over(Window.partitionBy("s_Id").orderBy(
+              "previous_CloseDate", "previous_StageName", "s_SAO_Date", "s_Name", "s_Type", "s_rate", "s_AccountId"))))
 
     # current deals (all of them: the snapshot rows read today's region and bookings)
     o = (opportunity if opportunity is not None else crm.opportunity(spark, sf_dir)).select(
@@ -146,7 +149,7 @@ def coverage_wide(spark: SparkSession, sf_dir: str, p: ReportParams, opportunity
                                       & (F.col("SAO_Date") < qe) & (F.col("CloseDate") <= qe)
                                       & (F.col("CloseDate") >= qs) & ~F.col("in_new")))
     w = w.withColumn("in_pulled", F.col("pulled_any") & F.col("f_Id").isNotNull())
-    w = w.withColumn("in_total", ok(F.col("today") & typ
+    w = w.withColumn("in_total", ok(F.col("today") & typ & (F.coalesce("s_rn", F.lit(1)) == 1)
                                     & ((F.col("StageName") == dims.STAGE_CLOSED_WON) | F.col("SAO_Date").isNotNull())
                                     & ~F.col("StageName").isin(dims.HOUSEKEEPING_STAGES)
                                     & (F.col("Cohort_Close_Date") >= qs) & (F.col("Cohort_Close_Date") < qe)))
