@@ -5,7 +5,9 @@ there on). A class is posted under each (coordinate, value) of the prefix of
 its signature: two signatures of n coordinates that agree on at least t agree
 on one of any n - t + 1, so the other coordinates need no posting. t lies
 ``SIGMAS`` standard deviations below the agreement expected at the similarity
-threshold.
+threshold. Postings are kept apart by size class: set sizes of a linked pair differ
+by at most the threshold, which is one step of the class scale, so a class is
+posted under its own step and the next one up and meets every size it can be linked with.
 
 1. Star pass: in each posting list every class meets the list's smallest one.
    Collisions are counted per pair; pairs whose full signatures agree on t
@@ -14,8 +16,8 @@ threshold.
 2. Skip pass: a list whose classes all lie in one component has nothing to
    add and is skipped. In the others only pairs of different components are
    compared, on signatures in memory, in the list of the pair's first common
-   prefix coordinate; those above t are confirmed on the full sets. Lists of
-   more than ``SPLIT`` classes are first posted again under a second
+   prefix coordinate; those above t are confirmed on the full sets. Lists with
+   more than ``SPLIT`` such pairs are first posted again under a second
    coordinate (a pair of the list agrees on t - 1 others, so the same prefix
    argument holds), which splits lists made by a common passage.
    Two classes of different components that agree on t coordinates meet in
@@ -44,9 +46,9 @@ from pyspark.sql import functions as F
 from pipewright.llm.common import cut, partitions, shingles, slices, word_hashes
 from pipewright.llm.components import components
 
-COORDS = 64
-SIGMAS = 4
-SPLIT = 512
+COORDS = 32
+SIGMAS = 4.5
+SPLIT = 200_000
 BROADCAST_IDS = 1_000_000  # ids (8 bytes each) that may be broadcast to find the texts of candidates
 _A, _B = np.random.default_rng(20240229).integers(0, 2**64 - 1, (2, COORDS), dtype=np.uint64)
 _A |= np.uint64(1)
@@ -88,15 +90,24 @@ def _sigs(col: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(col.to_pylist()), np.uint32).reshape(-1, COORDS)
 
 
-def _post(prefix: int):
+def _steps(n: np.ndarray, percent: int) -> np.ndarray:
+    """Size class: equal or neighbouring for sizes within ``percent`` of each other (the scale is a hair coarser)."""
+    return np.floor(np.log(n) / (math.log(100 / percent) * 1.0001)).astype(np.int64) if percent < 100 else n
+
+
+def _post(prefix: int, percent: int):
+    """Rows under (size step, coordinate, value); ``up`` marks the step above the row's own."""
     at = (np.arange(prefix, dtype=np.int64) << 32)[None, :]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 keys = _sigs(b.column("sig"))[:, :prefix].astype(np.int64) | at
+                keys |= (_steps(b.column("n").to_numpy(), percent) << 38)[:, None]
+                keys = np.concatenate([keys, keys + (1 << 38)], axis=1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.ravel()), pa.array(np.repeat(b.column("rep").to_numpy(), prefix))], names=["key", "rep"])
+                    [pa.array(keys.ravel()), pa.array(np.repeat(b.column("rep").to_numpy(), 2 * prefix)),
+                     pa.array(np.tile(np.repeat([False, True], prefix), b.num_rows))], names=["key", "rep", "up"])
     return run
 
 
@@ -106,7 +117,7 @@ def _repost(prefix: int):
         for b in batches:
             if not b.num_rows:
                 continue
-            own = b.column("key").to_numpy() >> 32
+            own = (b.column("key").to_numpy() >> 32) & 63
             j = (own[:, None] + 1 + np.arange(prefix)) % COORDS
             keys = np.take_along_axis(_sigs(b.column("sig")), j, axis=1).astype(np.int64) | (j << 32)
             idx = pa.array(np.repeat(np.arange(b.num_rows), prefix))
@@ -132,7 +143,8 @@ def _compare(keys: np.ndarray, comp: np.ndarray, rep: np.ndarray, n: np.ndarray,
              percent: int, least: int, prefix: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Pairs of one list (rows sorted by component) in different components that may be linked."""
     out, m = [], len(rep)
-    own = int(keys[0] >> 32)
+    own = int(keys[0] >> 32) & 63
+    low = _steps(n, percent) < int(keys[0] >> 38)  # two rows of the lower step meet in that step's list
     step = max(1, 2_000_000 // (COORDS * m))
     last = np.searchsorted(comp, comp, side="right")  # a row meets the rows of later components
     for a in range(0, m, step):
@@ -144,6 +156,7 @@ def _compare(keys: np.ndarray, comp: np.ndarray, rep: np.ndarray, n: np.ndarray,
         ok = (eq.sum(axis=2) >= least) & (comp[rows][:, None] != comp[None, lo:])
         nn = n[None, lo:], n[rows][:, None]
         ok &= 100 * np.minimum(*nn) >= percent * np.maximum(*nn)
+        ok &= ~(low[rows][:, None] & low[None, lo:])
         ok &= ~eq[:, :, :own].any(axis=2) if own else True  # else an earlier list has the pair
         i, j = np.nonzero(ok)
         if len(i):
@@ -233,10 +246,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     classes = cut(classes)
     reps = classes.where("rep is not null").select("rep", "n", "sig")
 
-    posts = reps.select("rep", "sig").mapInArrow(_post(prefix), "key long, rep long")
-    lists = posts.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("center")).where("size > 1")
-    lists = lists.withColumnRenamed("key", "__k")
-    shared = cut(posts.join(lists, posts["key"] == lists["__k"]).select("key", "rep", "size", "center"))
+    posts = reps.mapInArrow(_post(prefix, percent), "key long, rep long, up boolean")
+    lists = posts.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("center"), F.min("up").alias("up"))
+    lists = lists.where((F.col("size") > 1) & ~F.col("up")).select(F.col("key").alias("__k"), "center")
+    shared = cut(posts.join(lists, posts["key"] == lists["__k"]).select("key", "rep", "center"))
 
     # star pass
     stars = shared.where("rep <> center").groupBy(F.col("center").alias("a"), F.col("rep").alias("b")).agg(
@@ -249,18 +262,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     # skip pass
     lab = comp.select(F.col("node").alias("__n"), F.col("comp").alias("__c"))
-    marked = shared.join(lab, shared["rep"] == lab["__n"], "left").select(
-        "key", "rep", "size", F.coalesce("__c", "rep").alias("comp"))
-    mixed = marked.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select(
-        F.col("key").alias("__k"))
+    marked = shared.join(lab, shared["rep"] == lab["__n"], "left").select("key", "rep", F.coalesce("__c", "rep").alias("comp"))
+    mixed = marked.groupBy("key", "comp").agg(F.count("*").alias("m")).groupBy("key").agg(
+        ((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("cross"))
+    mixed = mixed.where("cross > 0").select(F.col("key").alias("__k"), "cross")
     rest = marked.join(mixed, marked["key"] == mixed["__k"]).drop("__k")
     rest = rest.join(reps.select(F.col("rep").alias("__r"), "n", "sig"), F.col("rep") == F.col("__r"))
-    rest = cut(rest.select("key", F.lit(0).cast("long").alias("key2"), "comp", "rep", "n", "sig", "size"))
-    large = rest.where(F.col("size") > SPLIT).mapInArrow(_repost(prefix), rest.schema)
+    rest = cut(rest.select("key", F.lit(0).cast("long").alias("key2"), "comp", "rep", "n", "sig", "cross"))
+    large = rest.where(F.col("cross") > SPLIT).mapInArrow(_repost(prefix), rest.schema)
     twice = large.groupBy("key", "key2").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
     twice = twice.select(F.col("key").alias("__k"), F.col("key2").alias("__k2"))
     large = large.join(twice, (large["key"] == twice["__k"]) & (large["key2"] == twice["__k2"]))
-    work = rest.where(F.col("size") <= SPLIT).unionByName(large.select(*rest.columns)).drop("size")
+    work = rest.where(F.col("cross") <= SPLIT).unionByName(large.select(*rest.columns)).drop("cross")
     work = work.repartition(partitions(docs.sparkSession), "key", "key2").sortWithinPartitions("key", "key2", "comp")
     more = work.mapInArrow(_lists(percent, least, prefix), "a long, b long").distinct()
     comp = components(links.union(_linked(more, docs, width, percent)))

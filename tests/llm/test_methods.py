@@ -90,9 +90,9 @@ def _brute_near(texts, width, percent):
     return {i: find(i) for i in ids}
 
 
-@pytest.mark.parametrize("split", [512, 3])
+@pytest.mark.parametrize("split", [200_000, 3])
 def test_near_duplicates(spark, monkeypatch, split):
-    """Near-copy groups, chains, a common passage in short texts, exact copies; large lists split at 3 classes too."""
+    """Near-copy groups, chains, a common passage in short texts, exact copies; large lists split at 3 pairs too."""
     monkeypatch.setattr(minhash_join, "SPLIT", split)
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
