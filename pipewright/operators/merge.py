@@ -5,14 +5,21 @@ number), produce:
 
 * the merged table (update: changed rows replaced; upsert: plus new keys),
 * the before image (target rows whose key the change set touches),
-* one outcome per change row: 'updated', 'unchanged', 'inserted',
-  'missing key' (update mode, key not in target) or 'superseded' (a later row
-  for the same key exists; the last one wins).
-
-The change set is reduced to one row per key (and per-key counts) by an
-aggregation first, so a key repeated many times is combined map-side; the
-per-row outcome joins the rows of such hot keys map-side (broadcast of a
-provably small table) and the rest through a shuffle.
+* one outcome per change row:
+  'no key'         the row has no key; it changes nothing
+  'ambiguous key'  several target rows have the key; none of them is changed
+  'superseded'     another row of the key wins
+  'updated', 'unchanged', 'inserted', 'missing key' (update mode, key not in the
+  target): the one row of the key that wins.
+
+The winner of a key is the row with the largest (sequence, values), so equal
+sequence numbers leave nothing to chance; of identical rows one wins. A column
+of the change set that the target lacks is an error.
+
+Change rows are counted per distinct row first and reduced to one winner per
+key, both combined map-side. Each distinct row then meets its key's winner in
+a join salted ``SALTS`` ways (the one-row-per-key side is repeated), whatever
+the key's frequency.
 """
 
 from __future__ import annotations
@@ -23,68 +30,64 @@ from pyspark.sql import functions as F
 from pipewright.functions.dims import NOTES_LIMIT
 from pipewright.functions.text import truncate_notes
 
+SALTS = 16
 
-# a key with more change rows than this is joined map-side (see merge_outcomes)
-HOT_KEY_ROWS = 1_000_000
 
+def _value_cols(target: DataFrame, changes: DataFrame, key: str, seq: str) -> list[str]:
+    cols = [c for c in changes.columns if c not in (key, seq)]
+    unknown = [c for c in [key, *cols] if c not in target.columns]
+    if unknown:
+        raise ValueError(f"the target has no column {', '.join(unknown)}")
+    return cols
 
-def _latest(changes: DataFrame, key: str, seq: str, value_cols: list[str]) -> DataFrame:
-    return changes.groupBy(key).agg(
-        F.max_by(F.struct(*[F.col(c) for c in value_cols]), F.col(seq)).alias("__last"),
-        F.max(seq).alias("__max_seq"),
-        F.count(F.lit(1)).alias("__n"))
 
+def _winners(target: DataFrame, changes: DataFrame, key: str, seq: str) -> DataFrame:
+    """One row per key of the change set: __k, __win (sequence and values), __rows in the target, __was (their values)."""
+    cols = _value_cols(target, changes, key, seq)
+    win = changes.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__k")).agg(
+        F.max(F.struct(seq, *cols)).alias("__win"))
+    was = target.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__t")).agg(
+        F.count(F.lit(1)).alias("__rows"), F.first(F.struct(F.lit(True).alias("__there"), *cols)).alias("__was"))
+    return win.join(was, F.col("__k") == F.col("__t"), "left").drop("__t")
 
-def merge_outcomes(target: DataFrame, changes: DataFrame, key: str, seq: str, mode: str = "upsert",
-                   hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """Per change row: key, seq, outcome.
 
-    Each change row needs its key's latest sequence number and target row
-    (one row per key, ``info``). Keys with more than ``hot_key_rows`` change
-    rows are split off: there are at most (change rows / hot_key_rows) of
-    them, so their info is broadcast and their rows join map-side, spread
-    over every task that holds them. All other keys join through a shuffle in
-    which no key holds more than ``hot_key_rows`` rows.
-    """
-    value_cols = [c for c in changes.columns if c not in (key, seq)]
-    last = _latest(changes, key, seq, value_cols)
-    t = target.select(F.col(key).alias("__t"), *[F.col(c).alias(f"__t_{c}") for c in value_cols])
-    info = (last.select(F.col(key).alias("__k"), "__max_seq", "__n")
-                .join(t, F.col("__k") == F.col("__t"), "left"))
-    hot = F.broadcast(info.where(F.col("__n") > hot_key_rows))
-    hot_keys = hot.select(F.col("__k").alias("__hk"))
-    rows_hot = changes.join(hot_keys, changes[key] == F.col("__hk"), "left_semi")
-    rows_cold = changes.join(hot_keys, changes[key] == F.col("__hk"), "left_anti")
-    cold = info.where(F.col("__n") <= hot_key_rows)
-    df = (rows_hot.join(hot, rows_hot[key] == hot["__k"], "left")
-          .unionByName(rows_cold.join(cold, rows_cold[key] == cold["__k"], "left")))
+def merge_outcomes(target: DataFrame, changes: DataFrame, key: str, seq: str, mode: str = "upsert") -> DataFrame:
+    """Per change row: key, seq, outcome."""
+    cols = _value_cols(target, changes, key, seq)
+    distinct = changes.groupBy(key, seq, *cols).agg(F.count(F.lit(1)).alias("__n"))
+    distinct = distinct.withColumn("__salt", F.pmod(F.xxhash64(seq, *cols), F.lit(SALTS)))
+    win = _winners(target, changes, key, seq).withColumn(
+        "__s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+    df = distinct.join(win, (distinct[key] == win["__k"]) & (distinct["__salt"] == win["__s"]), "left")
     same = F.lit(True)
-    for c in value_cols:
-        same = same & F.col(c).eqNullSafe(F.col(f"__t_{c}"))
-    in_target = F.col("__t").isNotNull()
-    outcome = (F.when(F.col(seq) < F.col("__max_seq"), F.lit("superseded"))
-                .when(in_target & same, F.lit("unchanged"))
-                .when(in_target, F.lit("updated"))
-                .when(F.lit(mode == "upsert"), F.lit("inserted"))
-                .otherwise(F.lit("missing key")))
-    return df.select(key, seq, outcome.alias("outcome"))
+    for c in cols:
+        same = same & F.col(f"__win.{c}").eqNullSafe(F.col(f"__was.{c}"))
+    won = (F.when(F.col("__rows").isNull(), F.lit("inserted" if mode == "upsert" else "missing key"))
+            .when(same, F.lit("unchanged")).otherwise(F.lit("updated")))
+    first = F.struct(seq, *cols).eqNullSafe(F.col("__win"))
+    rest = F.array_repeat(F.lit("superseded"), (F.col("__n") - F.when(first, 1).otherwise(0)).cast("int"))
+    every = (F.when(F.col(key).isNull(), F.array_repeat(F.lit("no key"), F.col("__n").cast("int")))
+              .when(F.col("__rows") > 1, F.array_repeat(F.lit("ambiguous key"), F.col("__n").cast("int")))
+              .when(first, F.concat(F.array(won), rest)).otherwise(rest))
+    return df.select(key, seq, F.explode(every).alias("outcome"))
 
 
 def merged_table(target: DataFrame, changes: DataFrame, key: str, seq: str, mode: str = "upsert") -> DataFrame:
-    """The target after applying the last change of each key."""
-    value_cols = [c for c in changes.columns if c not in (key, seq)]
-    last = _latest(changes, key, seq, value_cols).select(F.col(key).alias("__k"), "__last")
-    how = "full_outer" if mode == "upsert" else "left"
-    df = target.join(last, target[key] == last["__k"], how)
-    cols = [F.coalesce(target[key], F.col("__k")).alias(key)]
-    for c in target.columns:
-        if c == key:
-            continue
-        if c in value_cols:
-            cols.append(F.when(F.col("__k").isNotNull(), F.col(f"__last.{c}")).otherwise(target[c]).alias(c))
-        else:
-            cols.append(target[c])
-    return df.select(*cols)
+    """The target after applying the winning change of each key."""
+    cols = _value_cols(target, changes, key, seq)
+    win = _winners(target, changes, key, seq)
+    use = win.where(F.col("__rows") == 1).select("__k", "__win")
+    df = target.join(use, target[key] == use["__k"], "left")
+    there = F.col("__k").isNotNull()
+    out = df.select(*[F.when(there, F.col(f"__win.{c}")).otherwise(target[c]).alias(c) if c in cols else target[c]
+                      for c in target.columns])
+    if mode != "upsert":
+        return out
+    new = win.where(F.col("__rows").isNull())
+    types = dict(target.dtypes)
+    return out.unionByName(new.select(
+        F.col("__k").cast(types[key]).alias(key),
+        *[(F.col(f"__win.{c}") if c in cols else F.lit(None)).cast(types[c]).alias(c) for c in target.columns if c != key]))
 
 
 def before_image(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
@@ -102,19 +105,20 @@ def notes_table(spark, notes: str | None, limit: int = NOTES_LIMIT) -> DataFrame
 
 def run_audited_merge(spark, target: DataFrame, changes: DataFrame, key: str, seq: str, out_dir: str,
                       mode: str = "upsert", notes: str | None = None, fmt: str = "parquet") -> dict[str, str]:
-    """Job: write the before image, the change set, the per-row outcome, the
+    """Job: write the change set, the before image, the per-row outcome, the
     merged table and the notes under ``out_dir`` (one table each).
 
-    The before image is written first, from the target as it was; the merged
-    table goes to its own folder, so the target is never read and overwritten
-    by the same job.
+    The change set is written first and every other output is computed from
+    the written rows, so they cannot disagree; the merged table goes to its
+    own folder, so the target is never read and overwritten by the same job.
     """
     import os
 
     from pipewright.sources.sinks import write_table
-    out = {}
+    out = {"upload_file": os.path.join(out_dir, "upload_file")}
+    write_table(changes, out["upload_file"], fmt)
+    changes = spark.read.schema(changes.schema).format(fmt).load(out["upload_file"])
     parts = [("before_upload", before_image(target, changes, key)),
-             ("upload_file", changes),
              ("upload_results", merge_outcomes(target, changes, key, seq, mode)),
              ("merged", merged_table(target, changes, key, seq, mode))]
     nt = notes_table(spark, notes)

@@ -86,45 +86,47 @@ FROM opportunity"""
 
 
 ACCOUNT_CTES = f"""WITH acct AS (
-  SELECT c_custkey AS Id, c_name AS Name, c_mktsegment AS Segment, c_acctbal AS Balance FROM customer
+  SELECT c_custkey AS Id, c_name AS Name, c_mktsegment AS Segment, c_acctbal AS Balance
+  FROM customer, range(if(c_custkey % 101 = 0, 2, 1))
 ),
 changes AS (
-  SELECT c_custkey AS Id, c_name AS Name, c_mktsegment AS Segment, c_acctbal + CAST(100 AS DOUBLE) AS Balance,
-         1 AS seq FROM customer WHERE c_custkey % 7 = 0
-  UNION ALL SELECT c_custkey, c_name, c_mktsegment, c_acctbal + CAST(200 AS DOUBLE), 2
-            FROM customer WHERE c_custkey % 49 = 0
-  UNION ALL SELECT c_custkey, c_name, c_mktsegment, c_acctbal, 1 FROM customer WHERE c_custkey % 7 = 1
-  UNION ALL SELECT c_custkey + {accounts.NEW_KEY_OFFSET}, 'New ' || c_name, c_mktsegment, c_acctbal, 1
-            FROM customer WHERE c_custkey % 11 = 0
+  SELECT if(rule.nokey, NULL, c_custkey + if(rule.fresh, {accounts.NEW_KEY_OFFSET}, 0)) AS Id,
+         if(rule.fresh, 'New ', '') || c_name AS Name, c_mktsegment AS Segment,
+         c_acctbal + CAST(rule.extra AS DOUBLE) AS Balance, rule.seq AS seq
+  FROM customer JOIN (VALUES (7, 0, 100, 1, FALSE, FALSE), (49, 0, 200, 2, FALSE, FALSE), (7, 1, 0, 1, FALSE, FALSE),
+       (11, 0, 0, 1, TRUE, FALSE), (13, 0, 300, 3, FALSE, FALSE), (13, 0, 400, 3, FALSE, FALSE),
+       (17, 0, 500, 4, FALSE, FALSE), (17, 0, 500, 4, FALSE, FALSE), (101, 0, 600, 5, FALSE, FALSE),
+       (97, 0, 700, 6, FALSE, TRUE)) rule(m, r, extra, seq, fresh, nokey) ON c_custkey % rule.m = rule.r
 ),
-last AS (
-  SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY Id ORDER BY seq DESC) AS rn FROM changes) WHERE rn = 1
-)
+held AS (SELECT Id, count(*) AS copies FROM acct GROUP BY Id),
+ranked AS (
+  SELECT c.*, row_number() OVER (PARTITION BY c.Id ORDER BY c.seq DESC, c.Name DESC, c.Segment DESC, c.Balance DESC) AS rn,
+         coalesce(copies, 0) AS copies
+  FROM changes c LEFT JOIN held ON held.Id = c.Id
+),
+last AS (SELECT * FROM ranked WHERE rn = 1 AND Id IS NOT NULL)
 """
 
 
 def audited_merge(mode: str = "upsert") -> str:
     missing = "'inserted'" if mode == "upsert" else "'missing key'"
     return ACCOUNT_CTES + f"""
-SELECT c.Id, c.seq,
-       CASE WHEN c.seq < (SELECT max(c2.seq) FROM changes c2 WHERE c2.Id = c.Id) THEN 'superseded'
-            WHEN a.Id IS NOT NULL AND c.Name IS NOT DISTINCT FROM a.Name
-                 AND c.Segment IS NOT DISTINCT FROM a.Segment AND c.Balance IS NOT DISTINCT FROM a.Balance
-                 THEN 'unchanged'
-            WHEN a.Id IS NOT NULL THEN 'updated'
-            ELSE {missing} END AS outcome
-FROM changes c LEFT JOIN acct a ON c.Id = a.Id"""
+SELECT r.Id, r.seq,
+       CASE WHEN r.Id IS NULL THEN 'no key' WHEN copies > 1 THEN 'ambiguous key' WHEN rn > 1 THEN 'superseded'
+            WHEN copies = 0 THEN {missing}
+            WHEN EXISTS (SELECT 1 FROM acct a WHERE a.Id = r.Id AND a.Name = r.Name AND a.Segment = r.Segment
+                         AND a.Balance = r.Balance) THEN 'unchanged'
+            ELSE 'updated' END AS outcome
+FROM ranked r"""
 
 
 def merged_accounts(mode: str = "upsert") -> str:
-    how = "FULL OUTER JOIN" if mode == "upsert" else "LEFT JOIN"
+    new = "UNION ALL SELECT Id, Name, Segment, Balance FROM last WHERE copies = 0" if mode == "upsert" else ""
     return ACCOUNT_CTES + f"""
-SELECT coalesce(a.Id, l.Id) AS Id,
-       CASE WHEN l.Id IS NOT NULL THEN l.Name ELSE a.Name END AS Name,
-       CASE WHEN l.Id IS NOT NULL THEN l.Segment ELSE a.Segment END AS Segment,
-       CASE WHEN l.Id IS NOT NULL THEN l.Balance ELSE a.Balance END AS Balance
-FROM acct a {how} last l ON a.Id = l.Id"""
+SELECT a.Id, coalesce(l.Name, a.Name) AS Name, coalesce(l.Segment, a.Segment) AS Segment,
+       coalesce(l.Balance, a.Balance) AS Balance
+FROM acct a LEFT JOIN last l ON l.Id = a.Id AND l.copies = 1
+{new}"""
 
 
 def accounts_before_image() -> str:

@@ -13,7 +13,10 @@ NEW_KEY_OFFSET = 1_000_000_000
 
 
 def account_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per customer, two equal ones for k % 101 = 0 (an ambiguous key)."""
     c = read(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment", "c_acctbal"])
+    c = c.withColumn("twice", F.explode(F.when(F.col("c_custkey") % 101 == 0, F.array(F.lit(1), F.lit(2)))
+                                         .otherwise(F.array(F.lit(1)))))
     return c.select(F.col("c_custkey").alias("Id"), F.col("c_name").alias("Name"),
                     F.col("c_mktsegment").alias("Segment"), F.col("c_acctbal").alias("Balance"))
 
@@ -24,6 +27,9 @@ def account_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     k % 7 = 0: balance + 100 (seq 1); k % 49 = 0 also a second row, balance + 200 (seq 2)
     k % 7 = 1: the same values (no actual change)
     k % 11 = 0: a key not in the table (k + 1e9), name prefixed 'New '
+    k % 13 = 0: balance + 300 and balance + 400, both seq 3 (a tie: the larger row wins)
+    k % 17 = 0: balance + 500 twice, seq 4 (identical rows)
+    k % 101 = 0: balance + 600, seq 5 (two target rows); k % 97 = 0: a row without a key
     """
     c = read(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment", "c_acctbal"])
     k = F.col("c_custkey")
@@ -35,8 +41,15 @@ def account_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("c_acctbal").alias("Balance"), F.lit(1).alias("seq"))
     new = F.struct((k + F.lit(NEW_KEY_OFFSET)).alias("Id"), F.concat(F.lit("New "), F.col("c_name")).alias("Name"),
                    F.col("c_mktsegment").alias("Segment"), F.col("c_acctbal").alias("Balance"), F.lit(1).alias("seq"))
+
+    def plus(amount: float, seq: int, key=k):
+        return F.struct(key.alias("Id"), F.col("c_name").alias("Name"), F.col("c_mktsegment").alias("Segment"),
+                        (F.col("c_acctbal") + F.lit(amount)).alias("Balance"), F.lit(seq).alias("seq"))
     rows = F.array(F.when(k % 7 == 0, upd), F.when(k % 49 == 0, upd2), F.when(k % 7 == 1, same),
-                   F.when(k % 11 == 0, new))
+                   F.when(k % 11 == 0, new), F.when(k % 13 == 0, plus(300.0, 3)), F.when(k % 13 == 0, plus(400.0, 3)),
+                   F.when(k % 17 == 0, plus(500.0, 4)), F.when(k % 17 == 0, plus(500.0, 4)),
+                   F.when(k % 101 == 0, plus(600.0, 5)),
+                   F.when(k % 97 == 0, plus(700.0, 6, F.lit(None).cast("long"))))
     return (c.select(F.explode(F.filter(rows, lambda x: x.isNotNull())).alias("r"))
              .select("r.Id", "r.Name", "r.Segment", "r.Balance", "r.seq"))
 

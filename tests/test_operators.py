@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from pipewright.operators import merge
@@ -33,6 +35,25 @@ def test_audited_merge_outcomes_and_table(spark):
     assert {r.Id for r in merge.before_image(target, changes, "Id").collect()} == {1, 2, 3}
 
 
+def test_audited_merge_odd_keys(spark):
+    target = spark.createDataFrame([(None, "n", 1.0), (1, "a", 1.0), (2, "b", 2.0), (2, "b", 2.5)], T)
+    changes = spark.createDataFrame([
+        (None, "x", 5.0, 1), (None, "x", 6.0, 2),              # no key
+        (1, "a", 7.0, 3), (1, "a", 8.0, 3), (1, "a", 8.0, 3),  # tie, and the winner twice
+        (2, "c", 9.0, 1),                                      # two target rows
+        (4, None, None, 1),                                    # new, values missing
+    ], C)
+    out = sorted((r.Id or 0, r.outcome) for r in merge.merge_outcomes(target, changes, "Id", "seq").collect())
+    assert out == [(0, "no key"), (0, "no key"), (1, "superseded"), (1, "superseded"), (1, "updated"),
+                   (2, "ambiguous key"), (4, "inserted")]
+    merged = sorted(((r.Id or 0, r.Name, r.Balance) for r in merge.merged_table(target, changes, "Id", "seq").collect()),
+                    key=str)
+    assert merged == [(0, "n", 1.0), (1, "a", 8.0), (2, "b", 2.0), (2, "b", 2.5), (4, None, None)]
+    assert len(merged) == target.count() + sum(o == "inserted" for _, o in out)
+    with pytest.raises(ValueError, match="no column Extra"):
+        merge.merged_table(target, changes.withColumn("Extra", F.lit(1)), "Id", "seq")
+
+
 def test_notes_table(spark):
     assert merge.notes_table(spark, None) is None
     assert len(merge.notes_table(spark, "n" * 60_000).collect()[0].notes) == 49_999

@@ -55,16 +55,12 @@ def test_forecast_max_over_snapshots_null_when_all_missing(spark):
     assert out == {("a", 19983): (150.0, None), ("c", 19984): (10.0, 9.0)}
 
 
-def test_merge_hot_keys_join_map_side(spark):
+def test_merge_hot_key_is_salted(spark):
     target = spark.createDataFrame([(i, float(i)) for i in range(50)], "Id long, Balance double")
     rows = [(1, float(s), s) for s in range(1, 3001)] + [(i, 1.0, 1) for i in range(2, 50)] + [(99, 9.0, 1)]
     changes = spark.createDataFrame(rows, "Id long, Balance double, seq int").repartition(4)
-    out = merge.merge_outcomes(target, changes, "Id", "seq", hot_key_rows=100)
+    out = merge.merge_outcomes(target, changes, "Id", "seq")
     got = {r.outcome: r["count"] for r in out.groupBy("outcome").count().collect()}
     assert got == {"superseded": 2999, "updated": 49, "inserted": 1}
-    # same answer whatever the threshold
-    base = {r.outcome: r["count"] for r in merge.merge_outcomes(target, changes, "Id", "seq")
-            .groupBy("outcome").count().collect()}
-    assert base == got
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "__salt" in plan and "ResolvedHint" not in plan
