@@ -57,7 +57,7 @@ def main() -> None:
         from pipewright.plans import coverage, movement
         from pipewright.registry import PARAMS
         from pipewright.sources import crm, landing
-        days = crm.weekly_snapshot_dates(PARAMS.anchor, PARAMS.q_end)
+        days = crm.fixture_snapshot_days(PARAMS.anchor, PARAMS.q_end)
         t = landing.land_crm(spark, sf_dir, cpus, days, database="bench_crm")
         kw = dict(opportunity=spark.table(t["opportunity"]), snapshots=spark.table(t["history"]),
                   changes=spark.table(t["field_history"]))

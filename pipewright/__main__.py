@@ -71,7 +71,7 @@ def main(argv: list[str] | None = None) -> None:
     elif a.cmd == "land":
         from pipewright.sources import crm, landing
         p = ReportParams(rpt_date=a.rpt_date, anchor=a.anchor)
-        written = landing.land_crm(spark, a.input, a.buckets, crm.weekly_snapshot_dates(p.anchor, p.q_end),
+        written = landing.land_crm(spark, a.input, a.buckets, crm.fixture_snapshot_days(p.anchor, p.q_end),
                                    database=a.database)
     elif a.cmd == "scorecards":
         p = ReportParams(rpt_date=a.rpt_date, anchor=a.rpt_date, compare=a.compare, stale_origin=a.stale_origin,

@@ -44,25 +44,17 @@ def _cte_opp(with_product: bool) -> str:
     prod_cols = ""
     if with_product:
         prod_join = """
-  LEFT JOIN (
-    SELECT l.l_orderkey,
-           max(CASE WHEN l.rn = 1 THEN p.p_type END) AS t1,
-           max(CASE WHEN l.rn = 2 THEN p.p_type END) AS t2
-    FROM (SELECT l_orderkey, l_partkey,
-                 row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS rn
-          FROM lineitem) l
-    LEFT JOIN part p ON l.l_partkey = p.p_partkey
-    WHERE l.rn <= 2
-    GROUP BY l.l_orderkey) lp ON lp.l_orderkey = o.o_orderkey"""
+  LEFT JOIN (SELECT l_orderkey, string_agg(DISTINCT p_type, ';' ORDER BY p_type) AS types, min(p_type) AS t1
+             FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey) lp ON lp.l_orderkey = o.o_orderkey"""
         prod_cols = """,
-    CASE WHEN k % 4 = 0 AND t2 IS NOT NULL THEN t1 || ';' || t2 ELSE t1 END AS Product,
+    types AS Product,
     t1 AS ARR_Product"""
     types = _case("k % 10", crm.TYPES)
     return f"""opp_base AS (
   SELECT o.o_orderkey AS k, o.o_custkey, o.o_orderstatus, o.o_totalprice, o.o_orderpriority,
          CAST(o.o_orderdate AS DATE) AS CloseDate,
          CAST(o.o_orderdate AS DATE) - CAST(30 + (7 * o.o_orderkey) % 300 AS INTEGER) AS CreatedDate,
-         c.c_mktsegment, g.IsoCode, g.RegionName{", lp.t1, lp.t2" if with_product else ""}
+         c.c_mktsegment, g.IsoCode, g.RegionName{", lp.types, lp.t1" if with_product else ""}
   FROM orders o
   LEFT JOIN customer c ON o.o_custkey = c.c_custkey
   LEFT JOIN (SELECT n.n_nationkey, rm.IsoCode, rm.RegionName

@@ -21,33 +21,37 @@ def link(id_expr: str, kind: str, name_expr: str) -> str:
     return f"""'=HYPERLINK("' || {url} || '","' || coalesce(CAST({name_expr} AS VARCHAR), 'NA') || '")'"""
 
 
+# report column <- deal column
+USD_COLUMNS = ", ".join(f"{src} / ConversionRate AS {out}" for out, src in {
+    "Amount": "Amount", "Expected_Revenue": "ExpectedRevenue", "QB": "ACV_Bookings",
+    "Recurring_Booking_PY": "Recurring_Booking_PY", "Managers_Forecast": "Managers_Forecast",
+    "Billing_Period_1": "Billing_Period_1"}.items())
+PLAIN_COLUMNS = ", ".join(f"graded.{src} AS {out}" for out, src in {
+    "OppId": "Id", "Opp_Name": "Name", "AccountId": "AccountId", "Owner_Name": "Owner_Name", "User_Role": "User_Role",
+    "Stage": "StageName", "Fiscal_Period": "Fiscal", "Days_Stale": "stale", "Close_Date": "CloseDate",
+    "Created_Date": "CreatedDate", "Lead_Source": "LeadSource", "Type": "Type", "Category": "Category",
+    "Cohort_Close_Date": "Cohort_Close_Date", "SAO_Date": "SAO_Date", "MEDDPICC_Score": "MEDDPICC_Score"}.items())
+
+
 def enriched_ctes(p: ReportParams) -> str:
     """WITH ... base AS (the W02 rows)."""
     return views("opportunity", "account", "users", "user_role", "currency", "excluded_owner") + f""",
+owners AS (
+  SELECT users.Id AS owner_id, users.Name AS Owner_Name, user_role.Name AS User_Role,
+         EXISTS (FROM excluded_owner x WHERE x.Name = users.Name) AS barred
+  FROM users LEFT JOIN user_role ON user_role.Id = UserRoleId
+),
+graded AS (
+  SELECT *, coalesce(Days_Stale, CAST({D(p.rpt_date)} - {D(p.stale_origin)} AS INTEGER)) AS stale
+  FROM opportunity LEFT JOIN owners ON owner_id = OwnerId
+  WHERE NOT Test_Account AND NOT coalesce(barred, FALSE)
+    AND Cohort_Close_Date BETWEEN {D(p.rpt_start)} AND {D(p.rpt_end)} - 1
+    AND NOT list_contains({list(dims.HOUSEKEEPING_STAGES)}, StageName)
+    AND NOT coalesce(list_contains({list(dims.INSTALLMENT_RENEWAL_TYPES)}, Renewal_Type), FALSE)
+),
 enriched AS (
-  SELECT o.Id AS OppId, o.AccountId, a.Name AS Account_Name, u.Name AS Owner_Name, ur.Name AS User_Role,
-         o.Name AS Opp_Name, o.StageName AS Stage, o.Fiscal AS Fiscal_Period,
-         o.Amount / ct.ConversionRate AS Amount,
-         o.ExpectedRevenue / ct.ConversionRate AS Expected_Revenue,
-         coalesce(o.Days_Stale, CAST(date_diff('day', {D(p.stale_origin)}, {D(p.rpt_date)}) AS INTEGER)) AS Days_Stale,
-         o.CloseDate AS Close_Date, o.CreatedDate AS Created_Date, o.LeadSource AS Lead_Source, o.Type,
-         o.Cohort_Close_Date,
-         o.ACV_Bookings / ct.ConversionRate AS QB,
-         o.Category,
-         o.Recurring_Booking_PY / ct.ConversionRate AS Recurring_Booking_PY,
-         o.Managers_Forecast / ct.ConversionRate AS Managers_Forecast,
-         o.SAO_Date, o.MEDDPICC_Score,
-         o.Billing_Period_1 / ct.ConversionRate AS Billing_Period_1
-  FROM opportunity o
-  LEFT JOIN account a ON o.AccountId = a.Id
-  LEFT JOIN users u ON o.OwnerId = u.Id
-  LEFT JOIN user_role ur ON u.UserRoleId = ur.Id
-  LEFT JOIN currency ct ON o.CurrencyIsoCode = ct.IsoCode
-  WHERE o.Cohort_Close_Date >= {D(p.rpt_start)} AND o.Cohort_Close_Date < {D(p.rpt_end)}
-    AND o.Test_Account = FALSE
-    AND (o.Renewal_Type NOT IN {_in(dims.INSTALLMENT_RENEWAL_TYPES)} OR o.Renewal_Type IS NULL)
-    AND (u.Name NOT IN (SELECT Name FROM excluded_owner) OR u.Name IS NULL)
-    AND o.StageName NOT IN {_in(dims.HOUSEKEEPING_STAGES)}
+  SELECT {USD_COLUMNS}, {PLAIN_COLUMNS}, account.Name AS Account_Name
+  FROM graded LEFT JOIN currency ON IsoCode = CurrencyIsoCode LEFT JOIN account ON account.Id = AccountId
 ),
 flags AS (
   SELECT *,

@@ -9,16 +9,17 @@ from pipewright.functions.money import money, usd
 from pipewright.functions.periods import ReportParams, in_window
 from pipewright.sources import crm
 
-# metric names of the activity table (the pivot needs them up front so that no
-# extra job runs to discover them; a pivot value list is metadata, not data)
-METRICS = ["click", "error", "purchase", "signup", "view"]
 
+def activities_wide(spark: SparkSession, sf_dir: str, p: ReportParams, activity: DataFrame | None = None) -> DataFrame:
+    """Per rep the total of each metric in the grading window, plus the rep's group.
 
-def activities_wide(spark: SparkSession, sf_dir: str, p: ReportParams, metrics: list[str] = METRICS) -> DataFrame:
-    """Per rep the total of each metric in the grading window, plus the rep's group."""
+    Every metric of the window gets a column; the pivot reads their names from
+    the data (an error beyond ``spark.sql.pivotMaxValues`` of them, never a
+    silent loss).
+    """
     s, e = p.unit
-    a = crm.activity(spark, sf_dir).where(in_window(F.col("ActivityDate"), s, e))
-    wide = a.groupBy("Name").pivot("Metric", metrics).agg(F.sum(money(F.col("Amount"))))
-    wide = wide.select("Name", *[usd(F.col(m)).alias(m) for m in metrics])
+    a = (activity if activity is not None else crm.activity(spark, sf_dir)).where(in_window(F.col("ActivityDate"), s, e))
+    wide = a.groupBy("Name").pivot("Metric").agg(F.sum(money(F.col("Amount"))))
+    wide = wide.select("Name", *[usd(F.col(f"`{m}`")).alias(m) for m in wide.columns if m != "Name"])
     g = crm.rep_group(spark)
     return wide.join(F.broadcast(g), "Name", "left")

@@ -34,8 +34,8 @@ COVERAGE_COLUMNS = ["Type", "Merged_Account_Region_bucket", "pipe", "New_Pipe",
 
 
 def _snapshots(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
-    """Every snapshot day from the anchor to the quarter end (fixture: weekly)."""
-    return crm.history(spark, sf_dir, crm.weekly_snapshot_dates(p.anchor, p.q_end))
+    """Every day of the derived snapshot table from the anchor to the quarter end."""
+    return crm.history(spark, sf_dir, crm.fixture_snapshot_days(p.anchor, p.q_end))
 
 
 def forecasted_opps(spark: SparkSession, sf_dir: str, p: ReportParams,

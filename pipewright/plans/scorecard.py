@@ -173,26 +173,21 @@ def _this_quarter_pipeline(base: DataFrame, p: ReportParams) -> DataFrame:
                       & not_in_set(F.col("Category"), dims.NON_PIPELINE_CATEGORIES))
 
 
-# deal ids sharing this many leading characters form one piece of the days list
-DAYS_LIST_PREFIX = 12
-
-
-def stage_mix(spark: SparkSession, sf_dir: str, p: ReportParams, prefix_len: int = DAYS_LIST_PREFIX,
-              base: DataFrame | None = None) -> DataFrame:
+def stage_mix(spark: SparkSession, sf_dir: str, p: ReportParams, base: DataFrame | None = None) -> DataFrame:
     """Open pipeline of this quarter per owner and stage.
 
     Days-in-stage is the list of each deal's days stale, ordered by deal id.
     It is built in two levels so that no task sorts a whole (owner, stage)
-    group: first ordered pieces per id range (ids sharing their first
-    ``prefix_len`` characters; a fixed-length prefix keeps the id order), then
-    the pieces joined in range order. Values and counts add up across pieces.
+    group: the rows are range-partitioned by owner, stage and id, each
+    partition's part of a group is one ordered piece, and the pieces are
+    joined in partition order. Values and counts add up across pieces.
     """
     base = base if base is not None else opps_enriched(spark, sf_dir, p, with_account=False)
     base = _this_quarter_pipeline(base, p).where(not_in_set(F.col("Stage"), dims.STAGE_MIX_EXCLUDED))
     sd = dims.stage_dim(spark).withColumnRenamed("stage", "Stage_Name")
     df = base.join(F.broadcast(sd), base.Stage == sd.Stage_Name, "left")
     keys = ["Owner_Name", "Stage_Name", "stage_rank"]
-    pieces = (df.withColumn("id_range", F.substring("OppId", 1, prefix_len))
+    pieces = (df.repartitionByRange(*keys, "OppId").withColumn("id_range", F.spark_partition_id())
                 .groupBy(*keys, "id_range").agg(
                     F.sum(money(F.col("QB"))).alias("v"),
                     F.count(F.lit(1)).alias("n"),

@@ -30,7 +30,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pipewright.sources.tables import read
@@ -109,20 +109,14 @@ def _nation_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _product_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(l_orderkey, t1, t2): part type of the first and second line of each order.
+    """(l_orderkey, types): the distinct part types of all lines of each order, sorted.
 
-    Lines are ordered by (line number, part key). ``row_number() <= 2`` is
-    planned with a map-side group limit, so at most two rows per order leave
-    each task; the pivot that follows reuses the same partitioning.
+    The set is bounded by the list of part types, not by the order's lines.
     """
-    li = read(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber"])
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey")
-    first2 = li.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= 2)
+    li = read(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey"])
     p = read(spark, sf_dir, "part", ["p_partkey", "p_type"])
-    lp = first2.join(p, first2.l_partkey == p.p_partkey, "left")
-    return lp.groupBy("l_orderkey").agg(
-        F.max(F.when(F.col("_rn") == 1, F.col("p_type"))).alias("t1"),
-        F.max(F.when(F.col("_rn") == 2, F.col("p_type"))).alias("t2"))
+    lp = li.join(p, li.l_partkey == p.p_partkey, "left")
+    return lp.groupBy("l_orderkey").agg(F.array_sort(F.collect_set("p_type")).alias("types"))
 
 
 def opportunity_core(spark: SparkSession, sf_dir: str, with_product: bool = False) -> DataFrame:
@@ -183,9 +177,9 @@ def opportunity_core(spark: SparkSession, sf_dir: str, with_product: bool = Fals
         F.col("_k"),
     ]
     if with_product:
-        t1, t2 = F.col("t1"), F.col("t2")
-        cols += [F.when((k % 4 == 0) & t2.isNotNull(), F.concat(t1, F.lit(";"), t2)).otherwise(t1).alias("Product"),
-                 t1.alias("ARR_Product")]
+        some = F.size("types") > 0
+        cols += [F.when(some, F.array_join("types", ";")).alias("Product"),
+                 F.when(some, F.get("types", F.lit(0))).alias("ARR_Product")]
     return df.select(*cols)
 
 
@@ -228,8 +222,12 @@ def excluded_owner(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(n,) for n in EXCLUDED_OWNERS], "Name string")
 
 
-def weekly_snapshot_dates(anchor: dt.date, end: dt.date) -> list[dt.date]:
-    """The anchor and every 7th day after it, before ``end``."""
+def fixture_snapshot_days(anchor: dt.date, end: dt.date) -> list[dt.date]:
+    """The days on which the derived snapshot table has rows: the anchor and every 7th day after it, before ``end``.
+
+    A rule of the test data only: the jobs read every day that the snapshot
+    table holds in their window, whichever days those are.
+    """
     out, d = [], anchor
     while d < end:
         out.append(d)

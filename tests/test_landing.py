@@ -39,7 +39,7 @@ def test_bucketed_coverage_same_result_no_id_shuffle(spark):
     from pipewright.plans import coverage
     from pipewright.sources import crm
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    days = crm.weekly_snapshot_dates(PARAMS.anchor, PARAMS.q_end)
+    days = crm.fixture_snapshot_days(PARAMS.anchor, PARAMS.q_end)
     t = landing.land_crm(spark, SF001, n, days, database="crm_cov")
     kw = dict(opportunity=spark.table(t["opportunity"]), snapshots=spark.table(t["history"]),
               changes=spark.table(t["field_history"]))

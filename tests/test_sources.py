@@ -16,7 +16,7 @@ from .conftest import SF001
 def test_snapshot_table_roundtrip_and_pruning(spark):
     d = tempfile.mkdtemp(prefix="pw-snap-")
     path = os.path.join(d, "opportunity_history")
-    days = crm.weekly_snapshot_dates(PARAMS.anchor, PARAMS.q_end)
+    days = crm.fixture_snapshot_days(PARAMS.anchor, PARAMS.q_end)
     h = crm.history(spark, SF001, days)
     snapshots.write_snapshots(h, path)
     one = snapshots.read_snapshot_at(spark, path, PARAMS.anchor)
