@@ -85,6 +85,18 @@ SELECT Id, Name, AccountId,
 FROM opportunity"""
 
 
+def flatten_nested() -> str:
+    """Nested columns as JSON text: a struct, an array of structs and a map of an order's lines."""
+    return """
+SELECT c_name AS name, c_custkey,
+       '{"segment":' || to_json(c_mktsegment) || ',"nation":' || c_nationkey || '}' AS _place,
+       '[' || coalesce(string_agg('{"order":' || o_orderkey || ',"status":' || to_json(o_orderstatus) || '}', ','
+                                  ORDER BY o_orderkey) FILTER (o_orderkey IS NOT NULL), '') || ']' AS _orders,
+       '{"' || c_mktsegment || '":' || count(o_orderkey) || '}' AS _counts
+FROM customer LEFT JOIN orders ON o_custkey = c_custkey
+GROUP BY c_name, c_custkey, c_mktsegment, c_nationkey"""
+
+
 ACCOUNT_CTES = f"""WITH acct AS (
   SELECT c_custkey AS Id, c_name AS Name, c_mktsegment AS Segment, c_acctbal AS Balance
   FROM customer, range(if(c_custkey % 101 = 0, 2, 1))

@@ -181,7 +181,16 @@ def flatten_nested(df: DataFrame, first: tuple = ("name", "label")) -> DataFrame
     return flat.select(*lead, *[c for c in flat.columns if c not in lead])
 
 
-def flatten_embeddings(spark: SparkSession, sf_dir: str, p: ReportParams | None = None) -> DataFrame:
-    """W29 on the embeddings table (array column -> JSON text)."""
+def flatten_customers(spark: SparkSession, sf_dir: str, p: ReportParams | None = None) -> DataFrame:
+    """W29 on customers with a struct, the list of their orders (bounded by a customer's orders) and a map."""
     from pipewright.sources.tables import read
-    return flatten_nested(read(spark, sf_dir, "embeddings"))
+    c = read(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment", "c_nationkey"])
+    o = read(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus"])
+    per = o.groupBy("o_custkey").agg(F.array_sort(F.collect_list(
+        F.struct(F.col("o_orderkey").alias("order"), F.col("o_orderstatus").alias("status")))).alias("orders"))
+    d = c.join(per, c["c_custkey"] == per["o_custkey"], "left")
+    orders = F.coalesce("orders", F.array().cast(per.schema["orders"].dataType))
+    return flatten_nested(d.select(
+        "c_custkey", F.col("c_name").alias("name"),
+        F.struct(F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation")).alias("place"),
+        orders.alias("orders"), F.create_map("c_mktsegment", F.size(orders)).alias("counts")))

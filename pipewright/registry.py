@@ -101,7 +101,7 @@ register("ingest_converted", _p(enrich.ingest_converted), enrich_sql.ingest_conv
 register("opp_classified", _p(enrich.opp_classified), enrich_sql.opp_classified(PARAMS))
 register("currency_scrub", _p(enrich.currency_scrub), enrich_sql.currency_scrub(PARAMS))
 register("record_links", _p(enrich.record_links), enrich_sql.record_links(PARAMS))
-register("flatten_nested", _p(enrich.flatten_embeddings), None)
+register("flatten_nested", _p(enrich.flatten_customers), enrich_sql.flatten_nested())
 register("audited_merge", _p(accounts.audited_merge, mode="upsert"), enrich_sql.audited_merge("upsert"))
 register("audited_update", _p(accounts.audited_merge, mode="update"), enrich_sql.audited_merge("update"))
 register("merged_accounts", _p(accounts.merged_accounts, mode="upsert"), enrich_sql.merged_accounts("upsert"))
