@@ -31,8 +31,9 @@ def as_map(mapping: dict | DataFrame) -> Column:
 
     A dict becomes a literal map; a two-column dimension table (key, value)
     becomes a map through a scalar subquery (``map_from_entries`` of its rows),
-    so the table is never collected to the driver and lookups stay narrow
-    expressions (no join, no shuffle).
+    which passes the whole dimension through the driver as one literal: only
+    for dimensions of a known small size. Lookups stay narrow expressions (no
+    join, no shuffle); a repeated key is an error.
     """
     if isinstance(mapping, DataFrame):
         k, v = mapping.columns[:2]

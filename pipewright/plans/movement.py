@@ -11,10 +11,10 @@ Sets (each one row per deal):
 Two rule sets share this code; their differences are data (:class:`Preset`).
 The coverage table of the third rule set lives in ``plans.coverage``.
 
-Plan shape: every set is a filter of the current deals; id lists are semi /
-anti joins (never collected); membership of a deal in the starting / pulled-in
-/ new sets is one window over ``Id`` on the seed; the outcome is one
-``groupBy`` with conditional sums.
+Plan shape: one wide row per deal (current values, its anchor rows, its latest
+qualifying move) carries the sets as boolean columns; the seed is an explode
+of the rows each deal contributes; the outcome is one ``groupBy`` with
+conditional sums.
 """
 
 from __future__ import annotations

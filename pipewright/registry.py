@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pipewright.functions.periods import ReportParams
 from pipewright.session import pin_result_settings
-from pipewright.oracle import coverage_sql, enrich_sql, movement_sql, scorecard_sql, velocity_sql
-from pipewright.plans import accounts, activity, coverage, enrich, movement, report, scorecard, velocity
+from pipewright.oracle import coverage_sql, enrich_sql, movement_sql, scorecard_sql, stack_sql, velocity_sql
+from pipewright.plans import accounts, activity, coverage, enrich, movement, report, scorecard, stack, velocity
 
 PARAMS = ReportParams(rpt_date=dt.date(1998, 8, 15), anchor=dt.date(1998, 7, 10), compare="Y",
                       stale_origin=dt.date(1995, 1, 1), velocity_since=dt.date(1995, 1, 1),
@@ -107,6 +107,9 @@ register("audited_update", _p(accounts.audited_merge, mode="update"), enrich_sql
 register("merged_accounts", _p(accounts.merged_accounts, mode="upsert"), enrich_sql.merged_accounts("upsert"))
 register("accounts_before_image", _p(accounts.accounts_before_image), enrich_sql.accounts_before_image())
 
+register("snapshot_calendar", _p(stack.snapshot_calendar), stack_sql.snapshot_calendar(PARAMS))
+register("deal_stack", _p(stack.deal_stack), stack_sql.deal_stack(PARAMS))
+
 register("report_export", _p(report.report_manifest), coverage_sql.report_manifest(PARAMS))
 
 
