@@ -7,7 +7,6 @@ functions  Column helpers: periods, null/zero rules, money, text, fixed dimensio
 operators  reusable DataFrame operators (semi/anti joins, complete groups, top-N, merge, flatten)
 plans      the report jobs (pipeline movement, scorecards, activities, velocity, enrichment, export)
 oracle     DuckDB texts that re-derive every registered query independently
-streaming  no streaming work exists in the reports; see its docstring
 """
 
 from pipewright.session import get_spark  # noqa: F401

@@ -76,7 +76,6 @@ TYPE_GROUPS = [
 
 # --- regions
 NORTH_AMERICA_REGIONS = ["North America", "LATAM"]
-EMEA_REGIONS = ["Nordics", "Other", "Eastern Europe", "Rest of EMEA", "DACH", "UK", "APJ", "Benelux"]
 ALL_REGIONS = ["Benelux", "North America", "DACH", "UK", "APJ", "Rest of EMEA", "LATAM", "Nordics",
                "Other", "Eastern Europe"]
 GEO_NORTH_AMERICA = "North America"
@@ -101,15 +100,6 @@ def stage_dim(spark: SparkSession, order: list[str] = PIPELINE_STAGE_ORDER) -> D
     return spark.createDataFrame([(s, i + 1) for i, s in enumerate(order)], "stage string, stage_rank int")
 
 
-def type_group_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TYPE_GROUPS, "Type string, type_group string, flip_kind string")
-
-
-def region_group_dim(spark: SparkSession) -> DataFrame:
-    rows = [(r, "North America" if r in NORTH_AMERICA_REGIONS else "EMEA") for r in ALL_REGIONS]
-    return spark.createDataFrame(rows, "Region string, region_group string")
-
-
 def geo(region):
     """Two-way geography; anything not North American (NULL included) is the rest."""
     from pipewright.functions.nulls import in_set

@@ -31,11 +31,6 @@ def usd(units: Column) -> Column:
     return units.cast("double") / F.lit(float(SCALE))
 
 
-def total(x: Column) -> Column:
-    """Exact total of a USD column, returned as USD double."""
-    return usd(F.sum(money(x)))
-
-
 def scrub_usd(text: Column, allow_negative: bool = False) -> Column:
     """'USD 2,000.00' -> 2000.0.
 
@@ -50,7 +45,7 @@ def scrub_currency(text: Column, codes_pattern: Column, allow_negative: bool = F
 
     ``codes_pattern`` is a regex alternation of '<CODE> ' built from the
     currency table (see :func:`currency_codes_pattern`), passed as a column so
-    the table is never collected.
+    no driver code reads the table (the pattern is one scalar subquery, bounded by the list of codes).
     """
     return _scrub(F.regexp_replace(text, codes_pattern, F.lit("")), allow_negative)
 

@@ -51,10 +51,6 @@ def safe_ratio(a: Column, b: Column) -> Column:
     return F.try_divide(a.cast("double"), b.cast("double"))
 
 
-def null_zero(c: Column) -> Column:
-    return F.coalesce(c, F.lit(0))
-
-
 def na_subtract(a: Column, b: Column) -> Column:
     """a - b with a missing side read as zero."""
     return F.coalesce(a, F.lit(0)) - F.coalesce(b, F.lit(0))

@@ -10,13 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def semi(df: DataFrame, ids: DataFrame, left_key: str, right_key: str | None = None) -> DataFrame:
-    """Rows of ``df`` whose key appears in ``ids`` (SQL ``IN (subquery)``)."""
-    right_key = right_key or left_key
-    r = ids.select(F.col(right_key).alias("__semi_key"))
-    return df.join(r, df[left_key] == r["__semi_key"], "left_semi")
-
-
 def anti(df: DataFrame, ids: DataFrame, left_key: str, right_key: str | None = None) -> DataFrame:
     """Rows of ``df`` whose key is not in ``ids``.
 

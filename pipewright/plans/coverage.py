@@ -29,8 +29,6 @@ TYPES = (dims.TYPE_NEW, dims.TYPE_EXISTING)
 FORECAST_STAGE_EXCL = ("Discovery", "Demonstration", "Untouched", "Temporary", "Data Quality", "Closed Lost")
 START_STAGE_EXCL = ("Closed Lost", "Temporary", "Data Quality")
 TODAY_STAGE_EXCL = ("Discovery", "Untouched", "Temporary", "Data Quality")
-COVERAGE_COLUMNS = ["Type", "Merged_Account_Region_bucket", "pipe", "New_Pipe", "Pulled_In", "pushed", "Total_Won",
-                    "Pipeline_Won", "Won_From_Pulled_In", "Won_From_New_Pipe", "lost"]
 
 
 def _snapshots(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:

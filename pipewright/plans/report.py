@@ -46,10 +46,6 @@ def run_quarter_report(spark: SparkSession, sf_dir: str, p: ReportParams, out_di
     return export_report(tabs, report_meta(spark, p), out_dir, fmt)
 
 
-def coverage_report(spark: SparkSession, sf_dir: str, p: ReportParams) -> dict[str, DataFrame]:
-    return coverage.coverage_tables(coverage.coverage_by_region(spark, sf_dir, p))
-
-
 def report_meta(spark: SparkSession, p: ReportParams) -> DataFrame:
     """Header cells: quarter label, anchor date, refresh time (parameters, one row)."""
     return spark.createDataFrame([(p.q_label, p.anchor, p.refreshed_at)],
