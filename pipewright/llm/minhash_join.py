@@ -9,8 +9,9 @@ threshold. Postings are kept apart by size class: set sizes of a linked pair dif
 by at most the threshold, which is one step of the class scale, so a class is
 posted under its own step and the next one up and meets every size it can be linked with.
 
-1. Star pass: in each posting list every class meets the list's smallest one.
-   Collisions are counted per pair; pairs whose full signatures agree on t
+1. Star pass: in each posting list every class meets the list's heaviest one,
+   the class whose lists hold most others, which is the text that a group of
+   copies comes from. Collisions are counted per pair; pairs whose full signatures agree on t
    coordinates and whose set sizes allow the threshold are confirmed on the
    full shingle sets. Links are merged into components.
 2. Skip pass: a list whose classes all lie in one component has nothing to
@@ -24,7 +25,9 @@ posted under its own step and the next one up and meets every size it can be lin
    pass 2, so no link between different texts is lost to the stars.
 
 Large groups of copies never expand into pairs: equal sets are one class, and
-near copies cost one star pair per list.
+near copies cost one star pair per list. Candidates of both passes travel
+packed by pairs of document blocks, and a set is sent once to each pair of
+blocks, so a group of near misses costs its ids, not its texts, per pair.
 
 Edge cases: null or empty text has no shingles, is its own component and is
 kept; rows that share a doc_id are one document of the graph; a row without id
@@ -43,12 +46,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pipewright.llm.common import cut, partitions, shingles, slices, word_hashes
+from pipewright.llm.common import cut, mix, partitions, shingles, slices, word_hashes
 from pipewright.llm.components import components
 
 COORDS = 32
 SIGMAS = 4.5
 SPLIT = 200_000
+BLOCK = 4096
 BROADCAST_IDS = 1_000_000  # ids (8 bytes each) that may be broadcast to find the texts of candidates
 _A, _B = np.random.default_rng(20240229).integers(0, 2**64 - 1, (2, COORDS), dtype=np.uint64)
 _A |= np.uint64(1)
@@ -126,8 +130,23 @@ def _repost(prefix: int):
     return run
 
 
-def _agree(percent: int, least: int):
-    """Rows of (a, b, sig_a, sig_b, n_a, n_b) whose signatures and set sizes allow a link."""
+def _packed(a: np.ndarray, b: np.ndarray, blocks: int) -> pa.RecordBatch:
+    """Pairs as one row per pair of document blocks (by hash of the id), the ids packed."""
+    a, b = np.minimum(a, b), np.maximum(a, b)
+    x, y = ((mix(v.view(np.uint64)) % np.uint64(blocks)).astype(np.int64) for v in (a, b))
+    order = np.lexsort((y, x))
+    x, y, ids = x[order], y[order], np.stack([a, b], axis=1)[order]
+    cuts = np.flatnonzero(np.r_[True, (np.diff(x) != 0) | (np.diff(y) != 0)][:len(x)])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(x[cuts], pa.int32()), pa.array(y[cuts], pa.int32()),
+         pa.array([ids[u:v].tobytes() for u, v in zip(cuts, np.r_[cuts[1:], len(x)])], pa.binary())], names=["ba", "bb", "pairs"])
+
+
+PAIRS = "ba int, bb int, pairs binary"
+
+
+def _agree(percent: int, least: int, blocks: int):
+    """Of (a, b, sig_a, sig_b, n_a, n_b) the pairs whose signatures and set sizes allow a link, packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
@@ -135,13 +154,16 @@ def _agree(percent: int, least: int):
             same = (_sigs(b.column("sig_a")) == _sigs(b.column("sig_b"))).sum(axis=1)
             na, nb = b.column("n_a").to_numpy(), b.column("n_b").to_numpy()
             ok = (same >= least) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(ok))
+            yield _packed(b.column("a").to_numpy()[ok], b.column("b").to_numpy()[ok], blocks)
     return run
 
 
-def _compare(keys: np.ndarray, comp: np.ndarray, rep: np.ndarray, n: np.ndarray, sig: np.ndarray,
+def _compare(keys: np.ndarray, second: int, comp: np.ndarray, rep: np.ndarray, n: np.ndarray, sig: np.ndarray,
              percent: int, least: int, prefix: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of one list (rows sorted by component) in different components that may be linked."""
+    """Pairs of one list (rows sorted by component) in different components that may be linked.
+
+    ``second``: the list's second coordinate, 0 if it was not split.
+    """
     out, m = [], len(rep)
     own = int(keys[0] >> 32) & 63
     low = _steps(n, percent) < int(keys[0] >> 38)  # two rows of the lower step meet in that step's list
@@ -158,13 +180,14 @@ def _compare(keys: np.ndarray, comp: np.ndarray, rep: np.ndarray, n: np.ndarray,
         ok &= 100 * np.minimum(*nn) >= percent * np.maximum(*nn)
         ok &= ~(low[rows][:, None] & low[None, lo:])
         ok &= ~eq[:, :, :own].any(axis=2) if own else True  # else an earlier list has the pair
+        ok &= ~eq[:, :, own + 1:second].any(axis=2) if second > own + 1 else True
         i, j = np.nonzero(ok)
         if len(i):
             out.append((rep[rows[i]], rep[lo + j]))
     return out
 
 
-def _lists(percent: int, least: int, prefix: int):
+def _lists(percent: int, least: int, prefix: int, blocks: int):
     """Streams rows sorted by (key, key2, comp); compares list by list."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -174,9 +197,11 @@ def _lists(percent: int, least: int, prefix: int):
             comp, rep, n = (t.column(c).to_numpy() for c in ("comp", "rep", "n"))
             sig = _sigs(t.column("sig").combine_chunks())
             cuts = np.flatnonzero(np.r_[True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])])
+            found = []
             for a, b in zip(cuts, np.r_[cuts[1:], len(k1)]):
-                for x, y in _compare(k1[a:b], comp[a:b], rep[a:b], n[a:b], sig[a:b], percent, least, prefix):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+                found += _compare(k1[a:b], (int(k2[a]) >> 32) & 63, comp[a:b], rep[a:b], n[a:b], sig[a:b], percent, least, prefix)
+            if found:
+                yield _packed(*(np.concatenate(v) for v in zip(*found)), blocks)
 
         for batch in batches:
             if not batch.num_rows:
@@ -205,34 +230,64 @@ def _sets(width: int):
         for part in slices(batches):
             words, ends = word_hashes(part.column("text"))
             sets = [shingles(words[a:b], width).tobytes() for a, b in zip(ends[:-1], ends[1:])]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.binary())], names=["id", "members"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.binary())], names=["sid", "members"])
     return run
 
 
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents that each pair of blocks needs."""
+    for batch in batches:
+        for x, y, pairs in zip(*(batch.column(c).to_pylist() for c in ("ba", "bb", "pairs"))):
+            ids = np.unique(np.frombuffer(pairs, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), v, np.int32)) for v in (x, y)] + [pa.array(ids)],
+                                             names=["ba", "bb", "id"])
+
+
 def _confirm(percent: int):
+    """Streams rows sorted by (ba, bb, kind): the shingle sets of a pair of blocks (kind 0), then its pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ok = []
-            for x, y in zip(b.column("set_a"), b.column("set_b")):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                both = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+        at, sets, done = None, {}, set()
+        for batch in batches:
+            out = []
+            for x, y, kind, i, data in zip(*(batch.column(c).to_pylist() for c in ("ba", "bb", "kind", "id", "data"))):
+                if (x, y) != at:
+                    at, sets, done = (x, y), {}, set()
+                if kind == 0:
+                    sets.setdefault(i, []).append(np.frombuffer(data, np.uint64))
+                    continue
+                for a, b in map(tuple, np.frombuffer(data, np.int64).reshape(-1, 2).tolist()):
+                    if (a, b) not in done:
+                        done.add((a, b))
+                        if any(_similar(u, v, percent) for u in sets.get(a, ()) for v in sets.get(b, ())):
+                            out.append((a, b))
+            if out:
+                a, b = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
     return run
 
 
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    at = np.searchsorted(x, y)
+    both = int((x[np.minimum(at, len(x) - 1)] == y).sum()) if len(x) else 0
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the threshold."""
+    """The pairs (a, b) of the packed ``pairs`` whose full shingle sets reach the threshold.
+
+    A document's set travels once to each pair of blocks that needs it, not once per pair.
+    """
     pairs = cut(pairs)
-    ids = pairs.select(F.col("a").alias("__id")).union(pairs.select("b")).distinct()
-    ids = cut(ids)
+    need = cut(pairs.mapInArrow(_members, "ba int, bb int, id long").distinct())
+    ids = cut(need.select(F.col("id").alias("__id")).distinct())
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = cut(slim.join(ids, slim["doc_id"] == ids["__id"], "left_semi").mapInArrow(_sets(width), "id long, members binary"))
-    a, b = (sets.select(F.col("id").alias(f"id_{c}"), F.col("members").alias(f"set_{c}")) for c in "ab")
-    j = pairs.join(a, pairs["a"] == a["id_a"]).join(b, pairs["b"] == b["id_b"]).select("a", "b", "set_a", "set_b")
-    return cut(j.mapInArrow(_confirm(percent), "a long, b long").distinct())
+    sets = slim.join(ids, slim["doc_id"] == ids["__id"], "left_semi").mapInArrow(_sets(width), "sid long, members binary")
+    sent = need.join(sets, need["id"] == sets["sid"]).select("ba", "bb", F.lit(0).alias("kind"), "id", F.col("members").alias("data"))
+    asked = pairs.select("ba", "bb", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("id"), F.col("pairs").alias("data"))
+    meet = sent.unionByName(asked).repartition(partitions(docs.sparkSession), "ba", "bb").sortWithinPartitions("ba", "bb", "kind")
+    return cut(meet.mapInArrow(_confirm(percent), "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -244,19 +299,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     classes = sketch.where("n_shingles > 0").groupBy("s_hi", "s_lo").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
     classes = cut(classes)
+    blocks = 8 + classes.count() // BLOCK  # a pair of blocks holds about 2 x BLOCK sets at most
     reps = classes.where("rep is not null").select("rep", "n", "sig")
 
     posts = reps.mapInArrow(_post(prefix, percent), "key long, rep long, up boolean")
-    lists = posts.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("center"), F.min("up").alias("up"))
-    lists = lists.where((F.col("size") > 1) & ~F.col("up")).select(F.col("key").alias("__k"), "center")
-    shared = cut(posts.join(lists, posts["key"] == lists["__k"]).select("key", "rep", "center"))
+    lists = posts.groupBy("key").agg(F.count("*").alias("size"), F.min("up").alias("up"))
+    lists = lists.where((F.col("size") > 1) & ~F.col("up")).select(F.col("key").alias("__k"), "size")
+    shared = cut(posts.join(lists, posts["key"] == lists["__k"]).select("key", "rep", "size"))
 
     # star pass
-    stars = shared.where("rep <> center").groupBy(F.col("center").alias("a"), F.col("rep").alias("b")).agg(
-        F.count("*").alias("collisions"))
+    weight = shared.groupBy("rep").agg(F.sum("size").alias("w")).select(F.col("rep").alias("__r"), "w")
+    heavy = shared.join(weight, shared["rep"] == weight["__r"]).groupBy("key").agg(
+        F.max(F.struct(F.col("w"), (-F.col("rep")).alias("r")))["r"].alias("c")).select(
+        F.col("key").alias("__k"), (-F.col("c")).alias("center"))
+    stars = shared.join(heavy, shared["key"] == heavy["__k"]).where("rep <> center").groupBy(
+        F.least("center", "rep").alias("a"), F.greatest("center", "rep").alias("b")).agg(F.count("*").alias("collisions"))
     one, two = (reps.select(F.col("rep").alias(f"r_{c}"), F.col("n").alias(f"n_{c}"), F.col("sig").alias(f"sig_{c}")) for c in "ab")
     full = stars.join(one, stars["a"] == one["r_a"]).join(two, stars["b"] == two["r_b"])
-    close = full.select("a", "b", "n_a", "n_b", "sig_a", "sig_b").mapInArrow(_agree(percent, least), "a long, b long")
+    close = full.select("a", "b", "n_a", "n_b", "sig_a", "sig_b").mapInArrow(_agree(percent, least, blocks), PAIRS)
     links = _linked(close, docs, width, percent)
     comp = components(links)
 
@@ -275,7 +335,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     large = large.join(twice, (large["key"] == twice["__k"]) & (large["key2"] == twice["__k2"]))
     work = rest.where(F.col("cross") <= SPLIT).unionByName(large.select(*rest.columns)).drop("cross")
     work = work.repartition(partitions(docs.sparkSession), "key", "key2").sortWithinPartitions("key", "key2", "comp")
-    more = work.mapInArrow(_lists(percent, least, prefix), "a long, b long").distinct()
+    more = work.mapInArrow(_lists(percent, least, prefix, blocks), PAIRS)
     comp = components(links.union(_linked(more, docs, width, percent)))
 
     lab = comp.select(F.col("node").alias("__n"), F.col("comp").alias("__c"))
