@@ -20,7 +20,9 @@ for an unknown word). Counts come from all training documents.
    (0: unseen) and the counts of its contexts.
 4. A bucket meets the answers and sums up its documents.
 
-What travels is one entry per distinct pair of a bucket, twice; no task holds
+Within a context a successor is known by 48 bits of its hash (two successors
+of one context that agree in them would share a probability; the counts of
+words use all 64 bits). What travels is one entry per distinct pair of a bucket, twice; no task holds
 more than one bucket or one shard, and both numbers grow with the tokens.
 
 Edge cases: null or empty text is the end token alone; without any training
@@ -56,6 +58,27 @@ ANSWER = "b int, shard int, counts binary, codes binary"
 SCORED = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
+def _short(h: np.ndarray) -> bytes:
+    """The low 48 bits of each hash, packed."""
+    return np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _long(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(packed, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).ravel()
+
+
+def _counts(c: np.ndarray) -> bytes:
+    """Counts in the fewest of 1, 2 or 4 bytes that hold them all, after a byte that says how many."""
+    width = next(w for w in (1, 2, 4) if w == 4 or not len(c) or int(c.max()) < 256 ** w)
+    return bytes([width]) + c.astype(f"<u{width}").tobytes()
+
+
+def _counted(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, f"<u{packed[0]}", offset=1)
+
+
 @dataclass
 class Stats:
     tokens: int           # N
@@ -193,14 +216,14 @@ def _send(stats: Stats):
     def run(table: pa.Table) -> pa.Table:
         b = _Bucket(table, stats)
         train = np.repeat(pc.invert(table.column("held_out")).to_numpy(), np.diff(b.ends))
-        count = np.bincount(b.pair, train, len(b.order)).astype(np.uint32)[b.order]
-        runs = np.diff(np.r_[b.starts, len(b.order)]).astype(np.uint32)
+        count = np.bincount(b.pair, train, len(b.order)).astype(np.int64)[b.order]
+        runs = np.diff(np.r_[b.starts, len(b.order)])
         cuts = np.flatnonzero(np.r_[True, np.diff(b.shard) != 0])
         out = []
         for x, y in zip(cuts, np.r_[cuts[1:], len(b.order)]):
             i, j = np.searchsorted(b.starts, [x, y])
-            out.append((int(b.shard[x]), b.words[b.ctx[b.starts[i:j]]].tobytes(), runs[i:j].tobytes(),
-                        b.words[b.succ[x:y]].tobytes(), count[x:y].tobytes()))
+            out.append((int(b.shard[x]), b.words[b.ctx[b.starts[i:j]]].tobytes(), _counts(runs[i:j]),
+                        _short(b.words[b.succ[x:y]]), _counts(count[x:y])))
         shard, ctx, run_, succ, tr = zip(*out)
         own = pa.array([table.column("b")[0].as_py()] * len(out), pa.int32())
         return pa.table([pa.array(shard, pa.int32()), own, *(pa.array(v, pa.binary()) for v in (ctx, run_, succ, tr))],
@@ -212,9 +235,9 @@ def _answer(stats: Stats):
     def run(table: pa.Table) -> pa.Table:
         rows = []
         for i in range(table.num_rows):
-            ctx, runs, succ, train = (np.frombuffer(table.column(c)[i].as_py(), t) for c, t in (
-                ("ctx", np.uint64), ("runs", np.uint32), ("succ", np.uint64), ("train", np.uint32)))
-            rows.append((ctx, np.repeat(ctx, runs), succ, train))
+            ctx, runs, succ, train = (table.column(c)[i].as_py() for c in ("ctx", "runs", "succ", "train"))
+            ctx = np.frombuffer(ctx, np.uint64)
+            rows.append((ctx, np.repeat(ctx, _counted(runs)), _long(succ), _counted(train)))
         ctx, succ = np.concatenate([r[1] for r in rows]), np.concatenate([r[2] for r in rows])
         train = np.concatenate([r[3] for r in rows]).astype(np.int64)
         seen = np.flatnonzero(train > 0)
