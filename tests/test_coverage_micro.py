@@ -60,3 +60,14 @@ def test_v2_coverage_rules(spark):
 
     tabs = coverage.v2_tabs(spark, SF001, P)
     assert set(tabs) == {"starting_pipeline", "pulled_in", "new_pipe", "total_won"}
+
+
+def test_two_anchor_rows_of_a_deal_count_its_win_once(spark):
+    opps = spark.createDataFrame([opp("S1", "Closed Won", D(1998, 8, 15), D(1998, 6, 1), amt=100.0),
+                                  opp("F1", "Closed Won", D(1998, 9, 1), D(1998, 2, 1), amt=600.0)], OPP)
+    snaps = spark.createDataFrame([snap("S1", P.anchor, D(1998, 8, 1)), snap("S1", P.anchor, D(1998, 8, 2)),
+                                   snap("S1", P.anchor, D(1998, 8, 2))], SNAP)
+    changes = spark.createDataFrame([chg("none")], CHG)
+    r = coverage.coverage_by_region(spark, SF001, P, opportunity=opps, snapshots=snaps, changes=changes).first()
+    assert r["Total_Won"] == 700.0          # S1 and F1 once each
+    assert r["pipe"] == 900.0               # the starting rows themselves repeat: three times S1, and found F1
