@@ -235,12 +235,21 @@ def _sets(width: int):
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The documents that each pair of blocks needs."""
+    """Streams packed pairs sorted by (ba, bb): the documents that each pair of blocks needs, each once."""
+    at, ids = None, np.zeros(0, np.int64)
+
+    def rows() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), v, np.int32)) for v in at] + [pa.array(ids)],
+                                          names=["ba", "bb", "id"])
     for batch in batches:
         for x, y, pairs in zip(*(batch.column(c).to_pylist() for c in ("ba", "bb", "pairs"))):
-            ids = np.unique(np.frombuffer(pairs, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), v, np.int32)) for v in (x, y)] + [pa.array(ids)],
-                                             names=["ba", "bb", "id"])
+            if at != (x, y):
+                if at is not None:
+                    yield rows()
+                at, ids = (x, y), np.zeros(0, np.int64)
+            ids = np.union1d(ids, np.frombuffer(pairs, np.int64))
+    if at is not None:
+        yield rows()
 
 
 def _confirm(percent: int):
@@ -277,8 +286,8 @@ def _linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
 
     A document's set travels once to each pair of blocks that needs it, not once per pair.
     """
-    pairs = cut(pairs)
-    need = cut(pairs.mapInArrow(_members, "ba int, bb int, id long").distinct())
+    pairs = cut(pairs.repartition(partitions(docs.sparkSession), "ba", "bb"))
+    need = cut(pairs.sortWithinPartitions("ba", "bb").mapInArrow(_members, "ba int, bb int, id long"))
     ids = cut(need.select(F.col("id").alias("__id")).distinct())
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
