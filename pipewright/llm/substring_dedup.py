@@ -1,11 +1,20 @@
-"""Substring dedup over sliding spans of sentences.
-
-A text is cut after . ! ? before whitespace and after newlines; a sentence of more
-than ``LONG`` words is cut every ``LONG`` words. From every sentence starts one
-span: the shortest run of at least ``MIN_SENTENCES`` sentences with at least
-``MIN_WORDS`` words. Spans are compared by a 128-bit hash of their words (A-Z
-lowered, whitespace as one blank). Of each repeated span the first occurrence
-(smallest doc_id, then position) stays; sentences covered by any other
+"""Substring dedup over sliding spans of pieces.
+
+A text is cut into sentences after . ! ? before whitespace and after newlines; the
+whitespace before a piece ends the one before it, so no words run together where
+pieces go. Inside a sentence it is cut before every word whose hash with the word
+before it is the smallest of some ``WINDOW`` words of the sentence in a row (of
+equal hashes closer than that, as in a repeated word, the cuts farthest apart
+stay). The places depend on those words only and no piece is longer than
+``WINDOW`` words, so whatever stands around a passage, only words at its two ends,
+about half of ``WINDOW`` at each, lie in other pieces.
+
+A span is a run of pieces with at least ``MIN_WORDS`` words that touches
+``MIN_SENTENCES`` sentences or has more than ``LONG`` words. The shortest that starts
+with each piece and the shortest that ends with each are compared by 88 bits of a
+hash of their words (A-Z lowered, whitespace as one blank), so a run of equal
+pieces is covered from its first to its last. Of each repeated span the first
+occurrence (smallest doc_id, then position) stays; pieces covered by any other
 occurrence of a repeated span are removed, in the same document too.
 
 One aggregate finds the repeated hashes with their first place (summed up
@@ -14,7 +23,7 @@ task), one join brings them back to the spans (a common hash is the large side
 of a join whose other side is unique, so its partition can be split), and what
 has to go is packed per document. No pairs of documents are formed.
 
-Edge cases: null or empty text has no sentences and becomes ''; rows without id come after
+Edge cases: null or empty text has no pieces and becomes ''; rows without id come after
 all ids, ordered by the hash of their text; rows equal in id and text count as
 one place and are treated alike, so they stay together; an empty table gives
 an empty result; extra columns pass through whatever their names.
@@ -22,7 +31,6 @@ an empty result; extra columns pass through whatever their names.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,80 +40,125 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pipewright.llm.common import slices
+from pipewright.llm.common import mix, slices
 
 MIN_SENTENCES, MIN_WORDS, LONG = 2, 20, 25
-_CUT = re.compile(r"(?<=[.!?])(?=[ \t-\r])|(?<=\n)")
-_WORD = re.compile(r"[^ \t-\r]+")
+WINDOW = 14  # words: the longest piece
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-
-
-def sentences(text: str, long: int = LONG) -> list[str]:
-    """Pieces of the text, in order and without loss; a piece without a word belongs to the piece before it."""
-    out: list[str] = []
-    for piece in _CUT.split(text):
-        words = piece.encode().split()
-        if not words:
-            if out:
-                out[-1] += piece
-            elif piece:
-                out.append(piece)
-            continue
-        if len(words) <= long:
-            out.append(piece)
-            continue
-        starts = [m.start() for m in _WORD.finditer(piece)][::long]
-        out += [piece[a:b] for a, b in zip([0, *starts[1:]], [*starts[1:], len(piece)])]
-    return out
-
-
-def spans(pieces: list[str], min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> list[tuple[bytes, int, int]]:
-    """(128-bit hash, first sentence, sentences) of the span that starts at each sentence, where one is complete."""
-    words = [p.encode().translate(_LOWER).split() for p in pieces]
-    flat = [b" ".join(w) for w in words]
-    total = np.r_[0, np.cumsum([len(w) for w in words], dtype=np.int64)]
-    stop = np.searchsorted(total, total[:-1] + min_words) if pieces else []
-    out = []
-    for i, j in enumerate(stop):
-        j = max(int(j), i + min_sentences)
-        if j <= len(pieces):
-            out.append((xxhash.xxh3_128_digest(b" ".join(flat[i:j])), i, j - i))
-    return out
+_WS = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_STOP = np.isin(np.arange(256), list(b".!?"))
+_BYTE, _PLACE = np.random.default_rng(20240301).integers(0, 2**64 - 1, (2, 256), dtype=np.uint64) | np.uint64(1)
+_BYTE = np.where(_WS, np.uint64(0), _BYTE[np.frombuffer(_LOWER, np.uint8)])
+
+
+class _Text:
+    """``raw`` in pieces: ``at`` their first bytes, ``total`` the words before each and in all, ``sent`` the sentence
+    of each; ``canon`` the words as compared, ``word`` where each starts in it."""
+
+    def __init__(self, raw: bytes, window: int = WINDOW):
+        a = np.frombuffer(raw, np.uint8)
+        edge = np.diff(np.r_[True, _WS[a], True].astype(np.int8))
+        s, e = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        n = len(s)
+        self.canon = b" ".join(raw.translate(_LOWER).split())
+        self.word = np.r_[0, np.cumsum(e - s + 1)]
+        if not n:
+            self.at = self.sent = np.zeros(min(1, len(a)), np.int64)
+            self.total = np.zeros(1 + len(self.at), np.int64)
+            return
+        lines = np.r_[-1, np.flatnonzero(a == 10)]
+        line = lines[np.searchsorted(lines, s[1:]) - 1]
+        first = np.r_[True, (line >= e[:-1]) | _STOP[a[e[:-1] - 1]]]
+        cut = first.copy()
+        if n > window:
+            place = np.minimum(np.arange(s[0], len(a)) - np.repeat(s, np.diff(np.r_[s, len(a)])), 255)
+            h = mix(np.add.reduceat(_BYTE[a[s[0]:]] * _PLACE[place], s - s[0]))
+            key = np.r_[np.uint64(0), mix(h[1:] + h[:-1] * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)]
+            key[first] = 0
+            cut[np.lib.stride_tricks.sliding_window_view(key, window).argmin(axis=1) + np.arange(n - window + 1)] = True
+        c = np.flatnonzero(cut)
+        if n > window and ((key[c[1:]] == key[c[:-1]]) & ~first[c[1:]]).any():
+            kept, stop = [0], np.r_[c[1:], n]
+            for k, after, v, f in zip(c[1:].tolist(), stop[1:].tolist(), key[c[1:]].tolist(), first[c[1:]].tolist()):
+                if f or v != key[kept[-1]] or after - kept[-1] > window:
+                    kept.append(k)
+            c = np.array(kept)
+        self.at, self.total, self.sent = np.r_[0, s[1:]][c], np.r_[c, n], np.cumsum(first)[c]
+
+    def pieces(self, raw: bytes) -> list[bytes]:
+        return [raw[a:b] for a, b in zip(self.at, np.r_[self.at[1:], len(raw)])]
+
+    def runs(self, min_sentences: int, min_words: int, long: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The spans: number (2 x first piece, or 2 x last piece + 1), first piece, piece after the last."""
+        m, total, sent = len(self.at), self.total, self.sent
+        i = np.arange(m if self.canon else 0)
+        if not len(i):
+            return i, i, i
+        stop = np.maximum(np.searchsorted(total, total[:-1] + min_words),
+                          np.minimum(np.searchsorted(sent, sent + min_sentences - 1) + 1, np.searchsorted(total, total[:-1] + long + 1)))
+        back = np.minimum(np.searchsorted(total, total[1:] - min_words, side="right"),
+                          np.maximum(np.searchsorted(sent, sent - min_sentences + 1, side="right"),
+                                     np.searchsorted(total, total[1:] - long - 1, side="right"))) - 1
+        on, ends = stop <= m, (back >= 0) & (stop[back] <= i)  # else the span that starts there ends with this piece too
+        return np.r_[2 * i[on], 2 * i[ends] + 1], np.r_[i[on], back[ends]], np.r_[stop[on], i[ends] + 1]
+
+    def hashes(self, first: np.ndarray, stop: np.ndarray) -> list[bytes]:
+        digest, canon = xxhash.xxh3_128_digest, self.canon
+        return [digest(canon[x:y]) for x, y in zip(self.word[self.total[first]].tolist(), (self.word[self.total[stop]] - 1).tolist())]
+
+
+def sentences(text: str, window: int = WINDOW) -> list[str]:
+    """Pieces of the text, in order and without loss; a piece without a word belongs to the piece before it, at the start after it."""
+    raw = text.encode()
+    return [p.decode() for p in _Text(raw, window).pieces(raw)]
+
+
+def spans(pieces: list[str], min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS, long: int = LONG,
+          window: int = WINDOW) -> list[tuple[bytes, int, int]]:
+    """(128-bit hash, first piece, pieces) of the shortest span that starts with each piece, and of the shortest that
+    ends with each where that is another one, where one is complete."""
+    text = _Text("".join(pieces).encode(), window)
+    _, first, stop = text.runs(min_sentences, min_words, long)
+    return list(zip(text.hashes(first, stop), first.tolist(), (stop - first).tolist()))
 
 
 def _emit(min_sentences: int, min_words: int, long: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            keys, row, first, size = [], [], [], []
+            keys, row, number = [], [], []
             for i, t in enumerate(part.column("text").to_pylist()):
-                for h, a, n in spans(sentences(t or "", long), min_sentences, min_words):
-                    keys.append(h)
-                    row.append(i)
-                    first.append(a)
-                    size.append(n)
+                text = _Text((t or "").encode())
+                code, first, stop = text.runs(min_sentences, min_words, long)
+                keys += text.hashes(first, stop)
+                row.append(np.full(len(code), i))
+                number.append(code)
             if not keys:
                 continue
             h = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
-            idx = pa.array(row, pa.int32())
+            idx = pa.array(np.concatenate(row))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h[:, 0]), pa.array(h[:, 1]), part.column("id0").take(idx), part.column("text_key").take(idx),
-                 pa.array(first, pa.int32()), pa.array(size, pa.int32())],
-                names=["hi", "lo", "id0", "text_key", "first", "size"])
+                 pa.array(np.concatenate(number), pa.int64())], names=["hi", "lo", "id0", "text_key", "number"])
     return run
 
 
-def _remove(long: int, names: list[str]):
+def _remove(min_sentences: int, min_words: int, long: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             texts, counts, gone = part.column("text").to_pylist(), [], []
             for i, drops in enumerate(part.column("drops").to_pylist()):
-                pieces = sentences(texts[i] or "", long)
+                raw = (texts[i] or "").encode()
+                text = _Text(raw)
+                pieces = text.pieces(raw)
                 stay = np.ones(len(pieces), bool)
-                for d in drops or ():
-                    stay[d["first"]:d["first"] + d["size"]] = False
+                if drops:
+                    code, first, stop = text.runs(min_sentences, min_words, long)
+                    at = np.isin(code, drops)
+                    for a, b in zip(first[at].tolist(), stop[at].tolist()):
+                        stay[a:b] = False
                 counts.append(len(pieces))
                 gone.append(len(pieces) - int(stay.sum()))
-                texts[i] = "".join(p for p, s in zip(pieces, stay) if s) if gone[-1] else texts[i] or ""
+                texts[i] = b"".join(p for p, s in zip(pieces, stay) if s).decode() if gone[-1] else texts[i] or ""
             yield pa.RecordBatch.from_arrays(
                 [part.column("row"), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(gone, pa.int64())],
                 names=names)
@@ -113,21 +166,23 @@ def _remove(long: int, names: list[str]):
 
 
 def substring_dedup(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS, long: int = LONG) -> DataFrame:
-    """``row`` (a struct of all columns but text), ``text`` without the repeats, ``n_sentences``, ``n_removed``."""
+    """``row`` (a struct of all columns but text), ``text`` without the repeats, ``n_sentences`` and ``n_removed`` (pieces)."""
     id0 = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("id0")
     key = F.xxhash64("text").alias("text_key")
     emit = _emit(min_sentences, min_words, long)
-    found = docs.select(id0, key, "text").mapInArrow(
-        emit, "hi long, lo long, id0 long, text_key long, first int, size int")
-    place = F.struct("id0", "text_key", "first")
-    repeated = found.groupBy("hi", "lo").agg(F.min(place).alias("one"), F.max(place).alias("other"))
-    repeated = repeated.where("one <> other").select(F.col("hi").alias("__hi"), F.col("lo").alias("__lo"), "one")
-    later = found.join(repeated, (found["hi"] == repeated["__hi"]) & (found["lo"] == repeated["__lo"])).where(place != F.col("one"))
-    drops = later.groupBy(F.col("id0").alias("__i"), F.col("text_key").alias("__t")).agg(
-        F.collect_set(F.struct("first", "size")).alias("drops"))
+    found = docs.select(id0, key, "text").mapInArrow(emit, "hi long, lo long, id0 long, text_key long, number long")
+    # what is shuffled for every span is kept small: 88 bits of its hash, and in the place 32 bits that tell rows of one id apart
+    low = F.col("lo").bitwiseAND(F.lit(0xFFFFFF)).alias("low")
+    place = F.struct("id0", F.shiftleft("text_key", 32).bitwiseOR(F.col("number")).alias("at"))
+    repeated = found.groupBy("hi", low).agg(F.min(place).alias("one"), F.count("*").alias("n"))
+    repeated = repeated.where("n > 1").select(F.col("hi").alias("__hi"), F.col("low").alias("__low"), "one")
+    packed = found.select("hi", F.shiftleft(low, 40).bitwiseOR(F.col("number")).alias("number"), "id0", "text_key")
+    later = packed.join(repeated, (packed["hi"] == repeated["__hi"]) & (F.shiftrightunsigned("number", 40) == F.col("__low")))
+    later = later.withColumn("number", F.col("number").bitwiseAND(F.lit(2**40 - 1))).where(place != F.col("one"))
+    drops = later.groupBy(F.col("id0").alias("__i"), F.col("text_key").alias("__t")).agg(F.collect_set("number").alias("drops"))
     others = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), "text", id0, key)
     joined = rows.join(drops, (rows["id0"] == drops["__i"]) & (rows["text_key"] == drops["__t"]), "left")
     out = T.StructType([rows.schema["row"], T.StructField("text", T.StringType()),
                         T.StructField("n_sentences", T.LongType()), T.StructField("n_removed", T.LongType())])
-    return joined.select("row", "text", "drops").mapInArrow(_remove(long, out.names), out)
+    return joined.select("row", "text", "drops").mapInArrow(_remove(min_sentences, min_words, long, out.names), out)

@@ -148,6 +148,41 @@ def test_substring_dedup(spark):
         assert left.count(p[: p.index(".") + 1]) <= 1 or places and left.count(p) <= 1
 
 
+@pytest.mark.parametrize("mean", [8, 15, 40, 10**9])
+def test_substring_dedup_any_offset(spark, mean):
+    """Passages of 50 to 60 words at any word offset of any sentence: more than half of a repeat goes, and nothing else."""
+    rng = random.Random(mean)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7)) + "." * (rng.random() < 1 / mean)
+    words = lambda n: [word() for _ in range(n)]
+    texts, sizes = [], []
+    for i in range(40):
+        passage = words(rng.randint(50, 60))
+        sizes.append(len(passage))
+        for d in (2 * i, 2 * i + 1):
+            texts.append((d, words(rng.randint(0, 70)), passage, words(rng.randint(0, 70))))
+    got = {r.row.doc_id: r for r in substring_dedup.substring_dedup(
+        _rows(spark, [(i, " ".join(a + p + b)) for i, a, p, b in texts])).collect()}
+    for i, a, p, b in texts:
+        left = got[i].text.split()
+        if i % 2 == 0:
+            assert left == a + p + b
+            continue
+        assert left[:len(a)] == a and left[len(left) - len(b):] == b
+        assert 2 * (len(left) - len(a) - len(b)) < len(p)
+
+
+def test_substring_dedup_pieces(spark):
+    """Pieces are bounded, also of one repeated word; a first empty line and one short sentence are no repeats."""
+    for text in ("word " * 3000, "a b " * 3000, "x. " * 500, " \n\n a\n", " ", "", "é ü " * 99):
+        pieces = substring_dedup.sentences(text)
+        assert "".join(pieces) == text and all(len(p.split()) <= substring_dedup.WINDOW for p in pieces)
+    assert len(substring_dedup.sentences("word " * 3000)) < 600
+    short = " ".join(f"w{i}" for i in range(24)) + "."
+    own = "\n" + " ".join(f"u{i}" for i in range(12)) + ".\n" + " ".join(f"v{i}" for i in range(12)) + "."
+    got = substring_dedup.substring_dedup(_rows(spark, [(1, "A b. " + short), (2, "C d. " + short), (3, own)])).collect()
+    assert {r.row.doc_id: r.text for r in got} == {1: "A b. " + short, 2: "C d. " + short, 3: own}
+
+
 def test_lm_scores(spark, monkeypatch):
     monkeypatch.setattr(lm_trie, "BUCKET_TOKENS", 5_000)  # many shards and hot contexts
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
