@@ -17,10 +17,12 @@ posted under its own step and the next one up and meets every size it can be lin
 2. Skip pass: a list whose classes all lie in one component has nothing to
    add and is skipped. In the others only pairs of different components are
    compared, on signatures in memory, in the list of the pair's first common
-   prefix coordinate; those above t are confirmed on the full sets. Lists with
-   more than ``SPLIT`` such pairs are first posted again under a second
-   coordinate (a pair of the list agrees on t - 1 others, so the same prefix
-   argument holds), which splits lists made by a common passage.
+   prefix coordinate; those above t are confirmed on the full sets. A list with
+   more than ``SPLIT`` such pairs is posted again under a further coordinate (a
+   pair that has d common coordinates agrees on t - d later ones, so the same
+   prefix argument holds), and again and again while it has more than ``LIST_ROWS``
+   rows, as long as that leaves fewer pairs, which is counted without signatures first. What is left of more than ``LIST_ROWS`` rows is
+   cut into blocks, and each pair of blocks is a list of its own.
    Two classes of different components that agree on t coordinates meet in
    pass 2, so no link between different texts is lost to the stars.
 
@@ -52,6 +54,7 @@ from pipewright.llm.components import components
 COORDS = 32
 SIGMAS = 4.5
 SPLIT = 200_000
+LIST_ROWS = 8192  # rows of a list, or of each of the two blocks of one, that are compared in one go
 BLOCK = 4096
 BROADCAST_IDS = 1_000_000  # ids (8 bytes each) that may be broadcast to find the texts of candidates
 _A, _B = np.random.default_rng(20240229).integers(0, 2**64 - 1, (2, COORDS), dtype=np.uint64)
@@ -115,18 +118,44 @@ def _post(prefix: int, percent: int):
     return run
 
 
-def _repost(prefix: int):
-    """Second keys of the rows of a large list: the next ``prefix`` coordinates after the list's own, cyclic."""
+def _repost(prefix: int, names: list[str]):
+    """Rows of large lists under each coordinate that may be the next common one; ``up2``: the list they come from."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
-            own = (b.column("key").to_numpy() >> 32) & 63
-            j = (own[:, None] + 1 + np.arange(prefix)) % COORDS
-            keys = np.take_along_axis(_sigs(b.column("sig")), j, axis=1).astype(np.int64) | (j << 32)
-            idx = pa.array(np.repeat(np.arange(b.num_rows), prefix))
-            cols = [b.column(c).take(idx) if c != "key2" else pa.array(keys.ravel()) for c in b.schema.names]
-            yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)
+            masks = b.column("mask").to_numpy()
+            for mask in np.unique(masks).tolist():
+                part = b.filter(pa.array(masks == mask))
+                j = np.arange(mask.bit_length(), min(COORDS, prefix + mask.bit_count()))
+                if not len(j):
+                    continue
+                values = _sigs(part.column("sig"))[:, j].astype(np.uint64) | (j.astype(np.uint64) << np.uint64(32))
+                up = part.column("key2").to_numpy()
+                keys = mix(up.view(np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15) + values).view(np.int64)
+                idx = pa.array(np.repeat(np.arange(part.num_rows), len(j)))
+                new = {"key2": pa.array(keys.ravel()), "up2": pa.array(np.repeat(up, len(j))),
+                       "mask": pa.array(np.tile(mask | (1 << j), part.num_rows))}
+                yield pa.RecordBatch.from_arrays([new[c] if c in new else part.column(c).take(idx) for c in names], names=names)
+    return run
+
+
+def _blocks(list_rows: int, names: list[str]):
+    """Rows of a list of ``size`` rows under each pair of blocks they belong to; ``side`` 0: one block, 1, 2: first, second."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            many = -(-b.column("size").to_numpy() // list_rows)
+            for n in np.unique(many).tolist():
+                part = b.filter(pa.array(many == n))
+                for at in range(0, part.num_rows, max(1, 20_000 // n)):
+                    rows = part.slice(at, max(1, 20_000 // n))
+                    x = (mix(rows.column("rep").to_numpy().view(np.uint64)) % np.uint64(n)).astype(np.int64)[:, None]
+                    y = np.arange(n)[None, :]
+                    pair = (np.minimum(x, y) * n + np.maximum(x, y)).astype(np.uint64)
+                    keys = rows.column("key2").to_numpy().view(np.uint64)[:, None]
+                    keys = mix(keys + (pair + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) if n > 1 else keys
+                    idx = pa.array(np.repeat(np.arange(rows.num_rows), n))
+                    new = {"key2": pa.array(keys.view(np.int64).ravel()),
+                           "side": pa.array(np.where(x == y, 0, np.where(x < y, 1, 2)).ravel(), pa.int32())}
+                    yield pa.RecordBatch.from_arrays([new[c] if c in new else rows.column(c).take(idx) for c in names], names=names)
     return run
 
 
@@ -158,48 +187,48 @@ def _agree(percent: int, least: int, blocks: int):
     return run
 
 
-def _compare(keys: np.ndarray, second: int, comp: np.ndarray, rep: np.ndarray, n: np.ndarray, sig: np.ndarray,
-             percent: int, least: int, prefix: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def _compare(key: int, mask: int, side: np.ndarray, comp: np.ndarray, rep: np.ndarray, n: np.ndarray, sig: np.ndarray,
+             percent: int, least: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Pairs of one list (rows sorted by component) in different components that may be linked.
 
-    ``second``: the list's second coordinate, 0 if it was not split.
+    ``mask``: the coordinates that the list was posted under; ``side``: see ``_blocks``.
     """
-    out, m = [], len(rep)
-    own = int(keys[0] >> 32) & 63
-    low = _steps(n, percent) < int(keys[0] >> 38)  # two rows of the lower step meet in that step's list
-    step = max(1, 2_000_000 // (COORDS * m))
-    last = np.searchsorted(comp, comp, side="right")  # a row meets the rows of later components
-    for a in range(0, m, step):
-        rows = np.arange(a, min(m, a + step))
-        lo = last[rows[0]]
-        if lo >= m:
+    out = []
+    before = [c for c in range(mask.bit_length()) if not mask >> c & 1]
+    low = _steps(n, percent) < key >> 38  # two rows of the lower step meet in that step's list
+    one, two = (np.flatnonzero(side == s) for s in (1, 2)) if side.any() else (np.arange(len(rep)),) * 2
+    last = np.searchsorted(comp, comp, side="right")  # inside a block a row meets the rows of later components
+    step = max(1, 2_000_000 // (COORDS * max(1, len(two))))
+    for a in range(0, len(one), step):
+        i = one[a:a + step]
+        j = two if one is not two else two[last[i[0]]:]
+        if not len(j):
             break
-        eq = sig[rows][:, None, :] == sig[None, lo:, :]
-        ok = (eq.sum(axis=2) >= least) & (comp[rows][:, None] != comp[None, lo:])
-        nn = n[None, lo:], n[rows][:, None]
+        eq = sig[i][:, None, :] == sig[None, j, :]
+        ok = (eq.sum(axis=2) >= least) & (comp[i][:, None] != comp[None, j])
+        nn = n[None, j], n[i][:, None]
         ok &= 100 * np.minimum(*nn) >= percent * np.maximum(*nn)
-        ok &= ~(low[rows][:, None] & low[None, lo:])
-        ok &= ~eq[:, :, :own].any(axis=2) if own else True  # else an earlier list has the pair
-        ok &= ~eq[:, :, own + 1:second].any(axis=2) if second > own + 1 else True
-        i, j = np.nonzero(ok)
-        if len(i):
-            out.append((rep[rows[i]], rep[lo + j]))
+        ok &= ~(low[i][:, None] & low[None, j])
+        ok &= ~eq[:, :, before].any(axis=2) if before else True  # else another list has the pair
+        x, y = np.nonzero(ok)
+        if len(x):
+            out.append((rep[i[x]], rep[j[y]]))
     return out
 
 
-def _lists(percent: int, least: int, prefix: int, blocks: int):
+def _lists(percent: int, least: int, blocks: int):
     """Streams rows sorted by (key, key2, comp); compares list by list."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def emit(t: pa.Table) -> Iterator[pa.RecordBatch]:
             k1, k2 = t.column("key").to_numpy(), t.column("key2").to_numpy()
-            comp, rep, n = (t.column(c).to_numpy() for c in ("comp", "rep", "n"))
+            mask, side, comp, rep, n = (t.column(c).to_numpy() for c in ("mask", "side", "comp", "rep", "n"))
             sig = _sigs(t.column("sig").combine_chunks())
             cuts = np.flatnonzero(np.r_[True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])])
             found = []
             for a, b in zip(cuts, np.r_[cuts[1:], len(k1)]):
-                found += _compare(k1[a:b], (int(k2[a]) >> 32) & 63, comp[a:b], rep[a:b], n[a:b], sig[a:b], percent, least, prefix)
+                found += _compare(int(k1[a]), int(mask[a]), side[a:b], comp[a:b], rep[a:b], n[a:b], sig[a:b], percent, least)
             if found:
                 yield _packed(*(np.concatenate(v) for v in zip(*found)), blocks)
 
@@ -299,6 +328,39 @@ def _linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
     return cut(meet.mapInArrow(_confirm(percent), "a long, b long"))
 
 
+def _sized(rows: DataFrame, *keys: str) -> DataFrame:
+    """The lists of ``rows`` with pairs of different components: keys, ``size`` (rows), ``cross`` (such pairs)."""
+    lists = rows.groupBy(*keys, "comp").agg(F.count("*").alias("m")).groupBy(*keys).agg(
+        F.sum("m").alias("size"), ((F.sum("m").cast("double") * F.sum("m") - F.sum(F.col("m").cast("double") * F.col("m"))) / 2).alias("cross"))
+    return lists.where("cross > 0")
+
+
+def _work(level: DataFrame, prefix: int, least: int) -> DataFrame:
+    """The rows of the lists to compare: large lists posted under further coordinates, then cut into blocks."""
+    kept, out = level.columns, []
+    narrow, wide = ("key long, up2 long, key2 long, mask long, comp long",
+                    "key long, key2 long, mask long, comp long, rep long, n long, sig binary")
+    names = lambda schema: [c.split()[0] for c in schema.split(", ")]
+    many = F.bit_count("mask")  # from the second time on only lists too long to be compared in one go
+    over = (F.col("cross") > SPLIT) & (many < least) & ((many == 1) | (F.col("size") > LIST_ROWS))
+    while not (large := level.where(over)).isEmpty():
+        kids = large.select("key", "key2", "mask", "comp", "sig").mapInArrow(_repost(prefix, names(narrow)), narrow)
+        kids = cut(_sized(kids, "key", "up2", "key2", "mask"))
+        total = kids.groupBy("key", "up2").agg(F.sum("cross").alias("__total")).withColumnsRenamed({"key": "__k", "up2": "__u"})
+        level = level.join(total, (level["key"] == total["__k"]) & (level["key2"] == total["__u"]), "left")
+        level = cut(level.withColumn("__again", over & (F.coalesce("__total", F.lit(0.0)) < F.col("cross"))))
+        out.append(level.where(~F.col("__again")).select(*kept))
+        again = level.where("__again").select(*names(wide)).mapInArrow(_repost(prefix, names(wide)), wide)
+        kids = kids.select(F.col("key").alias("__k"), F.col("key2").alias("__k2"), "size", "cross")
+        level = cut(again.join(kids, (again["key"] == kids["__k"]) & (again["key2"] == kids["__k2"])).select(*kept))
+    out.append(level)
+    rows = out[0]
+    for more in out[1:]:
+        rows = rows.unionByName(more)
+    cols = "key long, key2 long, mask long, side int, comp long, rep long, n long, sig binary"
+    return rows.drop("cross").mapInArrow(_blocks(LIST_ROWS, names(cols)), cols)
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, s_hi, s_lo (hash of the shingle set), n_shingles, component_id, kept; one row per row of ``docs``."""
     least = match_threshold(percent)
@@ -332,19 +394,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     # skip pass
     lab = comp.select(F.col("node").alias("__n"), F.col("comp").alias("__c"))
     marked = shared.join(lab, shared["rep"] == lab["__n"], "left").select("key", "rep", F.coalesce("__c", "rep").alias("comp"))
-    mixed = marked.groupBy("key", "comp").agg(F.count("*").alias("m")).groupBy("key").agg(
-        ((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("cross"))
-    mixed = mixed.where("cross > 0").select(F.col("key").alias("__k"), "cross")
+    mixed = _sized(marked.withColumn("key2", F.lit(0).cast("long")), "key", "key2")
+    mixed = mixed.select(F.col("key").alias("__k"), "size", "cross")
     rest = marked.join(mixed, marked["key"] == mixed["__k"]).drop("__k")
     rest = rest.join(reps.select(F.col("rep").alias("__r"), "n", "sig"), F.col("rep") == F.col("__r"))
-    rest = cut(rest.select("key", F.lit(0).cast("long").alias("key2"), "comp", "rep", "n", "sig", "cross"))
-    large = rest.where(F.col("cross") > SPLIT).mapInArrow(_repost(prefix), rest.schema)
-    twice = large.groupBy("key", "key2").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-    twice = twice.select(F.col("key").alias("__k"), F.col("key2").alias("__k2"))
-    large = large.join(twice, (large["key"] == twice["__k"]) & (large["key2"] == twice["__k2"]))
-    work = rest.where(F.col("cross") <= SPLIT).unionByName(large.select(*rest.columns)).drop("cross")
+    own = F.expr("shiftleft(cast(1 as bigint), cast(shiftright(key, 32) & 63 as int))").alias("mask")
+    rest = cut(rest.select("key", F.lit(0).cast("long").alias("key2"), own, "comp", "rep", "n", "sig", "size", "cross"))
+    work = _work(rest, prefix, least)
     work = work.repartition(partitions(docs.sparkSession), "key", "key2").sortWithinPartitions("key", "key2", "comp")
-    more = work.mapInArrow(_lists(percent, least, prefix, blocks), PAIRS)
+    more = work.mapInArrow(_lists(percent, least, blocks), PAIRS)
     comp = components(links.union(_linked(more, docs, width, percent)))
 
     lab = comp.select(F.col("node").alias("__n"), F.col("comp").alias("__c"))

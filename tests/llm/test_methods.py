@@ -114,6 +114,30 @@ def test_near_duplicates(spark, monkeypatch, split):
         assert got == _brute_near(texts, width, percent)
 
 
+def test_near_duplicates_common_passage(spark, monkeypatch):
+    """Half-similar texts that share a passage: lists are split or cut into blocks, none stays large, no link is lost."""
+    monkeypatch.setattr(minhash_join, "SPLIT", 50)
+    monkeypatch.setattr(minhash_join, "LIST_ROWS", 10)
+    sizes, work = [], minhash_join._work
+
+    def seen(*args):
+        rows = work(*args)
+        sizes.extend(r["count"] for r in rows.groupBy("key", "key2").count().collect())
+        return rows
+    monkeypatch.setattr(minhash_join, "_work", seen)
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    common = [word() for _ in range(80)]
+    own = [[word() for _ in range(36)] for _ in range(90)]
+    texts = [" ".join(common + o) for o in own] + [" ".join(common + o[:-2] + [word(), word()]) for o in own[:30]]
+    texts += [" ".join(word() for _ in range(50)) for _ in range(20)]
+    rng.shuffle(texts)
+    texts = list(enumerate(texts))
+    got = {r.doc_id: r.component_id for r in minhash_join.near_duplicates(_rows(spark, texts), 3, 85).collect()}
+    assert got == _brute_near(texts, 3, 85)
+    assert sizes and max(sizes) <= 50
+
+
 def test_substring_dedup(spark):
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
