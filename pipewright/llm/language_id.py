@@ -1,7 +1,7 @@
 """Language identification: byte CNN with filters of several widths over fixed-length windows.
 
-Trained on at most ``TRAIN_ROWS`` documents (smallest hashes of the doc_id)
-with a language whose crc32(doc_id) mod ``folds`` is not ``held``; nothing but
+Trained on at most ``TRAIN_ROWS`` documents (smallest hashes of the doc_id), and
+at most ``LANG_ROWS`` of each language so that a rare one is learned too, with a language whose crc32(doc_id) mod ``folds`` is not ``held``; nothing but
 text bytes enters a prediction, which averages over all windows of the text.
 
 Edge cases: null text, or text without a letter, is 'und' with score 0; a
@@ -12,7 +12,7 @@ repeated rows are scored each; extra columns are ignored whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pipewright.llm.byte_cnn import ByteCnn, scorer, training_windows
@@ -20,6 +20,7 @@ from pipewright.llm.common import fold
 
 LENGTH = 256
 TRAIN_ROWS = 3000
+LANG_ROWS = 200
 EPOCHS = 5
 FOLDS, HELD = 4, 2
 
@@ -27,10 +28,15 @@ FOLDS, HELD = 4, 2
 def train(docs: DataFrame, train_rows: int = TRAIN_ROWS, folds: int = FOLDS, held: int = HELD) -> ByteCnn | None:
     rows = docs.where((fold(F.col("doc_id"), folds) != held) & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
                       & F.col("text").rlike(r"\p{L}"))
-    ids = rows.select(F.col("doc_id").alias("__id")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows).distinct()
+    hashed = rows.select(F.col("doc_id").alias("__id"), "lang", F.xxhash64("doc_id").alias("__h"))
+    first = hashed.orderBy("__h", "__id").limit(train_rows).select("__id")
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("__h", "__id"))
+    each = hashed.withColumn("__n", nth).where(F.col("__n") <= LANG_ROWS).select("__id")
+    ids = first.union(each).distinct()
+    bound = 2 * ids.count()
     sample = rows.select("doc_id", "lang", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("__id"))
     sample = sample.select("doc_id", "lang", "text")
-    seen = training_windows(F.col("text"), sample, LENGTH, LENGTH).orderBy("doc_id", "lang", "windows").limit(2 * train_rows).collect()
+    seen = training_windows(F.col("text"), sample, LENGTH, LENGTH).orderBy("doc_id", "lang", "windows").limit(bound).collect()
     if not seen:
         return None
     langs = sorted({r["lang"] for r in seen})

@@ -207,6 +207,14 @@ def test_substring_dedup_pieces(spark):
     assert {r.row.doc_id: r.text for r in got} == {1: "A b. " + short, 2: "C d. " + short, 3: own}
 
 
+def test_language_id_rare_language(spark):
+    """A language with a few of thousands of rows is among the classes, however small the common sample."""
+    from pipewright.llm import language_id
+    rows = [(i, "the cat sat on the mat", "en", "s", 0) for i in range(3000)] + [(5000 + i, "le chat noir dort", "fr", "s", 0) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert list(language_id.train(docs, train_rows=20).classes) == ["en", "fr"]
+
+
 def test_lm_scores(spark, monkeypatch):
     monkeypatch.setattr(lm_trie, "BUCKET_TOKENS", 5_000)  # many shards and hot contexts
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
