@@ -80,6 +80,22 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pipewright.llm.conversation_repair import damaged, repair
+    return repair(damaged(_read(spark, sf_dir, "conversations")), _read(spark, sf_dir, "conversations").select("conv_id"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pipewright.llm.spelling_variants import misspelt_words, variants
+    return variants(misspelt_words(documents(spark, sf_dir)))
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pipewright.llm.suffix_dedup import suffix_dedup
+    d = suffix_dedup(documents(spark, sf_dir).select("doc_id", "text"))
+    return d.select(F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_toxicity": op2_toxicity,
@@ -91,6 +107,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 
