@@ -47,7 +47,7 @@ from pipewright.llm.suffix_array import prefixes, repeats
 
 MIN_BYTES, GRAM = 200, 64
 BUCKET, PARTS = 4096, 8
-BLOCK = 1 << 20  # bytes hashed at once, whatever a text's length
+BLOCK = 1 << 17  # bytes hashed at once, whatever a text's length
 WHOLE = 255  # a cover's length: as far as the context goes
 _SEED = np.random.default_rng(20250117).integers(0, 2**64 - 1, 257, dtype=np.uint64) | np.uint64(1)
 _BYTE, _BASE = _SEED[:256], _SEED[256]
