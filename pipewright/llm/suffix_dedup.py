@@ -20,7 +20,8 @@ one suffix in 70 bytes.
 4. A bucket of more than ``BUCKET`` members is split before: a member takes part in one
    bucket for each of ``PARTS`` ranges of places in the string, keyed by all bytes that
    every string of the range holds; if that is still too large, in one for each place. There the key is
-   the whole string, so such a bucket is one group without a scan. No task holds more than
+   the whole string, so such a bucket is one group without a scan. Only places in strings that
+   chose the suffix count: every string has one suffix that stands for it. No task holds more than
    ``BUCKET`` members, and no pairs are formed.
 5. What each suffix covers is packed per document and joined to the texts.
 
@@ -171,15 +172,25 @@ def _parts(size: int, gram: int, parts: int) -> list[tuple[int, int]]:
     return [(a, b - 1) for a, b in zip(cuts, cuts[1:]) if b > a]
 
 
-def _split(size: int, ranges: list[tuple[int, int]]):
-    """Each member once for every range: the bucket's new key is what all strings of the range hold of it."""
+def _leads(left: bytes, right: bytes, size: int, gram: int) -> set[int]:
+    """Places that the suffix has in those strings whose chosen suffix it is."""
+    both = np.frombuffer(left + right, np.uint8)
+    if len(both) < size:
+        return set()
+    chosen = _smallest(mix(_Hash(both).grams(gram)), size - gram + 1)
+    return set((len(left) - np.flatnonzero(chosen == len(left))).tolist())
+
+
+def _split(size: int, gram: int, ranges: list[tuple[int, int]]):
+    """Each member once for every range with a string that chose it: the bucket's new key is what all strings of the range hold of it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
         for part in slices(batches, "right"):
             row, bucket, lead = [], [], []
             for i, (left, right) in enumerate(zip(part.column("left").to_pylist(), part.column("right").to_pylist())):
+                own = _leads(left, right, size, gram)
                 for lo, hi in ranges:
-                    if len(left) >= lo and len(right) >= size - hi:
+                    if not own.isdisjoint(range(lo, hi + 1)):
                         row.append(i)
                         bucket.append(digest(left[len(left) - lo:] + right[:size - hi], seed=hi + 1))
                         lead.append(hi)
@@ -198,7 +209,12 @@ def _scan(size: int, gram: int, groups: bool):
         common = prefixes(right, size).tolist()
         best = [(0, 0)] * len(left)
         for lead, tail, members in repeats(left, common, size, gram):
-            name = xxhash.xxh3_128_digest(left[members[0]][len(left[members[0]]) - lead:] + right[members[0]][:tail]) if groups else None
+            if groups:
+                string = left[members[0]][len(left[members[0]]) - lead:] + right[members[0]][:tail]
+                # a suffix chosen by strings around this one only may not be chosen at every occurrence
+                if _leads(string[:lead], string[lead:], size, gram).isdisjoint(range(size - tail, lead + 1)):
+                    continue
+                name = xxhash.xxh3_128_digest(string)
             for m in members:
                 if groups:
                     yield keys[m], contexts[m], lead, tail, name
@@ -272,12 +288,12 @@ def _buckets(members: DataFrame, size: int, gram: int, most: int, parts: int) ->
     is_large = F.col("key") == F.col("__by")
     small = members.join(large, is_large, "left_anti").withColumn("bucket", F.col("key"))
     out = "key long, context long, left binary, right binary, bucket long, lead int"
-    split = store(members.join(large, is_large, "left_semi").mapInArrow(_split(size, _parts(size, gram, parts)), out))
+    split = store(members.join(large, is_large, "left_semi").mapInArrow(_split(size, gram, _parts(size, gram, parts)), out))
     large2 = over(split, "bucket")
     is_large2 = F.col("bucket") == F.col("__by")
     small = small.unionByName(split.join(large2, is_large2, "left_anti").drop("lead"))
     rest = split.join(large2, is_large2, "left_semi").select("key", "context", "left", "right").distinct()
-    single = rest.mapInArrow(_split(size, [(i, i) for i in range(size - gram + 1)]), out)
+    single = rest.mapInArrow(_split(size, gram, [(i, i) for i in range(size - gram + 1)]), out)
     single = store(single.select("key", "context", "bucket", "lead"))
     equal = single.groupBy(F.col("bucket").alias("__by")).count().where("count > 1").select("__by")
     return small, single.join(store(equal), is_large2, "left_semi").select(
