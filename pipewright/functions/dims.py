@@ -74,6 +74,9 @@ TYPE_GROUPS = [
     ("Renewal Business", "Renewal", None),
 ]
 
+# --- funnels
+FUNNELS = ["Expansion", "New Sales - Outbound", "New Sales - Inbound"]
+
 # --- regions
 NORTH_AMERICA_REGIONS = ["North America", "LATAM"]
 ALL_REGIONS = ["Benelux", "North America", "DACH", "UK", "APJ", "Rest of EMEA", "LATAM", "Nordics",

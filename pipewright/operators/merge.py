@@ -17,9 +17,16 @@ sequence numbers leave nothing to chance; of identical rows one wins. A column
 of the change set that the target lacks is an error.
 
 Change rows are counted per distinct row first and reduced to one winner per
-key, both combined map-side. Each distinct row then meets its key's winner in
-a join salted ``SALTS`` ways (the one-row-per-key side is repeated), whatever
-the key's frequency.
+key, both combined map-side. A distinct row is cut into chunks of ``CHUNK``
+copies, and each chunk meets its key's winner in a join salted ``SALTS`` ways
+(the one-row-per-key side is repeated), so neither a key nor a row that makes
+up a large part of the change set stays in one task, and no value grows with
+the number of copies.
+
+A merge can be undone from its before image and its change set
+(``revert_table``): updated rows get their old values back, inserted rows go.
+A row that is not as the merge left it (changed, gone or doubled since) is
+left alone and reported.
 """
 
 from __future__ import annotations
@@ -31,6 +38,7 @@ from pipewright.functions.dims import NOTES_LIMIT
 from pipewright.functions.text import truncate_notes
 
 SALTS = 16
+CHUNK = 100_000
 
 
 def _value_cols(target: DataFrame, changes: DataFrame, key: str, seq: str) -> list[str]:
@@ -54,8 +62,10 @@ def _winners(target: DataFrame, changes: DataFrame, key: str, seq: str) -> DataF
 def merge_outcomes(target: DataFrame, changes: DataFrame, key: str, seq: str, mode: str = "upsert") -> DataFrame:
     """Per change row: key, seq, outcome."""
     cols = _value_cols(target, changes, key, seq)
-    distinct = changes.groupBy(key, seq, *cols).agg(F.count(F.lit(1)).alias("__n"))
-    distinct = distinct.withColumn("__salt", F.pmod(F.xxhash64(seq, *cols), F.lit(SALTS)))
+    distinct = changes.groupBy(key, seq, *cols).agg(F.count(F.lit(1)).alias("__copies"))
+    distinct = distinct.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(__copies - 1) div {CHUNK}"))))
+    distinct = distinct.withColumn("__n", F.least(F.lit(CHUNK), F.col("__copies") - F.col("__chunk") * CHUNK).cast("int"))
+    distinct = distinct.withColumn("__salt", F.pmod(F.xxhash64(seq, *cols, "__chunk"), F.lit(SALTS)))
     win = _winners(target, changes, key, seq).withColumn(
         "__s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
     df = distinct.join(win, (distinct[key] == win["__k"]) & (distinct["__salt"] == win["__s"]), "left")
@@ -64,10 +74,10 @@ def merge_outcomes(target: DataFrame, changes: DataFrame, key: str, seq: str, mo
         same = same & F.col(f"__win.{c}").eqNullSafe(F.col(f"__was.{c}"))
     won = (F.when(F.col("__rows").isNull(), F.lit("inserted" if mode == "upsert" else "missing key"))
             .when(same, F.lit("unchanged")).otherwise(F.lit("updated")))
-    first = F.struct(seq, *cols).eqNullSafe(F.col("__win"))
-    rest = F.array_repeat(F.lit("superseded"), (F.col("__n") - F.when(first, 1).otherwise(0)).cast("int"))
-    every = (F.when(F.col(key).isNull(), F.array_repeat(F.lit("no key"), F.col("__n").cast("int")))
-              .when(F.col("__rows") > 1, F.array_repeat(F.lit("ambiguous key"), F.col("__n").cast("int")))
+    first = F.struct(seq, *cols).eqNullSafe(F.col("__win")) & (F.col("__chunk") == 0)
+    rest = F.array_repeat(F.lit("superseded"), F.col("__n") - F.when(first, 1).otherwise(0))
+    every = (F.when(F.col(key).isNull(), F.array_repeat(F.lit("no key"), F.col("__n")))
+              .when(F.col("__rows") > 1, F.array_repeat(F.lit("ambiguous key"), F.col("__n")))
               .when(first, F.concat(F.array(won), rest)).otherwise(rest))
     return df.select(key, seq, F.explode(every).alias("outcome"))
 
@@ -97,6 +107,46 @@ def before_image(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     return target.join(ks, target[key] == ks["__k"], "left_semi")
 
 
+def inverse_changes(before: DataFrame, changes: DataFrame, key: str, seq: str, mode: str = "upsert") -> DataFrame:
+    """What undoes a merge, one row per key: ``__k``, ``undo`` ('restore' or 'delete'), ``__was`` (the values
+    before) and ``__left`` (the values that the merge left). Keys that the merge did not change have none."""
+    cols = _value_cols(before, changes, key, seq)
+    win = _winners(before, changes, key, seq)
+    left = F.struct(*[F.col(f"__win.{c}").alias(c) for c in cols])
+    was = F.struct(*[F.col(f"__was.{c}").alias(c) for c in cols])
+    undo = F.when((F.col("__rows") == 1) & ~left.eqNullSafe(was), F.lit("restore"))
+    if mode == "upsert":
+        undo = undo.when(F.col("__rows").isNull(), F.lit("delete"))
+    out = win.select("__k", undo.alias("undo"), was.alias("__was"), left.alias("__left"))
+    return out.where(F.col("undo").isNotNull())
+
+
+def _undoing(now: DataFrame, before: DataFrame, changes: DataFrame, key: str, seq: str, mode: str) -> DataFrame:
+    """Inverse changes with ``outcome``: 'restored', 'deleted', 'changed since' or 'gone'."""
+    cols = _value_cols(before, changes, key, seq)
+    inverse = inverse_changes(before, changes, key, seq, mode)
+    held = now.groupBy(F.col(key).alias("__now")).agg(F.count(F.lit(1)).alias("__rows"), F.max(F.struct(*cols)).alias("__is"))
+    same = (F.col("__rows") == 1) & F.col("__is").eqNullSafe(F.col("__left"))
+    done = F.when(F.col("undo") == "restore", F.lit("restored")).otherwise(F.lit("deleted"))
+    return inverse.join(held, F.col("__k") == F.col("__now"), "left").withColumn(
+        "outcome", F.when(F.col("__rows").isNull(), F.lit("gone")).when(same, done).otherwise(F.lit("changed since")))
+
+
+def revert_outcomes(now: DataFrame, before: DataFrame, changes: DataFrame, key: str, seq: str, mode: str = "upsert") -> DataFrame:
+    """Per key that the merge changed: key, what became of undoing it in ``now``."""
+    return _undoing(now, before, changes, key, seq, mode).select(F.col("__k").alias(key), "outcome")
+
+
+def revert_table(now: DataFrame, before: DataFrame, changes: DataFrame, key: str, seq: str, mode: str = "upsert") -> DataFrame:
+    """``now`` with the merge undone wherever it is as the merge left it."""
+    cols = _value_cols(before, changes, key, seq)
+    undo = _undoing(now, before, changes, key, seq, mode).where(F.col("outcome").isin("restored", "deleted"))
+    df = now.join(undo.select("__k", "outcome", "__was"), now[key] == F.col("__k"), "left")
+    df = df.where(F.coalesce(F.col("outcome") != "deleted", F.lit(True)))
+    return df.select(*[F.when(F.col("outcome").isNotNull(), F.col(f"__was.{c}")).otherwise(now[c]).alias(c) if c in cols else now[c]
+                       for c in now.columns])
+
+
 def notes_table(spark, notes: str | None, limit: int = NOTES_LIMIT) -> DataFrame | None:
     """One-row table holding the run's notes, cut below the cell limit."""
     text = truncate_notes(notes, limit)
@@ -104,28 +154,34 @@ def notes_table(spark, notes: str | None, limit: int = NOTES_LIMIT) -> DataFrame
 
 
 def run_audited_merge(spark, target: DataFrame, changes: DataFrame, key: str, seq: str, out_dir: str,
-                      mode: str = "upsert", notes: str | None = None, fmt: str = "parquet") -> dict[str, str]:
-    """Job: write the change set, the before image, the per-row outcome, the
-    merged table and the notes under ``out_dir`` (one table each).
-
-    The change set is written first and every other output is computed from
-    the written rows, so they cannot disagree; the merged table goes to its
-    own folder, so the target is never read and overwritten by the same job.
+                      mode: str = "upsert", notes: str | None = None, fmt: str = "parquet") -> dict[str, int]:
+    """Job: publish the change set, the before image, the per-row outcome, the
+    merged table, the mode and the notes as one run of ``out_dir``; rows per table.
+
+    The change set is written to the shared folder first and every output is
+    computed from the written rows, so they cannot disagree; the merged table
+    goes to its own folder, so the target is never read and overwritten by the
+    same job.
     """
-    import os
-
-    from pipewright.sources.sinks import write_table
-    out = {"upload_file": os.path.join(out_dir, "upload_file")}
-    write_table(changes, out["upload_file"], fmt)
-    changes = spark.read.schema(changes.schema).format(fmt).load(out["upload_file"])
-    parts = [("before_upload", before_image(target, changes, key)),
-             ("upload_results", merge_outcomes(target, changes, key, seq, mode)),
-             ("merged", merged_table(target, changes, key, seq, mode))]
-    nt = notes_table(spark, notes)
-    if nt is not None:
-        parts.append(("notes", nt))
-    for name, df in parts:
-        path = os.path.join(out_dir, name)
-        write_table(df, path, fmt)
-        out[name] = path
-    return out
+    from pipewright.session import store
+    from pipewright.sources.publish import publish
+    changes = store(changes)
+    tables = {"upload_file": changes, "before_upload": before_image(target, changes, key),
+              "upload_results": merge_outcomes(target, changes, key, seq, mode),
+              "merged": merged_table(target, changes, key, seq, mode),
+              "run": spark.createDataFrame([(mode, key, seq)], "mode string, key string, seq string")}
+    if (table := notes_table(spark, notes)) is not None:
+        tables["notes"] = table
+    return publish(spark, out_dir, tables, fmt)
+
+
+def run_revert(spark, now: DataFrame, merge_dir: str, key: str, seq: str, out_dir: str, fmt: str = "parquet") -> dict[str, int]:
+    """Job: undo the merge published (as parquet) in ``merge_dir`` in the table as it is ``now``; publish the
+    reverted table and the outcome per key."""
+    from pipewright.sources.publish import publish, read_published
+    run = read_published(spark, merge_dir, "run").first()
+    if (run.key, run.seq) != (key, seq):
+        raise ValueError(f"the merge was keyed by {run.key}, ordered by {run.seq}")
+    before, changes = read_published(spark, merge_dir, "before_upload"), read_published(spark, merge_dir, "upload_file")
+    return publish(spark, out_dir, {"reverted": revert_table(now, before, changes, key, seq, run.mode),
+                                    "revert_results": revert_outcomes(now, before, changes, key, seq, run.mode)}, fmt)

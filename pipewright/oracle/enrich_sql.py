@@ -50,6 +50,50 @@ LEFT JOIN tg ON o.Type = tg.Type
 LEFT JOIN rg ON o.Region = rg.Region"""
 
 
+def _family_ctes() -> str:
+    """Deals with their labels, the lists as tables: families f (label, value), funnels u (label, source)."""
+    acquired = enrich.TRANSFER_PRODUCTS + enrich.OTHER_ACQUIRED_PRODUCTS
+    named = [("Scheduling", enrich.SCHEDULING_PRODUCTS), ("Finance", enrich.FINANCE_PRODUCTS), ("Transfer", enrich.TRANSFER_PRODUCTS),
+             ("Acquired", acquired)]
+    listed = _values("listed", "label, value", [(n, v) for n, vs in named for v in vs])
+    every = _values("every", "value", [(v,) for v in enrich.ALL_PRODUCTS])
+    sources = _values("u", "label, source", [("New Sales - Outbound", v) for v in enrich.OUTBOUND_SOURCES]
+                      + [("New Sales - Inbound", v) for v in enrich.INBOUND_SOURCES])
+    return views("opportunity", "currency", with_product=True) + f""",
+{listed}, {every}, {sources},
+f AS (SELECT label, value FROM listed UNION ALL
+      SELECT 'Heritage', value FROM (SELECT value FROM every EXCEPT SELECT value FROM listed WHERE label = 'Acquired')),
+parts AS (SELECT Id, unnest(CASE WHEN Product IS NULL THEN [NULL] ELSE string_split(Product, ';') END) AS part FROM opportunity),
+whole AS (SELECT o.Id, label FROM opportunity o JOIN f ON f.value IS NOT DISTINCT FROM o.Product),
+piece AS (SELECT DISTINCT parts.Id, label FROM parts JOIN f ON f.value IS NOT DISTINCT FROM part),
+funnel AS (SELECT Id, 'Expansion' AS label FROM opportunity WHERE Type IN ('Existing Business', 'Expansion') UNION ALL
+           SELECT o.Id, u.label FROM opportunity o JOIN u ON u.source = o.LeadSource
+           WHERE coalesce(o.Type NOT IN ('Existing Business', 'Expansion'), TRUE))
+"""
+
+
+def opp_families(p: ReportParams | None = None) -> str:
+    def text(t: str) -> str:
+        return f"coalesce((SELECT string_agg(label, ';' ORDER BY label) FROM {t} x WHERE x.Id = o.Id), '')"
+    return _family_ctes() + f"""
+SELECT o.Id, o.Product, {text("whole")} AS families, (SELECT count(*) FROM whole x WHERE x.Id = o.Id) AS n_families,
+       {text("piece")} AS part_families, o.Type, o.LeadSource, {text("funnel")} AS funnels,
+       EXISTS (FROM whole x WHERE x.Id = o.Id AND label = 'Acquired') AS is_acquired,
+       EXISTS (FROM funnel x WHERE x.Id = o.Id) AS in_funnel
+FROM opportunity o"""
+
+
+def family_totals(p: ReportParams | None = None) -> str:
+    from pipewright.oracle.scorecard_sql import _m, _usd
+    amount = _m("o.ACV_Bookings / ct.ConversionRate")
+    return _family_ctes() + f"""
+SELECT coalesce(w.label, '') AS family, coalesce(fu.label, '') AS funnel, count(*) AS deals,
+       {_usd(f"coalesce(sum({amount}), 0)")} AS QB_USD
+FROM opportunity o LEFT JOIN whole w ON w.Id = o.Id LEFT JOIN funnel fu ON fu.Id = o.Id
+LEFT JOIN currency ct ON ct.IsoCode = o.CurrencyIsoCode
+GROUP BY ALL"""
+
+
 def currency_scrub(p: ReportParams | None = None) -> str:
     num = ("(CASE WHEN _k % 9 = 0 THEN '-' ELSE '' END) || format('{:,}', (_k * 37) % 100000) || '.' || "
            "lpad(CAST(_k % 100 AS VARCHAR), 2, '0')")
@@ -143,3 +187,43 @@ FROM acct a LEFT JOIN last l ON l.Id = a.Id AND l.copies = 1
 
 def accounts_before_image() -> str:
     return ACCOUNT_CTES + "SELECT * FROM acct WHERE Id IN (SELECT Id FROM changes)"
+
+
+def reverted_accounts() -> str:
+    return ACCOUNT_CTES + "SELECT * FROM acct"
+
+
+REVERT_CTES = ACCOUNT_CTES + """,
+touched AS (
+  SELECT l.*, a.Name AS old_Name, a.Segment AS old_Segment, a.Balance AS old_Balance
+  FROM last l LEFT JOIN acct a ON a.Id = l.Id
+  WHERE copies = 0 OR (copies = 1 AND (l.Name, l.Segment, l.Balance) IS DISTINCT FROM (a.Name, a.Segment, a.Balance))
+),
+merged AS (
+  SELECT a.Id, coalesce(l.Name, a.Name) AS Name, coalesce(l.Segment, a.Segment) AS Segment, coalesce(l.Balance, a.Balance) AS Balance
+  FROM acct a LEFT JOIN last l ON l.Id = a.Id AND l.copies = 1
+  UNION ALL SELECT Id, Name, Segment, Balance FROM last WHERE copies = 0
+),
+edited AS (
+  SELECT Id, Name, Segment, if(Id % 21 = 0, Balance + 1, Balance) AS Balance
+  FROM merged, range(if(Id % 26 = 0, 2, 1)) WHERE Id % 22 <> 0
+),
+sized AS (SELECT *, count(*) OVER (PARTITION BY Id) AS copies_now FROM edited),
+judged AS (
+  SELECT DISTINCT t.*, CASE WHEN s.Id IS NULL THEN 'gone'
+      WHEN s.copies_now > 1 OR (s.Name, s.Segment, s.Balance) IS DISTINCT FROM (t.Name, t.Segment, t.Balance) THEN 'changed since'
+      WHEN t.copies = 0 THEN 'deleted' ELSE 'restored' END AS outcome
+  FROM touched t LEFT JOIN sized s ON s.Id = t.Id
+)
+"""
+
+
+def revert_outcomes() -> str:
+    return REVERT_CTES + "SELECT Id, outcome FROM judged"
+
+
+def reverted_after_edits() -> str:
+    return REVERT_CTES + """
+SELECT s.Id, if(j.outcome = 'restored', j.old_Name, s.Name) AS Name, if(j.outcome = 'restored', j.old_Segment, s.Segment) AS Segment,
+       if(j.outcome = 'restored', j.old_Balance, s.Balance) AS Balance
+FROM sized s LEFT JOIN judged j ON j.Id = s.Id WHERE j.outcome IS DISTINCT FROM 'deleted'"""

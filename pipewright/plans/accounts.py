@@ -65,3 +65,34 @@ def merged_accounts(spark: SparkSession, sf_dir: str, p: ReportParams | None = N
 
 def accounts_before_image(spark: SparkSession, sf_dir: str, p: ReportParams | None = None) -> DataFrame:
     return merge.before_image(account_table(spark, sf_dir), account_changes(spark, sf_dir), "Id")
+
+
+def _revert_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(merged table, before image, change set) of an upsert."""
+    target, changes = account_table(spark, sf_dir), account_changes(spark, sf_dir)
+    return merge.merged_table(target, changes, "Id", "seq"), merge.before_image(target, changes, "Id"), changes
+
+
+def reverted_accounts(spark: SparkSession, sf_dir: str, p: ReportParams | None = None) -> DataFrame:
+    """Merge and revert: the table before the merge, ambiguous and missing keys included."""
+    return merge.revert_table(*_revert_inputs(spark, sf_dir), "Id", "seq")
+
+
+def _edited_since(merged: DataFrame) -> DataFrame:
+    """The merged table after other edits: k % 21 = 0 another balance, k % 22 = 0 gone, k % 26 = 0 doubled (k: the key)."""
+    k = F.col("Id")
+    copies = F.when(k % 26 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return (merged.where(k % 22 != 0).withColumn("Balance", F.when(k % 21 == 0, F.col("Balance") + F.lit(1.0)).otherwise(F.col("Balance")))
+                  .withColumn("copy", F.explode(copies)).drop("copy"))
+
+
+def revert_outcomes(spark: SparkSession, sf_dir: str, p: ReportParams | None = None) -> DataFrame:
+    """Outcome per key of reverting a merge in a table that was edited since."""
+    merged, before, changes = _revert_inputs(spark, sf_dir)
+    return merge.revert_outcomes(_edited_since(merged), before, changes, "Id", "seq")
+
+
+def reverted_after_edits(spark: SparkSession, sf_dir: str, p: ReportParams | None = None) -> DataFrame:
+    """The edited table with the merge undone where it is as the merge left it."""
+    merged, before, changes = _revert_inputs(spark, sf_dir)
+    return merge.revert_table(_edited_since(merged), before, changes, "Id", "seq")

@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pipewright.functions import dims
-from pipewright.functions.money import currency_codes_pattern, scrub_currency, scrub_usd
-from pipewright.functions.nulls import in_set
+from pipewright.functions.money import currency_codes_pattern, money, scrub_currency, scrub_usd, usd
+from pipewright.functions.nulls import cond_sum, in_set
 from pipewright.functions.periods import ReportParams
 from pipewright.functions.text import clean_names, link_formula, record_link
+from pipewright.operators import families, joins
 from pipewright.sources import crm, sinks
 from pipewright.sources.tables import currency_fields
 
@@ -19,6 +20,16 @@ from pipewright.sources.tables import currency_fields
 # product family of each part type (the test data's "products")
 PRODUCT_FAMILIES = {"ECONOMY": "Core", "SMALL": "Core", "LARGE": "Platform", "MEDIUM": "Platform",
                     "PROMO": "Services", "STANDARD": "Services"}
+# overlapping product lists (whole multi-select values; NULL is listed like any value)
+ALL_PRODUCTS = ["ECONOMY", "SMALL", "LARGE", "MEDIUM", "PROMO", None, "ECONOMY;SMALL", "LARGE;MEDIUM", "ECONOMY;LARGE",
+                "MEDIUM;PROMO", "ECONOMY;MEDIUM;SMALL", "LARGE;PROMO;SMALL", "MEDIUM;PROMO;SMALL", "ECONOMY;LARGE;MEDIUM;SMALL"]
+SCHEDULING_PRODUCTS = ["ECONOMY", "SMALL", "ECONOMY;SMALL", "ECONOMY;LARGE", "ECONOMY;MEDIUM;SMALL"]
+FINANCE_PRODUCTS = ["LARGE", "ECONOMY;LARGE", "LARGE;MEDIUM", "LARGE;PROMO;SMALL", "ECONOMY;LARGE;MEDIUM;SMALL"]
+TRANSFER_PRODUCTS = ["MEDIUM", "MEDIUM;PROMO"]
+OTHER_ACQUIRED_PRODUCTS = ["PROMO", "MEDIUM;PROMO;SMALL"]
+# funnels of the lead sources; one source can feed several
+OUTBOUND_SOURCES = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
+INBOUND_SOURCES = ["3-MEDIUM", "4-NOT SPECIFIED"]
 # record hosts of the link builders (synthetic)
 HOST_A = "https://crm-a.example.com"
 HOST_B = "https://crm-b.example.com"
@@ -79,8 +90,7 @@ def ingest_converted(spark: SparkSession, sf_dir: str, p: ReportParams | None =
     o = crm.opportunity(spark, sf_dir)
     a = crm.account(spark, sf_dir).select(F.col("Id").alias("__a_id"), F.col("Name").alias("Account.Name"))
     u = crm.user(spark, sf_dir).select(F.col("Id").alias("__u_id"), F.col("Name").alias("Owner Name"))
-    obj = (o.join(a, o.AccountId == a["__a_id"], "left")
-            .join(u, o.OwnerId == u["__u_id"], "left")
+    obj = (joins.lookup(o.join(a, o.AccountId == a["__a_id"], "left"), u, "OwnerId", "__u_id", F.col("Id"))
             .select(*[F.col(f"`{c}`") for c in o.columns], F.col("`Account.Name`"), F.col("`Owner Name`")))
     return extract_object(obj, crm.currency(spark, sf_dir))
 
@@ -124,6 +134,50 @@ def opp_classified(spark: SparkSession, sf_dir: str, p: ReportParams | None = No
     return classify(crm.opportunity(spark, sf_dir, with_product=True))
 
 
+def product_lists() -> dict[str, list[str | None]]:
+    """Families by name. Acquired products are two lists together, the heritage family is the rest of all products."""
+    acquired = TRANSFER_PRODUCTS + OTHER_ACQUIRED_PRODUCTS
+    return {"Scheduling": SCHEDULING_PRODUCTS, "Finance": FINANCE_PRODUCTS, "Transfer": TRANSFER_PRODUCTS,
+            "Acquired": acquired, "Heritage": families.rest(ALL_PRODUCTS, acquired)}
+
+
+def funnel_lists() -> dict[str, list[str]]:
+    """Funnels by name, as lists of lead sources; the expansion funnel takes the deals of its types instead."""
+    _, outbound, inbound = dims.FUNNELS
+    return {outbound: OUTBOUND_SOURCES, inbound: INBOUND_SOURCES}
+
+
+def with_families(deals: DataFrame) -> DataFrame:
+    """``deals`` with ``families`` (of the whole product value), ``part_families`` (of its parts) and ``funnels``, sorted arrays."""
+    lists = product_lists()
+    expansion = in_set(F.col("Type"), [dims.TYPE_EXISTING, dims.TYPE_EXPANSION])
+    return deals.withColumns({
+        "families": families.labels(F.col("Product"), lists), "part_families": families.part_labels(F.col("Product"), lists),
+        "funnels": F.when(expansion, F.array(F.lit(dims.FUNNELS[0]))).otherwise(families.labels(F.col("LeadSource"), funnel_lists()))})
+
+
+def opp_families(spark: SparkSession, sf_dir: str, p: ReportParams | None = None) -> DataFrame:
+    """Every label of every deal: its product families (a value can be in several) and its funnels."""
+    d = with_families(crm.opportunity(spark, sf_dir, with_product=True))
+    text = {c: F.array_join(c, ";").alias(c) for c in ("families", "part_families", "funnels")}
+    return d.select("Id", "Product", text["families"], F.size("families").cast("long").alias("n_families"), text["part_families"],
+                    "Type", "LeadSource", text["funnels"], F.array_contains("families", "Acquired").alias("is_acquired"),
+                    (F.size("funnels") > 0).alias("in_funnel"))
+
+
+def family_totals(spark: SparkSession, sf_dir: str, p: ReportParams | None = None) -> DataFrame:
+    """Deals and bookings in USD per family and funnel; a deal counts under each of its labels, and under none as ''."""
+    d = with_families(crm.opportunity(spark, sf_dir, with_product=True))
+    ct = crm.currency(spark, sf_dir)
+    d = d.join(F.broadcast(ct), d.CurrencyIsoCode == ct.IsoCode, "left")
+
+    def each(c: str) -> Column:
+        return F.explode(F.when(F.size(c) > 0, F.col(c)).otherwise(F.array(F.lit(""))))
+    d = d.withColumn("family", each("families")).withColumn("funnel", each("funnels"))
+    return d.groupBy("family", "funnel").agg(F.count(F.lit(1)).alias("deals"),
+                                             usd(cond_sum(F.lit(True), money(F.col("ACV_Bookings") / F.col("ConversionRate")))).alias("QB_USD"))
+
+
 # ------------------------------------------------------------------- W26
 def currency_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deals with a formatted currency text field, as a report export gives it.

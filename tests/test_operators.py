@@ -114,3 +114,52 @@ def test_extract_object_generic(spark):
     out = extract_object(obj, cur)
     assert out.columns == ["Line_Name", "Price", "CurrencyIsoCode", "Qty", "Price_Converted"]
     assert {r.Line_Name: r.Price_Converted for r in out.collect()} == {"x": 12.5, "y": None}
+
+
+def test_labels_from_overlapping_lists(spark):
+    from pipewright.operators import families
+    lists = {"A": ["x", "y", "x;y"], "B": ["y", None], "C": families.rest(["x", "y", "z", None], ["y"], ["q"])}
+    assert lists["C"] == ["x", "z", None] and families.index(lists)["y"] == ["A", "B"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(["x", "y", "z", "x;y", "y;z;w", "w", "", None])], "id long, v string")
+    got = {r.id: (r.a, r.p, r.t) for r in families.label_by_table(
+        df.withColumn("a", families.labels(F.col("v"), lists)).withColumn("p", families.part_labels(F.col("v"), lists)), "v",
+        spark.createDataFrame([(k, v) for k, vs in lists.items() for v in vs], "label string, value string"), F.col("id"), "t").collect()}
+    want = [["A", "C"], ["A", "B"], ["C"], ["A"], [], [], [], ["B", "C"]]
+    assert [got[i][0] for i in range(8)] == want == [got[i][2] for i in range(8)]
+    assert [got[i][1] for i in range(8)] == [["A", "C"], ["A", "B"], ["C"], ["A", "B", "C"], ["A", "B", "C"], [], [], ["B", "C"]]
+    rest = families.rest_table(spark.createDataFrame([("x",), (None,), ("z",)], "value string"),
+                               spark.createDataFrame([("z",), (None,)], "value string"))
+    assert [r.value for r in rest.collect()] == ["x"]
+
+
+def test_level_stats_has_every_level_and_exact_medians(spark):
+    import statistics
+
+    from pipewright.operators.complete import level_stats
+    rows = [(None, "s", 1), (None, "s", 4), ("m", "t", None), ("m", "s", 7), ("m", "s", 8), ("m", "s", 100)]
+    df = spark.createDataFrame(rows, "k string, stage string, days int")
+    values = {x: F.when(F.col("stage") == x, F.col("days")) for x in ("s", "t", "u")}
+    got = {(r.k, r.level): (r.rank, r["mean"], r["median"]) for r in level_stats(df, ["k"], values, "level", "rank").collect()}
+    assert len(got) == 6 and got[("m", "t")] == (2, None, None) and got[(None, "u")] == (3, None, None)
+    assert got[("m", "s")] == (1, 115 / 3, float(statistics.median([7, 8, 100]))) and got[(None, "s")] == (1, 2.5, 2.5)
+
+
+def test_stage_days_pieces_make_the_string(spark):
+    from pipewright.plans import scorecard
+    from pipewright.registry import PARAMS
+
+    from .conftest import SF001
+    base = scorecard.opps_enriched(spark, SF001, PARAMS, with_account=False).checkpoint()
+    # one owner and stage with many deals
+    many = base.unionByName(base.limit(1).withColumns({"Owner_Name": F.lit("Rep-x"), "Stage": F.lit("Proposal"), "QB": F.lit(5.0),
+        "Category": F.lit("New"), "rpt_qtr": F.lit(19983)}).drop("OppId", "Days_Stale").crossJoin(
+        spark.range(500).select(F.format_string("x%05d", "id").alias("OppId"), F.col("id").cast("int").alias("Days_Stale"))))
+    pieces = scorecard.stage_days(spark, SF001, PARAMS, base=many, piece=7).collect()
+    assert max(len(r.days.split(", ")) for r in pieces) == 7
+    by = {}
+    for r in sorted(pieces, key=lambda r: r.piece):
+        place, text = by.get((r.Owner_Name, r.Stage_Name), (0, []))
+        assert r.first_place == place + 1 and r.entries == len(r.days.split(", ")) and r.entries_so_far == place + r.entries
+        by[r.Owner_Name, r.Stage_Name] = r.entries_so_far, [*text, r.days]
+    mix = {(r.Owner_Name, r.Stage_Name): (r.Count, r.Days_In_Stage) for r in scorecard.stage_mix(spark, SF001, PARAMS, base=many).collect()}
+    assert {k: (n, ", ".join(t)) for k, (n, t) in by.items()} == mix and mix["Rep-x", "Proposal"][0] == 500

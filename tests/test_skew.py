@@ -64,3 +64,30 @@ def test_merge_hot_key_is_salted(spark):
     assert got == {"superseded": 2999, "updated": 49, "inserted": 1}
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "__salt" in plan and "ResolvedHint" not in plan
+
+
+def test_merge_row_repeated_beyond_a_chunk(spark, monkeypatch):
+    """One identical row in many chunks: it wins once, in its first chunk, and every copy has an outcome."""
+    monkeypatch.setattr(merge, "CHUNK", 7)
+    target = spark.createDataFrame([(1, 0.0), (2, 0.0), (2, 0.0)], "Id long, Balance double")
+    rows = [(1, 5.0, 1)] * 100 + [(2, 1.0, 1)] * 20 + [(None, 1.0, 1)] * 15 + [(3, 2.0, 2)] * 8 + [(3, 1.0, 1)] * 8
+    changes = spark.createDataFrame(rows, "Id long, Balance double, seq int").repartition(3)
+    got = {(r.Id, r.outcome): r["count"] for r in
+           merge.merge_outcomes(target, changes, "Id", "seq").groupBy("Id", "outcome").count().collect()}
+    assert got == {(1, "updated"): 1, (1, "superseded"): 99, (2, "ambiguous key"): 20, (None, "no key"): 15,
+                   (3, "inserted"): 1, (3, "superseded"): 15}
+
+
+def test_revert_with_hot_keys_and_edits(spark):
+    target = spark.createDataFrame([(i, float(i), "x") for i in range(20)] + [(3, 3.0, "x")], "Id long, Balance double, other string")
+    changes = spark.createDataFrame([(1, float(s), s) for s in range(1, 500)] + [(i, i + 0.5, 1) for i in (2, 3, 4, 5, 30, 31)] + [(None, 1.0, 1)],
+                                    "Id long, Balance double, seq int").repartition(5)
+    now, before = merge.merged_table(target, changes, "Id", "seq"), merge.before_image(target, changes, "Id")
+    back = merge.revert_table(now, before, changes, "Id", "seq")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, target.collect()))
+    edited = now.where("Id <> 30").withColumn("Balance", F.when(F.col("Id") == 4, 99.0).otherwise(F.col("Balance")))
+    edited = edited.unionByName(edited.where("Id = 5"))
+    got = {r.Id: r.outcome for r in merge.revert_outcomes(edited, before, changes, "Id", "seq").collect()}
+    assert got == {1: "restored", 2: "restored", 4: "changed since", 5: "changed since", 30: "gone", 31: "deleted"}
+    kept = merge.revert_table(edited, before, changes, "Id", "seq")
+    assert sorted(r.Balance for r in kept.where("Id in (4, 5, 31, 1)").collect()) == [1.0, 5.5, 5.5, 99.0]
