@@ -21,6 +21,8 @@ HEADLINE = ["pipeline_outcome", "coverage_by_region", "renewal_scorecard", "top_
 EXTRA = ["pipeline_outcome_v4", "movement_seed", "owner_scorecard", "stage_mix", "velocity_compare",
          "activities_wide", "opp_classified", "audited_merge", "ingest_converted", "report_export"]
 
+EAGER = ["report_export"]
+
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -40,6 +42,14 @@ def main() -> None:
     times = {}
 
     def timed(name, df):
+        if name in EAGER:  # publishing is the query's work, and it is done as the query is made
+            ts = []
+            for _ in range(runs):
+                t = time.perf_counter()
+                q[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                ts.append(time.perf_counter() - t)
+            times[name] = round(statistics.median(ts), 3)
+            return
         df.write.format("noop").mode("overwrite").save()  # warm-up
         ts = []
         for _ in range(runs):
@@ -58,9 +68,10 @@ def main() -> None:
         from pipewright.registry import PARAMS
         from pipewright.sources import crm, landing
         days = crm.fixture_snapshot_days(PARAMS.anchor, PARAMS.q_end)
-        t = landing.land_crm(spark, sf_dir, cpus, days, database="bench_crm")
-        kw = dict(opportunity=spark.table(t["opportunity"]), snapshots=spark.table(t["history"]),
-                  changes=spark.table(t["field_history"]))
+        folder = tempfile.mkdtemp(prefix="pw-bench-landed-")
+        landing.land_crm(spark, sf_dir, cpus, days, folder)
+        t = landing.attach(spark, folder, "bench_crm")
+        kw = dict(opportunity=t["opportunity"], snapshots=t["history"], changes=t["field_history"])
         timed("pipeline_outcome@landed", movement.Movement(spark, sf_dir, PARAMS, movement.V3, **kw).outcome())
         timed("coverage_by_region@landed", coverage.coverage_by_region(spark, sf_dir, PARAMS, **kw))
     sf = os.path.basename(os.path.normpath(sf_dir)).replace("sf", "")

@@ -180,6 +180,20 @@ SELECT Owner_Name, Stage_Name, stage_rank, {_usd("value_dec")} AS Value, "Count"
 FROM agg"""
 
 
+def stage_days(p: ReportParams, piece: int) -> str:
+    levels = ", ".join(f"({_lit(s)}, {i + 1})" for i, s in enumerate(dims.PIPELINE_STAGE_ORDER))
+    return enriched_ctes(p) + f""",
+numbered AS (
+  SELECT Owner_Name, Stage_Name, stage_rank, Days_Stale,
+         row_number() OVER (PARTITION BY Owner_Name, Stage_Name ORDER BY OppId) AS place
+  FROM base LEFT JOIN (VALUES {levels}) t(Stage_Name, stage_rank) ON Stage = Stage_Name
+  WHERE {_this_quarter(p)} AND NOT coalesce(Stage IN {_in(dims.STAGE_MIX_EXCLUDED)}, FALSE)
+)
+SELECT Owner_Name, Stage_Name, stage_rank, (place - 1) // {piece} AS piece, min(place) AS first_place, count(*) AS entries,
+       max(place) AS entries_so_far, string_agg(CAST(Days_Stale AS VARCHAR), ', ' ORDER BY place) AS days
+FROM numbered GROUP BY ALL"""
+
+
 def top_deals(p: ReportParams, n: int = dims.TOP_DEALS_PER_OWNER) -> str:
     excl = dims.CLOSED_STAGES + dims.TOP_DEALS_EXCLUDED
     return enriched_ctes(p) + f""",

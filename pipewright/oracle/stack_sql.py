@@ -27,3 +27,10 @@ UNION ALL BY NAME
 SELECT 'anchor' AS origin, Id, snapshot_date, StageName, CloseDate, Category, qb_usd,
        '$' || format('{{:,.2f}}', qb_usd) AS qb_text
 FROM history WHERE {quarter}"""
+
+
+def dated_snapshots(p: ReportParams) -> str:
+    days = crm.fixture_snapshot_days(p.anchor, p.q_end)
+    return views("history", dates=days) + f"""
+SELECT snapshot_date, Id, StageName, CloseDate, if(snapshot_date = {D(days[-1])}, NULL, Category) AS Category, Type, qb_usd
+FROM history WHERE CloseDate >= {D(p.q_start)} AND CloseDate < {D(p.q_end)}"""

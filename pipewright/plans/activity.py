@@ -21,5 +21,5 @@ def activities_wide(spark: SparkSession, sf_dir: str, p: ReportParams, activity:
     a = (activity if activity is not None else crm.activity(spark, sf_dir)).where(in_window(F.col("ActivityDate"), s, e))
     wide = a.groupBy("Name").pivot("Metric").agg(F.sum(money(F.col("Amount"))))
     wide = wide.select("Name", *[usd(F.col(f"`{m}`")).alias(m) for m in wide.columns if m != "Name"])
-    g = crm.rep_group(spark)
+    g = crm.rep_group(spark, sf_dir)
     return wide.join(F.broadcast(g), "Name", "left")

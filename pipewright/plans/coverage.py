@@ -7,9 +7,9 @@ deal must have been forecast in the quarter in some snapshot between the
 anchor and quarter end, and deals found in the quarter's totals but in no set
 are folded into the pipe.
 
-Plan: one wide row per deal = anchor snapshot FULL OUTER JOIN current deals,
-LEFT JOIN the latest close-date move and the forecast flag (all keyed by Id),
-then one conditional aggregate over (Type, region bucket). A measure whose
+Plan: one wide row per deal = anchor snapshot LEFT JOIN current deals, and the
+deals closing in the quarter without one LEFT JOIN the latest close-date move
+and the forecast flag (all keyed by Id), then one conditional aggregate over (Type, region bucket). A measure whose
 source set has no row for a key stays NULL, as in a merge of separate tables.
 """
 
@@ -33,7 +33,7 @@ TODAY_STAGE_EXCL = ("Discovery", "Untouched", "Temporary", "Data Quality")
 
 def _snapshots(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
     """Every day of the derived snapshot table from the anchor to the quarter end."""
-    return crm.history(spark, sf_dir, crm.fixture_snapshot_days(p.anchor, p.q_end))
+    return crm.snapshot_window(spark, sf_dir, p.anchor, p.q_end)
 
 
 def forecasted_opps(spark: SparkSession, sf_dir: str, p: ReportParams,
@@ -60,7 +60,7 @@ def forecasted_opps(spark: SparkSession, sf_dir: str, p: ReportParams,
 
 def _excluded_owner_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = crm.user(spark, sf_dir)
-    ex = crm.excluded_owner(spark)
+    ex = crm.excluded_owner(spark, sf_dir)
     return u.join(F.broadcast(ex), u.Name == ex.Name, "left_semi").select("Id")
 
 
@@ -68,13 +68,15 @@ def coverage_wide(spark: SparkSession, sf_dir: str, p: ReportParams, opportunity
                   snapshots: DataFrame | None = None, changes: DataFrame | None = None) -> DataFrame:
     """One row per deal with today's values, the anchor snapshot values and set flags.
 
-    The joins on the deal id come first (change log, forecast flag, then the
-    full outer join with the anchor snapshot), so inputs bucketed by id join
-    without a shuffle; owner and currency lookups follow. The excluded-owner
-    ids are bounded by the literal exclusion list and are broadcast.
+    The full outer join of anchor snapshot and deals, less the deals that can
+    be in no set: the snapshot rows with today's values, and the deals without
+    a snapshot row that close (or whose cohort closes) in the quarter, with
+    their move and forecast flag. The joins on the deal id come first, so
+    inputs bucketed by id join without a shuffle; owner and currency lookups
+    follow; users and excluded owners are broadcast after counting them.
     """
     ct = crm.currency(spark, sf_dir)
-    ex_ids = F.broadcast(_excluded_owner_ids(spark, sf_dir))
+    ex_ids = joins.sized(_excluded_owner_ids(spark, sf_dir))
     # a landed snapshot table serves both the anchor read and the forecast window (partition pruning);
     # the derived fixture builds just the anchor day here
     snaps = snapshots if snapshots is not None else crm.history(spark, sf_dir, [p.anchor])
@@ -112,15 +114,22 @@ def coverage_wide(spark: SparkSession, sf_dir: str, p: ReportParams, opportunity
     fq = (forecasted_opps(spark, sf_dir, p, snapshots=snapshots).where(F.col("quarter") == F.lit(p.q_key))
           .select(F.col("Id").alias("f_Id")).distinct())
 
-    # id joins: moves and the forecast flag matter only for deals with a current row
-    o = o.join(moves, o.Id == moves.m_Id, "left").join(fq, o.Id == fq.f_Id, "left")
-    w = h.join(o, h.s_Id == o.Id, "full_outer")
+    # every other set needs a close date (or cohort) in the quarter today and no anchor row; a date filter on the
+    # scan leaves these deals only. Moves and the forecast flag matter for them alone.
+    no_move = [F.lit(None).cast("string").alias(c) for c in ("m_Id", "f_Id")]
+    in_snapshot = h.join(o, h.s_Id == o.Id, "left").select("*", *no_move)
+    qs, qe = F.lit(p.q_start), F.lit(p.q_end)
+    due = o.where(((F.col("CloseDate") >= qs) & (F.col("CloseDate") <= qe))
+                  | ((F.col("Cohort_Close_Date") >= qs) & (F.col("Cohort_Close_Date") < qe)))
+    due = due.join(h.select("s_Id"), due.Id == F.col("s_Id"), "left_anti")
+    due = due.join(moves, due.Id == moves.m_Id, "left").join(fq, due.Id == fq.f_Id, "left")
+    w = in_snapshot.unionByName(due, allowMissingColumns=True)
 
     # lookups by owner and currency
     u = crm.user(spark, sf_dir).select(F.col("Id").alias("u_Id"), "sales_territory")
     cur_ct = ct.select(F.col("IsoCode").alias("c_IsoCode"), F.col("ConversionRate").alias("c_rate"))
-    w = (w.join(F.broadcast(cur_ct), w.CurrencyIsoCode == cur_ct.c_IsoCode, "left")
-          .join(u, w.OwnerId == u.u_Id, "left")
+    w = (joins.lookup(w.join(F.broadcast(cur_ct), w.CurrencyIsoCode == cur_ct.c_IsoCode, "left"), u, "OwnerId", "u_Id",
+                      F.coalesce("Id", "s_Id"))
           .join(ex_ids.select(F.col("Id").alias("ex_Id"), F.lit(True).alias("excluded_owner")),
                 w.OwnerId == F.col("ex_Id"), "left"))
     # same SQL NOT IN on the owner, kept as a flag because every current row is needed below
@@ -136,7 +145,6 @@ def coverage_wide(spark: SparkSession, sf_dir: str, p: ReportParams, opportunity
     def ok(c: Column) -> Column:
         return F.coalesce(c, F.lit(False))
 
-    qs, qe = F.lit(p.q_start), F.lit(p.q_end)
     in_snap = F.col("s_Id").isNotNull()
     today = ok(F.col("today_base") & ((F.col("CloseDate") < qe) | in_snap))
     typ = F.col("Type").isin(list(TYPES))
@@ -171,11 +179,11 @@ def coverage_wide(spark: SparkSession, sf_dir: str, p: ReportParams, opportunity
         cur("sales_territory").alias("region_bucket_opp_owner"))
 
 
-def coverage_by_region(spark: SparkSession, sf_dir: str, p: ReportParams, **inputs) -> DataFrame:
+def coverage_by_region(spark: SparkSession, sf_dir: str, p: ReportParams, wide: DataFrame | None = None, **inputs) -> DataFrame:
     """Pipe, new, pulled in, pushed, won and lost per (Type, region bucket).
 
-    ``inputs``: optional landed ``opportunity`` / ``snapshots`` / ``changes``."""
-    w = coverage_wide(spark, sf_dir, p, **inputs)
+    ``wide``: rows of ``coverage_wide``; ``inputs``: landed ``opportunity`` / ``snapshots`` / ``changes``."""
+    w = wide if wide is not None else coverage_wide(spark, sf_dir, p, **inputs)
     qe = F.lit(p.q_end)
     won = F.col("Current_StageName") == dims.STAGE_CLOSED_WON
     lost = F.col("Current_StageName") == dims.STAGE_CLOSED_LOST
@@ -251,7 +259,7 @@ def _link(id_col: str, name_col: str):
     return link_formula(record_link(F.col(id_col), "Opportunity", BASE_URL), F.col(name_col))
 
 
-def v2_tabs(spark: SparkSession, sf_dir: str, p: ReportParams) -> dict[str, DataFrame]:
+def v2_tabs(spark: SparkSession, sf_dir: str, p: ReportParams, wide: DataFrame | None = None) -> dict[str, DataFrame]:
     """The v2 report's deal tabs, all read from one wide table.
 
     starting_pipeline  anchor-snapshot deals with today's values, then the
@@ -262,7 +270,7 @@ def v2_tabs(spark: SparkSession, sf_dir: str, p: ReportParams) -> dict[str, Data
     new_pipe           new pipe created in the quarter
     total_won          won deals of the quarter's totals
     """
-    w = coverage_wide(spark, sf_dir, p)
+    w = wide if wide is not None else coverage_wide(spark, sf_dir, p)
     snap_bucket = F.coalesce(F.col("snap_bucket_raw"), F.lit(dims.BUCKET_REST))
     null_s, null_d, null_f = F.lit(None).cast("string"), F.lit(None).cast("date"), F.lit(None).cast("double")
     # one pass: a deal gives its anchor-snapshot row and/or its found row (a found row keeps only

@@ -28,6 +28,7 @@ from pipewright.functions import dims
 from pipewright.functions.money import money, usd
 from pipewright.functions.nulls import cond_sum, na_subtract, round_half_up, safe_ratio
 from pipewright.functions.periods import ReportParams
+from pipewright.operators import joins
 from pipewright.sources import crm
 
 STARTING, PULLED, CLEAN_UP, NEW, PUSHED, TOTAL = (
@@ -96,13 +97,21 @@ SET_COLUMNS = ["Id", "Category", "Type", "Region", "Segment", "Product", "QB_USD
 class Movement:
     """All sets of one report run, computed from one wide row per deal.
 
-    ``wide`` = current deals LEFT JOIN the anchor snapshot (aggregated per id)
-    LEFT JOIN the latest qualifying close-date move (aggregated per id). Both
-    right sides are grouped by ``Id``, so the plan shuffles each input once by
-    ``Id`` and everything after the join is narrow: set membership is a set of
-    boolean columns (with the reports' precedence: starting, then pulled in,
-    then new), and the seed is an ``explode`` of the rows each deal
-    contributes. Nothing is recomputed per set and no id list is collected.
+    Only deals that can be in a set are joined. Two kinds can:
+
+    * ``closing``: deals that close in the quarter today (a date filter on the
+      scan) LEFT JOIN the anchor snapshot LEFT JOIN the latest qualifying move;
+    * ``started``: deals that close at another time today, but are in the
+      filtered anchor snapshot (INNER JOIN; on a cluster Spark's runtime Bloom
+      filter reduces the deals before they are exchanged). They can have left
+      the quarter only, so moves do not matter.
+
+    The snapshot and the moves are grouped by ``Id`` before. After the joins
+    everything is narrow: set membership is a set of boolean columns (with the
+    reports' precedence: starting, then pulled in, then new), and the seed is an
+    ``explode`` of the rows each deal contributes. Owner, currency and product
+    lookups follow the pruning. A single set reads only the branch it needs:
+    ``total`` (and the won categories) neither snapshot nor change log.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, p: ReportParams, preset: Preset = V3,
@@ -115,40 +124,42 @@ class Movement:
         self._snapshots = snapshots
         self._changes = changes
         self._opportunity = opportunity
-        if current is not None:
-            self.current = current
-            self.wide = self._wide(current)
-        else:
-            base = self._base()
-            self.current = self._enrich(base)
-            # id joins first (co-located when the inputs are bucketed by id), owner/currency lookups after
-            self.wide = self._wide(base, enrich=True)
-        self._seed = self._explode_seed()
+        self._current = current
+        self._written: DataFrame | None = None
 
     def checkpoint(self) -> "Movement":
-        """Materialise the wide table in the shared checkpoint folder
+        """Materialise the wide rows of the deals in a set in the shared checkpoint folder
         (``spark.checkpoint.dir``) so that several outputs written from this run
-        read it once, and a lost executor recomputes from the checkpoint, not
+        read them once, and a lost executor recomputes from the checkpoint, not
         from the sources."""
-        self.wide = self.wide.checkpoint(eager=True)
-        self._seed = self._explode_seed()
+        self._written = self.wide().checkpoint(eager=True)
         return self
 
     # ------------------------------------------------------------ inputs
+    @property
+    def current(self) -> DataFrame:
+        """Every current deal with its USD amount, role class and product."""
+        return self._enrich(self._base())
+
     def _base(self) -> DataFrame:
         """Current deals, test accounts dropped."""
-        o = self._opportunity if self._opportunity is not None else \
-            crm.opportunity(self.spark, self.sf_dir, with_product=True)
+        if self._current is not None:
+            return self._current
+        o = self._opportunity if self._opportunity is not None else crm.opportunity_core(self.spark, self.sf_dir)
         return o.where(F.col("Test_Account") == F.lit(False))
 
     def _enrich(self, df: DataFrame) -> DataFrame:
-        """USD amount and owner role class; columns the wide table adds pass through."""
+        """USD amount, owner role class and product; columns the wide table adds pass through."""
+        if self._current is not None:
+            return df
         s, sf = self.spark, self.sf_dir
+        if "Product" not in df.columns:
+            df = crm.with_products(s, sf, df)
         ct = crm.currency(s, sf)
         u = crm.user(s, sf).select(F.col("Id").alias("u_Id"), "UserRoleId")
-        ur = crm.user_role(s).select(F.col("Id").alias("ur_Id"), F.col("Name").alias("User_Role"))
-        df = (df.join(F.broadcast(ct), df.CurrencyIsoCode == ct.IsoCode, "left")
-                .join(u, df.OwnerId == u.u_Id, "left")
+        ur = crm.user_role(s, sf).select(F.col("Id").alias("ur_Id"), F.col("Name").alias("User_Role"))
+        df = df.join(F.broadcast(ct), df.CurrencyIsoCode == ct.IsoCode, "left")
+        df = (joins.lookup(df, u, "OwnerId", "u_Id", F.col("Id"))
                 .join(F.broadcast(ur), F.col("UserRoleId") == F.col("ur_Id"), "left"))
         rate = F.col("ConversionRate")
         if self.pre.amount == "software_or_expansion":
@@ -205,13 +216,35 @@ class Movement:
                          & (new >= F.lit(p.q_start)))
                   .groupBy(F.col("OpportunityId").alias("m_Id")).agg(F.max("CreatedDate").alias("moved_at")))
 
-    def _wide(self, deals: DataFrame, enrich: bool = False) -> DataFrame:
-        pre, p = self.pre, self.p
+    def _closes_in_quarter(self) -> Column:
+        """Close dates of every set that looks at today's close date; both ends of all rule sets."""
+        return (F.col("CloseDate") >= F.lit(self.p.q_start)) & (F.col("CloseDate") <= F.lit(self.p.q_end))
+
+    def _closing(self, joined: bool = True) -> DataFrame:
+        """Deals closing in the quarter; ``joined``: with their anchor rows and latest move."""
+        df = self._base().where(self._closes_in_quarter())
+        if not joined:
+            return df
         snap, moves = self._snap_rows(), self._moves()
-        df = (deals.join(snap, F.col("Id") == F.col("h_Id"), "left")
-                   .join(moves, F.col("Id") == F.col("m_Id"), "left"))
-        if enrich:
-            df = self._enrich(df)
+        return (df.join(snap, F.col("Id") == F.col("h_Id"), "left")
+                  .join(moves, F.col("Id") == F.col("m_Id"), "left").drop("h_Id", "m_Id"))
+
+    def _started(self) -> DataFrame:
+        """Deals of the anchor snapshot's set that do not close in the quarter any more."""
+        df = self._base().where(~F.coalesce(self._closes_in_quarter(), F.lit(False))).join(self._snap_rows(), F.col("Id") == F.col("h_Id"))
+        return df.withColumn("moved_at", F.lit(None).cast("timestamp_ntz")).drop("h_Id")
+
+    def wide(self, parts: tuple = ("closing", "started")) -> DataFrame:
+        """One row per deal that is in a set."""
+        if self._written is not None:
+            return self._written
+        frames = [getattr(self, f"_{x}")() for x in parts]
+        df = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+        flags = ["in_start", "in_pulled", "in_new", "in_total"]  # pushed is in start, ghost in total
+        return self._flags(self._enrich(df)).where(F.greatest(*flags))
+
+    def _flags(self, df: DataFrame) -> DataFrame:
+        pre, p = self.pre, self.p
 
         def ok(c: Column) -> Column:  # a filter predicate: NULL is not true
             return F.coalesce(c, F.lit(False))
@@ -250,7 +283,8 @@ class Movement:
             pulled_label = F.lit(PULLED)
         return df.withColumn("pulled_label", pulled_label)
 
-    def _explode_seed(self) -> DataFrame:
+    def _rows(self, *parts: str) -> DataFrame:
+        """One row per deal and set, of the branches in ``parts``."""
         cur = F.struct(F.col("Category"), F.col("Type"), F.col("QB_USD"))
 
         def row(label: Column | str, src: str, base: Column = cur, snap_amt: Column | None = None) -> Column:
@@ -275,7 +309,7 @@ class Movement:
             F.when(F.col("in_ghost"), row(self.pre.ghost_label, "ghost")),
             F.when(F.col("in_total"), row(TOTAL, "total")))
         rows = F.when(F.col("in_start"), F.concat(starts, others)).otherwise(others)
-        w = self.wide.withColumn("_r", F.explode(F.filter(rows, lambda x: x.isNotNull())))
+        w = (self.wide(parts) if parts else self.wide()).withColumn("_r", F.explode(F.filter(rows, lambda x: x.isNotNull())))
         return w.select(
             "Id", F.col("_r.Category").alias("Category"), F.col("_r.Type").alias("Type"), "Region", "Segment",
             "Product", F.col("_r.QB_USD").alias("QB_USD"), "StageName", "CloseDate", "LeadSource",
@@ -285,8 +319,8 @@ class Movement:
             F.col("in_pulled").alias("is_pulled"), F.col("in_new").alias("is_new"))
 
     # -------------------------------------------------------------- sets
-    def _set(self, src: str, keep_snapshot: bool = False) -> DataFrame:
-        df = self._seed.where(F.col("src") == src).select(*SET_COLUMNS, "src", "QB_USD_Snapshot")
+    def _set(self, src: str, *parts: str, keep_snapshot: bool = False) -> DataFrame:
+        df = self._rows(*parts).where(F.col("src") == src).select(*SET_COLUMNS, "src", "QB_USD_Snapshot")
         return df if keep_snapshot else df.drop("QB_USD_Snapshot")
 
     @property
@@ -295,28 +329,34 @@ class Movement:
 
     @property
     def pulled_in(self) -> DataFrame:
-        return self._set("pulled")
+        return self._set("pulled", "closing")
 
     @property
     def new_pipe(self) -> DataFrame:
-        return self._set("new")
+        return self._set("new", "closing")
 
     @property
     def pushed(self) -> DataFrame:
-        return self._set("pushed")
+        return self._set("pushed", "started")
 
     @property
     def total(self) -> DataFrame:
-        return self._set("total")
+        """Read from the deals closing in the quarter alone."""
+        if self._written is not None:
+            return self._set("total")
+        df = self._closing(joined=False).withColumns({"h_rows": F.lit(None).cast(self._snap_rows().schema["h_rows"].dataType),
+                                                      "moved_at": F.lit(None).cast("timestamp_ntz")})
+        df = self._flags(self._enrich(df)).where("in_total")
+        return df.withColumns({"Movement_Type": F.lit(TOTAL), "src": F.lit("total")}).select(*SET_COLUMNS, "src")
 
     @property
     def ghost(self) -> DataFrame:
-        return self._set("ghost")
+        return self._set("ghost", "closing")
 
     # ------------------------------------------------------------ output
     def seed(self, with_flags: bool = False) -> DataFrame:
         """Long table of all sets (ghosts appended to the starting set)."""
-        df = self._seed.withColumns({
+        df = self._rows().withColumns({
             "Geo": dims.geo(F.col("Region")),
             "Type_Smooth": F.when(F.col("Type") == dims.TYPE_EXPANSION, F.lit(dims.TYPE_EXISTING))
                             .otherwise(F.col("Type"))})
@@ -368,7 +408,7 @@ class Movement:
         """
         n = (F.when(F.col("in_start"), F.size("h_rows")).otherwise(F.lit(0))
              + sum(F.col(c).cast("int") for c in ["in_new", "in_pulled", "in_pushed", "in_ghost", "in_total"]))
-        df = self.wide.select("Id", n.alias("n_rows"), "StageName").where(F.col("n_rows") > 0)
+        df = self.wide().select("Id", n.alias("n_rows"), "StageName").where(F.col("n_rows") > 0)
         return df.select("Id", F.col("n_rows").cast("long").alias("n_rows"),
                          F.when(F.col("n_rows") > 1, F.lit("more than once")).otherwise(F.lit("once")).alias("multiplicity"),
                          ((F.col("n_rows") == 1) & F.coalesce(F.col("StageName") == dims.STAGE_CLOSED_WON, F.lit(False)))

@@ -19,6 +19,7 @@ from pipewright.functions.periods import ReportParams, col_quarter_key, in_windo
 from pipewright.functions.text import link_formula, record_link
 from pipewright.operators import joins
 from pipewright.operators.topn import top_n
+from pipewright.session import store
 from pipewright.sources import crm
 
 BASE_URL = "https://crm.example.com"
@@ -42,7 +43,7 @@ def opps_enriched(spark: SparkSession, sf_dir: str, p: ReportParams, base_url: s
     a = crm.account(spark, sf_dir).select(F.col("Id").alias("a_Id"), F.col("Name").alias("Account_Name"))
     u = crm.user(spark, sf_dir).select(F.col("Id").alias("u_Id"), F.col("Name").alias("Owner_Name"),
                                        F.col("UserRoleId"))
-    ur = crm.user_role(spark).select(F.col("Id").alias("ur_Id"), F.col("Name").alias("User_Role"))
+    ur = crm.user_role(spark, sf_dir).select(F.col("Id").alias("ur_Id"), F.col("Name").alias("User_Role"))
     ct = crm.currency(spark, sf_dir)
 
     o = o.where(in_window(F.col("Cohort_Close_Date"), p.rpt_start, p.rpt_end)
@@ -53,11 +54,11 @@ def opps_enriched(spark: SparkSession, sf_dir: str, p: ReportParams, base_url: s
         o = o.join(a, o.AccountId == a.a_Id, "left")
     else:
         o = o.withColumn("Account_Name", F.lit(None).cast("string"))
-    df = (o.join(u, o.OwnerId == u.u_Id, "left")
+    df = (joins.lookup(o, u, "OwnerId", "u_Id", F.col("Id"))
            .join(F.broadcast(ur), F.col("UserRoleId") == F.col("ur_Id"), "left")
            .join(F.broadcast(ct), o.CurrencyIsoCode == ct.IsoCode, "left"))
     # owners excluded by name; a deal without an owner name stays
-    df = joins.anti(df, F.broadcast(crm.excluded_owner(spark)), "Owner_Name", "Name")
+    df = joins.anti(df, F.broadcast(crm.excluded_owner(spark, sf_dir)), "Owner_Name", "Name")
 
     rate = F.col("ConversionRate")
     stale_fill = F.datediff(F.lit(p.rpt_date), F.lit(p.stale_origin))
@@ -173,6 +174,45 @@ def _this_quarter_pipeline(base: DataFrame, p: ReportParams) -> DataFrame:
                       & not_in_set(F.col("Category"), dims.NON_PIPELINE_CATEGORIES))
 
 
+STAGE_KEYS = ["Owner_Name", "Stage_Name", "stage_rank"]
+PIECE = 1000  # entries of a days list in one row
+
+
+def _stage_rows(spark: SparkSession, sf_dir: str, p: ReportParams, base: DataFrame | None) -> DataFrame:
+    base = base if base is not None else opps_enriched(spark, sf_dir, p, with_account=False)
+    base = _this_quarter_pipeline(base, p).where(not_in_set(F.col("Stage"), dims.STAGE_MIX_EXCLUDED))
+    sd = dims.stage_dim(spark).withColumnRenamed("stage", "Stage_Name")
+    return base.join(F.broadcast(sd), base.Stage == sd.Stage_Name, "left")
+
+
+def stage_days(spark: SparkSession, sf_dir: str, p: ReportParams, base: DataFrame | None = None, piece: int = PIECE) -> DataFrame:
+    """The days lists of ``stage_mix`` as rows of at most ``piece`` entries, so no value grows with its group.
+
+    A row has its number in the list, the place of its first entry, its entries
+    and the entries so far; the lists joined in that order are the string.
+
+    The deals are dealt to ranges of (group, deal id) and written out. A deal's
+    place is the size of its group's earlier ranges plus its place in its own, so
+    no task sorts a whole group.
+    """
+    rows = _stage_rows(spark, sf_dir, p, base).select(*STAGE_KEYS, "OppId", "Days_Stale")
+    rows = store(rows.repartitionByRange(*STAGE_KEYS, "OppId").withColumn("range", F.spark_partition_id()))
+    sizes = rows.groupBy(*STAGE_KEYS, "range").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy(*STAGE_KEYS).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(*[F.col(k).alias(f"__{k}") for k in [*STAGE_KEYS, "range"]],
+                         F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    own = F.row_number().over(Window.partitionBy(*STAGE_KEYS, "range").orderBy("OppId"))
+    same = F.lit(True)
+    for k in [*STAGE_KEYS, "range"]:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    placed = rows.withColumn("own", own).join(sizes, same).withColumn("place", F.col("before") + F.col("own") - 1)
+    out = placed.withColumn("piece", F.expr(f"place div {piece}")).groupBy(*STAGE_KEYS, "piece").agg(
+        F.min("place").alias("first"), F.count(F.lit(1)).alias("n"),
+        F.expr("listagg(cast(Days_Stale as string), ', ') WITHIN GROUP (ORDER BY place)").alias("days"))
+    return out.select(*STAGE_KEYS, "piece", (F.col("first") + 1).alias("first_place"), F.col("n").alias("entries"),
+                      (F.col("first") + F.col("n")).alias("entries_so_far"), "days")
+
+
 def stage_mix(spark: SparkSession, sf_dir: str, p: ReportParams, base: DataFrame | None = None) -> DataFrame:
     """Open pipeline of this quarter per owner and stage.
 
@@ -182,11 +222,7 @@ def stage_mix(spark: SparkSession, sf_dir: str, p: ReportParams, base: DataFrame
     partition's part of a group is one ordered piece, and the pieces are
     joined in partition order. Values and counts add up across pieces.
     """
-    base = base if base is not None else opps_enriched(spark, sf_dir, p, with_account=False)
-    base = _this_quarter_pipeline(base, p).where(not_in_set(F.col("Stage"), dims.STAGE_MIX_EXCLUDED))
-    sd = dims.stage_dim(spark).withColumnRenamed("stage", "Stage_Name")
-    df = base.join(F.broadcast(sd), base.Stage == sd.Stage_Name, "left")
-    keys = ["Owner_Name", "Stage_Name", "stage_rank"]
+    df, keys = _stage_rows(spark, sf_dir, p, base), STAGE_KEYS
     pieces = (df.repartitionByRange(*keys, "OppId").withColumn("id_range", F.spark_partition_id())
                 .groupBy(*keys, "id_range").agg(
                     F.sum(money(F.col("QB"))).alias("v"),

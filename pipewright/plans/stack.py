@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from pipewright.functions.money import format_money
 from pipewright.functions.periods import ReportParams, col_in_zone, col_shard_suffix, in_window
 from pipewright.operators.reshape import check_columns, keep_common_columns, rename_substring, union_all_by_name
 from pipewright.sources import crm, snapshots
+from pipewright.sources.dated import bind_dated, find_dated
 
 ZONE = "America/New_York"
 STACK_COLUMNS = ["origin", "Id", "snapshot_date", "StageName", "Type", "CloseDate", "SAO_Date", "Category", "Name",
@@ -18,7 +21,7 @@ STACK_COLUMNS = ["origin", "Id", "snapshot_date", "StageName", "Type", "CloseDat
 
 def snapshot_calendar(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
     """A5: the days that the snapshot table holds in the window, the suffix of each day's table and the local time it was taken."""
-    snaps = crm.history(spark, sf_dir, crm.fixture_snapshot_days(p.anchor, p.q_end))
+    snaps = crm.snapshot_window(spark, sf_dir, p.anchor, p.q_end)
     days = snapshots.snapshot_days(snaps, p.anchor, p.q_end)
     taken = F.col("snapshot_date").cast("timestamp") + F.expr("INTERVAL 6 HOURS")
     return days.select("snapshot_date", col_shard_suffix(F.col("snapshot_date")).alias("table_suffix"),
@@ -37,3 +40,24 @@ def deal_stack(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
     both = union_all_by_name([d.where(in_window(F.col("CloseDate"), p.q_start, p.q_end)) for d in (now, then)])
     both = both.withColumn("qb_text", format_money(F.col("qb_usd")))
     return check_columns(rename_substring(both, "ACV_", ""), STACK_COLUMNS)
+
+
+DATED = "opportunity_snapshot_"
+DATED_COLUMNS = ["Id", "StageName", "CloseDate", "Category", "Type", "qb_usd"]
+
+
+def register_dated(spark: SparkSession, sf_dir: str, p: ReportParams) -> None:
+    """The snapshot table as one view per day (test data): the window's days, the last without Category, and the day before the window."""
+    days = crm.fixture_snapshot_days(p.anchor, p.q_end)
+    window, before = crm.history(spark, sf_dir, days), p.anchor - dt.timedelta(days=1)
+    for day in [before, *days]:
+        snaps = crm.history(spark, sf_dir, [before]) if day == before else window.where(F.col("snapshot_date") == F.lit(day))
+        columns = [c for c in DATED_COLUMNS if day != days[-1] or c != "Category"]
+        snaps.select(*columns).createOrReplaceTempView(f"{DATED}{day:%Y%m%d}")
+
+
+def dated_snapshots(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
+    """The daily tables of the window, found by name and bound; deals closing in the quarter as each day saw them."""
+    register_dated(spark, sf_dir, p)
+    bound = bind_dated(spark, find_dated(spark, DATED, p.anchor, p.q_end))
+    return bound.where(in_window(F.col("CloseDate"), p.q_start, p.q_end)).select("snapshot_date", *DATED_COLUMNS)

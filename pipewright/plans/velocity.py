@@ -1,10 +1,10 @@
 """Deal velocity: days spent in each sales stage.
 
-``time_in_stage`` turns the stage dates of closed-won deals into one row per
+``stage_spans`` has one row per deal and one column per stage; ``time_in_stage`` turns the stage dates of closed-won deals into one row per
 (deal, stage) with an unpivot (one scan, not one scan per stage).
 ``team_velocity`` and ``rep_velocity`` give mean and median days per manager /
 rep and stage, with every stage present for each observed manager / rep
-(empty ones NULL); ``velocity_compare`` puts them side by side as text.
+(empty ones NULL), from one aggregation; ``velocity_compare`` puts them side by side as text.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from pipewright.functions import dims
 from pipewright.functions.periods import ReportParams
-from pipewright.operators.complete import complete_levels
+from pipewright.operators import joins
+from pipewright.operators.complete import level_stats
 from pipewright.operators.reshape import prefix_columns
 from pipewright.sources import crm
 
@@ -40,8 +41,8 @@ def _share(mean: Column, median: Column) -> Column:
     return F.concat(txt(mean), F.lit(", "), txt(median))
 
 
-def time_in_stage(spark: SparkSession, sf_dir: str, p: ReportParams, with_product: bool = True) -> DataFrame:
-    """Closed-won new/expansion deals, days per stage in long form (NULL days kept).
+def stage_spans(spark: SparkSession, sf_dir: str, p: ReportParams, with_product: bool = True) -> DataFrame:
+    """Closed-won new/expansion deals with the days of each stage in a column of its name.
 
     The product comes from the order lines (the largest table); summaries
     that do not output it pass ``with_product=False``.
@@ -55,34 +56,36 @@ def time_in_stage(spark: SparkSession, sf_dir: str, p: ReportParams, with_produc
     o = o.where((F.col("Test_Account") == F.lit(False)) & (F.col("StageName") == dims.STAGE_CLOSED_WON)
                 & F.col("Category").isin(dims.VELOCITY_CATEGORIES)
                 & (F.col("CloseDate") >= F.lit(p.velocity_since)))
-    df = (o.join(u, o.OwnerId == u.u_Id, "left")
+    df = (joins.lookup(o, u, "OwnerId", "u_Id", F.col("Id"))
            .join(F.broadcast(ct), o.CurrencyIsoCode == ct.IsoCode, "left"))
-    ids = ["Opp_Owner_Manager", "Opp_Id", "Opp_Name", "Product", "QB_USD", "Opp_Owner", "StageName",
-           "Category", "Type"]
-    wide = df.select(
+    return df.select(
         "Opp_Owner_Manager", F.col("Id").alias("Opp_Id"), F.col("Name").alias("Opp_Name"),
         F.col("ARR_Product").alias("Product"), (F.col("ACV_Bookings") / F.col("ConversionRate")).alias("QB_USD"),
         "Opp_Owner", "StageName", "Category", "Type",
         *[F.datediff(F.col(end), F.col(start)).alias(label) for label, end, start in STAGE_SPANS])
-    return wide.unpivot(ids, [label for label, _, _ in STAGE_SPANS], "Stage", "Days")
 
 
-def _stage_rank(stage: Column) -> Column:
-    expr = None
-    for i, s in enumerate(dims.VELOCITY_STAGE_ORDER):
-        expr = F.when(stage == s, F.lit(i + 1)) if expr is None else expr.when(stage == s, F.lit(i + 1))
-    return expr.otherwise(F.lit(None))
+def time_in_stage(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
+    """Days per stage in long form (NULL days kept)."""
+    wide, labels = stage_spans(spark, sf_dir, p), [label for label, _, _ in STAGE_SPANS]
+    return wide.unpivot([c for c in wide.columns if c not in labels], labels, "Stage", "Days")
+
+
+def _velocity(df: DataFrame, keys: list[str], days: dict[str, Column]) -> DataFrame:
+    """Rounded mean and median of each stage's days per key, every stage present, and their text."""
+    stats = level_stats(df, keys, days, "Stage", "stage_rank")
+    mean, median = _nonneg_rounded(F.col("mean")), _nonneg_rounded(F.col("median"))
+    return stats.select(*keys, "Stage", "stage_rank", mean.alias("mean_days"), median.alias("median_days"),
+                        _share(mean, median).alias("mean_median"))
 
 
 def team_velocity(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
     """Mean and median days per manager and stage over closed-won deals."""
-    t = time_in_stage(spark, sf_dir, p, with_product=False).where((F.col("StageName") == dims.STAGE_CLOSED_WON) & F.col("Days").isNotNull())
-    stats = t.groupBy("Opp_Owner_Manager", "Stage").agg(F.avg("Days").alias("mean"), F.median("Days").alias("median"))
-    full = complete_levels(stats, t, ["Opp_Owner_Manager"], "Stage", dims.VELOCITY_STAGE_ORDER)
-    mean, median = _nonneg_rounded(F.col("mean")), _nonneg_rounded(F.col("median"))
-    return full.select("Opp_Owner_Manager", "Stage", _stage_rank(F.col("Stage")).alias("stage_rank"),
-                       mean.alias("mean_days"), median.alias("median_days"),
-                       _share(mean, median).alias("mean_median"))
+    wide = stage_spans(spark, sf_dir, p, with_product=False)
+    days = {s: F.col(f"`{s}`") for s in dims.VELOCITY_STAGE_ORDER}
+    # a manager is observed by a deal with days in any stage
+    wide = wide.where(F.coalesce(*days.values()).isNotNull())
+    return _velocity(wide, ["Opp_Owner_Manager"], days)
 
 
 def rep_velocity(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:
@@ -92,17 +95,12 @@ def rep_velocity(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame
                                        F.col("Manager").alias("Opp_Owner_Manager"))
     o = o.where(F.col("StageName").isin(dims.VELOCITY_STAGE_ORDER) & (F.col("Test_Account") == F.lit(False))
                 & F.col("Category").isin(dims.VELOCITY_CATEGORIES))
-    df = o.join(u, o.OwnerId == u.u_Id, "left").select(
+    df = joins.lookup(o, u, "OwnerId", "u_Id", F.col("Id")).select(
         "Opp_Owner_Manager", "Opp_Owner", F.col("StageName").alias("Stage"), "Days_Stale")
-    reps = crm.rep_group(spark).select(F.col("Name").alias("rep"))
+    reps = crm.rep_group(spark, sf_dir).select(F.col("Name").alias("rep"))
     df = df.join(F.broadcast(reps), df.Opp_Owner == reps.rep, "left_semi")
-    keys = ["Opp_Owner_Manager", "Opp_Owner"]
-    stats = df.groupBy(*keys, "Stage").agg(F.avg("Days_Stale").alias("mean"), F.median("Days_Stale").alias("median"))
-    full = complete_levels(stats, df, keys, "Stage", dims.VELOCITY_STAGE_ORDER)
-    mean, median = _nonneg_rounded(F.col("mean")), _nonneg_rounded(F.col("median"))
-    return full.select(*keys, "Stage", _stage_rank(F.col("Stage")).alias("stage_rank"),
-                       mean.alias("mean_days"), median.alias("median_days"),
-                       _share(mean, median).alias("mean_median"))
+    days = {s: F.when(F.col("Stage") == s, F.col("Days_Stale")) for s in dims.VELOCITY_STAGE_ORDER}
+    return _velocity(df, ["Opp_Owner_Manager", "Opp_Owner"], days)
 
 
 def velocity_compare(spark: SparkSession, sf_dir: str, p: ReportParams) -> DataFrame:

@@ -46,6 +46,7 @@ register("renewal_rows", _p(scorecard.renewal_rows), scorecard_sql.renewal_rows(
 register("sao_scorecard", _p(scorecard.sao_scorecard), scorecard_sql.sao_scorecard(PARAMS))
 register("owner_scorecard", _p(scorecard.owner_scorecard), scorecard_sql.owner_scorecard(PARAMS))
 register("stage_mix", _p(scorecard.stage_mix), scorecard_sql.stage_mix(PARAMS))
+register("stage_days", _p(scorecard.stage_days, piece=20), scorecard_sql.stage_days(PARAMS, 20))
 register("top_deals", _p(scorecard.top_deals), scorecard_sql.top_deals(PARAMS))
 register("rep_win_rates", _p(scorecard.rep_win_rates), scorecard_sql.rep_win_rates(PARAMS))
 
@@ -99,6 +100,8 @@ register("activities_wide", _p(activity.activities_wide, ACTIVITY_PARAMS), veloc
 
 register("ingest_converted", _p(enrich.ingest_converted), enrich_sql.ingest_converted(PARAMS))
 register("opp_classified", _p(enrich.opp_classified), enrich_sql.opp_classified(PARAMS))
+register("opp_families", _p(enrich.opp_families), enrich_sql.opp_families())
+register("family_totals", _p(enrich.family_totals), enrich_sql.family_totals())
 register("currency_scrub", _p(enrich.currency_scrub), enrich_sql.currency_scrub(PARAMS))
 register("record_links", _p(enrich.record_links), enrich_sql.record_links(PARAMS))
 register("flatten_nested", _p(enrich.flatten_customers), enrich_sql.flatten_nested())
@@ -107,10 +110,16 @@ register("audited_update", _p(accounts.audited_merge, mode="update"), enrich_sql
 register("merged_accounts", _p(accounts.merged_accounts, mode="upsert"), enrich_sql.merged_accounts("upsert"))
 register("accounts_before_image", _p(accounts.accounts_before_image), enrich_sql.accounts_before_image())
 
+register("reverted_accounts", _p(accounts.reverted_accounts), enrich_sql.reverted_accounts())
+register("revert_outcomes", _p(accounts.revert_outcomes), enrich_sql.revert_outcomes())
+register("reverted_after_edits", _p(accounts.reverted_after_edits), enrich_sql.reverted_after_edits())
+
 register("snapshot_calendar", _p(stack.snapshot_calendar), stack_sql.snapshot_calendar(PARAMS))
+register("dated_snapshots", _p(stack.dated_snapshots), stack_sql.dated_snapshots(PARAMS))
 register("deal_stack", _p(stack.deal_stack), stack_sql.deal_stack(PARAMS))
 
 register("report_export", _p(report.report_manifest), coverage_sql.report_manifest(PARAMS))
+register("report_export_v2", _p(report.report_manifest, preset="v2"), coverage_sql.report_manifest(PARAMS, "v2"))
 
 
 def queries() -> dict[str, Job]:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the reports depend on for correct results (timezone, ANSI) and for
 # scale (AQE re-plans joins and coalesces partitions at runtime, splits skewed
@@ -30,6 +31,10 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    # deals are reduced to those of the anchor snapshot by a Bloom filter before they are exchanged
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": str(1024 * 1024 * 1024),
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": str(1024 * 1024 * 1024),
 }
 
 # session-start settings: no web UI (no port opened), no console progress bars
@@ -91,6 +96,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def store(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and go on from it.
+
+    Later steps read the same rows whatever is recomputed, a lost executor costs
+    no recomputation of what came before, and Spark knows the table's size."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 # settings a query's *result* depends on; set on whatever session runs it
 RESULT_CONF = {"spark.sql.session.timeZone": "UTC"}
 

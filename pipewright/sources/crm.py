@@ -19,6 +19,10 @@ CRM objects from them with fixed arithmetic rules (k = order key):
 The same rules are written independently as DuckDB SQL in
 ``pipewright.oracle.fixtures``; both engines must build identical rows.
 
+Every builder takes the source of the tables: a folder with the test tables, or
+a mapping of CRM tables (name -> DataFrame, as ``landing.attach`` gives it).
+With a mapping the job reads those tables alone and nothing is derived.
+
 Every builder reads only the columns it needs. Joins to nation/region use a
 broadcast because those tables have a fixed size (25 and 5 rows); joins to
 customer, part and lineitem are left to the planner (AQE picks broadcast at
@@ -28,7 +32,8 @@ runtime only when the measured side is small).
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +70,19 @@ EXCLUDED_OWNERS = ["Rep-6"]
 # ==================== END FIXED VALUES (test-data rules) ====================
 
 
+Source = str | Mapping[str, DataFrame]
+
+
+def entity(name: str) -> Callable:
+    """A builder whose table a mapping gives under ``name``."""
+    def wrap(build: Callable) -> Callable:
+        @wraps(build)
+        def get(spark: SparkSession, source: Source, *args, **kw) -> DataFrame:
+            return source[name] if isinstance(source, Mapping) else build(spark, source, *args, **kw)
+        return get
+    return wrap
+
+
 def _pick(idx: Column, values: Sequence) -> Column:
     """values[idx] as one flat CASE expression (NULL for a None entry or any other idx)."""
     expr = None
@@ -92,20 +110,21 @@ def region_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("r_regionkey")
     code = _pick(key, [c for _, c, _, _ in REGION_RULES])
     rate = _pick(key, [v for _, _, v, _ in REGION_RULES])
-    name = _pick(key, [n for _, _, _, n in REGION_RULES])
-    return r.select("r_regionkey", code.alias("IsoCode"), rate.alias("ConversionRate"), name.alias("RegionName"))
+    return r.select("r_regionkey", code.alias("IsoCode"), rate.alias("ConversionRate"))
 
 
+@entity("currency")
 def currency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CurrencyType(IsoCode, ConversionRate): one row per code."""
     return region_map(spark, sf_dir).select("IsoCode", "ConversionRate").where(F.col("IsoCode").isNotNull())
 
 
 def _nation_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = read(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"])
-    rm = region_map(spark, sf_dir)
-    return (n.join(F.broadcast(rm), n.n_regionkey == rm.r_regionkey, "left")
-             .select("n_nationkey", "IsoCode", "RegionName"))
+    """Currency code and region name per nation: the rules hold for region keys, so the region table is not read."""
+    key = F.col("n_regionkey")
+    return read(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"]).select(
+        "n_nationkey", _pick(key, [c for _, c, _, _ in REGION_RULES]).alias("IsoCode"),
+        _pick(key, [n for _, _, _, n in REGION_RULES]).alias("RegionName"))
 
 
 def _product_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,6 +138,23 @@ def _product_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lp.groupBy("l_orderkey").agg(F.array_sort(F.collect_set("p_type")).alias("types"))
 
 
+def with_products(spark: SparkSession, sf_dir: str, deals: DataFrame) -> DataFrame:
+    """``deals`` (one row per ``Id``, with ``_k``) and their Product: the distinct part types of their lines, sorted.
+
+    For deals that a job has already cut down: only their lines meet the parts
+    and are grouped.
+    """
+    li = read(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey"])
+    p = read(spark, sf_dir, "part", ["p_partkey", "p_type"])
+    lines = (deals.join(li, F.col("_k") == F.col("l_orderkey"), "left")
+                  .join(p, F.col("l_partkey") == F.col("p_partkey"), "left"))
+    others = [c for c in deals.columns if c not in ("Id", "_k")]
+    per = lines.groupBy("Id").agg(F.array_sort(F.collect_set("p_type")).alias("__types"),
+                                  *[F.any_value(c).alias(c) for c in others])
+    return per.withColumn("Product", F.when(F.size("__types") > 0, F.array_join("__types", ";"))).drop("__types")
+
+
+@entity("opportunity")
 def opportunity_core(spark: SparkSession, sf_dir: str, with_product: bool = False) -> DataFrame:
     """Opportunity rows plus the internal order key ``_k`` used by other builders."""
     o = read(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
@@ -188,11 +224,13 @@ def opportunity(spark: SparkSession, sf_dir: str, with_product: bool = False) ->
     return opportunity_core(spark, sf_dir, with_product).drop("_k")
 
 
+@entity("account")
 def account(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "customer", ["c_custkey", "c_name"]).select(
         F.col("c_custkey").alias("Id"), F.col("c_name").alias("Name"))
 
 
+@entity("users")
 def user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One user per supplier; deals are owned by users 0..N_USERS-1 (k % N_USERS).
 
@@ -210,15 +248,18 @@ def user(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(i % 2 == 0, F.lit("NA")).otherwise(F.lit("EU + ROW")).alias("sales_territory"))
 
 
-def user_role(spark: SparkSession) -> DataFrame:
+@entity("user_role")
+def user_role(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(ROLES, "Id long, Name string")
 
 
-def rep_group(spark: SparkSession) -> DataFrame:
+@entity("rep_group")
+def rep_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(REP_GROUPS, "Name string, Group string")
 
 
-def excluded_owner(spark: SparkSession) -> DataFrame:
+@entity("excluded_owner")
+def excluded_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(n,) for n in EXCLUDED_OWNERS], "Name string")
 
 
@@ -235,8 +276,23 @@ def fixture_snapshot_days(anchor: dt.date, end: dt.date) -> list[dt.date]:
     return out
 
 
-def history(spark: SparkSession, sf_dir: str, dates: Sequence[dt.date]) -> DataFrame:
-    """Snapshot table: one row per (opportunity created by then, snapshot date).
+def history(spark: SparkSession, sf_dir: Source, dates: Sequence[dt.date]) -> DataFrame:
+    """Snapshot table: one row per (opportunity created by then, snapshot date), for ``dates``."""
+    if isinstance(sf_dir, Mapping):
+        return sf_dir["history"].where(F.col("snapshot_date").isin(list(dates)))
+    return _history(spark, sf_dir, dates)
+
+
+def snapshot_window(spark: SparkSession, sf_dir: Source, start: dt.date, end: dt.date) -> DataFrame:
+    """Every day that the snapshot table holds with ``start <= snapshot_date < end``."""
+    if isinstance(sf_dir, Mapping):
+        day = F.col("snapshot_date")
+        return sf_dir["history"].where((day >= F.lit(start)) & (day < F.lit(end)))
+    return _history(spark, sf_dir, fixture_snapshot_days(start, end))
+
+
+def _history(spark: SparkSession, sf_dir: str, dates: Sequence[dt.date]) -> DataFrame:
+    """The derived snapshot table.
 
     Columns follow the dated snapshot of the CRM: frozen stage, close date and
     money, plus ``snapshot_date`` (the partition column of a landed table).
@@ -276,6 +332,7 @@ def history(spark: SparkSession, sf_dir: str, dates: Sequence[dt.date]) -> DataF
         "Test_Account", "CurrencyIsoCode")
 
 
+@entity("field_history")
 def field_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Close-date change log (OpportunityId, field, OldValue, NewValue, CreatedDate).
 
@@ -301,6 +358,7 @@ def field_history(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("e.created").cast("timestamp_ntz") + F.expr("INTERVAL 12 HOURS")).alias("CreatedDate")))
 
 
+@entity("activity")
 def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "events", ["user_id", "event_type", "value", "ts"])
     return e.select(F.concat(F.lit("Rep-"), F.col("user_id").cast("string")).alias("Name"),
@@ -317,9 +375,9 @@ def register_crm_views(spark: SparkSession, sf_dir: str, snapshot_dates: Sequenc
     activity, rep_group, excluded_owner and, when dates are given, history.
     """
     views = {"opportunity": opportunity(spark, sf_dir, with_product=True), "account": account(spark, sf_dir),
-             "users": user(spark, sf_dir), "user_role": user_role(spark), "currency": currency(spark, sf_dir),
+             "users": user(spark, sf_dir), "user_role": user_role(spark, sf_dir), "currency": currency(spark, sf_dir),
              "field_history": field_history(spark, sf_dir), "activity": activity(spark, sf_dir),
-             "rep_group": rep_group(spark), "excluded_owner": excluded_owner(spark)}
+             "rep_group": rep_group(spark, sf_dir), "excluded_owner": excluded_owner(spark, sf_dir)}
     if snapshot_dates:
         views["history"] = history(spark, sf_dir, snapshot_dates)
     for name, df in views.items():

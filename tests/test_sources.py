@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pipewright.plans import enrich, report
 from pipewright.registry import PARAMS
 from pipewright.sources import crm, snapshots, tables
+from pipewright.sources.publish import current, read_published
 
 from .conftest import SF001
 
@@ -58,17 +59,17 @@ def test_report_export_writes_tabs(spark):
     d = tempfile.mkdtemp(prefix="pw-report-")
     tabs = report.movement_report(spark, SF001, PARAMS)
     written = report.export_report(tabs, report.report_meta(spark, PARAMS), d)
-    assert sorted(os.path.basename(w) for w in written) == ["pivot_data", "raw_data", "report_meta"]
-    meta = spark.read.parquet(os.path.join(d, "report_meta")).collect()[0]
+    assert sorted(written) == ["pivot_data", "raw_data", "report_meta"]
+    meta = read_published(spark, d, "report_meta").collect()[0]
     assert meta.quarter_label == "Q3-1998" and meta.anchor == dt.date(1998, 7, 10)
-    assert spark.read.parquet(os.path.join(d, "raw_data")).count() == tabs["raw_data"].count()
+    assert meta.last_refreshed == "Last Refreshed: 1998-08-15 05:00:00"  # New York, in summer
+    assert read_published(spark, d, "raw_data").count() == tabs["raw_data"].count() == written["raw_data"]
 
 
 def test_quarter_report_job_uses_checkpoint(spark):
     d = tempfile.mkdtemp(prefix="pw-job-")
     written = report.run_quarter_report(spark, SF001, PARAMS, d)
-    names = sorted(os.path.basename(w) for w in written)
-    assert names == ["existing_business", "new_business", "pivot_data", "raw_data", "report_meta"]
+    assert sorted(written) == ["existing_business", "new_business", "pivot_data", "raw_data", "report_meta"]
     ck = spark.conf.get("spark.checkpoint.dir")
     assert ck and os.path.isdir(ck) and os.listdir(ck)
 
@@ -89,7 +90,7 @@ def test_cli_report(spark):
     d = tempfile.mkdtemp(prefix="pw-cli-")
     main(["report", "--input", SF001, "--out", d, "--rpt-date", "1998-08-15", "--anchor", "1998-07-10",
           "--profile", "local", "--format", "csv"])
-    assert sorted(os.listdir(d)) == ["existing_business", "new_business", "pivot_data", "raw_data", "report_meta"]
+    assert sorted(current(spark, d)[2]) == ["existing_business", "new_business", "pivot_data", "raw_data", "report_meta"]
 
 
 def test_cli_scorecards_and_merge(spark):
@@ -98,10 +99,10 @@ def test_cli_scorecards_and_merge(spark):
     main(["scorecards", "--input", SF001, "--out", os.path.join(d, "qbr"), "--rpt-date", "1998-08-15",
           "--stale-origin", "1995-01-01", "--velocity-since", "1995-01-01", "--activity-rpt-date", "2025-02-15",
           "--profile", "local"])
-    tabs = sorted(os.listdir(os.path.join(d, "qbr")))
-    assert tabs == sorted(["scorecard_Y", "scorecard_Q", "renewal_rows", "top_deals", "stage_mix", "raw_data",
+    tabs = sorted(current(spark, os.path.join(d, "qbr"))[2])
+    assert tabs == sorted(["scorecard_Y", "scorecard_Q", "renewal_rows", "top_deals", "stage_mix", "stage_days", "raw_data",
                            "rep_activities", "win_rates", "deal_velocity", "report_meta"])
-    assert spark.read.parquet(os.path.join(d, "qbr", "rep_activities")).count() > 0
+    assert read_published(spark, os.path.join(d, "qbr"), "rep_activities").count() > 0
     from pipewright.plans import accounts
     accounts.account_table(spark, SF001).write.parquet(os.path.join(d, "target"))
     accounts.account_changes(spark, SF001).write.parquet(os.path.join(d, "changes"))
@@ -109,10 +110,16 @@ def test_cli_scorecards_and_merge(spark):
           "--seq", "seq", "--mode", "upsert", "--notes", "n" * 60_000, "--out", os.path.join(d, "m"),
           "--profile", "local"])
     out = os.path.join(d, "m")
-    assert sorted(os.listdir(out)) == ["before_upload", "merged", "notes", "upload_file", "upload_results"]
-    assert len(spark.read.parquet(os.path.join(out, "notes")).collect()[0].notes) == 49_999
-    merged = spark.read.parquet(os.path.join(out, "merged")).count()
-    assert merged == accounts.merged_accounts(spark, SF001).count()
+    assert sorted(current(spark, out)[2]) == ["before_upload", "merged", "notes", "run", "upload_file", "upload_results"]
+    assert len(read_published(spark, out, "notes").collect()[0].notes) == 49_999
+    merged = read_published(spark, out, "merged")
+    assert merged.count() == accounts.merged_accounts(spark, SF001).count()
+    merged.write.parquet(os.path.join(d, "now"))
+    main(["revert", "--table", os.path.join(d, "now"), "--merge", out, "--key", "Id", "--seq", "seq",
+          "--out", os.path.join(d, "r"), "--profile", "local"])
+    reverted = read_published(spark, os.path.join(d, "r"), "reverted")
+    before = accounts.account_table(spark, SF001)
+    assert sorted(map(tuple, reverted.collect())) == sorted(map(tuple, before.collect()))
 
 
 def test_movement_checkpoint_keeps_results(spark):
