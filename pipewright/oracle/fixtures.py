@@ -70,7 +70,7 @@ opportunity_k AS (
   SELECT
     '006' || lpad(CAST(k AS VARCHAR), 12, '0') AS Id,
     o_custkey AS AccountId,
-    k % {crm.N_USERS} AS OwnerId,
+    (k // 3) % {crm.N_USERS} AS OwnerId,
     'Deal-' || CAST(k AS VARCHAR) AS Name,
     CASE o_orderstatus
       WHEN 'F' THEN CASE WHEN (k // 6) % 3 = 0 THEN 'Closed Lost' ELSE 'Closed Won' END
@@ -87,7 +87,7 @@ opportunity_k AS (
     CloseDate,
     CreatedDate,
     SAO_Date,
-    CloseDate AS Cohort_Close_Date,
+    if(k % 8 = 5, CloseDate + 40, CloseDate) AS Cohort_Close_Date,
     CAST(year(CloseDate) AS VARCHAR) || '-Q' || CAST(quarter(CloseDate) AS VARCHAR) AS Fiscal,
     acv AS ACV_Bookings,
     o_totalprice AS Amount,
@@ -101,6 +101,9 @@ opportunity_k AS (
     {_case("k % 5", crm.RENEWAL_TYPES)} AS Renewal_Type,
     CAST(k % 80 AS INTEGER) AS MEDDPICC_Score,
     {_case("k % 3", crm.EXPANSION_CATEGORIES)} AS Expansion_Category,
+    {_case("k % 4", crm.NEXT_STEPS)} AS NextStep,
+    {_case("(k // 4) % 5", [name for _, name in crm.ROLES])} AS Owner_Role_at_Assignment,
+    CASE WHEN k % 9 = 0 THEN NULL ELSE CloseDate + CAST((11 * k) % 400 AS INTEGER) END AS Existing_Contract_End_Date,
     CASE WHEN k % 29 = 0 THEN NULL ELSE SAO_Date - 10 END AS Discovery_Set_Date,
     CASE WHEN k % 31 = 0 THEN NULL ELSE SAO_Date + CAST(k % 20 AS INTEGER) END AS Eval_Planning_Date,
     CASE WHEN k % 37 = 0 THEN NULL ELSE SAO_Date + CAST(20 + k % 15 AS INTEGER) END AS Tech_Eval_Date,

@@ -30,7 +30,8 @@ PLAIN_COLUMNS = ", ".join(f"graded.{src} AS {out}" for out, src in {
     "OppId": "Id", "Opp_Name": "Name", "AccountId": "AccountId", "Owner_Name": "Owner_Name", "User_Role": "User_Role",
     "Stage": "StageName", "Fiscal_Period": "Fiscal", "Days_Stale": "stale", "Close_Date": "CloseDate",
     "Created_Date": "CreatedDate", "Lead_Source": "LeadSource", "Type": "Type", "Category": "Category",
-    "Cohort_Close_Date": "Cohort_Close_Date", "SAO_Date": "SAO_Date", "MEDDPICC_Score": "MEDDPICC_Score"}.items())
+    "Cohort_Close_Date": "Cohort_Close_Date", "Sales_Next_Steps": "NextStep",
+    "Owner_Role_at_Assignment": "Owner_Role_at_Assignment", "Existing_Contract_End_Date": "Existing_Contract_End_Date", "SAO_Date": "SAO_Date", "MEDDPICC_Score": "MEDDPICC_Score"}.items())
 
 
 def enriched_ctes(p: ReportParams) -> str:

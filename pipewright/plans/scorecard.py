@@ -69,7 +69,8 @@ def opps_enriched(spark: SparkSession, sf_dir: str, p: ReportParams, base_url: s
         to_usd(F.col("ExpectedRevenue"), rate).alias("Expected_Revenue"),
         F.coalesce(F.col("Days_Stale"), stale_fill).alias("Days_Stale"),
         F.col("CloseDate").alias("Close_Date"), F.col("CreatedDate").alias("Created_Date"),
-        F.col("LeadSource").alias("Lead_Source"), "Type", "Cohort_Close_Date",
+        F.col("NextStep").alias("Sales_Next_Steps"), F.col("LeadSource").alias("Lead_Source"), "Type", "Cohort_Close_Date",
+        "Owner_Role_at_Assignment", "Existing_Contract_End_Date",
         to_usd(F.col("ACV_Bookings"), rate).alias("QB"),
         "Category",
         to_usd(F.col("Recurring_Booking_PY"), rate).alias("Recurring_Booking_PY"),

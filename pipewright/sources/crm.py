@@ -57,6 +57,8 @@ CATEGORIES = ["New", "Expansion", "SAP - Expansion", "Renewal", "Flips - Mainten
 # renewal type by k % 5
 RENEWAL_TYPES = ["Annual Installment Billing", "Standard", None, "Prorated Installments", "Standard"]
 EXPANSION_CATEGORIES = ["Upsell", "Cross-sell", None]                           # by k % 3
+NEXT_STEPS = ["Call", "Send quote", None, "Legal review"]                       # by k % 4
+# by key; the role an owner had at assignment is the one at (k div 4) % 5, the last one is missing
 ROLES = [(0, "Customer Success"), (1, "Strategic Accounts"), (2, "Account Executive"), (3, "Enterprise")]
 N_USERS = 10
 USER_WITHOUT_MANAGER = 7
@@ -179,7 +181,7 @@ def opportunity_core(spark: SparkSession, sf_dir: str, with_product: bool = Fals
     cols = [
         _opp_id(k).alias("Id"),
         F.col("o_custkey").alias("AccountId"),
-        (k % N_USERS).alias("OwnerId"),
+        (_div(k, 3) % N_USERS).alias("OwnerId"),
         F.concat(F.lit("Deal-"), k.cast("string")).alias("Name"),
         stage.alias("StageName"),
         _pick(k % 10, TYPES).alias("Type"),
@@ -192,7 +194,7 @@ def opportunity_core(spark: SparkSession, sf_dir: str, with_product: bool = Fals
         F.col("CloseDate"),
         F.col("CreatedDate"),
         sao,
-        F.col("CloseDate").alias("Cohort_Close_Date"),
+        F.when(k % 8 == 5, F.date_add("CloseDate", 40)).otherwise(F.col("CloseDate")).alias("Cohort_Close_Date"),
         F.concat(F.year("CloseDate").cast("string"), F.lit("-Q"), F.quarter("CloseDate").cast("string")).alias("Fiscal"),
         acv.alias("ACV_Bookings", metadata=CURRENCY_META),
         F.col("o_totalprice").alias("Amount", metadata=CURRENCY_META),
@@ -206,6 +208,9 @@ def opportunity_core(spark: SparkSession, sf_dir: str, with_product: bool = Fals
         _pick(k % 5, RENEWAL_TYPES).alias("Renewal_Type"),
         (k % 80).cast("int").alias("MEDDPICC_Score"),
         _pick(k % 3, EXPANSION_CATEGORIES).alias("Expansion_Category"),
+        _pick(k % 4, NEXT_STEPS).alias("NextStep"),
+        _pick(_div(k, 4) % 5, [name for _, name in ROLES]).alias("Owner_Role_at_Assignment"),
+        _null_if(k, 9, F.date_add("CloseDate", ((11 * k) % 400).cast("int"))).alias("Existing_Contract_End_Date"),
         _null_if(k, 29, F.date_sub(sao, 10)).alias("Discovery_Set_Date"),
         _null_if(k, 31, F.date_add(sao, (k % 20).cast("int"))).alias("Eval_Planning_Date"),
         _null_if(k, 37, F.date_add(sao, (20 + k % 15).cast("int"))).alias("Tech_Eval_Date"),
@@ -232,7 +237,7 @@ def account(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @entity("users")
 def user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One user per supplier; deals are owned by users 0..N_USERS-1 (k % N_USERS).
+    """One user per supplier; deals are owned by users 0..N_USERS-1 ((k div 3) % N_USERS).
 
     The table grows with the data, so joins to it carry no broadcast hint (AQE
     broadcasts it at runtime only when it is measured small).
