@@ -48,6 +48,7 @@ from pipewright.llm.suffix_array import prefixes, repeats
 
 MIN_BYTES, GRAM = 200, 64
 BUCKET, PARTS = 4096, 8
+SPLIT_ROWS = 10_000  # rows that a task holds of a bucket's split
 BLOCK = 1 << 17  # bytes hashed at once, whatever a text's length
 WHOLE = 255  # a cover's length: as far as the context goes
 _SEED = np.random.default_rng(20250117).integers(0, 2**64 - 1, 257, dtype=np.uint64) | np.uint64(1)
@@ -181,12 +182,18 @@ def _leads(left: bytes, right: bytes, size: int, gram: int) -> set[int]:
     return set((len(left) - np.flatnonzero(chosen == len(left))).tolist())
 
 
-def _split(size: int, gram: int, ranges: list[tuple[int, int]]):
+def _split(size: int, gram: int, ranges: list[tuple[int, int]], names: list[str]):
     """Each member once for every range with a string that chose it: the bucket's new key is what all strings of the range hold of it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
         for part in slices(batches, "right"):
             row, bucket, lead = [], [], []
+
+            def pack():
+                take = pa.array(row, pa.int64())
+                made = {"bucket": pa.array(np.array(bucket, np.uint64).view(np.int64)), "lead": pa.array(lead, pa.int32())}
+                return pa.RecordBatch.from_arrays([made[c] if c in made else part.column(c).take(take) for c in names], names=names)
+
             for i, (left, right) in enumerate(zip(part.column("left").to_pylist(), part.column("right").to_pylist())):
                 own = _leads(left, right, size, gram)
                 for lo, hi in ranges:
@@ -194,10 +201,11 @@ def _split(size: int, gram: int, ranges: list[tuple[int, int]]):
                         row.append(i)
                         bucket.append(digest(left[len(left) - lo:] + right[:size - hi], seed=hi + 1))
                         lead.append(hi)
-            take = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays([*(part.column(c).take(take) for c in ("key", "context", "left", "right")),
-                                              pa.array(np.array(bucket, np.uint64).view(np.int64)), pa.array(lead, pa.int32())],
-                                             names=["key", "context", "left", "right", "bucket", "lead"])
+                if len(row) > SPLIT_ROWS:
+                    yield pack()
+                    row, bucket, lead = [], [], []
+            if row:
+                yield pack()
     return run
 
 
@@ -270,9 +278,9 @@ def _found(docs: DataFrame, size: int, gram: int) -> tuple[DataFrame, DataFrame,
     shared = store(every.join(several, F.col("key") == F.col("__key")).select("key", "context", "id0", "at"))
 
     members = store(shared.groupBy("key", "context").agg(F.min(F.struct("id0", "at")).alias("one"), F.count("*").alias("n")))
-    by_key = members.repartition("key")
-    mixed = by_key.groupBy(F.col("key").alias("__key")).count().where("count > 1").select("__key")
-    asked = by_key.join(mixed, F.col("key") == F.col("__key")).groupBy(
+    # written out, so that a gram with a large part of all contexts is a large side that Spark can split
+    mixed = store(members.groupBy(F.col("key").alias("__key")).count().where("count > 1").select("__key"))
+    asked = members.join(mixed, F.col("key") == F.col("__key")).groupBy(
         F.col("one.id0").alias("__i"), F.shiftrightunsigned("one.at", 32).alias("__l")).agg(
         F.collect_list(F.struct("key", "context", F.col("one.at").alias("at"))).alias("asked"))
     cut = asked.join(slim, (F.col("__i") == F.col("id0")) & (F.col("__l") == F.col("low")))
@@ -287,14 +295,15 @@ def _buckets(members: DataFrame, size: int, gram: int, most: int, parts: int) ->
     large = over(members, "key")
     is_large = F.col("key") == F.col("__by")
     small = members.join(large, is_large, "left_anti").withColumn("bucket", F.col("key"))
-    out = "key long, context long, left binary, right binary, bucket long, lead int"
-    split = store(members.join(large, is_large, "left_semi").mapInArrow(_split(size, gram, _parts(size, gram, parts)), out))
+    ids, text = "key long, context long", "left binary, right binary"
+    split = store(members.join(large, is_large, "left_semi").mapInArrow(
+        _split(size, gram, _parts(size, gram, parts), ["key", "context", "left", "right", "bucket"]), f"{ids}, {text}, bucket long"))
     large2 = over(split, "bucket")
     is_large2 = F.col("bucket") == F.col("__by")
-    small = small.unionByName(split.join(large2, is_large2, "left_anti").drop("lead"))
+    small = small.unionByName(split.join(large2, is_large2, "left_anti"))
     rest = split.join(large2, is_large2, "left_semi").select("key", "context", "left", "right").distinct()
-    single = rest.mapInArrow(_split(size, gram, [(i, i) for i in range(size - gram + 1)]), out)
-    single = store(single.select("key", "context", "bucket", "lead"))
+    single = store(rest.mapInArrow(_split(size, gram, [(i, i) for i in range(size - gram + 1)], ["key", "context", "bucket", "lead"]),
+                                   f"{ids}, bucket long, lead int"))
     equal = single.groupBy(F.col("bucket").alias("__by")).count().where("count > 1").select("__by")
     return small, single.join(store(equal), is_large2, "left_semi").select(
         "key", "context", "bucket", "lead", (F.lit(size) - F.col("lead")).alias("tail"))
