@@ -13,7 +13,9 @@ from pipewright.functions.nulls import cond_sum, in_set
 from pipewright.functions.periods import ReportParams
 from pipewright.functions.text import clean_names, link_formula, record_link
 from pipewright.operators import families, joins
-from pipewright.sources import crm, sinks
+from pipewright.session import ensure_checkpoint_dir
+from pipewright.sources import crm
+from pipewright.sources.publish import publish, read_published
 from pipewright.sources.tables import currency_fields
 
 # ===================== FIXED VALUES (test-data rules) =====================
@@ -95,9 +97,16 @@ def ingest_converted(spark: SparkSession, sf_dir: str, p: ReportParams | None =
     return extract_object(obj, crm.currency(spark, sf_dir))
 
 
-def extract_and_load(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """Extract with converted money, then truncate-and-load the table at ``path``."""
-    sinks.write_table(ingest_converted(spark, sf_dir), path)
+def extract_and_load(spark: SparkSession, sf_dir: str, path: str) -> int:
+    """Extract with converted money and publish it as the table ``opportunity`` of ``path``; its rows."""
+    return publish(spark, path, {"opportunity": ingest_converted(spark, sf_dir)})["opportunity"]
+
+
+def ingest_loaded(spark: SparkSession, sf_dir: str, p: ReportParams | None = None) -> DataFrame:
+    """The extract as it reads back after loading it in the shared folder."""
+    path = f"{ensure_checkpoint_dir(spark)}/extract"
+    extract_and_load(spark, sf_dir, path)
+    return read_published(spark, path, "opportunity")
 
 
 # ------------------------------------------------------------------- W22

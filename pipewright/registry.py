@@ -99,6 +99,7 @@ register("velocity_compare", _p(velocity.velocity_compare), velocity_sql.velocit
 register("activities_wide", _p(activity.activities_wide, ACTIVITY_PARAMS), velocity_sql.activities_wide(ACTIVITY_PARAMS))
 
 register("ingest_converted", _p(enrich.ingest_converted), enrich_sql.ingest_converted(PARAMS))
+register("ingest_loaded", _p(enrich.ingest_loaded), enrich_sql.ingest_converted(PARAMS))
 register("opp_classified", _p(enrich.opp_classified), enrich_sql.opp_classified(PARAMS))
 register("opp_families", _p(enrich.opp_families), enrich_sql.opp_families())
 register("family_totals", _p(enrich.family_totals), enrich_sql.family_totals())

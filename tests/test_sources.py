@@ -37,8 +37,8 @@ def test_extract_and_load_overwrites(spark):
     d = tempfile.mkdtemp(prefix="pw-load-")
     path = os.path.join(d, "opportunity")
     enrich.extract_and_load(spark, SF001, path)
-    enrich.extract_and_load(spark, SF001, path)
-    df = spark.read.parquet(path)
+    assert enrich.extract_and_load(spark, SF001, path) == 1500
+    df = read_published(spark, path, "opportunity")
     assert df.count() == 1500
     assert "ACV_Bookings_Converted" in df.columns and "Account_Name" in df.columns
 
