@@ -48,45 +48,55 @@ _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _WS = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _STOP = np.isin(np.arange(256), list(b".!?"))
 _BYTE, _PLACE = np.random.default_rng(20240301).integers(0, 2**64 - 1, (2, 256), dtype=np.uint64) | np.uint64(1)
+_ZERO, _TRUE = np.zeros(1, np.int64), np.ones(1, bool)
 _BYTE = np.where(_WS, np.uint64(0), _BYTE[np.frombuffer(_LOWER, np.uint8)])
 
 
+def _join(*parts: np.ndarray) -> np.ndarray:
+    return np.concatenate(parts)
+
+
 class _Text:
     """``raw`` in pieces: ``at`` their first bytes, ``total`` the words before each and in all, ``sent`` the sentence
     of each; ``canon`` the words as compared, ``word`` where each starts in it."""
 
     def __init__(self, raw: bytes, window: int = WINDOW):
         a = np.frombuffer(raw, np.uint8)
-        edge = np.diff(np.r_[True, _WS[a], True].astype(np.int8))
+        blank = np.ones(len(a) + 2, np.int8)
+        blank[1:-1] = _WS[a]
+        edge = blank[1:] - blank[:-1]
         s, e = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
         n = len(s)
         self.canon = b" ".join(raw.translate(_LOWER).split())
-        self.word = np.r_[0, np.cumsum(e - s + 1)]
+        self.word = _join(_ZERO, np.cumsum(e - s + 1))
         if not n:
             self.at = self.sent = np.zeros(min(1, len(a)), np.int64)
             self.total = np.zeros(1 + len(self.at), np.int64)
             return
-        lines = np.r_[-1, np.flatnonzero(a == 10)]
+        lines = _join(_ZERO - 1, np.flatnonzero(a == 10))
         line = lines[np.searchsorted(lines, s[1:]) - 1]
-        first = np.r_[True, (line >= e[:-1]) | _STOP[a[e[:-1] - 1]]]
+        first = _join(_TRUE, (line >= e[:-1]) | _STOP[a[e[:-1] - 1]])
         cut = first.copy()
         if n > window:
-            place = np.minimum(np.arange(s[0], len(a)) - np.repeat(s, np.diff(np.r_[s, len(a)])), 255)
+            place = np.minimum(np.arange(s[0], len(a)) - np.repeat(s, np.diff(_join(s, _ZERO + len(a)))), 255)
             h = mix(np.add.reduceat(_BYTE[a[s[0]:]] * _PLACE[place], s - s[0]))
-            key = np.r_[np.uint64(0), mix(h[1:] + h[:-1] * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)]
+            key = np.empty(n, np.uint64)
+            key[1:] = mix(h[1:] + h[:-1] * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
             key[first] = 0
-            cut[np.lib.stride_tricks.sliding_window_view(key, window).argmin(axis=1) + np.arange(n - window + 1)] = True
+            windows = np.ndarray((n - window + 1, window), np.uint64, key, 0, (8, 8))
+            cut[windows.argmin(axis=1) + np.arange(n - window + 1)] = True
         c = np.flatnonzero(cut)
         if n > window and ((key[c[1:]] == key[c[:-1]]) & ~first[c[1:]]).any():
-            kept, stop = [0], np.r_[c[1:], n]
+            kept, stop = [0], _join(c[1:], _ZERO + n)
             for k, after, v, f in zip(c[1:].tolist(), stop[1:].tolist(), key[c[1:]].tolist(), first[c[1:]].tolist()):
                 if f or v != key[kept[-1]] or after - kept[-1] > window:
                     kept.append(k)
             c = np.array(kept)
-        self.at, self.total, self.sent = np.r_[0, s[1:]][c], np.r_[c, n], np.cumsum(first)[c]
+        s[0] = 0
+        self.at, self.total, self.sent = s[c], _join(c, _ZERO + n), np.cumsum(first)[c]
 
     def pieces(self, raw: bytes) -> list[bytes]:
-        return [raw[a:b] for a, b in zip(self.at, np.r_[self.at[1:], len(raw)])]
+        return [raw[a:b] for a, b in zip(self.at.tolist(), [*self.at[1:].tolist(), len(raw)])]
 
     def runs(self, min_sentences: int, min_words: int, long: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The spans: number (2 x first piece, or 2 x last piece + 1), first piece, piece after the last."""
@@ -100,7 +110,7 @@ class _Text:
                           np.maximum(np.searchsorted(sent, sent - min_sentences + 1, side="right"),
                                      np.searchsorted(total, total[1:] - long - 1, side="right"))) - 1
         on, ends = stop <= m, (back >= 0) & (stop[back] <= i)  # else the span that starts there ends with this piece too
-        return np.r_[2 * i[on], 2 * i[ends] + 1], np.r_[i[on], back[ends]], np.r_[stop[on], i[ends] + 1]
+        return _join(2 * i[on], 2 * i[ends] + 1), _join(i[on], back[ends]), _join(stop[on], i[ends] + 1)
 
     def hashes(self, first: np.ndarray, stop: np.ndarray) -> list[bytes]:
         digest, canon = xxhash.xxh3_128_digest, self.canon
@@ -149,16 +159,15 @@ def _remove(min_sentences: int, min_words: int, long: int, names: list[str]):
             for i, drops in enumerate(part.column("drops").to_pylist()):
                 raw = (texts[i] or "").encode()
                 text = _Text(raw)
-                pieces = text.pieces(raw)
-                stay = np.ones(len(pieces), bool)
+                stay = np.ones(len(text.at), bool)
                 if drops:
                     code, first, stop = text.runs(min_sentences, min_words, long)
                     at = np.isin(code, drops)
                     for a, b in zip(first[at].tolist(), stop[at].tolist()):
                         stay[a:b] = False
-                counts.append(len(pieces))
-                gone.append(len(pieces) - int(stay.sum()))
-                texts[i] = b"".join(p for p, s in zip(pieces, stay) if s).decode() if gone[-1] else texts[i] or ""
+                counts.append(len(stay))
+                gone.append(len(stay) - int(stay.sum()))
+                texts[i] = b"".join(p for p, s in zip(text.pieces(raw), stay.tolist()) if s).decode() if gone[-1] else texts[i] or ""
             yield pa.RecordBatch.from_arrays(
                 [part.column("row"), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(gone, pa.int64())],
                 names=names)
