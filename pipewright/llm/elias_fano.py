@@ -21,6 +21,7 @@ class EliasFano:
         if bits and n:
             flags = ((v[:, None] >> np.arange(bits, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
             low = np.packbits(flags.ravel(), bitorder="little")
+            low = np.r_[low, np.zeros(16 - len(low) % 8, np.uint8)]  # whole 64-bit words, and one to read beyond
         up = (v >> np.uint64(bits)).astype(np.int64)
         unary = np.zeros(n + (int(up[-1]) if n else 0) + 1, np.uint8)
         unary[up + np.arange(n)] = 1
@@ -37,9 +38,11 @@ class EliasFano:
         out = ((self._ones()[i] - i) << self.low_bits).astype(np.int64)
         if self.low_bits:
             first = i * self.low_bits
-            for k in range(self.low_bits):
-                at = first + k
-                out |= ((self.low[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(np.int64) << k
+            word, shift = self.low.view(np.uint64), (first & 63).astype(np.uint64)
+            at = first >> 6
+            # the bits that stand in the next word; shifted twice, as a shift by 64 is none
+            low = (word[at] >> shift) | ((word[at + 1] << (np.uint64(63) - shift)) << np.uint64(1))
+            out |= (low & np.uint64((1 << self.low_bits) - 1)).astype(np.int64)
         return out
 
     def successor(self, x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
