@@ -19,9 +19,9 @@ occurrence of a repeated span are removed, in the same document too.
 
 One aggregate finds the repeated hashes with their first place (summed up
 before the shuffle, so a passage in a third of all documents is one row per
-task), one join brings them back to the spans (a common hash is the large side
-of a join whose other side is unique, so its partition can be split), and what
-has to go is packed per document. No pairs of documents are formed.
+task), one join brings them back to the spans (all spans of a common hash meet
+its one row in one task, which streams them), and what has to go is packed per
+document. No pairs of documents are formed.
 
 Edge cases: null or empty text has no pieces and becomes ''; rows without id come after
 all ids, ordered by the hash of their text; rows equal in id and text count as
