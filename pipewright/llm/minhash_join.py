@@ -27,9 +27,10 @@ posted under its own step and the next one up and meets every size it can be lin
    pass 2, so no link between different texts is lost to the stars.
 
 Large groups of copies never expand into pairs: equal sets are one class, and
-near copies cost one star pair per list. Candidates of both passes travel
-packed by pairs of document blocks, and a set is sent once to each pair of
-blocks, so a group of near misses costs its ids, not its texts, per pair.
+near copies cost one star pair per list. Candidates of both passes are put
+into groups of documents that have most candidates in common, and a set is sent
+once to each pair of groups, so near misses cost their ids, not their texts, per
+pair, and the copies of a set do not grow with the corpus.
 
 Edge cases: null or empty text has no shingles, is its own component and is
 kept; rows that share a doc_id are one document of the graph; a row without id
@@ -55,7 +56,7 @@ COORDS = 32
 SIGMAS = 4.5
 SPLIT = 200_000
 LIST_ROWS = 8192  # rows of a list, or of each of the two blocks of one, that are compared in one go
-BLOCK = 4096
+BLOCK = 4096  # documents of a group whose sets are held together
 BROADCAST_IDS = 1_000_000  # ids (8 bytes each) that may be broadcast to find the texts of candidates
 _A, _B = np.random.default_rng(20240229).integers(0, 2**64 - 1, (2, COORDS), dtype=np.uint64)
 _A |= np.uint64(1)
@@ -159,23 +160,17 @@ def _blocks(list_rows: int, names: list[str]):
     return run
 
 
-def _packed(a: np.ndarray, b: np.ndarray, blocks: int) -> pa.RecordBatch:
-    """Pairs as one row per pair of document blocks (by hash of the id), the ids packed."""
-    a, b = np.minimum(a, b), np.maximum(a, b)
-    x, y = ((mix(v.view(np.uint64)) % np.uint64(blocks)).astype(np.int64) for v in (a, b))
-    order = np.lexsort((y, x))
-    x, y, ids = x[order], y[order], np.stack([a, b], axis=1)[order]
-    cuts = np.flatnonzero(np.r_[True, (np.diff(x) != 0) | (np.diff(y) != 0)][:len(x)])
-    return pa.RecordBatch.from_arrays(
-        [pa.array(x[cuts], pa.int32()), pa.array(y[cuts], pa.int32()),
-         pa.array([ids[u:v].tobytes() for u, v in zip(cuts, np.r_[cuts[1:], len(x)])], pa.binary())], names=["ba", "bb", "pairs"])
+def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """Distinct pairs, the smaller id first."""
+    ids = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(ids[:, 0]), pa.array(ids[:, 1])], names=["a", "b"])
 
 
-PAIRS = "ba int, bb int, pairs binary"
+PAIRS = "a long, b long"
 
 
-def _agree(percent: int, least: int, blocks: int):
-    """Of (a, b, sig_a, sig_b, n_a, n_b) the pairs whose signatures and set sizes allow a link, packed."""
+def _agree(percent: int, least: int):
+    """Of (a, b, sig_a, sig_b, n_a, n_b) the pairs whose signatures and set sizes allow a link."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
@@ -183,7 +178,7 @@ def _agree(percent: int, least: int, blocks: int):
             same = (_sigs(b.column("sig_a")) == _sigs(b.column("sig_b"))).sum(axis=1)
             na, nb = b.column("n_a").to_numpy(), b.column("n_b").to_numpy()
             ok = (same >= least) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
-            yield _packed(b.column("a").to_numpy()[ok], b.column("b").to_numpy()[ok], blocks)
+            yield _pairs(b.column("a").to_numpy()[ok], b.column("b").to_numpy()[ok])
     return run
 
 
@@ -216,7 +211,7 @@ def _compare(key: int, mask: int, side: np.ndarray, comp: np.ndarray, rep: np.nd
     return out
 
 
-def _lists(percent: int, least: int, blocks: int):
+def _lists(percent: int, least: int):
     """Streams rows sorted by (key, key2, comp); compares list by list."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -230,7 +225,7 @@ def _lists(percent: int, least: int, blocks: int):
             for a, b in zip(cuts, np.r_[cuts[1:], len(k1)]):
                 found += _compare(int(k1[a]), int(mask[a]), side[a:b], comp[a:b], rep[a:b], n[a:b], sig[a:b], percent, least)
             if found:
-                yield _packed(*(np.concatenate(v) for v in zip(*found)), blocks)
+                yield _pairs(*(np.concatenate(v) for v in zip(*found)))
 
         for batch in batches:
             if not batch.num_rows:
@@ -263,41 +258,19 @@ def _sets(width: int):
     return run
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Streams packed pairs sorted by (ba, bb): the documents that each pair of blocks needs, each once."""
-    at, ids = None, np.zeros(0, np.int64)
-
-    def rows() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), v, np.int32)) for v in at] + [pa.array(ids)],
-                                          names=["ba", "bb", "id"])
-    for batch in batches:
-        for x, y, pairs in zip(*(batch.column(c).to_pylist() for c in ("ba", "bb", "pairs"))):
-            if at != (x, y):
-                if at is not None:
-                    yield rows()
-                at, ids = (x, y), np.zeros(0, np.int64)
-            ids = np.union1d(ids, np.frombuffer(pairs, np.int64))
-    if at is not None:
-        yield rows()
-
-
 def _confirm(percent: int):
-    """Streams rows sorted by (ba, bb, kind): the shingle sets of a pair of blocks (kind 0), then its pairs."""
+    """Streams rows sorted by (ga, gb, kind): the shingle sets of a pair of groups (kind 0), then its pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, sets, done = None, {}, set()
+        at, sets = None, {}
         for batch in batches:
             out = []
-            for x, y, kind, i, data in zip(*(batch.column(c).to_pylist() for c in ("ba", "bb", "kind", "id", "data"))):
+            for x, y, kind, i, other, data in zip(*(batch.column(c).to_pylist() for c in ("ga", "gb", "kind", "id", "other", "members"))):
                 if (x, y) != at:
-                    at, sets, done = (x, y), {}, set()
+                    at, sets = (x, y), {}
                 if kind == 0:
                     sets.setdefault(i, []).append(np.frombuffer(data, np.uint64))
-                    continue
-                for a, b in map(tuple, np.frombuffer(data, np.int64).reshape(-1, 2).tolist()):
-                    if (a, b) not in done:
-                        done.add((a, b))
-                        if any(_similar(u, v, percent) for u in sets.get(a, ()) for v in sets.get(b, ())):
-                            out.append((a, b))
+                elif any(_similar(u, v, percent) for u in sets.get(i, ()) for v in sets.get(other, ())):
+                    out.append((i, other))
             if out:
                 a, b = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -310,22 +283,56 @@ def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
+def _grouped(pairs: DataFrame) -> DataFrame:
+    """``pairs`` with the groups ``ga``, ``gb`` of their documents, in order.
+
+    A document joins the neighbour (or itself) with the most pairs, and goes on
+    to the one that this neighbour has joined: documents that are alike share a
+    group, so a set goes to few pairs of groups however large the corpus is. A
+    group of more than ``BLOCK`` documents is dealt into parts of about that size.
+    """
+    both = pairs.select(F.col("a").alias("v"), F.col("b").alias("o")).union(pairs.select("b", "a"))
+    degree = cut(both.groupBy("v").agg(F.count("*").alias("d")))
+    rank = degree.select(F.col("v").alias("__o"), F.struct("d", F.bitwise_not("v").alias("i")).alias("rank"))
+    near = both.union(degree.select("v", "v"))
+    near = near.join(rank, near["o"] == rank["__o"]).groupBy("v").agg(F.max("rank")["i"].alias("i"))
+    first = cut(near.select("v", F.bitwise_not("i").alias("first")))
+    then = first.select(F.col("v").alias("__v"), F.col("first").alias("head"))
+    heads = cut(first.join(then, first["first"] == then["__v"]).select("v", "head"))
+    large = cut(heads.groupBy("head").agg(F.count("*").alias("m")).where(F.col("m") > BLOCK).select(F.col("head").alias("__h"), "m"))
+    part = F.pmod(F.xxhash64("v"), F.coalesce(F.ceil(F.col("m") / BLOCK), F.lit(1)))
+    group = cut(heads.join(large, heads["head"] == large["__h"], "left").select("v", F.xxhash64("head", part).alias("g")))
+    one, two = (group.select(F.col("v").alias(f"__{c}"), F.col("g").alias(f"__g{c}")) for c in "ab")
+    out = pairs.join(one, pairs["a"] == one["__a"]).join(two, pairs["b"] == two["__b"])
+    return out.select(F.least("__ga", "__gb").alias("ga"), F.greatest("__ga", "__gb").alias("gb"), "a", "b")
+
+
+def _needed(pairs: DataFrame) -> DataFrame:
+    """The documents that each pair of groups needs, each once; ``pairs`` lie together by (ga, gb)."""
+    return pairs.select("ga", "gb", F.explode(F.array("a", "b")).alias("id")).distinct()
+
+
 def _linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of the packed ``pairs`` whose full shingle sets reach the threshold.
+    """Those of ``pairs`` (a, b) whose full shingle sets reach the threshold.
 
-    A document's set travels once to each pair of blocks that needs it, not once per pair.
+    A document's set travels once to each pair of groups that needs it, not once per pair.
     """
-    pairs = cut(pairs.repartition(partitions(docs.sparkSession), "ba", "bb"))
-    need = cut(pairs.sortWithinPartitions("ba", "bb").mapInArrow(_members, "ba int, bb int, id long"))
+    n = partitions(docs.sparkSession)
+    pairs = cut(pairs.groupBy("a", "b").agg(F.lit(1).alias("__one")).select("a", "b"))
+    pairs = cut(_grouped(pairs))
+    need = cut(_needed(pairs.repartition(n, "ga", "gb")))
     ids = cut(need.select(F.col("id").alias("__id")).distinct())
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = slim.join(ids, slim["doc_id"] == ids["__id"], "left_semi").mapInArrow(_sets(width), "sid long, members binary")
-    sent = need.join(sets, need["id"] == sets["sid"]).select("ba", "bb", F.lit(0).alias("kind"), "id", F.col("members").alias("data"))
-    asked = pairs.select("ba", "bb", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("id"), F.col("pairs").alias("data"))
-    meet = sent.unionByName(asked).repartition(partitions(docs.sparkSession), "ba", "bb").sortWithinPartitions("ba", "bb", "kind")
-    return cut(meet.mapInArrow(_confirm(percent), "a long, b long"))
+    none = F.lit(None)
+    sent = need.join(sets, need["id"] == sets["sid"]).select(
+        "ga", "gb", F.lit(0).alias("kind"), "id", none.cast("long").alias("other"), "members")
+    asked = pairs.select("ga", "gb", F.lit(1).alias("kind"), F.col("a").alias("id"), F.col("b").alias("other"),
+                         none.cast("binary").alias("members"))
+    meet = sent.unionByName(asked).repartition(n, "ga", "gb").sortWithinPartitions("ga", "gb", "kind")
+    return cut(meet.mapInArrow(_confirm(percent), PAIRS))
 
 
 def _sized(rows: DataFrame, *keys: str) -> DataFrame:
@@ -370,7 +377,6 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     classes = sketch.where("n_shingles > 0").groupBy("s_hi", "s_lo").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
     classes = cut(classes)
-    blocks = 8 + classes.count() // BLOCK  # a pair of blocks holds about 2 x BLOCK sets at most
     reps = classes.where("rep is not null").select("rep", "n", "sig")
 
     posts = reps.mapInArrow(_post(prefix, percent), "key long, rep long, up boolean")
@@ -387,7 +393,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         F.least("center", "rep").alias("a"), F.greatest("center", "rep").alias("b")).agg(F.count("*").alias("collisions"))
     one, two = (reps.select(F.col("rep").alias(f"r_{c}"), F.col("n").alias(f"n_{c}"), F.col("sig").alias(f"sig_{c}")) for c in "ab")
     full = stars.join(one, stars["a"] == one["r_a"]).join(two, stars["b"] == two["r_b"])
-    close = full.select("a", "b", "n_a", "n_b", "sig_a", "sig_b").mapInArrow(_agree(percent, least, blocks), PAIRS)
+    close = full.select("a", "b", "n_a", "n_b", "sig_a", "sig_b").mapInArrow(_agree(percent, least), PAIRS)
     links = _linked(close, docs, width, percent)
     comp = components(links)
 
@@ -402,7 +408,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     rest = cut(rest.select("key", F.lit(0).cast("long").alias("key2"), own, "comp", "rep", "n", "sig", "size", "cross"))
     work = _work(rest, prefix, least)
     work = work.repartition(partitions(docs.sparkSession), "key", "key2").sortWithinPartitions("key", "key2", "comp")
-    more = work.mapInArrow(_lists(percent, least, blocks), PAIRS)
+    more = work.mapInArrow(_lists(percent, least), PAIRS)
     comp = components(links.union(_linked(more, docs, width, percent)))
 
     lab = comp.select(F.col("node").alias("__n"), F.col("comp").alias("__c"))
