@@ -27,10 +27,10 @@ posted under its own step and the next one up and meets every size it can be lin
    pass 2, so no link between different texts is lost to the stars.
 
 Large groups of copies never expand into pairs: equal sets are one class, and
-near copies cost one star pair per list. Candidates of both passes are put
-into groups of documents that have most candidates in common, and a set is sent
-once to each pair of groups, so near misses cost their ids, not their texts, per
-pair, and the copies of a set do not grow with the corpus.
+near copies cost one star pair per list. The star pairs put documents that are
+alike into groups; candidates of both passes travel packed by pairs of groups,
+and a set is sent once to each pair of groups, so near misses cost their ids, not
+their texts, per pair, and the copies of a set do not grow with the corpus.
 
 Edge cases: null or empty text has no shingles, is its own component and is
 kept; rows that share a doc_id are one document of the graph; a row without id
@@ -56,7 +56,7 @@ COORDS = 32
 SIGMAS = 4.5
 SPLIT = 200_000
 LIST_ROWS = 8192  # rows of a list, or of each of the two blocks of one, that are compared in one go
-BLOCK = 4096  # documents of a group whose sets are held together
+BLOCK = 512  # documents of a group whose sets are held together
 BROADCAST_IDS = 1_000_000  # ids (8 bytes each) that may be broadcast to find the texts of candidates
 _A, _B = np.random.default_rng(20240229).integers(0, 2**64 - 1, (2, COORDS), dtype=np.uint64)
 _A |= np.uint64(1)
@@ -160,13 +160,24 @@ def _blocks(list_rows: int, names: list[str]):
     return run
 
 
-def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    """Distinct pairs, the smaller id first."""
-    ids = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(ids[:, 0]), pa.array(ids[:, 1])], names=["a", "b"])
+def _packed(a: np.ndarray, b: np.ndarray, ga: np.ndarray, gb: np.ndarray) -> pa.RecordBatch:
+    """Pairs as one row per pair of groups, the ids packed; the smaller id first, the groups in order."""
+    ids = np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
+    x, y = np.minimum(ga, gb), np.maximum(ga, gb)
+    order = np.lexsort((y, x))
+    x, y, ids = x[order], y[order], ids[order]
+    cuts = np.flatnonzero(np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])][:len(x)])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(x[cuts]), pa.array(y[cuts]), pa.array([ids[u:v].tobytes() for u, v in zip(cuts, np.r_[cuts[1:], len(x)])], pa.binary())],
+        names=["ga", "gb", "pairs"])
 
 
-PAIRS = "a long, b long"
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield _packed(*(b.column(c).to_numpy() for c in ("a", "b", "ga", "gb")))
+
+
+PAIRS = "ga long, gb long, pairs binary"
 
 
 def _agree(percent: int, least: int):
@@ -178,13 +189,13 @@ def _agree(percent: int, least: int):
             same = (_sigs(b.column("sig_a")) == _sigs(b.column("sig_b"))).sum(axis=1)
             na, nb = b.column("n_a").to_numpy(), b.column("n_b").to_numpy()
             ok = (same >= least) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
-            yield _pairs(b.column("a").to_numpy()[ok], b.column("b").to_numpy()[ok])
+            yield pa.RecordBatch.from_arrays([b.column(c).filter(pa.array(ok)) for c in "ab"], names=["a", "b"])
     return run
 
 
-def _compare(key: int, mask: int, side: np.ndarray, comp: np.ndarray, rep: np.ndarray, n: np.ndarray, sig: np.ndarray,
-             percent: int, least: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of one list (rows sorted by component) in different components that may be linked.
+def _compare(key: int, mask: int, side: np.ndarray, comp: np.ndarray, rep: np.ndarray, g: np.ndarray, n: np.ndarray, sig: np.ndarray,
+             percent: int, least: int) -> list[tuple[np.ndarray, ...]]:
+    """Pairs of one list (rows sorted by component) in different components that may be linked, and their groups.
 
     ``mask``: the coordinates that the list was posted under; ``side``: see ``_blocks``.
     """
@@ -207,7 +218,7 @@ def _compare(key: int, mask: int, side: np.ndarray, comp: np.ndarray, rep: np.nd
         ok &= ~eq[:, :, before].any(axis=2) if before else True  # else another list has the pair
         x, y = np.nonzero(ok)
         if len(x):
-            out.append((rep[i[x]], rep[j[y]]))
+            out.append((rep[i[x]], rep[j[y]], g[i[x]], g[j[y]]))
     return out
 
 
@@ -218,14 +229,15 @@ def _lists(percent: int, least: int):
 
         def emit(t: pa.Table) -> Iterator[pa.RecordBatch]:
             k1, k2 = t.column("key").to_numpy(), t.column("key2").to_numpy()
-            mask, side, comp, rep, n = (t.column(c).to_numpy() for c in ("mask", "side", "comp", "rep", "n"))
+            mask, side, comp, rep, g, n = (t.column(c).to_numpy() for c in ("mask", "side", "comp", "rep", "g", "n"))
             sig = _sigs(t.column("sig").combine_chunks())
             cuts = np.flatnonzero(np.r_[True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])])
             found = []
             for a, b in zip(cuts, np.r_[cuts[1:], len(k1)]):
-                found += _compare(int(k1[a]), int(mask[a]), side[a:b], comp[a:b], rep[a:b], n[a:b], sig[a:b], percent, least)
+                found += _compare(int(k1[a]), int(mask[a]), side[a:b], comp[a:b], rep[a:b], g[a:b], n[a:b], sig[a:b], percent,
+                                  least)
             if found:
-                yield _pairs(*(np.concatenate(v) for v in zip(*found)))
+                yield _packed(*(np.concatenate(v) for v in zip(*found)))
 
         for batch in batches:
             if not batch.num_rows:
@@ -258,19 +270,41 @@ def _sets(width: int):
     return run
 
 
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Streams packed pairs sorted by (ga, gb): the documents that each pair of groups needs, each once."""
+    at, ids = None, np.zeros(0, np.int64)
+
+    def rows() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), v, np.int64)) for v in at] + [pa.array(ids)],
+                                          names=["ga", "gb", "id"])
+    for batch in batches:
+        for x, y, pairs in zip(*(batch.column(c).to_pylist() for c in ("ga", "gb", "pairs"))):
+            if at != (x, y):
+                if at is not None:
+                    yield rows()
+                at, ids = (x, y), np.zeros(0, np.int64)
+            ids = np.union1d(ids, np.frombuffer(pairs, np.int64))
+    if at is not None:
+        yield rows()
+
+
 def _confirm(percent: int):
     """Streams rows sorted by (ga, gb, kind): the shingle sets of a pair of groups (kind 0), then its pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, sets = None, {}
+        at, sets, done = None, {}, set()
         for batch in batches:
             out = []
-            for x, y, kind, i, other, data in zip(*(batch.column(c).to_pylist() for c in ("ga", "gb", "kind", "id", "other", "members"))):
+            for x, y, kind, i, data in zip(*(batch.column(c).to_pylist() for c in ("ga", "gb", "kind", "id", "data"))):
                 if (x, y) != at:
-                    at, sets = (x, y), {}
+                    at, sets, done = (x, y), {}, set()
                 if kind == 0:
                     sets.setdefault(i, []).append(np.frombuffer(data, np.uint64))
-                elif any(_similar(u, v, percent) for u in sets.get(i, ()) for v in sets.get(other, ())):
-                    out.append((i, other))
+                    continue
+                for a, b in map(tuple, np.frombuffer(data, np.int64).reshape(-1, 2).tolist()):
+                    if (a, b) not in done:
+                        done.add((a, b))
+                        if any(_similar(u, v, percent) for u in sets.get(a, ()) for v in sets.get(b, ())):
+                            out.append((a, b))
             if out:
                 a, b = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -283,8 +317,8 @@ def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
-def _grouped(pairs: DataFrame) -> DataFrame:
-    """``pairs`` with the groups ``ga``, ``gb`` of their documents, in order.
+def _groups(pairs: DataFrame) -> DataFrame:
+    """(v, g): the group of every document of the star ``pairs``.
 
     A document joins the neighbour (or itself) with the most pairs, and goes on
     to the one that this neighbour has joined: documents that are alike share a
@@ -301,38 +335,25 @@ def _grouped(pairs: DataFrame) -> DataFrame:
     heads = cut(first.join(then, first["first"] == then["__v"]).select("v", "head"))
     large = cut(heads.groupBy("head").agg(F.count("*").alias("m")).where(F.col("m") > BLOCK).select(F.col("head").alias("__h"), "m"))
     part = F.pmod(F.xxhash64("v"), F.coalesce(F.ceil(F.col("m") / BLOCK), F.lit(1)))
-    group = cut(heads.join(large, heads["head"] == large["__h"], "left").select("v", F.xxhash64("head", part).alias("g")))
-    one, two = (group.select(F.col("v").alias(f"__{c}"), F.col("g").alias(f"__g{c}")) for c in "ab")
-    out = pairs.join(one, pairs["a"] == one["__a"]).join(two, pairs["b"] == two["__b"])
-    return out.select(F.least("__ga", "__gb").alias("ga"), F.greatest("__ga", "__gb").alias("gb"), "a", "b")
-
-
-def _needed(pairs: DataFrame) -> DataFrame:
-    """The documents that each pair of groups needs, each once; ``pairs`` lie together by (ga, gb)."""
-    return pairs.select("ga", "gb", F.explode(F.array("a", "b")).alias("id")).distinct()
+    return cut(heads.join(large, heads["head"] == large["__h"], "left").select("v", F.xxhash64("head", part).alias("g")))
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose full shingle sets reach the threshold.
+    """The pairs (a, b) of the packed ``pairs`` whose full shingle sets reach the threshold.
 
     A document's set travels once to each pair of groups that needs it, not once per pair.
     """
-    n = partitions(docs.sparkSession)
-    pairs = cut(pairs.groupBy("a", "b").agg(F.lit(1).alias("__one")).select("a", "b"))
-    pairs = cut(_grouped(pairs))
-    need = cut(_needed(pairs.repartition(n, "ga", "gb")))
+    pairs = cut(pairs.repartition(partitions(docs.sparkSession), "ga", "gb"))
+    need = cut(pairs.sortWithinPartitions("ga", "gb").mapInArrow(_members, "ga long, gb long, id long"))
     ids = cut(need.select(F.col("id").alias("__id")).distinct())
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = slim.join(ids, slim["doc_id"] == ids["__id"], "left_semi").mapInArrow(_sets(width), "sid long, members binary")
-    none = F.lit(None)
-    sent = need.join(sets, need["id"] == sets["sid"]).select(
-        "ga", "gb", F.lit(0).alias("kind"), "id", none.cast("long").alias("other"), "members")
-    asked = pairs.select("ga", "gb", F.lit(1).alias("kind"), F.col("a").alias("id"), F.col("b").alias("other"),
-                         none.cast("binary").alias("members"))
-    meet = sent.unionByName(asked).repartition(n, "ga", "gb").sortWithinPartitions("ga", "gb", "kind")
-    return cut(meet.mapInArrow(_confirm(percent), PAIRS))
+    sent = need.join(sets, need["id"] == sets["sid"]).select("ga", "gb", F.lit(0).alias("kind"), "id", F.col("members").alias("data"))
+    asked = pairs.select("ga", "gb", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("id"), F.col("pairs").alias("data"))
+    meet = sent.unionByName(asked).repartition(partitions(docs.sparkSession), "ga", "gb").sortWithinPartitions("ga", "gb", "kind")
+    return cut(meet.mapInArrow(_confirm(percent), "a long, b long"))
 
 
 def _sized(rows: DataFrame, *keys: str) -> DataFrame:
@@ -346,7 +367,7 @@ def _work(level: DataFrame, prefix: int, least: int) -> DataFrame:
     """The rows of the lists to compare: large lists posted under further coordinates, then cut into blocks."""
     kept, out = level.columns, []
     narrow, wide = ("key long, up2 long, key2 long, mask long, comp long",
-                    "key long, key2 long, mask long, comp long, rep long, n long, sig binary")
+                    "key long, key2 long, mask long, comp long, rep long, g long, n long, sig binary")
     names = lambda schema: [c.split()[0] for c in schema.split(", ")]
     many = F.bit_count("mask")  # from the second time on only lists too long to be compared in one go
     over = (F.col("cross") > SPLIT) & (many < least) & ((many == 1) | (F.col("size") > LIST_ROWS))
@@ -364,7 +385,7 @@ def _work(level: DataFrame, prefix: int, least: int) -> DataFrame:
     rows = out[0]
     for more in out[1:]:
         rows = rows.unionByName(more)
-    cols = "key long, key2 long, mask long, side int, comp long, rep long, n long, sig binary"
+    cols = "key long, key2 long, mask long, side int, comp long, rep long, g long, n long, sig binary"
     return rows.drop("cross").mapInArrow(_blocks(LIST_ROWS, names(cols)), cols)
 
 
@@ -393,7 +414,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         F.least("center", "rep").alias("a"), F.greatest("center", "rep").alias("b")).agg(F.count("*").alias("collisions"))
     one, two = (reps.select(F.col("rep").alias(f"r_{c}"), F.col("n").alias(f"n_{c}"), F.col("sig").alias(f"sig_{c}")) for c in "ab")
     full = stars.join(one, stars["a"] == one["r_a"]).join(two, stars["b"] == two["r_b"])
-    close = full.select("a", "b", "n_a", "n_b", "sig_a", "sig_b").mapInArrow(_agree(percent, least), PAIRS)
+    close = full.select("a", "b", "n_a", "n_b", "sig_a", "sig_b").mapInArrow(_agree(percent, least), "a long, b long")
+    close = cut(close)
+    groups = _groups(close)
+    one, two = (groups.select(F.col("v").alias(f"v_{c}"), F.col("g").alias(f"g{c}")) for c in "ab")
+    close = close.join(one, close["a"] == one["v_a"]).join(two, close["b"] == two["v_b"])
+    close = close.repartition(partitions(docs.sparkSession), "ga", "gb").mapInArrow(_pack, PAIRS)
     links = _linked(close, docs, width, percent)
     comp = components(links)
 
@@ -404,8 +430,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     mixed = mixed.select(F.col("key").alias("__k"), "size", "cross")
     rest = marked.join(mixed, marked["key"] == mixed["__k"]).drop("__k")
     rest = rest.join(reps.select(F.col("rep").alias("__r"), "n", "sig"), F.col("rep") == F.col("__r"))
+    known = groups.select(F.col("v").alias("__v"), "g")
+    rest = rest.join(known, rest["rep"] == known["__v"], "left").withColumn("g", F.coalesce("g", F.xxhash64("rep")))
     own = F.expr("shiftleft(cast(1 as bigint), cast(shiftright(key, 32) & 63 as int))").alias("mask")
-    rest = cut(rest.select("key", F.lit(0).cast("long").alias("key2"), own, "comp", "rep", "n", "sig", "size", "cross"))
+    rest = cut(rest.select("key", F.lit(0).cast("long").alias("key2"), own, "comp", "rep", "g", "n", "sig", "size", "cross"))
     work = _work(rest, prefix, least)
     work = work.repartition(partitions(docs.sparkSession), "key", "key2").sortWithinPartitions("key", "key2", "comp")
     more = work.mapInArrow(_lists(percent, least), PAIRS)
