@@ -30,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pipewright.llm.common import WORD, WS, cut
+from pipewright.llm.common import WORD, WS, cut, store
 
 ALPHA = 0.01   # false-rejection rate allowed to each rule in each stratum
 DELTA = 0.05   # probability that any bound of the table is wrong
@@ -62,11 +62,12 @@ def _windows(w: Column, n: Column) -> Column:
         F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("p"))))
 
 
-def counts(docs: DataFrame) -> DataFrame:
-    """doc_id, stratum, hash of text and language, and the integer counts of every row; no shuffle, one pass."""
-    d = docs.select("doc_id", F.coalesce(F.col("lang"), F.lit("und")).alias("stratum"),
+def counts(docs: DataFrame, *carried: str) -> DataFrame:
+    """doc_id, stratum, hash of text and language, the integer counts of every row and the columns ``carried``
+    along; no shuffle, one pass."""
+    d = docs.select(*carried, "doc_id", F.coalesce(F.col("lang"), F.lit("und")).alias("stratum"),
                     F.xxhash64("text", "lang").alias("text_hash"), *_counts(F.col("text")))
-    d = d.select("doc_id", "stratum", "text_hash", "n_symbols", "n_upper", "__w", F.size("__w").alias("__n"),
+    d = d.select(*carried, "doc_id", "stratum", "text_hash", "n_symbols", "n_upper", "__w", F.size("__w").alias("__n"),
                  F.size("__lines").cast("long").alias("n_lines"),
                  (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"))
     d = d.withColumn("word_chars", F.length(F.array_join("__w", "")).cast("long"))
@@ -81,7 +82,7 @@ def counts(docs: DataFrame) -> DataFrame:
     d = d.withColumn("n_words", F.col("__n").cast("long"))
     bad = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return d.select("doc_id", "stratum", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                    "n_lines", "n_upper", bad.alias("base_failed"))
+                    "n_lines", "n_upper", bad.alias("base_failed"), *carried)
 
 
 def _ln_factorial(x: Column) -> Column:
@@ -127,9 +128,9 @@ def cutoffs(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta:
                                          for r in RULES])
 
 
-def rules(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """doc_id, the counts, ``base_failed``, the names of the rules that rejected it and ``kept``; one row per row."""
-    counted = cut(counts(docs))
+def _judged(counted: DataFrame, labels: DataFrame, alpha: float, delta: float) -> DataFrame:
+    """``counted`` with ``rejected_by`` (names of rules) and ``kept``; the rows stay where they are unless there are
+    more than ``BROADCAST_ROWS`` strata with a cutoff."""
     cuts = cut(cutoffs(counted, labels, alpha, delta))
     if cuts.count() <= BROADCAST_ROWS:
         cuts = F.broadcast(cuts)
@@ -140,15 +141,19 @@ def rules(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float
     return j.select(*counted.columns, "rejected_by", (F.size("rejected_by") == 0).alias("kept"))
 
 
+def rules(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """doc_id, the counts, ``base_failed``, the names of the rules that rejected it and ``kept``; one row per row."""
+    return _judged(cut(counts(docs)), labels, alpha, delta)
+
+
 def apply_rules(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns unchanged.
 
-    A verdict depends on text and language alone, so it is joined back by
-    doc_id (null-safe) and the hash of the two.
+    The pass that counts writes each row beside its counts; the cutoffs read the
+    counts alone and are broadcast to the rows, so no text is ever shuffled.
     """
-    ok = rules(docs, labels, alpha, delta).where("kept").select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__h"))
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
-                      F.xxhash64("text", "lang").alias("__rh"))
-    out = row.join(ok, F.col("__row")["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__rh") == F.col("__h")), "left_semi")
-    return out.select("__row.*")
+    void = [f.name for f in docs.schema if f.dataType.typeName() == "void"]  # Parquet has no such type; all its values are null
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in void]).alias("__row")
+    counted = store(counts(docs.select(row, "doc_id", "text", "lang"), "__row"))
+    kept = _judged(counted, labels, alpha, delta).where("kept")
+    return kept.select(*[F.lit(None).alias(c) if c in void else F.col("__row")[c].alias(c) for c in docs.columns])

@@ -84,3 +84,17 @@ def test_window_starts_cover():
 def test_extra_columns_pass(spark, odd_docs):
     out = line_dedup.apply_line_dedup(odd_docs)
     assert out.where(F.col("`a.b`") == "dot").count() == odd_docs.count()
+
+
+def test_rules_move_no_text(spark, odd_docs, labels):
+    """Whole rows meet their verdict where they are read: each row its own, no shuffle and no sort of texts."""
+    docs = odd_docs.withColumn("__row", F.lit(1)).withColumn("none", F.lit(None))
+    docs = docs.unionByName(docs.withColumn("text", F.concat(F.lit("w"), F.array_join(F.sequence(F.lit(1), F.lit(60)), " w"))))
+    out = quality_rules.apply_rules(docs, labels)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Sort" not in plan
+    assert out.dtypes == docs.dtypes
+    kept = quality_rules.rules(docs, labels).where("kept").select("doc_id", "text_hash")
+    want = sorted(map(str, kept.collect()))
+    assert sorted(map(str, out.select("doc_id", F.xxhash64("text", "lang").alias("text_hash")).collect())) == want
+    assert len(want) >= odd_docs.count()
